@@ -71,8 +71,8 @@ query("j5_phase_link", f"""
 
 
 @query("t11_phase_changes", f"""
-    SELECT 101 AS Platform_Org_ID, '101' AS Client_Org_ID, l.project_id AS Parent_Case_ID,
-      l.project_id AS Case_ID, d.phaseId AS Phase_ID,
+    SELECT 101 AS Platform_Org_ID, '101' AS Client_Org_ID, CAST(l.project_id AS INT) AS Parent_Case_ID,
+      CAST(l.project_id AS INT) AS Case_ID, d.phaseId AS Phase_ID,
       CAST(epoch_ms(l.event_ts) AS DATE) AS Phase_Change_Date, CAST(NULL AS VARCHAR) AS Custom1,
       CAST(NULL AS VARCHAR) AS Custom2, CAST(NULL AS VARCHAR) AS Custom3 {PHASE_LINK}""")
 def phase_changes(t: Tables) -> DataFrame:
@@ -103,7 +103,7 @@ query("a2_profile", """
       FROM {contact}""")(lambda t: checks.profile(t["contact"], "contact"))
 
 query("a3_nested_phases", """
-    SELECT projectTypeId, count(*) AS n_phases, min(phaseId) AS first_phase,
+    SELECT projectTypeId, CAST(count(*) AS INT) AS n_phases, min(phaseId) AS first_phase,
       max(phaseId) AS last_phase FROM {phase_dim} GROUP BY projectTypeId""")(
     lambda t: project_types(t).select(
         "projectTypeId", F.size("phases").alias("n_phases"),
@@ -207,6 +207,6 @@ def table_overwrite(t: Tables) -> DataFrame:
 @query("k6_single_file", "SELECT r_regionkey, r_name, 1 AS n_files FROM region")
 def single_file(t: Tables) -> DataFrame:
     path = t.scratch("export")
-    sinks.export_one_file(t["region"], path)
+    sinks.export_small(t["region"], path)
     written = t.spark.read.parquet(path)
     return written.withColumn("n_files", F.lit(len(written.inputFiles())))

@@ -53,6 +53,19 @@ def wildcard_scan(t: Tables) -> DataFrame:
     return merged.select("projectId", "isArchived", "incidentDate")
 
 
+@query("s1_declared_scan", """
+    SELECT projectId, CASE WHEN projectTypeId <= 2 THEN isArchived END AS isArchived
+    FROM {project}""")
+def declared_scan(t: Tables) -> DataFrame:
+    """The same mixed files with a declared schema: no footer pass."""
+    root, p = t.scratch("raw"), t["project"]
+    wanted = p.select("projectId", "isArchived")
+    wanted.where("projectTypeId <= 2").write.parquet(f"{root}/{ORG}/1/a/project.parquet")
+    p.where("projectTypeId > 2").select("projectId").write.parquet(
+        f"{root}/{ORG}/3/b/project.parquet")
+    return files.read_merged(t.spark, f"{root}/{ORG}/*/*/project.parquet", schema=wanted.schema)
+
+
 @query("s2_folder_scan", "SELECT personId, firstName, lastName, personTypes FROM {contact}")
 def folder_scan(t: Tables) -> DataFrame:
     path = t.scratch("contact")
@@ -63,7 +76,7 @@ def folder_scan(t: Tables) -> DataFrame:
 
 @query("s3_path_keys", """
     SELECT projectId, '101' AS org_id,
-      CASE WHEN projectId % 4 <> 1 THEN projectTypeId END AS project_type_id,
+      CASE WHEN projectId % 4 <> 1 THEN CAST(projectTypeId AS BIGINT) END AS project_type_id,
       CASE WHEN projectId % 4 <> 1 THEN projectId END AS project_id,
       CASE projectId % 4 WHEN 0 THEN 'core' WHEN 1 THEN 'core' WHEN 2 THEN 'form' ELSE 'phases' END
         AS section,
@@ -132,7 +145,7 @@ def lookup_responses(t: Tables) -> DataFrame:
     ])
 
 
-@query("s6_lookup_scan", "SELECT n_nationkey AS Id, n_name AS Name FROM nation")
+@query("s6_lookup_scan", "SELECT CAST(n_nationkey AS BIGINT) AS Id, n_name AS Name FROM nation")
 def lookup_scan(t: Tables) -> DataFrame:
     return records.lookup(lookup_responses(t), "LeadSource")
 
@@ -307,7 +320,7 @@ def table_read_back(t: Tables) -> DataFrame:
 EVENT_SQL = """
     SELECT CASE WHEN entity = 'Project' AND event_name <> 'PhaseChanged' THEN NULL ELSE ptype END
         AS project_type_id,
-      101 AS org_id, event_name, ts_ms AS event_timestamp, entity, project_id,
+      CAST(101 AS BIGINT) AS org_id, event_name, ts_ms AS event_timestamp, entity, project_id,
       CASE WHEN entity = 'Project' AND event_name <> 'PhaseChanged' THEN 'core'
         WHEN entity = 'Project' THEN NULL ELSE selector END AS section
     FROM {webhook}"""
@@ -338,8 +351,9 @@ def event_stream(t: Tables) -> DataFrame:
 
 
 @query("s24_backfill_events", """
-    SELECT 1564500130149 AS Timestamp, 'Form' AS Object, 'Updated' AS Event, projectTypeId,
-      'intake' AS SectionSelector, 101 AS OrgId, projectId AS ProjectId, 7 AS UserId
+    SELECT 1564500130149 AS Timestamp, 'Form' AS Object, 'Updated' AS Event,
+      CAST(projectTypeId AS BIGINT) AS projectTypeId, 'intake' AS SectionSelector,
+      CAST(101 AS BIGINT) AS OrgId, projectId AS ProjectId, CAST(7 AS BIGINT) AS UserId
     FROM {project} WHERE projectId < 10157655""")
 def backfill_events(t: Tables) -> DataFrame:
     projects = records.projects(t.raw_projects())
@@ -439,5 +453,3 @@ def snapshot(t: Tables) -> DataFrame:
     return snapshots.snapshot(lead_frames(t), "lead", "core", "Opportunities").select(
         "Id", "LeadId"
     )
-
-

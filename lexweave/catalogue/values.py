@@ -135,7 +135,7 @@ query("v17_pass_through", "SELECT Id, ContactId, Code, StatusId FROM {leadrow}")
     lambda t: leads.TRANSFORMS["leadrow"](t["leadrow"]))
 
 query("v18_split", """
-    SELECT personId, len(string_split(personTypes, '|')) AS n_parts FROM {contact}""")(
+    SELECT personId, CAST(len(string_split(personTypes, '|')) AS INT) AS n_parts FROM {contact}""")(
     lambda t: t["contact"].select(
         "personId",
         F.when(F.col("personTypes").isNotNull(), F.size(F.split("personTypes", "[|]")))

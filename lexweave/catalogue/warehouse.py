@@ -24,7 +24,7 @@ def conformed_cases(t: Tables) -> DataFrame:
 
 
 CASES_SQL = """
-    SELECT 101 AS Platform_Org_ID, '101' AS Client_Org_ID, projectId AS Case_ID,
+    SELECT 101 AS Platform_Org_ID, '101' AS Client_Org_ID, CAST(projectId AS INT) AS Case_ID,
       projectTypeId AS Practice_Type_ID, isArchived AS Is_Archived,
       incidentDate AS Date_of_Incident FROM {project}"""
 
@@ -93,7 +93,7 @@ def composite_orphans(t: Tables) -> DataFrame:
     return checks.orphans(t["lineitem"], key, pairs)
 
 
-@query("c8_table_report", """
+@query("check_table_report", """
     SELECT 'CMS_Cases' AS table_name, unnest(['not_null', 'not_null', 'not_null', 'not_null',
         'length', 'primary_key', 'foreign_key']) AS check,
       unnest(['Platform_Org_ID', 'Client_Org_ID', 'Case_ID', 'Practice_Type_ID', 'Client_Org_ID',

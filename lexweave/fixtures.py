@@ -80,7 +80,7 @@ ORACLE_VIEWS = {
             AS phase
         FROM events""",
     "phase_log": """
-        SELECT 101 AS org_id, ptype AS project_type_id, project_id, ts_ms AS event_ts,
+        SELECT CAST(101 AS BIGINT) AS org_id, ptype AS project_type_id, project_id, ts_ms AS event_ts,
           max(phase) AS phase
         FROM {webhook} WHERE entity = 'Project' AND event_name = 'PhaseChanged'
         GROUP BY ptype, project_id, ts_ms""",

@@ -8,6 +8,7 @@ so a value that fills much of a table is shuffled as one row per task.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -62,6 +63,16 @@ def _violation_rows(df: DataFrame, table: str, tests: list[tuple[str, str, Colum
     return counts.select(F.inline(rows))
 
 
+def _out_of_range(column: Column, have: T.DataType, want: T.DecimalType) -> Column:
+    """Whether a value does not fit the decimal once rounded to its scale."""
+    if not isinstance(have, T.NumericType):
+        return column.try_cast(want.simpleString()).isNull() & column.isNotNull()
+    # A plain comparison: casting each value to find the few that fail is far slower.
+    limit = Decimal(10) ** (want.precision - want.scale) - Decimal(5).scaleb(-want.scale - 1)
+    exact = isinstance(have, (T.DecimalType, T.IntegralType))
+    return F.abs(column) >= (F.lit(limit) if exact else F.lit(float(limit)))
+
+
 def check_values(df: DataFrame, table: WarehouseTable, kinds: Sequence[str] = ()) -> DataFrame:
     """NOT NULL, text length and decimal range of all columns, in one aggregate."""
     tests = []
@@ -76,7 +87,7 @@ def check_values(df: DataFrame, table: WarehouseTable, kinds: Sequence[str] = ()
             long = F.length(column.cast("string")) > field.dataType.length
             tests.append(("length", field.name, long))
         elif isinstance(field.dataType, T.DecimalType):
-            lost = column.try_cast(field.dataType.simpleString()).isNull() & column.isNotNull()
+            lost = _out_of_range(column, df.schema[source].dataType, field.dataType)
             tests.append(("decimal", field.name, lost))
     wanted = [t for t in tests if not kinds or t[0] in kinds]
     return _violation_rows(df, table.name, wanted)

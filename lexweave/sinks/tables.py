@@ -21,6 +21,7 @@ from lexweave.sources.files import read_if_present
 
 BUCKET = "key_bucket"
 PRUNE_LIMIT = 5_000
+EXPORT_LIMIT = 1_000_000
 
 
 def write_table(df: DataFrame, root: str, name: str) -> str:
@@ -40,9 +41,10 @@ def append_batch(df: DataFrame, path: str, batch_id: int) -> None:
     df.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
 
-def export_one_file(df: DataFrame, path: str) -> None:
-    """A single file for small exports: the whole frame passes through one task."""
-    df.repartition(1).write.mode("overwrite").parquet(path)
+def export_small(df: DataFrame, path: str) -> None:
+    """A single file if the frame is small, else as many as its size asks for."""
+    small = df.limit(EXPORT_LIMIT + 1).count() <= EXPORT_LIMIT
+    (df.coalesce(1) if small else df).write.mode("overwrite").parquet(path)
 
 
 def _bucketed(df: DataFrame, keys: Sequence[str], buckets: int) -> DataFrame:
@@ -64,7 +66,8 @@ def _touched(df: DataFrame, incoming: DataFrame, columns: Sequence[str]) -> Data
         seen = {r[f"_t_{name}"] for r in rows}
         known = quoted(name).isin(sorted(v for v in seen if v is not None))
         df = df.where(known | quoted(name).isNull() if None in seen else known)
-    return df.join(F.broadcast(values), same, "left_semi")
+    listed = df.sparkSession.createDataFrame(rows, values.schema)
+    return df.join(F.broadcast(listed), same, "left_semi")
 
 
 def _write_partitions(df: DataFrame, path: str, columns: Sequence[str]) -> None:
@@ -123,14 +126,11 @@ def replace_sections(
         return _write_partitions(incoming.withColumn("_gone", F.lit(False)), path, columns)
     old = _touched(current, refreshed, columns).where(~F.col("_gone")).drop("_gone")
     merged = replace_groups(old, incoming, group, refreshed)
-    # A partition left without rows has no new file to take its place, so it
-    # keeps one marker row that readers drop.
-    empty = (
-        old.select(*columns).distinct()
-        .join(merged.select(*columns).distinct(), columns, "left_anti")
-    )
+    # A partition left without rows would have no new file to take its place, so
+    # every touched one gets a marker row that readers drop.
+    touched = refreshed.select(*columns).distinct().withColumn("_gone", F.lit(True))
     marked = merged.withColumn("_gone", F.lit(False)).unionByName(
-        empty.withColumn("_gone", F.lit(True)), allowMissingColumns=True
+        touched, allowMissingColumns=True
     )
     _write_partitions(marked, path, columns)
     return None
@@ -188,6 +188,9 @@ def warehouse_load(
     warehouse_write(df.sparkSession.read.parquet(staging), table.name.lower(), path)
 
 
-def jdbc_load(df: DataFrame, url: str, table: str, properties: dict[str, str]) -> None:
-    """Load over JDBC, for warehouses reached by URL; bounded connections."""
-    df.coalesce(32).write.mode("append").jdbc(url, table, properties=properties)
+def jdbc_load(
+    df: DataFrame, url: str, table: str, properties: dict[str, str], connections: int = 32
+) -> None:
+    """Load over JDBC, for warehouses reached by URL, over that many connections."""
+    writer = df.write.mode("append").option("numPartitions", connections)
+    writer.jdbc(url, table, properties=properties)

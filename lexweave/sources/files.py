@@ -12,9 +12,17 @@ from pyspark.sql import types as T
 from lexweave.functions.types import quoted
 
 
-def read_merged(spark: SparkSession, path: str, kind: str = "parquet") -> DataFrame:
-    """Scan a folder or glob whose files carry different columns."""
+def read_merged(
+    spark: SparkSession, path: str, kind: str = "parquet", schema: T.StructType | None = None
+) -> DataFrame:
+    """Scan a folder or glob whose files carry different columns.
+
+    Without a schema Spark reads every file's footer to merge them; with very
+    many files pass the declared schema, and absent columns are null.
+    """
     reader = spark.read.format(kind)
+    if schema is not None:
+        return reader.schema(schema).load(path)
     if kind == "csv":
         return reader.option("header", "true").load(path)
     return reader.option("mergeSchema", "true").load(path)

@@ -121,13 +121,19 @@ def refresh_keys(events: DataFrame) -> DataFrame:
 
 
 def with_project_type(events: DataFrame, projects: DataFrame) -> DataFrame:
-    """Fill the project type that a project's own events do not carry."""
+    """Fill the project type that a project's own events do not carry.
+
+    Only the events without one are joined; the others need no shuffle.
+    """
     known = projects.select(
         F.col("projectId").alias("project_id"), F.col("projectTypeId").alias("_known")
     )
-    joined = events.join(known, "project_id", "left")
-    filled = F.coalesce("project_type_id", "_known")
-    return joined.withColumn("project_type_id", filled).drop("_known").select(*events.columns)
+    typed = F.col("project_type_id").isNotNull()
+    open_events = events.where(~typed).drop("project_type_id")
+    filled = open_events.join(known, "project_id", "left").withColumnRenamed(
+        "_known", "project_type_id"
+    )
+    return events.where(typed).unionByName(filled)
 
 
 def latest_events(events: DataFrame, arrival: str) -> DataFrame:
