@@ -47,7 +47,7 @@ def entity_refresh(t: Tables) -> DataFrame:
     keys = ev.refresh_keys(normalised(t)).where("route = 'collections'")
     items = records.collection_items(t.raw_items()).select("projectId", "type", "valueTotal")
     ids = keys.select(F.col("project_id").alias("projectId"))
-    return items.join(ids, "projectId", "left_semi")
+    return records.with_ids(items, ids, "projectId")
 
 
 LEAD_SQL = """

@@ -36,11 +36,12 @@ def joined(column: Column, data_type: T.DataType, delimiter: str, name: str = "i
     if not isinstance(data_type, T.ArrayType):
         return column.cast("string")
     inner = data_type.elementType
-    if isinstance(inner, T.StringType):
-        return F.array_join(column, delimiter)
-    return F.array_join(
-        F.transform(column, lambda e: child(e, inner, name).cast("string")), delimiter
-    )
+    if isinstance(inner, T.VariantType):
+        column = F.transform(column, lambda e: child(e, inner, name))
+    elif isinstance(inner, T.StructType):
+        # The field of all elements at once: compiled, where a lambda is interpreted.
+        column = column[name]
+    return F.array_join(column.cast("array<string>"), delimiter)
 
 
 def flat_id(column: Column, data_type: T.DataType) -> Column:

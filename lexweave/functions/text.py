@@ -11,9 +11,9 @@ def bare_selector(selector: Column) -> Column:
     return F.replace(selector, F.lit("custom."), F.lit(""))
 
 
-def tokens(text: Column, delimiter: str = "|") -> Column:
+def tokens(text: Column, delimiter: str = "\\|") -> Column:
     """Parts of a delimited text as an array; blank parts carry no meaning and go."""
-    return F.filter(F.split(text, "[" + delimiter + "]"), lambda part: part != "")
+    return F.array_remove(F.split(text, delimiter), "")
 
 
 def tenant_of_url(url: Column) -> Column:

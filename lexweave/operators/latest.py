@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexweave.functions.types import quoted
+from lexweave.operators.skew import spread_join
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str]) -> DataFrame:
@@ -36,7 +37,7 @@ def replace_groups(
     empty, otherwise the groups of ``incoming`` are taken.
     """
     groups = (incoming if refreshed is None else refreshed).select(*group).distinct()
-    kept = current.join(groups, list(group), "left_anti")
+    kept = spread_join(current, groups, group, "left_anti")
     return kept.unionByName(incoming, allowMissingColumns=True)
 
 
@@ -46,7 +47,7 @@ def without_deleted(
     """Items whose last event is not a delete. ``events`` has the key and ``event_name``."""
     last = latest_per_key(events, [key], order)
     gone = last.where(F.col("event_name") == "Deleted").select(key)
-    return items.join(gone, key, "left_anti")
+    return spread_join(items, gone, [key], "left_anti")
 
 
 def chunked_ids(numbered: DataFrame, number: str, size: int, out: str = "chunk") -> DataFrame:

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
+from lexweave.operators.skew import spread_join
 from lexweave.sinks.tables import append_batch, replace_sections, upsert
 from lexweave.streaming.events import normalise, phase_log, route_leads, routed, subscribed
 
@@ -48,7 +49,7 @@ class CaseFeed:
         named = events.where(F.col("route") == name)
         keys = ["org_id", "project_id", "section"]
         asked = named.groupBy(*keys).agg(F.max("event_timestamp").alias("event_timestamp"))
-        fresh = records.join(asked, keys, "inner")
+        fresh = spread_join(records, asked, keys, "inner")
         # Written first and read back: the merge below then reads the batch's
         # rows as files instead of running the join again.
         log = f"{self.root}/{name}/log"
