@@ -11,7 +11,7 @@ from lexweave.fixtures import ORG, Tables
 from lexweave.functions import leads
 from lexweave.operators import phases
 from lexweave.operators.latest import without_deleted
-from lexweave.sinks.tables import read_current
+from lexweave.sinks.tables import read_current, read_phase_log
 from lexweave.sources import records
 from lexweave.streaming import events as ev
 from lexweave.streaming import feed
@@ -162,7 +162,7 @@ def current_phase_stream(t: Tables) -> DataFrame:
 def phase_stream(t: Tables) -> DataFrame:
     out, mark = t.scratch("phases"), t.scratch("checkpoint")
     run_to_end(feed.stream_phases(landed_events(t), out, mark))
-    return t.spark.read.parquet(out).drop("event_time")
+    return read_phase_log(t.spark, out)
 
 
 @query("e4_feed_stream", """
@@ -180,7 +180,7 @@ def feed_stream(t: Tables) -> DataFrame:
             "id", "type", "valueTotal", (F.col("projectId") % 5 + 1).alias("project_type_id"),
         )
 
-    run_to_end(feed.CaseFeed(root, {"collections": meds}).start(landed_events(t), mark))
+    run_to_end(feed.CaseFeed(root, {"collections": meds}, buckets=8).start(landed_events(t), mark))
     return read_current(t.spark, f"{root}/collections/current").select(
         "project_id", "type", "valueTotal"
     )

@@ -18,6 +18,8 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column |
     many versions does not reach one task whole. ``order`` has to decide ties.
     """
     payload = [c for c in df.columns if c not in keys]
+    if not payload:
+        return df.distinct()
     last = F.max_by(F.struct(*map(quoted, payload)), F.struct(*order))
     return (
         df.groupBy(*map(quoted, keys)).agg(last.alias("_last"))

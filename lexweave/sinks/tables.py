@@ -12,6 +12,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lexweave.config.warehouse import WarehouseTable
 from lexweave.functions.types import quoted
@@ -22,6 +23,7 @@ from lexweave.sources.files import read_if_present
 BUCKET = "key_bucket"
 PRUNE_LIMIT = 5_000
 EXPORT_LIMIT = 1_000_000
+GONE = T.StructField("_gone", T.BooleanType())
 
 
 def write_table(df: DataFrame, root: str, name: str) -> str:
@@ -51,6 +53,20 @@ def _bucketed(df: DataFrame, keys: Sequence[str], buckets: int) -> DataFrame:
     return df.withColumn(BUCKET, F.pmod(F.xxhash64(*map(quoted, keys)), F.lit(buckets)))
 
 
+def read_phase_log(spark: SparkSession, path: str) -> DataFrame:
+    """The phase log, each change once however often its event arrived."""
+    log = spark.read.parquet(path)
+    keys = ["org_id", "project_type_id", "project_id", "event_ts"]
+    return log.groupBy(*keys).agg(F.max("phase").alias("phase"))
+
+
+def _stored(schema: T.StructType | None, *extra: T.StructField) -> T.StructType | None:
+    """The declared schema with the columns the store adds."""
+    if schema is None:
+        return None
+    return T.StructType([*schema.fields, *extra, T.StructField(BUCKET, T.LongType())])
+
+
 def _touched(df: DataFrame, incoming: DataFrame, columns: Sequence[str]) -> DataFrame:
     """The rows of ``df`` in the partitions ``incoming`` touches.
 
@@ -89,14 +105,20 @@ def upsert(
     order: Sequence[Column | str],
     partition_by: Sequence[str],
     buckets: int = 64,
+    schema: T.StructType | None = None,
 ) -> None:
-    """Keyed upsert, last write wins; only touched partitions are read and written."""
+    """Keyed upsert, last write wins; only touched partitions are read and written.
+
+    ``schema`` is the store's declared schema, partition columns included; it
+    spares reading every file's footer. ``incoming`` is read twice, so give it
+    as files rather than as a long plan.
+    """
     outside = [c for c in partition_by if c not in keys]
     if outside:
         raise ValueError(f"partition columns {outside} must be part of the key")
     columns = [*partition_by, BUCKET]
     incoming = _bucketed(incoming, keys, buckets)
-    current = read_if_present(incoming.sparkSession, path)
+    current = read_if_present(incoming.sparkSession, path, _stored(schema))
     if current is not None:
         old = _touched(current, incoming, columns)
         incoming = old.unionByName(incoming, allowMissingColumns=True)
@@ -110,6 +132,7 @@ def replace_sections(
     refreshed: DataFrame,
     partition_by: Sequence[str],
     buckets: int = 64,
+    schema: T.StructType | None = None,
 ) -> None:
     """Replace the items of every refreshed group, also where none is left.
 
@@ -121,7 +144,7 @@ def replace_sections(
     spark = incoming.sparkSession
     incoming = _bucketed(incoming, group, buckets)
     refreshed = _bucketed(refreshed, group, buckets)
-    current = read_if_present(spark, path)
+    current = read_if_present(spark, path, _stored(schema, GONE))
     if current is None:
         return _write_partitions(incoming.withColumn("_gone", F.lit(False)), path, columns)
     old = _touched(current, refreshed, columns).where(~F.col("_gone")).drop("_gone")

@@ -41,9 +41,16 @@ def read_json(
     return spark.read.schema(schema).option("multiLine", multi_line).json(path)
 
 
-def read_if_present(spark: SparkSession, path: str) -> DataFrame | None:
+def read_if_present(
+    spark: SparkSession, path: str, schema: T.StructType | None = None
+) -> DataFrame | None:
+    """A store's files, or nothing before the first write.
+
+    Without a declared schema the files' columns are merged, so that a column
+    only some of them have is not lost when they are rewritten.
+    """
     try:
-        return spark.read.parquet(path)
+        return read_merged(spark, path, schema=schema)
     except AnalysisException as exc:
         if exc.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             return None

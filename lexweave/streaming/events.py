@@ -34,9 +34,14 @@ LEAD_ROUTES = {
 }
 
 
-def read_events(spark: SparkSession, path: str, schema: str = EVENT_SCHEMA) -> DataFrame:
-    """A stream of landed JSON events."""
-    return spark.readStream.schema(schema).json(path)
+def read_events(
+    spark: SparkSession, path: str, schema: str = EVENT_SCHEMA, max_files: int | None = None
+) -> DataFrame:
+    """A stream of landed JSON events; ``max_files`` bounds what one batch takes."""
+    reader = spark.readStream.schema(schema)
+    if max_files is not None:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    return reader.json(path)
 
 
 def parse_events(text: DataFrame, column: str = "value", schema: str = EVENT_SCHEMA) -> DataFrame:
@@ -93,8 +98,13 @@ def routed(events: DataFrame) -> DataFrame:
     return events.withColumn("route", route()).where(F.col("route").isNotNull())
 
 
-def phase_log(events: DataFrame) -> DataFrame:
-    """Phase changes as log rows; the same change seen twice is one row."""
+def phase_log(events: DataFrame, lateness: str | None = None) -> DataFrame:
+    """Phase changes as log rows; the same change seen twice is one row.
+
+    A stream keeps repeats for the reader to merge (``read_phase_log``), so no
+    event is ever too late. Where events are late by at most ``lateness``, giving
+    it drops repeats in the stream, with state for that long.
+    """
     changes = events.where(
         (F.col("entity") == "Project") & (F.col("event_name") == "PhaseChanged")
     ).select(
@@ -104,12 +114,14 @@ def phase_log(events: DataFrame) -> DataFrame:
         F.col("event_timestamp").alias("event_ts"),
         "phase",
     )
+    if changes.isStreaming and lateness is None:
+        return changes
     if changes.isStreaming:
-        # Spark keeps the keys it has seen for as long as events may come late.
         timed = changes.withColumn("event_time", F.timestamp_millis("event_ts"))
-        return timed.withWatermark("event_time", "1 day").dropDuplicatesWithinWatermark(
-            ["project_id", "event_ts"]
+        once = timed.withWatermark("event_time", lateness).dropDuplicatesWithinWatermark(
+            ["org_id", "project_type_id", "project_id", "event_ts"]
         )
+        return once.drop("event_time")
     keys = ["org_id", "project_type_id", "project_id", "event_ts"]
     return changes.groupBy(*keys).agg(F.max("phase").alias("phase"))
 

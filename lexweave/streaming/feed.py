@@ -11,6 +11,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming.query import StreamingQuery
 
 from lexweave.operators.skew import spread_join
@@ -28,11 +29,14 @@ class CaseFeed:
 
     ``loaders`` give the landed, flattened records of a route (``project``,
     ``form`` or ``collections``) with ``org_id``, ``project_type_id``,
-    ``project_id`` and ``section``; collections also have ``id``.
+    ``project_id`` and ``section``; collections also have ``id``. ``schemas``
+    may declare a route's stored columns, ``event_timestamp`` included.
     """
 
     root: str
     loaders: dict[str, Loader] = field(default_factory=dict)
+    schemas: dict[str, T.StructType] = field(default_factory=dict)
+    buckets: int = 64
 
     def apply(self, batch: DataFrame, batch_id: int) -> None:
         events = routed(normalise(subscribed(batch))).persist()
@@ -59,10 +63,16 @@ class CaseFeed:
         current = f"{self.root}/{name}/current"
         if name == "collections":
             refreshed = named.select(*PARTITIONS, "project_id", "section").distinct()
-            replace_sections(landed, current, ["project_id", "section"], refreshed, PARTITIONS)
+            replace_sections(
+                landed, current, ["project_id", "section"], refreshed, PARTITIONS, self.buckets,
+                self.schemas.get(name),
+            )
         else:
             record = [*PARTITIONS, "project_id", "section"]
-            upsert(landed, current, record, ["event_timestamp"], PARTITIONS)
+            upsert(
+                landed, current, record, ["event_timestamp"], PARTITIONS, self.buckets,
+                self.schemas.get(name),
+            )
 
     def start(self, events: DataFrame, checkpoint: str, **trigger: object) -> StreamingQuery:
         writer = events.writeStream.option("checkpointLocation", checkpoint)
@@ -92,9 +102,11 @@ class LeadFeed:
         return writer.foreachBatch(self.apply).trigger(**(trigger or {"availableNow": True})).start()
 
 
-def stream_phases(events: DataFrame, path: str, checkpoint: str, **trigger: object) -> StreamingQuery:
-    """Append phase changes as they come; repeats within a day are dropped."""
-    log = phase_log(normalise(subscribed(events)))
+def stream_phases(
+    events: DataFrame, path: str, checkpoint: str, lateness: str | None = None, **trigger: object
+) -> StreamingQuery:
+    """Append phase changes as they come; read them with ``read_phase_log``."""
+    log = phase_log(normalise(subscribed(events)), lateness)
     writer = log.writeStream.option("checkpointLocation", checkpoint).outputMode("append")
     return writer.format("parquet").trigger(**(trigger or {"availableNow": True})).start(path)
 

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows
-from lexweave.sinks.tables import read_current
+from lexweave.sinks.tables import read_current, read_phase_log
 from lexweave.streaming import events as ev
 from lexweave.streaming import feed
 
@@ -93,8 +93,26 @@ def test_stream_equals_batch_and_restart_adds_nothing(spark, tables, scratch):
     for _ in range(2):
         finish(feed.stream_phases(ev.read_events(spark, landing), out, mark))
     expected = ev.phase_log(ev.normalise(ev.subscribed(whole)))
-    got = spark.read.parquet(out).select(*expected.columns)
-    assert rows(got) == rows(expected)
+    assert rows(spark.read.parquet(out).select(*expected.columns)) == rows(expected)
+
+
+def test_repeats_and_very_late_changes(spark, scratch):
+    """A repeat in a later batch is merged when read; a change years late is kept."""
+    landing, out, mark = scratch("landing"), scratch("out"), scratch("mark")
+    late = {**PHASE, "Timestamp": 1000, "Other": {"PhaseName": "Old"}}
+    for name, payloads in (("b0", [PHASE]), ("b1", [PHASE, FORM]), ("b2", [late])):
+        land(landing, name, *payloads)
+        finish(feed.stream_phases(ev.read_events(spark, landing, max_files=1), out, mark))
+    log = read_phase_log(spark, out).select("event_ts", "phase")
+    assert rows(log) == [(1000, "Old"), (PHASE["Timestamp"], "Demand")]
+
+
+def test_bounded_lateness_drops_repeats_in_the_stream(spark, scratch):
+    landing, out, mark = scratch("landing"), scratch("out"), scratch("mark")
+    for name in ("b0", "b1"):
+        land(landing, name, PHASE)
+        finish(feed.stream_phases(ev.read_events(spark, landing), out, mark, "1 day"))
+    assert spark.read.parquet(out).count() == 1
 
 
 def collection(spark, source):
@@ -123,7 +141,7 @@ def test_feed_in_any_order(spark, scratch, newest_first):
     for number, payloads in enumerate(reversed(batches) if newest_first else batches):
         land(landing, f"b{number}", *payloads)
         finish(runner.start(ev.read_events(spark, landing), mark))
-    phases = spark.read.parquet(f"{root}/phases").select("project_id", "phase")
+    phases = read_phase_log(spark, f"{root}/phases").select("project_id", "phase")
     assert rows(phases) == [(10, "Demand"), (10, "Trial")]
     items = read_current(spark, f"{root}/collections/current").select("project_id", "id", "v")
     assert rows(items) == [(13, 1, "a"), (13, 2, "b"), (14, 1, "c")]

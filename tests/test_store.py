@@ -67,6 +67,46 @@ def test_new_columns_appear_on_upsert(spark, scratch):
     assert rows(out) == [(1, "a", None), (2, "c", "e")]
 
 
+def test_a_column_only_some_files_have_survives(spark, scratch):
+    path = scratch()
+    sinks.upsert(frame(spark, (1, 1, 1, "a"), (1, 2, 1, "b")), path, KEY, ["ts"], ["org"], 4)
+    wide = frame(spark, (1, 1, 2, "c"), (2, 1, 1, "d")).withColumn("extra", F.lit("e"))
+    sinks.upsert(wide, path, KEY, ["ts"], ["org"], 4)
+    sinks.upsert(frame(spark, (1, 2, 2, "x"), (2, 9, 1, "y")), path, KEY, ["ts"], ["org"], 4)
+    out = sinks.read_current(spark, path).select("org", "id", "v", "extra")
+    assert rows(out) == [(1, 1, "c", "e"), (1, 2, "x", None), (2, 1, "d", "e"), (2, 9, "y", None)]
+
+
+def test_upsert_with_a_declared_schema(spark, scratch):
+    path = scratch()
+    first = frame(spark, (1, 1, 1, "a"), (2, 1, 1, "b"))
+    for df in (first, frame(spark, (1, 1, 2, "x"))):
+        sinks.upsert(df, path, KEY, ["ts"], ["org"], 4, schema=first.schema)
+    assert state(spark, path) == [(1, 1, 2, "x"), (2, 1, 1, "b")]
+
+
+def test_only_touched_partitions_are_scanned(spark, scratch):
+    path = scratch()
+    many = frame(spark, *[(o, i, 1, "a") for o in range(5) for i in range(5)])
+    sinks.upsert(many, path, KEY, ["ts"], ["org"], 2)
+    stored = spark.read.parquet(path)
+    asked = sinks._bucketed(frame(spark, (3, 1, 2, "x")), KEY, 2)
+    plan = sinks._touched(stored, asked, ["org", sinks.BUCKET])._jdf.queryExecution().toString()
+    assert "PartitionFilters: [isnotnull(org" in plan and "(org#" in plan
+
+
+def test_bucketed_tables_join_without_a_shuffle(spark, scratch):
+    for name in ("left_cases", "right_cases"):
+        sinks.warehouse_write(spark.range(100).withColumnRenamed("id", "k"), name, scratch(), "k", ["k"], 4)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = spark.table("left_cases").join(spark.table("right_cases"), "k")
+        assert "Exchange" not in joined._jdf.queryExecution().executedPlan().toString()
+        assert joined.count() == 100
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_section_replace_empties_groups_and_partitions(spark, scratch):
     path = scratch()
     items = spark.createDataFrame([(1, 10, "a"), (1, 10, "b"), (1, 11, "c"), (2, 20, "d")],
