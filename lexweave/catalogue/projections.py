@@ -234,6 +234,17 @@ query("p11_tenant_columns", """
                                         data("Case_ID", "projectId")), F.col("projectTypeId")))
 
 
+@query("p11_tenant_map", """
+    SELECT n_nationkey AS Client_Org_ID, s_suppkey AS Supplier FROM supplier
+    JOIN nation ON s_nationkey = n_nationkey""")
+def tenant_map(t: Tables) -> DataFrame:
+    """Several tenants in one frame: the tenant comes from a map of organisations."""
+    orgs = t["nation"].select(F.col("n_nationkey").alias("s_nationkey"), F.col("n_nationkey").alias("org"))
+    records_with_org = t["supplier"].join(orgs, "s_nationkey")
+    return build(records_with_org, table(TargetField("Client_Org_ID", "int", kind="org"),
+                                         data("Supplier", "s_suppkey")), F.col("org"))
+
+
 @query("p12_target_order", """
     SELECT phaseName AS a, projectId AS b, isArchived AS c, 'a,b,c' AS column_order
     FROM {project}""")

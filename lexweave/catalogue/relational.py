@@ -123,6 +123,22 @@ query("w1_surrogate_key", """
     lambda t: numbering.number_in_order(
         t["project"].select("phaseName").distinct(), "phaseName", "phase_key"))
 
+
+
+@query("w1_hashed_key", """
+    SELECT count(DISTINCT c_name) AS n_values, count(DISTINCT c_name) AS n_keys,
+      CAST(0 AS BIGINT) AS n_collisions FROM customer""")
+def hashed_key(t: Tables) -> DataFrame:
+    """The key without numbering, for large dimensions: distinct, and checked."""
+    keyed = numbering.hashed_key(t["customer"].select("c_name"), "c_name", "name_key")
+    pairs = keyed.distinct()
+    clashes = numbering.key_collisions(pairs, "c_name", "name_key")
+    return pairs.agg(
+        F.count("c_name").alias("n_values"), F.count_distinct("name_key").alias("n_keys"),
+        clashes.agg(F.count(F.lit(1))).scalar().alias("n_collisions"),
+    )
+
+
 LATEST_SQL = """
     SELECT user_id, event_id, event_type, value FROM (
       SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn

@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 
 from lexweave.config.model import ConfigError
 from lexweave.config.standard_model import ORG_COLUMNS
+from lexweave.config.whitelists import LEAD_ENTITIES
 
 
 @dataclass(frozen=True)
@@ -212,44 +213,44 @@ _APP = [
         3, ("INT",)),
 ]
 
-# Text columns of CRM_Opportunities, between the typed ones.
-_OPPORTUNITY = (
-    "Id INT, FirstName VARCHAR(255), MiddleName VARCHAR(255), LastName VARCHAR(255), "
-    "Address1 VARCHAR(255), Address2 VARCHAR(255), City VARCHAR(255), State VARCHAR(255), "
-    "Zip VARCHAR(255), HomePhone VARCHAR(255), WorkPhone VARCHAR(255), MobilePhone VARCHAR(255), "
-    "Email VARCHAR(255), Gender VARCHAR(255), Language VARCHAR(255), Birthdate TIMESTAMP, "
-    "PreferredContactMethod VARCHAR(255), LeadStatus VARCHAR(255), SubStatus VARCHAR(255), "
-    "Office VARCHAR(255), MarketingSource VARCHAR(255), MarketingSourceDetails VARCHAR(255), "
-    "ContactSource VARCHAR(255), Summary VARCHAR(255), InjuryInformation VARCHAR(255), "
-    "IncidentDate TIMESTAMP, CreatedDate TIMESTAMP, LeadId INT, Note VARCHAR(255), "
-    "ReferredBy VARCHAR(255), SeverityLevel VARCHAR(255), County VARCHAR(255), "
-    "AppointmentLocation VARCHAR(255), AppointmentScheduledDate TIMESTAMP, Code VARCHAR(255), "
-    "ReferringUrl VARCHAR(255), CurrentUrl VARCHAR(255), UTM VARCHAR(255), "
-    "ClientId VARCHAR(255), ClickId VARCHAR(255), Keywords VARCHAR(255), Campaign VARCHAR(255), "
-    "Processed BOOLEAN, ProcessedDate TIMESTAMP, ProcessedByName VARCHAR(255), "
-    "OpportunityTypeId INT, DisregardReason VARCHAR(255), IsBeingEdited BOOLEAN, "
-    "CustomFields VARCHAR(255), AssignedTo VARCHAR(255), ProcessedBy VARCHAR(255)"
-)
+# Lead entity -> its table, and the columns that are not text.
+CRM_TABLES = {
+    "casetype": "CRM_CaseType",
+    "leadsource": "CRM_LeadSource",
+    "opportunities": "CRM_Opportunities",
+    "referrals": "CRM_Referrals",
+    "statuses": "CRM_Status",
+    "users": "CRM_Users",
+}
+CRM_RENAMES = {"users": {"Id": "UserID", "Roles": "CRM_Roles", "Permissions": "CRM_Permissions"}}
+_CRM_TYPES = {
+    "casetype": {"IsMassTort": "BOOLEAN"},
+    "opportunities": {
+        "Birthdate": "TIMESTAMP",
+        "IncidentDate": "TIMESTAMP",
+        "CreatedDate": "TIMESTAMP",
+        "LeadId": "INT",
+        "AppointmentScheduledDate": "TIMESTAMP",
+        "Processed": "BOOLEAN",
+        "ProcessedDate": "TIMESTAMP",
+        "OpportunityTypeId": "INT",
+        "IsBeingEdited": "BOOLEAN",
+    },
+    "referrals": {"Outgoing": "BOOLEAN"},
+}
 
-# Lead-management tables.
-_CRM = [
-    WarehouseTable(
-        "CRM_CaseType",
-        "Id INT, TypeName VARCHAR(255), TypeNameShort VARCHAR(255), Code VARCHAR(255), "
-        "IsMassTort BOOLEAN, CustomQuestionOrder VARCHAR(255)"),
-    WarehouseTable("CRM_LeadSource", "Id INT, SourceName VARCHAR(255)"),
-    WarehouseTable("CRM_Opportunities", _OPPORTUNITY),
-    WarehouseTable(
-        "CRM_Referrals",
-        "Id INT, Name VARCHAR(255), Type VARCHAR(255), Code VARCHAR(255), Outgoing BOOLEAN"),
-    WarehouseTable(
-        "CRM_Status",
-        "Id INT, Status VARCHAR(255), StatusName VARCHAR(255), Substatuses VARCHAR(255)"),
-    WarehouseTable(
-        "CRM_Users",
-        "UserID INT, FirstName VARCHAR(255), LastName VARCHAR(255), Email VARCHAR(255), "
-        "Code VARCHAR(255), CRM_Roles VARCHAR(255), CRM_Permissions VARCHAR(255)"),
-]
+
+def _crm(entity: str) -> WarehouseTable:
+    """A lead entity's table: its whitelisted fields, as text where nothing else is said."""
+    types = {"Id": "INT", **_CRM_TYPES.get(entity, {})}
+    renames = CRM_RENAMES.get(entity, {})
+    columns = [
+        f"{renames.get(f, f)} {types.get(f, 'VARCHAR(255)')}" for f in LEAD_ENTITIES[entity].split()
+    ]
+    return WarehouseTable(CRM_TABLES[entity], ", ".join(columns))
+
+
+_CRM = [_crm(entity) for entity in CRM_TABLES]
 
 _CLUSTERING = WarehouseTable(
     "case_value_clustering",

@@ -6,19 +6,23 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+PER_BIN = 16  # sample keys per range
+
 
 def number_in_order(df: DataFrame, key: str, out: str, bins: int = 64) -> DataFrame:
     """0-based position of each row by ``key``, which must be unique and not null.
 
-    Keys are cut into ``bins`` consecutive ranges at sample keys; each range is
-    numbered on its own and shifted by the rows of the ranges before it. The
-    sample only balances the ranges: the numbers are exact whatever it holds.
+    Keys are cut into ``bins`` consecutive ranges at quantiles of a sample; each
+    range is numbered on its own and shifted by the rows of the ranges before it.
+    The sample only balances the ranges: the numbers are exact whatever it holds.
     """
-    sample = df.select(key).orderBy(F.xxhash64(key), key).limit(bins - 1)
-    cuts = sample.agg(F.sort_array(F.collect_list(key)).alias("cuts")).scalar()
+    sample = df.select(key).orderBy(F.xxhash64(key), key).limit(bins * PER_BIN)
+    in_order = F.sort_array(F.collect_list(key))
+    every = F.filter(in_order, lambda _, i: i % PER_BIN == PER_BIN - 1)
+    cuts = sample.agg(every.alias("cuts")).scalar()
     below = F.coalesce(F.size(F.filter("_cuts", lambda cut: cut <= F.col(key))), F.lit(0))
     binned = df.withColumn("_cuts", cuts).withColumn("_bin", below).drop("_cuts")
-    # At most ``bins`` rows from here on: the running total and the broadcast are small.
+    # At most ``bins`` + 1 rows from here on: the running total and the broadcast are small.
     sizes = binned.groupBy("_bin").agg(F.count(F.lit(1)).alias("_rows"))
     before = W.orderBy("_bin").rowsBetween(W.unboundedPreceding, -1)
     offsets = sizes.select(

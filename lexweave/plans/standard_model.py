@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from lexweave.config.model import Mapping
 from lexweave.config.standard_model import ORG_COLUMNS, standard_mapping
-from lexweave.config.warehouse import warehouse_table
+from lexweave.config.warehouse import CRM_RENAMES, CRM_TABLES, warehouse_table
 from lexweave.functions.text import tokens
 from lexweave.functions.types import quoted
 from lexweave.operators.checks import conform
@@ -118,22 +118,9 @@ class StandardModel:
         return conform(linked, warehouse_table("CMS_PhaseChanges"))
 
 
-# Lead entity -> warehouse table, and the renamed columns.
-CRM_TABLES = {
-    "casetype": "CRM_CaseType",
-    "leadsource": "CRM_LeadSource",
-    "opportunities": "CRM_Opportunities",
-    "referrals": "CRM_Referrals",
-    "statuses": "CRM_Status",
-    "users": "CRM_Users",
-}
-USER_RENAMES = {"Id": "UserID", "Roles": "CRM_Roles", "Permissions": "CRM_Permissions"}
-
-
 def crm_table(entity: str, flat: DataFrame, platform_org: int, client_org: str) -> DataFrame:
     """A lead entity as its warehouse table: tenant columns and same-named fields."""
     tenant = flat.withColumns(
         {ORG_COLUMNS[0]: F.lit(platform_org), ORG_COLUMNS[1]: F.lit(client_org)}
     )
-    renames = USER_RENAMES if entity == "users" else {}
-    return conform(tenant, warehouse_table(CRM_TABLES[entity]), renames)
+    return conform(tenant, warehouse_table(CRM_TABLES[entity]), CRM_RENAMES.get(entity))

@@ -18,7 +18,7 @@ from lexweave.config.warehouse import WarehouseTable
 from lexweave.functions.types import quoted
 from lexweave.operators.checks import conform
 from lexweave.operators.latest import latest_per_key, replace_groups
-from lexweave.sources.files import read_if_present
+from lexweave.sources.files import read_if_present, read_merged
 
 BUCKET = "key_bucket"
 PRUNE_LIMIT = 5_000
@@ -159,11 +159,13 @@ def replace_sections(
     return None
 
 
-def read_current(spark: SparkSession, path: str) -> DataFrame:
+def read_current(
+    spark: SparkSession, path: str, schema: T.StructType | None = None
+) -> DataFrame:
     """The current state an ``upsert`` or ``replace_sections`` store holds."""
-    df = spark.read.option("mergeSchema", "true").parquet(path)
+    df = read_merged(spark, path, schema=_stored(schema, GONE))
     if "_gone" in df.columns:
-        df = df.where(~F.col("_gone"))
+        df = df.where(~F.coalesce("_gone", F.lit(False)))
     return df.drop(BUCKET, "_gone")
 
 
@@ -177,7 +179,7 @@ def rebuild(
     buckets: int = 64,
 ) -> None:
     """Make the current state again from the whole log."""
-    log = _bucketed(spark.read.option("mergeSchema", "true").parquet(log_path), keys, buckets)
+    log = _bucketed(read_merged(spark, log_path), keys, buckets)
     last = latest_per_key(log, [*keys, BUCKET], order).drop("batch_id")
     _write_partitions(last, path, [*partition_by, BUCKET])
 

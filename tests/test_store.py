@@ -83,6 +83,8 @@ def test_upsert_with_a_declared_schema(spark, scratch):
     for df in (first, frame(spark, (1, 1, 2, "x"))):
         sinks.upsert(df, path, KEY, ["ts"], ["org"], 4, schema=first.schema)
     assert state(spark, path) == [(1, 1, 2, "x"), (2, 1, 1, "b")]
+    declared = sinks.read_current(spark, path, first.schema)
+    assert rows(declared.select("org", "id", "ts", "v")) == state(spark, path)
 
 
 def test_only_touched_partitions_are_scanned(spark, scratch):
