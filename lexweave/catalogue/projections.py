@@ -239,7 +239,8 @@ query("p11_tenant_columns", """
     JOIN nation ON s_nationkey = n_nationkey""")
 def tenant_map(t: Tables) -> DataFrame:
     """Several tenants in one frame: the tenant comes from a map of organisations."""
-    orgs = t["nation"].select(F.col("n_nationkey").alias("s_nationkey"), F.col("n_nationkey").alias("org"))
+    key = F.col("n_nationkey")
+    orgs = t["nation"].select(key.alias("s_nationkey"), key.alias("org"))
     records_with_org = t["supplier"].join(orgs, "s_nationkey")
     return build(records_with_org, table(TargetField("Client_Org_ID", "int", kind="org"),
                                          data("Supplier", "s_suppkey")), F.col("org"))
@@ -293,14 +294,16 @@ query("p18_skip_empty_section", """
         "projectId",
         F.when(F.col("projectId") % 2 == 0, F.struct("dateofintake")).alias("section"))))
 
-query("p19_non_null_ids", "SELECT projectId, cocounsel FROM {casesummary} WHERE cocounsel IS NOT NULL")(
+query("p19_non_null_ids", """
+    SELECT projectId, cocounsel FROM {casesummary} WHERE cocounsel IS NOT NULL""")(
     lambda t: t["casesummary"].select("projectId", "cocounsel").dropna(subset=["cocounsel"]))
 
 query("p20_drop_column", "SELECT projectId, dateofintake FROM {intake}")(
     lambda t: t["intake"].select("projectId", "dateofintake", "referralfee").drop("REFERRALFEE"))
 
 
-@query("p21_duplicate_target", "SELECT projectId AS Case_ID, referralfee AS Referral_Fee FROM {intake}")
+@query("p21_duplicate_target", """
+    SELECT projectId AS Case_ID, referralfee AS Referral_Fee FROM {intake}""")
 def duplicate_target(t: Tables) -> DataFrame:
     fee = data("Referral_Fee", "referralfee")
     return build(t["intake"], table(data("Case_ID", "projectId"), fee, fee), ORG)

@@ -80,17 +80,22 @@ query("c5_orphans", """
       SELECT o_orderkey FROM orders WHERE o_orderstatus <> 'P') GROUP BY l_orderkey""")(
     lambda t: checks.orphans(t["lineitem"], ORDER_KEY, t["orders"].where("o_orderstatus <> 'P'")))
 
-query("j6_composite_orphans", """
-    SELECT l_orderkey, l_suppkey, count(*) AS n_rows FROM lineitem
-    WHERE NOT EXISTS (SELECT 1 FROM orders JOIN supplier ON o_custkey % 10 = s_suppkey % 10
-      WHERE o_orderkey = l_orderkey AND s_suppkey = l_suppkey)
-    GROUP BY l_orderkey, l_suppkey""")
+@query("j6_composite_orphans", """
+    SELECT Parent_Case_ID, Case_ID, count(*) AS n_rows FROM (
+      SELECT l_orderkey AS Parent_Case_ID,
+        CASE WHEN l_linenumber = 7 THEN l_orderkey + 1 ELSE l_orderkey END AS Case_ID FROM lineitem)
+    WHERE NOT EXISTS (SELECT 1 FROM orders
+      WHERE o_orderkey = Parent_Case_ID AND o_orderkey = Case_ID)
+    GROUP BY Parent_Case_ID, Case_ID""")
 def composite_orphans(t: Tables) -> DataFrame:
-    pairs = t["orders"].join(
-        t["supplier"], F.col("o_custkey") % 10 == F.col("s_suppkey") % 10
-    ).select("o_orderkey", "s_suppkey")
-    key = ForeignKey(("l_orderkey", "l_suppkey"), "pairs", ("o_orderkey", "s_suppkey"))
-    return checks.orphans(t["lineitem"], key, pairs)
+    """Figures of a case that its parent does not have, by the declared two-column key."""
+    case = F.when(F.col("l_linenumber") == 7, F.col("l_orderkey") + 1)
+    child = t["lineitem"].select(
+        F.col("l_orderkey").alias("Parent_Case_ID"),
+        F.coalesce(case, F.col("l_orderkey")).alias("Case_ID"),
+    )
+    key = warehouse_table("CMS_CaseFigures").references[0]
+    return checks.orphans(child, key, model().case_details(t["casesummary"]))
 
 
 @query("check_table_report", """

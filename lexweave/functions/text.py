@@ -29,3 +29,8 @@ def uri_parts(uri: Column) -> tuple[Column, Column]:
 
 def event_time(millis: Column) -> Column:
     return F.timestamp_millis(millis)
+
+
+def utc_day(millis: Column) -> Column:
+    """The event's day in UTC, in any session zone."""
+    return F.date_from_unix_date(F.floor(millis / 86_400_000).cast("int"))

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lexweave.config.warehouse import ForeignKey, WarehouseTable
+from lexweave.config.warehouse import ForeignKey, WarehouseTable, warehouse_table
 from lexweave.functions.types import quoted
 
 
@@ -140,6 +140,14 @@ def check_table(
     return report
 
 
+def check_warehouse(frames: dict[str, DataFrame]) -> DataFrame:
+    """Every declared constraint of the given tables, references among them included."""
+    first, *rest = [check_table(df, warehouse_table(name), frames) for name, df in frames.items()]
+    for report in rest:
+        first = first.unionByName(report)
+    return first
+
+
 def column_drift(
     built: T.StructType, table: WarehouseTable, renames: dict[str, str] | None = None
 ) -> list[tuple[str, str, str]]:

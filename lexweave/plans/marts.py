@@ -22,7 +22,8 @@ def posts_by_date(posts: DataFrame) -> DataFrame:
 def posts_by_hashtag(posts: DataFrame) -> DataFrame:
     """Posts per hashtag and day; a tag repeated in one caption counts once."""
     tags = F.array_distinct(F.regexp_extract_all("Caption", F.lit(r"#(\w+)"), F.lit(1)))
-    tagged = posts.select(F.explode(tags).alias("Hashtag"), F.to_date("PostDate").alias("Hashtag_Date"))
+    day = F.to_date("PostDate").alias("Hashtag_Date")
+    tagged = posts.select(F.explode(tags).alias("Hashtag"), day)
     return tagged.groupBy("Hashtag", "Hashtag_Date").agg(F.count(F.lit(1)).alias("Posts"))
 
 
@@ -87,9 +88,9 @@ def case_value_clusters(
     Fits weigh each distinct value by its cases. Labels follow the centres in
     ascending order, so they do not depend on how a fit numbers its clusters.
     """
-    values = (
-        cases.where(F.col(value).isNotNull()).groupBy(F.col(value).cast("double").alias("final_value"))
-        .agg(F.count(F.lit(1)).cast("double").alias("weight"))
+    known = cases.where(F.col(value).isNotNull())
+    values = known.groupBy(F.col(value).cast("double").alias("final_value")).agg(
+        F.count(F.lit(1)).cast("double").alias("weight")
     )
     points = VectorAssembler(inputCols=["final_value"], outputCol="features").transform(values)
     points.persist()  # every fit reads the values again

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from lexweave.config.model import Mapping
 from lexweave.config.standard_model import ORG_COLUMNS, standard_mapping
 from lexweave.config.warehouse import CRM_RENAMES, CRM_TABLES, warehouse_table
-from lexweave.functions.text import tokens
+from lexweave.functions.text import tokens, utc_day
 from lexweave.functions.types import quoted
 from lexweave.operators.checks import conform
 from lexweave.operators.numbering import number_in_order
@@ -113,7 +113,7 @@ class StandardModel:
             F.col("project_id").alias("Parent_Case_ID"),
             F.col("project_id").alias("Case_ID"),
             F.col("phase_id").alias("Phase_ID"),
-            F.to_date(F.timestamp_millis("event_ts")).alias("Phase_Change_Date"),
+            utc_day(F.col("event_ts")).alias("Phase_Change_Date"),
         )
         return conform(linked, warehouse_table("CMS_PhaseChanges"))
 

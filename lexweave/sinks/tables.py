@@ -1,9 +1,8 @@
 """Writers for the raw store, the standard model and the warehouse.
 
-The raw store keeps two things per entity: ``{root}/log``, every refresh as it
-came, and ``{root}/current``, the latest state partitioned by tenant, project
-type and key bucket. The log is complete, so any partition of the current state
-can be made again from it.
+A feed's store keeps per entity ``log``, every load as it came, and ``current``,
+the latest state partitioned by tenant, project type and key bucket. The log is
+complete, so ``rebuild`` and ``rebuild_sections`` can make the state again.
 """
 
 from __future__ import annotations
@@ -18,6 +17,7 @@ from lexweave.config.warehouse import WarehouseTable
 from lexweave.functions.types import quoted
 from lexweave.operators.checks import conform
 from lexweave.operators.latest import latest_per_key, replace_groups
+from lexweave.operators.skew import spread_join
 from lexweave.sources.files import read_if_present, read_merged
 
 BUCKET = "key_bucket"
@@ -184,6 +184,28 @@ def rebuild(
     _write_partitions(last, path, [*partition_by, BUCKET])
 
 
+def rebuild_sections(
+    spark: SparkSession,
+    log_path: str,
+    refreshed_path: str,
+    path: str,
+    group: Sequence[str],
+    partition_by: Sequence[str],
+    buckets: int = 64,
+) -> None:
+    """Make a section store again: each group's rows are those of its last refresh."""
+    keys = [*partition_by, *group]
+    last = read_merged(spark, refreshed_path).groupBy(*keys).agg(
+        F.max("batch_id").alias("batch_id")
+    )
+    rows = spread_join(read_merged(spark, log_path), last, [*keys, "batch_id"], "inner")
+    rows = _bucketed(rows.drop("batch_id"), group, buckets).withColumn("_gone", F.lit(False))
+    marks = _bucketed(last.drop("batch_id"), group, buckets)
+    columns = [*partition_by, BUCKET]
+    marks = marks.select(*columns).distinct().withColumn("_gone", F.lit(True))
+    _write_partitions(rows.unionByName(marks, allowMissingColumns=True), path, columns)
+
+
 def warehouse_write(
     df: DataFrame,
     name: str,

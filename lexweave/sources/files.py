@@ -75,14 +75,11 @@ def union_as(frames: Sequence[DataFrame], schema: dict[str, str]) -> DataFrame:
     aligned = []
     for frame in frames:
         present = {c.lower() for c in frame.columns}
-        aligned.append(
-            frame.select(
-                *[
-                    (quoted(n).try_cast(t) if n.lower() in present else F.lit(None).cast(t)).alias(n)
-                    for n, t in schema.items()
-                ]
-            )
-        )
+        columns = {
+            n: quoted(n).try_cast(t) if n.lower() in present else F.lit(None).cast(t)
+            for n, t in schema.items()
+        }
+        aligned.append(frame.select(*[c.alias(n) for n, c in columns.items()]))
     return union_all(aligned)
 
 

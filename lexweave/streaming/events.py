@@ -74,7 +74,8 @@ def normalise(events: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:
         F.col("Event").alias("event_name"),
         F.col("Timestamp").alias("event_timestamp"),
         F.col("Object").alias("entity"),
-        F.when(is_core, F.col("ObjectId.ProjectId")).otherwise(F.col("ProjectId")).alias("project_id"),
+        F.when(is_core, F.col("ObjectId.ProjectId")).otherwise(F.col("ProjectId"))
+        .alias("project_id"),
         F.when(is_core, "core").when(~is_phase, F.col("ObjectId.SectionSelector")).alias("section"),
         F.lit(None).cast("bigint").alias("user_id"),
         F.col("ObjectId.ItemId").alias("item_id"),

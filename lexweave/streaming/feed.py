@@ -21,6 +21,7 @@ from lexweave.streaming.events import normalise, phase_log, route_leads, routed,
 Loader = Callable[[SparkSession], DataFrame]
 
 PARTITIONS = ["org_id", "project_type_id"]
+ALL_NOW = {"availableNow": True}
 
 
 @dataclass
@@ -30,7 +31,8 @@ class CaseFeed:
     ``loaders`` give the landed, flattened records of a route (``project``,
     ``form`` or ``collections``) with ``org_id``, ``project_type_id``,
     ``project_id`` and ``section``; collections also have ``id``. ``schemas``
-    may declare a route's stored columns, ``event_timestamp`` included.
+    may declare a route's stored columns, ``event_timestamp`` and ``load_id``
+    included. ``log`` and ``refreshed`` keep every load, to rebuild ``current``.
     """
 
     root: str
@@ -39,7 +41,8 @@ class CaseFeed:
     buckets: int = 64
 
     def apply(self, batch: DataFrame, batch_id: int) -> None:
-        events = routed(normalise(subscribed(batch))).persist()
+        # Several writes read the batch; the event's whole text is not kept for them.
+        events = routed(normalise(subscribed(batch))).drop("webhook_body").persist()
         try:
             phases = phase_log(events)
             append_batch(phases, f"{self.root}/phases", batch_id)
@@ -53,7 +56,11 @@ class CaseFeed:
         named = events.where(F.col("route") == name)
         keys = ["org_id", "project_id", "section"]
         asked = named.groupBy(*keys).agg(F.max("event_timestamp").alias("event_timestamp"))
-        fresh = spread_join(records, asked, keys, "inner")
+        # A refresh reads the record as it is now: the later load is the newer
+        # state, also when a late event asked for it.
+        fresh = spread_join(records, asked, keys, "inner").withColumn(
+            "load_id", F.lit(batch_id).cast("bigint")
+        )
         # Written first and read back: the merge below then reads the batch's
         # rows as files instead of running the join again.
         log = f"{self.root}/{name}/log"
@@ -63,6 +70,7 @@ class CaseFeed:
         current = f"{self.root}/{name}/current"
         if name == "collections":
             refreshed = named.select(*PARTITIONS, "project_id", "section").distinct()
+            append_batch(refreshed, f"{self.root}/{name}/refreshed", batch_id)
             replace_sections(
                 landed, current, ["project_id", "section"], refreshed, PARTITIONS, self.buckets,
                 self.schemas.get(name),
@@ -70,13 +78,13 @@ class CaseFeed:
         else:
             record = [*PARTITIONS, "project_id", "section"]
             upsert(
-                landed, current, record, ["event_timestamp"], PARTITIONS, self.buckets,
+                landed, current, record, ["load_id"], PARTITIONS, self.buckets,
                 self.schemas.get(name),
             )
 
     def start(self, events: DataFrame, checkpoint: str, **trigger: object) -> StreamingQuery:
         writer = events.writeStream.option("checkpointLocation", checkpoint)
-        return writer.foreachBatch(self.apply).trigger(**(trigger or {"availableNow": True})).start()
+        return writer.foreachBatch(self.apply).trigger(**(trigger or ALL_NOW)).start()
 
 
 @dataclass
@@ -99,7 +107,7 @@ class LeadFeed:
 
     def start(self, events: DataFrame, checkpoint: str, **trigger: object) -> StreamingQuery:
         writer = events.writeStream.option("checkpointLocation", checkpoint)
-        return writer.foreachBatch(self.apply).trigger(**(trigger or {"availableNow": True})).start()
+        return writer.foreachBatch(self.apply).trigger(**(trigger or ALL_NOW)).start()
 
 
 def stream_phases(
@@ -108,7 +116,7 @@ def stream_phases(
     """Append phase changes as they come; read them with ``read_phase_log``."""
     log = phase_log(normalise(subscribed(events)), lateness)
     writer = log.writeStream.option("checkpointLocation", checkpoint).outputMode("append")
-    return writer.format("parquet").trigger(**(trigger or {"availableNow": True})).start(path)
+    return writer.format("parquet").trigger(**(trigger or ALL_NOW)).start(path)
 
 
 def stream_current_phase(
@@ -128,4 +136,4 @@ def stream_current_phase(
         upsert(batch, path, ["project_id"], ["since_ts", "current_phase"], [])
 
     writer = state.writeStream.option("checkpointLocation", checkpoint).outputMode("update")
-    return writer.foreachBatch(apply).trigger(**(trigger or {"availableNow": True})).start()
+    return writer.foreachBatch(apply).trigger(**(trigger or ALL_NOW)).start()

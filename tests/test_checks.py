@@ -71,6 +71,32 @@ def test_conform_and_report(spark, tables):
     assert {r.violations for r in report.collect()} == {0}
 
 
+def test_whole_warehouse_report(spark):
+    frames = {
+        "CMS_Teams": spark.sql("SELECT 1 Platform_Org_ID, 1 Client_Org_ID, 1 Team_ID, 'a' Team_Name"),
+        "CMS_People": spark.sql(
+            "SELECT 1 Platform_Org_ID, '1' Client_Org_ID, id People_ID, id % 3 Team_ID FROM range(1, 7)"
+        ),
+        "CMS_PeopleType": spark.sql(
+            "SELECT 1 Platform_Org_ID, '1' Client_Org_ID, 4 People_Type_ID, 'x' People_Type"
+        ),
+        "CMS_PeoplePeopleTypes": spark.sql(
+            "SELECT 1 Platform_Org_ID, '1' Client_Org_ID, a People_ID, b People_Type_ID "
+            "FROM VALUES (1, 4), (1, 4), (9, 4), (2, 5) t(a, b)"
+        ),
+    }
+    bad = {
+        (r.table_name, r.check, r.column_name): r.violations
+        for r in checks.check_warehouse(frames).collect() if r.violations
+    }
+    assert bad == {
+        ("CMS_People", "foreign_key", "Team_ID"): 4,
+        ("CMS_PeoplePeopleTypes", "primary_key", "People_ID,People_Type_ID"): 2,
+        ("CMS_PeoplePeopleTypes", "foreign_key", "People_ID"): 1,
+        ("CMS_PeoplePeopleTypes", "foreign_key", "People_Type_ID"): 1,
+    }
+
+
 def test_drift(spark, tables):
     built = StandardModel(standard_mapping(1)).cases(tables["project"]).schema
     drift = checks.column_drift(built, warehouse_table("CMS_Cases"))

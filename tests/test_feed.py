@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows
-from lexweave.sinks.tables import read_current, read_phase_log
+from lexweave.sinks.tables import read_current, read_phase_log, rebuild_sections
 from lexweave.streaming import events as ev
 from lexweave.streaming import feed
 
@@ -166,6 +166,13 @@ def test_feed_drops_items_gone_from_the_source(spark, scratch):
     # The last item goes as well: the project's section is empty now.
     assert step("b2", both[2:], gone) == [(14, 1)]
 
+    store, again = f"{root}/collections", scratch("again")
+    rebuild_sections(
+        spark, f"{store}/log", f"{store}/refreshed", again, ["project_id", "section"],
+        feed.PARTITIONS, 4,
+    )
+    assert rows(read_current(spark, again).select("project_id", "id")) == [(14, 1)]
+
 
 def test_feed_refreshes_forms_by_key(spark, scratch):
     root, mark, landing, landed = (scratch(n) for n in ("root", "mark", "landing", "landed"))
@@ -184,6 +191,12 @@ def test_feed_refreshes_forms_by_key(spark, scratch):
     finish(runner.start(ev.read_events(spark, landing), mark))
     out = read_current(spark, f"{root}/form/current").select("project_id", "fee")
     assert rows(out) == [(11, "2"), (12, "1")]
+    # A late event loads the record as it is now, which is newer all the same.
+    land(landed, "f", form(11, "3"), form(12, "3"))
+    land(landing, "b2", {**FORM, "Timestamp": 5})
+    finish(runner.start(ev.read_events(spark, landing), mark))
+    out = read_current(spark, f"{root}/form/current").select("project_id", "fee")
+    assert rows(out) == [(11, "3"), (12, "1")]
 
 
 def test_lead_feed(spark, scratch):

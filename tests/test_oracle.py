@@ -3,6 +3,7 @@
 import datetime
 import decimal
 import math
+import re
 from pathlib import Path
 
 import duckdb
@@ -55,6 +56,15 @@ def test_every_oracle_has_a_query():
     assert set(contract.oracle_sql()) <= set(contract.queries())
 
 
+def test_every_declared_query_is_registered():
+    """A query without a function to decorate would silently be missing."""
+    source = "".join(p.read_text() for p in Path(contract.__file__).parent.glob("lexweave/catalogue/*.py"))
+    literal = set(re.findall(r'query\("(\w+)"', source))
+    assert literal <= set(contract.queries())
+    for number in range(1, 25):
+        assert any(q.startswith(f"s{number}_") for q in contract.queries()), number
+
+
 def test_entry(spark):
     df = contract.entry(spark)
     assert df.columns == ["People_ID", "People_Type_ID"]
