@@ -22,8 +22,8 @@ def tenant_of_url(url: Column) -> Column:
 
 
 def uri_parts(uri: Column) -> tuple[Column, Column]:
-    """Bucket and key of a storage address."""
-    pattern = r"^[a-z0-9]+://([^/]+)/(.*)$"
+    """Bucket and key of a storage address; scheme and key may be absent."""
+    pattern = r"^(?:[a-z0-9]+://)?([^/]*)/?(.*)$"
     return F.regexp_extract(uri, pattern, 1), F.regexp_extract(uri, pattern, 2)
 
 

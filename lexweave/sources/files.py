@@ -62,6 +62,36 @@ def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{root}/{name.lower()}")
 
 
+def read_raw(spark: SparkSession, root: str, org: str, project_type: int) -> dict[str, DataFrame]:
+    """The raw sets of one tenant and project type, as far as they are there.
+
+    ``root`` holds the case system's folders, one file per project and entity.
+    """
+    projects = f"{root}/{org}/{project_type}/*"
+    paths = {
+        "contact": f"{root}/{org}/contact",
+        "projecttype": f"{root}/{org}/projecttype",
+        "project": f"{projects}/project.parquet",
+        "intake": f"{projects}/form/intake.parquet",
+        "casesummary": f"{projects}/form/casesummary.parquet",
+        "meds": f"{projects}/collections/meds.parquet",
+    }
+    frames = {name: read_if_present(spark, path) for name, path in paths.items()}
+    return {name: frame for name, frame in frames.items() if frame is not None}
+
+
+def read_phase_files(spark: SparkSession, path: str, root: str = "cms") -> DataFrame:
+    """Phase changes kept as one file each; the keys come from the file's path."""
+    keys = case_path_keys(file_path(), root)
+    return spark.read.schema("project_id bigint, phase string").parquet(path).select(
+        keys["org_id"].cast("bigint").alias("org_id"),
+        keys["project_type_id"].alias("project_type_id"),
+        "project_id",
+        keys["event_ts"].alias("event_ts"),
+        "phase",
+    )
+
+
 def union_all(frames: Sequence[DataFrame]) -> DataFrame:
     """All rows of all frames, columns by name, absent ones null."""
     first, *rest = frames
