@@ -117,16 +117,17 @@ def offset_pages(t: Tables) -> DataFrame:
     return records.offset_pages(files.read_json(t.spark, path, pages.schema))
 
 
-@query("s5_status_pages", "SELECT Id, ContactId, StatusId FROM {leadrow} WHERE Id >= 1000")
+@query("s5_status_pages", "SELECT Id, ContactId, StatusId FROM {leadrow}")
 def status_pages(t: Tables) -> DataFrame:
     rows = t["leadrow"].select("Id", "ContactId", "StatusId")
     pages = pages_of(rows, F.floor(F.col("Id") / 1000), "Records")
-    # The first page came back empty, as for a status that does not exist.
-    there = F.col("page") > 0
-    return records.status_pages(pages.select(
-        F.when(there, F.col("Records")).alias("Records"),
-        F.when(there, F.lit(99)).alias("TotalPages"),
-    ))
+    # After each page one that came back as nothing, as for an unknown status.
+    found = pages.select("Records", F.lit(99).alias("TotalPages"))
+    missing = found.select(
+        F.when(F.lit(False), F.col("Records")).alias("Records"),
+        F.lit(None).cast("int").alias("TotalPages"),
+    )
+    return records.status_pages(files.union_all([found, missing]))
 
 
 def lookup_responses(t: Tables) -> DataFrame:

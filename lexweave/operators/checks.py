@@ -34,7 +34,14 @@ def conform(
             field.dataType.simpleString()
         )
         source = _column_name(df, field.name)
-        column = F.lit(None).cast(kind) if source is None else quoted(source).try_cast(kind)
+        if source is None:
+            out.append(F.lit(None).cast(kind).alias(field.name))
+            continue
+        column = quoted(source).try_cast(kind)
+        have = df.schema[source].dataType
+        if isinstance(field.dataType, T.DecimalType) and isinstance(have, T.NumericType):
+            # Failing casts are slow, so values known to fail are not tried.
+            column = F.when(~_out_of_range(quoted(source), have, field.dataType), column)
         out.append(column.alias(field.name))
     return df.select(*out)
 

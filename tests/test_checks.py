@@ -107,6 +107,14 @@ def test_drift(spark, tables):
     assert "Date_of_Incident" not in {d[0] for d in renamed}
 
 
+def test_conform_of_numbers_that_do_not_fit(spark):
+    df = spark.createDataFrame([(1, 999999.994), (2, 1e7), (3, float("nan")), (4, None)],
+                               "Case_ID int, Value double")
+    out = checks.conform(df, warehouse_table("CMS_CaseFigures"))
+    assert rows(out.select("Case_ID", "Value")) == [
+        (1, Decimal("999999.99")), (2, None), (3, None), (4, None)]
+
+
 def test_conform_decimal(spark):
     df = spark.createDataFrame([(1, "12.345"), (2, "1e9"), (3, "x")], "Case_ID int, Value string")
     out = checks.conform(df, warehouse_table("CMS_CaseFigures"))
