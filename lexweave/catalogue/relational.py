@@ -71,7 +71,8 @@ query("j5_phase_link", f"""
 
 
 @query("t11_phase_changes", f"""
-    SELECT 101 AS Platform_Org_ID, '101' AS Client_Org_ID, CAST(l.project_id AS INT) AS Parent_Case_ID,
+    SELECT 101 AS Platform_Org_ID, '101' AS Client_Org_ID,
+      CAST(l.project_id AS INT) AS Parent_Case_ID,
       CAST(l.project_id AS INT) AS Case_ID, d.phaseId AS Phase_ID,
       CAST(epoch_ms(l.event_ts) AS DATE) AS Phase_Change_Date, CAST(NULL AS VARCHAR) AS Custom1,
       CAST(NULL AS VARCHAR) AS Custom2, CAST(NULL AS VARCHAR) AS Custom3 {PHASE_LINK}""")

@@ -10,7 +10,7 @@ from lexweave.config.standard_model import standard_mapping
 from lexweave.fixtures import ORG, Tables
 from lexweave.operators import snapshots
 from lexweave.plans.standard_model import StandardModel
-from lexweave.sinks.tables import write_entity, write_table
+from lexweave.sinks.tables import write_entity, write_partitioned, write_table
 from lexweave.sources import files, records
 from lexweave.streaming.events import normalise, read_events
 
@@ -100,6 +100,18 @@ def path_keys(t: Tables) -> DataFrame:
     )
 
 
+@query("s3_partitioned_store", """
+    SELECT projectId, phaseName, 101 AS org_id, projectTypeId AS project_type_id FROM {project}
+    WHERE projectTypeId = 2""")
+def partitioned_store(t: Tables) -> DataFrame:
+    """Tenant and type as partition columns: the filter picks folders, not rows."""
+    path, p = t.scratch("store"), t["project"]
+    keyed = p.select("projectId", "phaseName", F.lit(ORG).alias("org_id"),
+                     F.col("projectTypeId").alias("project_type_id"))
+    write_partitioned(keyed, path, ["org_id", "project_type_id"])
+    return t.spark.read.parquet(path).where("org_id = 101 AND project_type_id = 2")
+
+
 @query("s3_lead_path_keys", """
     SELECT Id, 'acme' AS org, 'leadrow' AS model, Id AS record_id, false AS is_bulk
     FROM {leadrow}""")

@@ -207,7 +207,8 @@ query("v26_lower_names", """
     lambda t: t["region"].select("r_regionkey", F.lower("r_name").alias("name")))
 
 query("v27_id_chunks", """
-    SELECT projectId, (row_number() OVER (ORDER BY projectId) - 1) // 10 AS chunk FROM {project}""")(
+    SELECT projectId, (row_number() OVER (ORDER BY projectId) - 1) // 10 AS chunk
+    FROM {project}""")(
     lambda t: chunked_ids(
         number_in_order(t["project"].select("projectId"), "projectId", "n"), "n", 10
     ).select("projectId", "chunk"))

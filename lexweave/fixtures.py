@@ -69,7 +69,8 @@ VIEWS = {
 # The same rows, each dialect with its own time arithmetic.
 ORACLE_VIEWS = {
     "webhook": """
-        SELECT event_id, ts, epoch_us(ts) // 1000 AS ts_ms, user_id AS project_id, user_id % 5 + 1 AS ptype,
+        SELECT event_id, ts, epoch_us(ts) // 1000 AS ts_ms, user_id AS project_id,
+          user_id % 5 + 1 AS ptype,
           CASE event_type WHEN 'signup' THEN 'Project' WHEN 'purchase' THEN 'Project'
             WHEN 'view' THEN 'Form' ELSE 'CollectionItem' END AS entity,
           CASE event_type WHEN 'signup' THEN 'Created' WHEN 'purchase' THEN 'PhaseChanged'
@@ -80,13 +81,15 @@ ORACLE_VIEWS = {
             AS phase
         FROM events""",
     "phase_log": """
-        SELECT CAST(101 AS BIGINT) AS org_id, ptype AS project_type_id, project_id, ts_ms AS event_ts,
+        SELECT CAST(101 AS BIGINT) AS org_id, ptype AS project_type_id, project_id,
+          ts_ms AS event_ts,
           max(phase) AS phase
         FROM {webhook} WHERE entity = 'Project' AND event_name = 'PhaseChanged'
         GROUP BY ptype, project_id, ts_ms""",
     "lead_event": """
         SELECT event_id, user_id,
-          CASE event_type WHEN 'signup' THEN 'Lead Created' WHEN 'purchase' THEN 'Opportunity Created'
+          CASE event_type WHEN 'signup' THEN 'Lead Created'
+            WHEN 'purchase' THEN 'Opportunity Created'
             WHEN 'view' THEN 'Contact Edited' WHEN 'click' THEN 'Lead Status Changed'
             ELSE 'Unknown' END AS EventType
         FROM events""",
@@ -179,7 +182,8 @@ class Tables:
             F.when(F.col("l_linenumber") != 3, person).alias("adjuster"),
             F.when(F.col("l_linenumber") == 1, F.array().cast("array<struct<id:bigint>>"))
             .when(F.col("l_linenumber") != 2, F.array(person, other)).alias("witnesses"),
-            F.when(F.col("l_linenumber") != 4, F.array("l_returnflag", "l_linestatus")).alias("flags"),
+            F.when(F.col("l_linenumber") != 4, F.array("l_returnflag", "l_linestatus"))
+            .alias("flags"),
             F.array(F.lit(None).cast("string"), F.col("l_returnflag")).alias("gaps"),
             F.array("l_linenumber").alias("numbers"),
             F.struct(F.col("l_quantity").alias("qty"), F.col("l_returnflag").alias("flag"))

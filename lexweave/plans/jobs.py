@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from lexweave.config.model import Mapping, Section, Whitelist
 from lexweave.functions import flatten, leads
 from lexweave.functions.types import by_inferred_type, lake_schema, to_lake
 from lexweave.plans.standard_model import StandardModel
-from lexweave.sinks.tables import write_entity, write_table
-from lexweave.sources.files import read_table
+from lexweave.sinks.tables import write_entity, write_partitioned, write_table
+from lexweave.sources.files import read_raw, read_table
 
 # Load order of the lead system's entities.
 LEAD_LOAD_ORDER = (
@@ -59,6 +60,22 @@ def load_cases(
     return paths
 
 
+def adopt_raw(
+    spark: SparkSession, root: str, org: int, project_type: int, store: str
+) -> dict[str, str]:
+    """Move raw sets of one file per project into tables partitioned by tenant and type.
+
+    Listing very many small files is done once, here; readers of the tables
+    filter on the partition columns.
+    """
+    paths = {}
+    keys = {"org_id": F.lit(org), "project_type_id": F.lit(project_type)}
+    for name, frame in read_raw(spark, root, str(org), project_type).items():
+        paths[name] = f"{store}/{name}"
+        write_partitioned(frame.withColumns(keys), paths[name], list(keys))
+    return paths
+
+
 def run_standard_model(
     raw: dict[str, DataFrame], out: str, mapping: Mapping | None = None, typed: bool = False
 ) -> dict[str, str]:

@@ -38,6 +38,11 @@ def write_entity(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
+def write_partitioned(df: DataFrame, path: str, columns: Sequence[str]) -> None:
+    """Keep what used to be path parts as partition columns; other partitions stay."""
+    _write_partitions(df, path, columns)
+
+
 def append_batch(df: DataFrame, path: str, batch_id: int) -> None:
     """Append one batch. The same batch written again replaces itself."""
     df.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")

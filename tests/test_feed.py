@@ -174,6 +174,28 @@ def test_feed_drops_items_gone_from_the_source(spark, scratch):
     assert rows(read_current(spark, again).select("project_id", "id")) == [(14, 1)]
 
 
+def test_a_batch_that_died_half_way_runs_again(spark, scratch, monkeypatch):
+    """The phases and the log are written, the merge is not: the restart completes all of it."""
+    root, mark, landing, landed = (scratch(n) for n in ("root", "mark", "landing", "landed"))
+    land(landed, "meds", item(13, 1, "a"), item(13, 2, "b"))
+    land(landing, "b0", PHASE, ITEM)
+    runner = feed.CaseFeed(root, {"collections": collection(spark, landed)})
+
+    def fail(*_):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as broken:
+        broken.setattr(feed, "replace_sections", fail)
+        with pytest.raises(Exception, match="lost"):
+            finish(runner.start(ev.read_events(spark, landing), mark))
+    assert spark.read.parquet(f"{root}/phases").count() == 1
+    finish(runner.start(ev.read_events(spark, landing), mark))
+    assert spark.read.parquet(f"{root}/phases").count() == 1
+    assert spark.read.parquet(f"{root}/collections/log").count() == 2
+    state = read_current(spark, f"{root}/collections/current")
+    assert rows(state.select("project_id", "id")) == [(13, 1), (13, 2)]
+
+
 def test_feed_refreshes_forms_by_key(spark, scratch):
     root, mark, landing, landed = (scratch(n) for n in ("root", "mark", "landing", "landed"))
     schema = ("org_id bigint, project_type_id bigint, project_id bigint, section string, fee string")

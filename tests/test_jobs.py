@@ -51,6 +51,16 @@ def test_job_over_a_raw_folder(spark, tmp_path):
     assert rows(spark.read.parquet(again["Peoples_PeopleType"])) == [(1, 0), (1, 1)]
 
 
+def test_adopted_store_reads_like_the_raw_folder(spark, tmp_path, scratch):
+    raw = lay_out(tmp_path)
+    paths = jobs.adopt_raw(spark, raw, 6, 18, scratch())
+    stored = spark.read.parquet(paths["project"])
+    assert stored.columns[-2:] == ["org_id", "project_type_id"]
+    plain = read_raw(spark, raw, "6", 18)["project"]
+    assert rows(stored.select(*plain.columns)) == rows(plain)
+    assert rows(stored.select("org_id", "project_type_id").distinct()) == [(6, 18)]
+
+
 def test_phase_files(spark, tmp_path):
     base = tmp_path / "cms" / "6" / "18" / "10" / "phases"
     one_file(base / "1654733926323.parquet", project_id=[10], phase=["Demand"])

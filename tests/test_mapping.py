@@ -15,6 +15,7 @@ from lexweave.config.standard_model import standard_mapping
 from lexweave.config.whitelists import case_whitelist, lead_whitelist
 from lexweave.plans.mapped import build, missing_sources
 from lexweave.plans.standard_model import StandardModel
+from lexweave.sources import records
 
 
 def field(name, source=None, kind="string"):
@@ -176,11 +177,31 @@ def test_phases_outputs_no_permanence(spark):
 
 
 def test_builders_are_lazy(spark, tables):
-    started = spark.sparkContext.statusTracker().getJobIdsForGroup()
     model = StandardModel(standard_mapping(1))
-    frames = tables["contact"], tables["project"]
-    before = len(spark.sparkContext.statusTracker().getJobIdsForGroup())
-    model.people_types(frames[0])
-    model.people(frames[0])
-    model.cases(frames[1])
-    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup()) == before >= len(started)
+    contact, project = tables["contact"], tables["project"]
+    spark.sparkContext.setJobGroup("lazy", "builders")
+    try:
+        types = model.people_types(contact)
+        model.people(contact)
+        model.people_type_links(contact, types)
+        model.cases(project)
+        assert not spark.sparkContext.statusTracker().getJobIdsForGroup("lazy")
+        types.count()
+        assert spark.sparkContext.statusTracker().getJobIdsForGroup("lazy")
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_ids_are_unwrapped_everywhere(tables):
+    out = records.projects(tables.raw_projects())
+    kinds = {f.name: f.dataType.simpleString() for f in out.schema}
+    assert kinds["projectId"] == "bigint" and kinds["projectTypeId"] == "int"
+    assert kinds["clientId"] == "bigint"
+
+
+def test_contact_ids_of_leads_once_and_not_null(spark):
+    leads = spark.sql(
+        "SELECT named_struct('Id', a) Contact FROM VALUES (1), (1), (null) t(a) "
+        "UNION ALL SELECT null"
+    )
+    assert rows(records.linked_ids(leads, "Contact")) == [(1,)]

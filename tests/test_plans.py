@@ -41,6 +41,13 @@ def test_filters_reach_the_scan(spark):
     assert "PushedFilters: [IsNotNull(o_orderkey), LessThanOrEqual(o_orderkey,10813786)]" in pushed
 
 
+def test_partition_filters_pick_folders(spark):
+    text = plan(spark, "s3_partitioned_store")
+    assert re.search(r"PartitionFilters: \[isnotnull\(org_id", text)
+    # No filter on rows is left over.
+    assert not re.search(r"\bFilter \(", text)
+
+
 LAZY = [n for n in sorted(contract.queries()) if not n.startswith(("k", "s1_", "s2_", "t14", "t15", "t16"))]
 
 
