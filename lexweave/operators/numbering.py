@@ -2,27 +2,54 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-PER_BIN = 16  # sample keys per range
+PER_RANGE = 4  # sample keys per range
+FAN_OUT = 8
 
 
-def number_in_order(df: DataFrame, key: str, out: str, bins: int = 64) -> DataFrame:
-    """0-based position of each row by ``key``, which must be unique and not null.
+def with_range(df: DataFrame, key: str, out: str, depth: int) -> DataFrame:
+    """Number of the key range a row falls in: ``8 ** depth`` ranges at sample quantiles.
 
-    Keys are cut into ``bins`` consecutive ranges at quantiles of a sample; each
-    range is numbered on its own and shifted by the rows of the ranges before it.
-    The sample only balances the ranges: the numbers are exact whatever it holds.
+    A key finds its range in ``depth`` steps, each among the seven cuts between
+    the eight parts of the part found before. All cuts are in one small row.
     """
-    sample = df.select(key).orderBy(F.xxhash64(key), key).limit(bins * PER_BIN)
+    ranges = FAN_OUT**depth
+    sample = df.select(key).orderBy(F.xxhash64(key), key).limit(ranges * PER_RANGE - 1)
     in_order = F.sort_array(F.collect_list(key))
-    every = F.filter(in_order, lambda _, i: i % PER_BIN == PER_BIN - 1)
-    cuts = sample.agg(every.alias("cuts")).scalar()
-    below = F.coalesce(F.size(F.filter("_cuts", lambda cut: cut <= F.col(key))), F.lit(0))
-    binned = df.withColumn("_cuts", cuts).withColumn("_bin", below).drop("_cuts")
-    # At most ``bins`` + 1 rows from here on: the running total and the broadcast are small.
+    quantiles = F.filter(in_order, lambda _, i: i % PER_RANGE == PER_RANGE - 1)
+    cuts = sample.agg(quantiles.alias("cuts"))
+
+    def level(number: int) -> Column:
+        """For each part at this level the cuts between its eight parts."""
+        step = FAN_OUT ** (depth - number - 1)
+        parts = F.sequence(F.lit(0), F.lit(FAN_OUT**number - 1))
+        inner = F.sequence(F.lit(1), F.lit(FAN_OUT - 1))
+        return F.transform(
+            parts,
+            lambda p: F.transform(inner, lambda m: F.get("cuts", (p * FAN_OUT + m) * step - 1)),
+        )
+
+    tree = cuts.select(F.struct(*[level(n).alias(f"level{n}") for n in range(depth)]))
+    found = df.withColumns({"_tree": tree.scalar(), out: F.lit(0)})
+    for number in range(depth):
+        between = F.get(F.col(f"_tree.level{number}"), F.col(out))
+        passed = F.size(F.filter(between, lambda cut: cut <= F.col(key)))
+        found = found.withColumn(out, F.col(out) * FAN_OUT + F.coalesce(passed, F.lit(0)))
+    return found.drop("_tree")
+
+
+def number_in_order(df: DataFrame, key: str, out: str, depth: int = 3) -> DataFrame:
+    """0-based position of each row by ``key``, which must be unique and not null.
+
+    Each key range is numbered on its own and shifted by the rows of the ranges
+    before it. The sample behind the ranges only balances them: the numbers are
+    exact whatever it holds.
+    """
+    binned = with_range(df, key, "_bin", depth)
+    # At most one row per range from here on: the running total and the broadcast are small.
     sizes = binned.groupBy("_bin").agg(F.count(F.lit(1)).alias("_rows"))
     before = W.orderBy("_bin").rowsBetween(W.unboundedPreceding, -1)
     offsets = sizes.select(

@@ -7,6 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 DAY_MILLIS = 86_400_000
+HOUR_MILLIS = 3_600_000
 
 
 def current_phase(log: DataFrame) -> DataFrame:
@@ -17,7 +18,7 @@ def current_phase(log: DataFrame) -> DataFrame:
     )
 
 
-def phase_history(log: DataFrame, slice_millis: int = DAY_MILLIS) -> DataFrame:
+def phase_history(log: DataFrame, slice_millis: int = HOUR_MILLIS) -> DataFrame:
     """Each phase change with the phase before it, the next change and the days between.
 
     A project's changes are ordered within time slices, and each slice learns

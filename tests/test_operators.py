@@ -10,13 +10,15 @@ from hypothesis import strategies as st
 from conftest import rows
 from lexweave.config.model import ConfigError
 from lexweave.operators import latest, numbering, phases, snapshots
+from pyspark.sql import functions as F
 
 
-@pytest.mark.parametrize("bins", [1, 2, 7, 64])
-def test_numbers_are_dense_and_ordered(spark, bins):
-    keys = random.Random(1).sample(range(10_000), 500)
+@pytest.mark.parametrize("fan, depth, n", [(2, 1, 500), (3, 3, 700), (8, 2, 50), (8, 3, 1500), (8, 1, 0)])
+def test_numbers_are_dense_and_ordered(spark, fan, depth, n, monkeypatch):
+    monkeypatch.setattr(numbering, "FAN_OUT", fan)
+    keys = random.Random(1).sample(range(10_000), n)
     df = spark.createDataFrame([(k,) for k in keys], "k long").repartition(5)
-    got = rows(numbering.number_in_order(df, "k", "n", bins))
+    got = rows(numbering.number_in_order(df, "k", "n", depth))
     assert sorted(got) == [(k, i) for i, k in enumerate(sorted(keys))]
 
 
@@ -24,11 +26,21 @@ def test_numbers_are_dense_and_ordered(spark, bins):
 @given(st.sets(st.text(min_size=1, max_size=4), min_size=1, max_size=40))
 def test_numbers_of_any_text(spark, words):
     df = spark.createDataFrame([(w,) for w in words], "w string")
-    got = {w: n for w, n in rows(numbering.number_in_order(df, "w", "n", 4))}
+    got = {w: n for w, n in rows(numbering.number_in_order(df, "w", "n", 2))}
     order = sorted(words, key=lambda w: w.encode("utf-8", "surrogatepass"))
     assert got == {w: i for i, w in enumerate(order)}
 
 
+def test_ranges_are_ordered_and_balanced(spark):
+    df = spark.range(100_000).select((F.col("id") * F.col("id")).alias("k"))
+    sizes = numbering.with_range(df, "k", "b", 2).groupBy("b").agg(
+        F.count("k").alias("n"), F.min("k").alias("low"), F.max("k").alias("high")
+    ).orderBy("b").collect()
+    assert [r.b for r in sizes] == list(range(64))
+    assert all(a.high < b.low for a, b in zip(sizes, sizes[1:]))
+    assert max(r.n for r in sizes) < 4 * 100_000 / 64
+
+
 def test_hashed_keys(spark):
     df = spark.createDataFrame([("a",), ("b",), ("a",)], "w string")
     keyed = numbering.hashed_key(df, "w", "k")
