@@ -54,7 +54,8 @@ class StandardModel:
         source = table.field("People_Type").source
         texts = contact.select(quoted(source).alias("text")).distinct()
         types = texts.select(F.explode(tokens(F.col("text"))).alias("People_Type")).distinct()
-        numbered = number_in_order(types, "People_Type", "People_Type_Id")
+        # A dimension: far fewer rows than ids of records, so fewer ranges do.
+        numbered = number_in_order(types, "People_Type", "People_Type_Id", depth=2)
         text_null = F.lit(None).cast("string")
         out = numbered.select(
             "People_Type",

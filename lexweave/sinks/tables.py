@@ -72,6 +72,23 @@ def _stored(schema: T.StructType | None, *extra: T.StructField) -> T.StructType
     return T.StructType([*schema.fields, *extra, T.StructField(BUCKET, T.LongType())])
 
 
+def _current(
+    incoming: DataFrame, path: str, columns: Sequence[str], schema: T.StructType | None
+) -> DataFrame | None:
+    """What the store holds, its partition columns typed like the incoming ones.
+
+    Left to itself Spark types them by their values, and tenant ``007`` is 7.
+    """
+    spark = incoming.sparkSession
+    if schema is not None:
+        return read_if_present(spark, path, schema)
+    found = read_if_present(spark, path)
+    if found is None:
+        return None
+    typed = [incoming.schema[f.name] if f.name in columns else f for f in found.schema.fields]
+    return read_merged(spark, path, schema=T.StructType(typed))
+
+
 def _touched(df: DataFrame, incoming: DataFrame, columns: Sequence[str]) -> DataFrame:
     """The rows of ``df`` in the partitions ``incoming`` touches.
 
@@ -123,7 +140,7 @@ def upsert(
         raise ValueError(f"partition columns {outside} must be part of the key")
     columns = [*partition_by, BUCKET]
     incoming = _bucketed(incoming, keys, buckets)
-    current = read_if_present(incoming.sparkSession, path, _stored(schema))
+    current = _current(incoming, path, columns, _stored(schema))
     if current is not None:
         old = _touched(current, incoming, columns)
         incoming = old.unionByName(incoming, allowMissingColumns=True)
@@ -143,17 +160,17 @@ def replace_sections(
 
     Partitions are bucketed by group, so a batch rewrites only the buckets of
     its groups; a huge group is still written by many tasks. ``refreshed`` has
-    the partition columns and the group columns.
+    the partition columns and the group columns, none of them null; groups of
+    different partitions are different groups.
     """
     columns = [*partition_by, BUCKET]
-    spark = incoming.sparkSession
     incoming = _bucketed(incoming, group, buckets)
     refreshed = _bucketed(refreshed, group, buckets)
-    current = read_if_present(spark, path, _stored(schema, GONE))
+    current = _current(incoming, path, columns, _stored(schema, GONE))
     if current is None:
         return _write_partitions(incoming.withColumn("_gone", F.lit(False)), path, columns)
     old = _touched(current, refreshed, columns).where(~F.col("_gone")).drop("_gone")
-    merged = replace_groups(old, incoming, group, refreshed)
+    merged = replace_groups(old, incoming, [*partition_by, *group], refreshed)
     # A partition left without rows would have no new file to take its place, so
     # every touched one gets a marker row that readers drop.
     touched = refreshed.select(*columns).distinct().withColumn("_gone", F.lit(True))
@@ -167,7 +184,10 @@ def replace_sections(
 def read_current(
     spark: SparkSession, path: str, schema: T.StructType | None = None
 ) -> DataFrame:
-    """The current state an ``upsert`` or ``replace_sections`` store holds."""
+    """The current state an ``upsert`` or ``replace_sections`` store holds.
+
+    Without ``schema`` Spark types the partition columns by their values.
+    """
     df = read_merged(spark, path, schema=_stored(schema, GONE))
     if "_gone" in df.columns:
         df = df.where(~F.coalesce("_gone", F.lit(False)))

@@ -87,6 +87,26 @@ def test_upsert_with_a_declared_schema(spark, scratch):
     assert rows(declared.select("org", "id", "ts", "v")) == state(spark, path)
 
 
+@pytest.mark.parametrize("declared", [False, True])
+def test_text_tenants_that_look_like_numbers(spark, scratch, declared):
+    path = scratch()
+    first = spark.createDataFrame([("007", 1, 1, "a"), ("7", 1, 1, "b")],
+                                  "org string, id int, ts int, v string")
+    schema = first.schema if declared else None
+    sinks.upsert(first, path, KEY, ["ts"], ["org"], 2, schema)
+    sinks.upsert(first.where("org = '007'").withColumns({"ts": F.lit(2), "v": F.lit("x")}),
+                 path, KEY, ["ts"], ["org"], 2, schema)
+    out = sinks.read_current(spark, path, first.schema).select("org", "id", "v")
+    assert rows(out) == [("007", 1, "x"), ("7", 1, "b")]
+
+    path = scratch()
+    groups = first.select("org", "id").distinct()
+    sinks.replace_sections(first, path, ["id"], groups, ["org"], 2, schema)
+    sinks.replace_sections(first.limit(0), path, ["id"], groups.where("org = '007'"), ["org"], 2, schema)
+    out = sinks.read_current(spark, path, first.schema).select("org", "id", "v")
+    assert rows(out) == [("7", 1, "b")]
+
+
 def test_only_touched_partitions_are_scanned(spark, scratch):
     path = scratch()
     many = frame(spark, *[(o, i, 1, "a") for o in range(5) for i in range(5)])
@@ -126,6 +146,17 @@ def test_section_replace_empties_groups_and_partitions(spark, scratch):
     assert load(items.where("org = 2"), groups.where("org = 2")) == [(10, "b"), (11, "c"), (20, "d")]
 
 
+def test_sections_of_other_tenants_with_the_same_project_stay(spark, scratch):
+    """Both tenants are touched, but project 1 only of the first."""
+    path = scratch()
+    items = spark.createDataFrame([(1, 1, "a"), (2, 1, "b"), (2, 2, "c")], "org int, project int, v string")
+    groups = items.select("org", "project")
+    sinks.replace_sections(items, path, ["project"], groups, ["org"], 1)
+    asked = groups.where("org = 1 OR project = 2")
+    sinks.replace_sections(items.where("v = 'c'"), path, ["project"], asked, ["org"], 1)
+    assert rows(sinks.read_current(spark, path).select("org", "project", "v")) == [(2, 1, "b"), (2, 2, "c")]
+
+
 def test_a_batch_written_twice_is_there_once(spark, scratch):
     path = scratch()
     for _ in range(2):
