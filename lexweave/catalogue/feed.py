@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lexweave.catalogue.base import query
 from lexweave.catalogue.scans import EVENT_COLUMNS, EVENT_SQL, run_to_end, write_json
@@ -136,7 +137,7 @@ query("e9_late_events", """
         "entity", "project_id", "section", "event_timestamp", "event_name"))
 
 CURRENT_SQL = """
-    SELECT project_id, phase AS current_phase, event_ts AS since_ts FROM (
+    SELECT org_id, project_id, phase AS current_phase, event_ts AS since_ts FROM (
       SELECT *, row_number() OVER (PARTITION BY project_id ORDER BY event_ts DESC, phase DESC) AS rn
       FROM {phase_log}) WHERE rn = 1"""
 
@@ -154,7 +155,8 @@ def landed_events(t: Tables) -> DataFrame:
 def current_phase_stream(t: Tables) -> DataFrame:
     out, mark = t.scratch("current"), t.scratch("checkpoint")
     run_to_end(feed.stream_current_phase(landed_events(t), out, mark))
-    return read_current(t.spark, out)
+    schema = "org_id bigint, project_id bigint, current_phase string, since_ts bigint"
+    return read_current(t.spark, out, T.StructType.fromDDL(schema))
 
 
 @query("e3_phase_stream", """

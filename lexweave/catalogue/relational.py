@@ -154,7 +154,7 @@ query("w2_latest_per_key", LATEST_SQL)(
     lambda t: latest.latest_per_key(events_slim(t), ["user_id"], ["ts", "event_id"]).drop("ts"))
 
 query("w3_phase_history", """
-    SELECT project_id, event_ts, phase, lag(phase) OVER w AS previous_phase,
+    SELECT org_id, project_id, event_ts, phase, lag(phase) OVER w AS previous_phase,
       lead(event_ts) OVER w AS next_ts,
       (lead(event_ts) OVER w - event_ts) // 86400000 AS days_in_phase,
       lead(event_ts) OVER w IS NULL AS is_current

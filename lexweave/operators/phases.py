@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -10,15 +12,20 @@ DAY_MILLIS = 86_400_000
 HOUR_MILLIS = 3_600_000
 
 
-def current_phase(log: DataFrame) -> DataFrame:
+PROJECT = ("org_id", "project_id")
+
+
+def current_phase(log: DataFrame, project: Sequence[str] = PROJECT) -> DataFrame:
     """Last phase of each project by event time, then name."""
-    last = F.max_by(F.struct("phase", "event_ts"), F.struct("event_ts", "phase"))
-    return log.groupBy("project_id").agg(last.alias("l")).select(
-        "project_id", F.col("l.phase").alias("current_phase"), F.col("l.event_ts").alias("since_ts")
+    last = F.max(F.struct("event_ts", "phase")).alias("l")
+    return log.groupBy(*project).agg(last).select(
+        *project, F.col("l.phase").alias("current_phase"), F.col("l.event_ts").alias("since_ts")
     )
 
 
-def phase_history(log: DataFrame, slice_millis: int = HOUR_MILLIS) -> DataFrame:
+def phase_history(
+    log: DataFrame, slice_millis: int = HOUR_MILLIS, project: Sequence[str] = PROJECT
+) -> DataFrame:
     """Each phase change with the phase before it, the next change and the days between.
 
     A project's changes are ordered within time slices, and each slice learns
@@ -26,31 +33,31 @@ def phase_history(log: DataFrame, slice_millis: int = HOUR_MILLIS) -> DataFrame:
     one row per project and slice. A project with very many changes is spread
     over its slices. ``log`` has one row per project, time and phase.
     """
-    sliced = log.select("project_id", "event_ts", "phase").withColumn(
+    part = [*project, "_slice"]
+    sliced = log.select(*project, "event_ts", "phase").withColumn(
         "_slice", F.floor(F.col("event_ts") / slice_millis)
     )
     change = F.struct("event_ts", "phase")
-    ends = sliced.groupBy("project_id", "_slice").agg(
+    ends = sliced.groupBy(*part).agg(
         F.min(change).alias("_first"), F.max(change).alias("_last")
     )
-    slices = W.partitionBy("project_id").orderBy("_slice")
+    slices = W.partitionBy(*project).orderBy("_slice")
     around = ends.select(
-        "project_id",
-        "_slice",
+        *part,
         F.lag("_last").over(slices).alias("_before"),
         F.lead("_first").over(slices).alias("_after"),
     )
-    inside = W.partitionBy("project_id", "_slice").orderBy("event_ts", "phase")
+    inside = W.partitionBy(*part).orderBy("event_ts", "phase")
     linked = sliced.withColumns(
         {
             "_prev": F.lag(F.struct("event_ts", "phase")).over(inside),
             "_next": F.lead(F.struct("event_ts", "phase")).over(inside),
         }
-    ).join(around, ["project_id", "_slice"])
+    ).join(around, part)
     previous = F.coalesce(F.col("_prev"), F.col("_before"))
     following = F.coalesce(F.col("_next"), F.col("_after"))
     return linked.select(
-        "project_id",
+        *project,
         "event_ts",
         "phase",
         previous["phase"].alias("previous_phase"),

@@ -136,14 +136,17 @@ def refresh_keys(events: DataFrame) -> DataFrame:
 def with_project_type(events: DataFrame, projects: DataFrame) -> DataFrame:
     """Fill the project type that a project's own events do not carry.
 
-    Only the events without one are joined; the others need no shuffle.
+    Only the events without one are joined; the others need no shuffle. Where
+    ``projects`` names its tenant (``orgId``), projects match within it.
     """
+    names = {"projectId": "project_id", "orgId": "org_id"}
+    on = [n for n in names if n in projects.columns]
     known = projects.select(
-        F.col("projectId").alias("project_id"), F.col("projectTypeId").alias("_known")
+        *[F.col(n).alias(names[n]) for n in on], F.col("projectTypeId").alias("_known")
     )
     typed = F.col("project_type_id").isNotNull()
     open_events = events.where(~typed).drop("project_type_id")
-    filled = open_events.join(known, "project_id", "left").withColumnRenamed(
+    filled = open_events.join(known, [names[n] for n in on], "left").withColumnRenamed(
         "_known", "project_type_id"
     )
     return events.where(typed).unionByName(filled)
@@ -151,7 +154,7 @@ def with_project_type(events: DataFrame, projects: DataFrame) -> DataFrame:
 
 def latest_events(events: DataFrame, arrival: str) -> DataFrame:
     """Last event of each record by event time, then arrival; late ones lose."""
-    keys = ["entity", "project_id", "section", "item_id"]
+    keys = ["org_id", "entity", "project_id", "section", "item_id"]
     return latest_per_key(events, keys, ["event_timestamp", arrival])
 
 

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.query import StreamingQuery
 
+from lexweave.operators.phases import PROJECT, current_phase
 from lexweave.operators.skew import spread_join
 from lexweave.sinks.tables import append_batch, replace_sections, upsert
 from lexweave.streaming.events import normalise, phase_log, route_leads, routed, subscribed
@@ -124,16 +125,10 @@ def stream_current_phase(
 ) -> StreamingQuery:
     """Current phase of each project; a batch rewrites only the buckets it changes."""
     changes = normalise(subscribed(events)).where(F.col("event_name") == "PhaseChanged")
-    state = changes.groupBy("project_id").agg(
-        F.max(F.struct("event_timestamp", "phase")).alias("l")
-    ).select(
-        "project_id",
-        F.col("l.phase").alias("current_phase"),
-        F.col("l.event_timestamp").alias("since_ts"),
-    )
+    state = current_phase(changes.withColumnRenamed("event_timestamp", "event_ts"))
 
     def apply(batch: DataFrame, _: int) -> None:
-        upsert(batch, path, ["project_id"], ["since_ts", "current_phase"], [])
+        upsert(batch, path, PROJECT, ["since_ts", "current_phase"], ["org_id"])
 
     writer = state.writeStream.option("checkpointLocation", checkpoint).outputMode("update")
     return writer.foreachBatch(apply).trigger(**(trigger or ALL_NOW)).start()

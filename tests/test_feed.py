@@ -76,6 +76,16 @@ def test_late_event_loses(spark):
     assert [r.event_name for r in ev.latest_events(numbered, "n").collect()] == ["Updated"]
 
 
+def test_project_type_from_the_project_of_the_same_tenant(spark):
+    events = ev.normalise(batch(spark, PROJECT, FORM))
+    projects = spark.createDataFrame([(12, 1, 6), (12, 2, 7), (11, 3, 6)],
+                                     "projectId long, projectTypeId long, orgId long")
+    out = ev.with_project_type(events, projects).select("project_id", "project_type_id")
+    assert rows(out) == [(11, 18), (12, 1)]
+    assert ev.with_project_type(events, projects.drop("orgId").where("projectTypeId = 2")).where(
+        "project_id = 12").first().project_type_id == 2
+
+
 def test_lead_routing_quarantines_unknown_events(spark):
     df = spark.createDataFrame(
         [("Lead Edited", 1, None, None), ("Contact Added", None, 2, None),

@@ -108,7 +108,14 @@ def test_phase_history_of_a_hot_project(spark, width):
             after = changes[i + 1][0] if i + 1 < len(changes) else None
             days = None if after is None else (after - ts) // phases.DAY_MILLIS
             expected.append((project, ts, phase, before, after, days, after is None))
-    assert rows(phases.phase_history(df, width)) == sorted(expected, key=repr)
+    assert rows(phases.phase_history(df, width, ["project_id"])) == sorted(expected, key=repr)
+
+
+def test_projects_of_two_tenants_are_kept_apart(spark):
+    log = spark.createDataFrame([(1, 5, 10, "a"), (2, 5, 20, "b")],
+                                "org_id int, project_id int, event_ts long, phase string")
+    assert rows(phases.current_phase(log)) == [(1, 5, "a", 10), (2, 5, "b", 20)]
+    assert {r.previous_phase for r in phases.phase_history(log).collect()} == {None}
 
 
 def test_first_lead_stays_in_the_first_status(spark):
