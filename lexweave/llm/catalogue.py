@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexweave.llm import language_crf, line_quality, piece_codec, poisson_mixing, toxicity
+from lexweave.llm import language_crf, line_quality, pii, piece_codec, poisson_mixing, toxicity, warc
 from lexweave.llm.common import crc_part
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -162,3 +162,28 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("language").alias("lang_pred"),
         F.col("language_score").alias("score"),
     )
+
+
+@query("op8_pii")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.with_spans(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    number = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == pii.KINDS.index(kind)))
+    return found.select(
+        "doc_id",
+        *[number(kind).cast("long").alias(f"n_{kind}") for kind in pii.BASE],
+        F.sha2(pii.listed(F.col("base")), 256).alias("base_sha256"),
+        pii.listed(F.concat("base", "added")).alias("spans"),
+    )
+
+
+@query("op4_warc")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    archives = warc.write_pages(table(spark, sf_dir, "pages"))
+    records = warc.read_records(spark, archives).where("kind = 'record'")
+    return records.select(
+        "page_id",
+        F.col("payload_bytes"),
+        "payload_digest",
+        F.col("warc_type").alias("record_type"),
+        F.col("refers_to_page").alias("refers_to"),
+    )
