@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexweave.llm import language_crf, line_quality, pii, piece_codec, poisson_mixing, toxicity, warc
+from lexweave.llm import language_crf, line_quality, ngram_join, pii, piece_codec, poisson_mixing, toxicity, warc
 from lexweave.llm.common import crc_part
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -187,3 +187,38 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("warc_type").alias("record_type"),
         F.col("refers_to_page").alias("refers_to"),
     )
+
+
+NGRAM_JOIN_SQL = r"""
+with recursive w as (
+  select row_number() over () as r, doc_id, list_filter(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\x20\x09-\x0D]+'), lambda x: x <> '') as words from documents
+), sets as (
+  select r, doc_id, list_distinct(case
+    when len(words) >= 3 then list_transform(range(1, len(words) - 1), lambda i: array_to_string(words[i : i + 2], ' '))
+    when len(words) > 0 then [array_to_string(words, ' ')] else [] end) as grams from w
+), classes as (
+  select min(r) as node, list_sort(grams) as grams, len(grams) as n from sets where len(grams) > 0 group by 2, 3
+), g as (select node, n, unnest(grams) as gram from classes
+), pairs as (
+  select a.node as a, b.node as b from g a join g b on a.gram = b.gram and a.node < b.node
+  where 100 * least(a.n, b.n) >= 90 * greatest(a.n, b.n)
+  group by a.node, b.node, a.n, b.n having 100 * count(*) >= 90 * (a.n + b.n - count(*))
+), both_ways as (select a, b from pairs union all select b, a from pairs
+), reach as (
+  select node as a, node as b from classes
+  union select reach.a, both_ways.b from reach join both_ways on reach.b = both_ways.a
+), roots as (select a as node, min(b) as root from reach group by a
+), members as (
+  select sets.doc_id, n, root from sets join classes on list_sort(sets.grams) = classes.grams join roots using (node)
+), firsts as (select root, min(doc_id) as component_id from members group by root)
+select doc_id, n::bigint as n_shingles, component_id from members join firsts using (root)
+union all select doc_id, 0::bigint, doc_id from sets where len(grams) = 0
+"""
+
+
+@query("op5_ngram_join", NGRAM_JOIN_SQL)
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = ngram_join.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_shingles", "component_id")
