@@ -8,7 +8,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexweave.llm import language_crf, line_quality, ngram_join, pii, piece_codec, poisson_mixing, toxicity, warc
+from lexweave.llm import (
+    language_crf,
+    line_quality,
+    ngram_join,
+    pii,
+    piece_codec,
+    poisson_mixing,
+    top_k,
+    toxicity,
+    warc,
+)
 from lexweave.llm.common import crc_part
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -222,3 +232,22 @@ union all select doc_id, 0::bigint, doc_id from sets where len(grams) = 0
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = ngram_join.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_shingles", "component_id")
+
+
+TOP_K_SQL = """
+with v as (
+  select vec_id, list_transform(embedding, lambda x: floor(256.0::double * x::double)) as x from embeddings
+  where vec_id is not null and embedding is not null
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+), met as (
+  select q.vec_id as query_id, c.vec_id, list_dot_product(q.x, c.x)::bigint as score
+  from v q join v c on q.vec_id % 50 = 0 and q.vec_id <> c.vec_id and len(q.x) = len(c.x)
+)
+select query_id, row_number() over (partition by query_id order by score desc, vec_id)::int as rank, vec_id, score
+from met qualify rank <= 5
+"""
+
+
+@query("op6_top_k", TOP_K_SQL)
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
