@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from lexweave.llm import (
     language_crf,
     line_quality,
+    log_templates,
     ngram_join,
     pii,
     piece_codec,
@@ -251,3 +252,14 @@ from met qualify rank <= 5
 @query("op6_top_k", TOP_K_SQL)
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+@query("op10_log_templates")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    kept = log_templates.drop_recurring(docs)
+    return kept.select(
+        "doc_id",
+        F.col("lines_dropped").alias("n_dropped"),
+        F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"),
+    )

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -67,3 +68,27 @@ def with_text_columns(
                 yield pa.RecordBatch.from_arrays(columns, schema)
 
     return source.mapInArrow(each, T.StructType(kept + added))
+
+
+BITMAP = 1 << 23  # bits of a bitmap: one MB, whatever it stands for
+
+
+def bitmap_place(*columns: str) -> Column:
+    return F.pmod(F.xxhash64(*columns), F.lit(BITMAP))
+
+
+def bitmap_of(df: DataFrame, place: Column) -> np.ndarray:
+    """Bits at the places of all rows: a filter of fixed size before an exact join."""
+    bits = np.zeros(BITMAP // 8, np.uint8)
+    # These functions number positions from 1, in parts of 32,768 bits that count from 1 too.
+    marked = df.select((place + 1).alias("_at"))
+    parts = marked.groupBy(F.bitmap_bucket_number("_at").alias("part"))
+    for part, bitmap in parts.agg(F.bitmap_construct_agg(F.bitmap_bit_position("_at"))).collect():
+        start = (part - 1) * len(bitmap)
+        bits[start : start + len(bitmap)] |= np.frombuffer(bitmap, np.uint8)
+    return bits
+
+
+def in_bitmap(bits: np.ndarray, places: np.ndarray) -> np.ndarray:
+    """Which of some places have their bit set."""
+    return (bits[places >> 3] >> (places & 7).astype(np.uint8) & 1).astype(bool)

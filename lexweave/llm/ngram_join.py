@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexweave.functions.types import quoted
-from lexweave.llm.common import stored
+from lexweave.llm.common import bitmap_of, bitmap_place, in_bitmap, stored
 from lexweave.llm.components import components
 
 BUCKETS = 1 << 17  # of the n-gram counts that order the prefixes
@@ -42,7 +42,6 @@ LONGEST = 8  # most n-grams that prefixes must share
 VERIFY_COST = 4.0  # of a candidate pair against one posting
 OPEN_PAIRS = 2.0  # pairs still open for each posting, above which another round of hubs is made
 ROUNDS = 6
-BITMAP = 1 << 23  # bits of the filter that spares the texts of classes without a candidate
 MIX = (0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0x9E3779B97F4A7C15)
 
 
@@ -135,20 +134,11 @@ def sets_of(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
     A bitmap of the wanted documents, of a fixed size, spares most other texts; the join
     after it is exact.
     """
-    spark = docs.sparkSession
-    place = lambda: F.pmod(F.xxhash64("doc_id", "key"), F.lit(BITMAP))
-    bits = np.zeros(BITMAP // 8, np.uint8)
-    # These functions number positions from 1, in parts of 32,768 bits that count from 1 too.
-    marked = wanted.withColumn("_at", place() + 1).groupBy(F.bitmap_bucket_number("_at").alias("part"))
-    for part, bitmap in marked.agg(F.bitmap_construct_agg(F.bitmap_bit_position("_at"))).collect():
-        start = (part - 1) * len(bitmap)
-        bits[start : start + len(bitmap)] |= np.frombuffer(bitmap, np.uint8)
-    shared = spark.sparkContext.broadcast(bits)
+    shared = docs.sparkSession.sparkContext.broadcast(bitmap_of(wanted, bitmap_place("doc_id", "key")))
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            at = batch.column(3).to_numpy()
-            seen = np.flatnonzero(shared.value[at >> 3] >> (at & 7).astype(np.uint8) & 1)
+            seen = np.flatnonzero(in_bitmap(shared.value, batch.column(3).to_numpy()))
             for start in range(0, len(seen), 512):
                 part = batch.take(pa.array(seen[start : start + 512]))
                 grams = [shingles(t.as_py(), width).view(np.int64) for t in part.column(2)]
@@ -156,7 +146,7 @@ def sets_of(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
                 lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(grams)))
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), lists], ["doc_id", "key", "grams"])
 
-    rows = docs.select("doc_id", "key", "text", place().alias("at"))
+    rows = docs.select("doc_id", "key", "text", bitmap_place("doc_id", "key").alias("at"))
     found = rows.mapInArrow(each, "doc_id long, key long, grams array<long>")
     same = wanted.withColumnsRenamed({"doc_id": "_id", "key": "_key"})
     on = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("key") == F.col("_key"))
