@@ -83,7 +83,38 @@ def lead_event_stream(t: Tables) -> DataFrame:
     write_json(t.lead_events().drop("arrival"), landing)
     stream = ev.read_events(t.spark, landing, ev.LEAD_EVENT_SCHEMA)
     run_to_end(feed.LeadFeed(root).start(stream, mark))
-    return t.spark.read.parquet(f"{root}/refresh").drop("batch_id").distinct()
+    return t.spark.read.parquet(f"{root}/refresh").drop("run", "batch_id").distinct()
+
+
+def lead_feed(t: Tables, entity: str, raw: DataFrame) -> DataFrame:
+    """One entity's store after the lead feed has run over all events."""
+    landing, root, mark = t.scratch("landing"), t.scratch("lead"), t.scratch("checkpoint")
+    write_json(t.lead_events().drop("arrival"), landing)
+    stream = ev.read_events(t.spark, landing, ev.LEAD_EVENT_SCHEMA)
+
+    def load(spark: object, keys: DataFrame) -> DataFrame:
+        return leads.TRANSFORMS[entity](raw.join(keys, "Id", "left_semi"))
+
+    run_to_end(feed.LeadFeed(root, {entity: load}, buckets=4).start(stream, mark))
+    return read_current(t.spark, f"{root}/{entity}/current").drop("load_id")
+
+
+query("s23_leaddetail_feed", """
+    SELECT o_orderkey AS Id, o_orderstatus AS Status, o_custkey AS Contact FROM orders
+    WHERE o_orderkey IN (SELECT user_id FROM {lead_event}
+      WHERE EventType IN ('Lead Created', 'Lead Status Changed'))""")(
+    lambda t: lead_feed(t, "leaddetail", t.raw_lead_details()).select("Id", "Status", "Contact"))
+
+query("s23_contact_feed", """
+    SELECT c_custkey AS Id, split_part(c_name, '#', 1) AS FirstName FROM customer
+    WHERE c_custkey IN (SELECT user_id FROM {lead_event} WHERE EventType = 'Contact Edited')""")(
+    lambda t: lead_feed(t, "contact", t.raw_lead_contacts()).select("Id", "FirstName"))
+
+query("s23_opportunity_feed", """
+    SELECT o_orderkey * 10 AS Id, o_orderkey AS LeadId, o_orderstatus AS LeadStatus FROM orders
+    WHERE o_orderkey % 4 <> 0 AND o_orderkey * 10 IN (
+      SELECT user_id * 10 FROM {lead_event} WHERE EventType = 'Opportunity Created')""")(
+    lambda t: lead_feed(t, "opportunities", t.raw_opportunities()).select("Id", "LeadId", "LeadStatus"))
 
 
 @query("e6_project_type_fill", """
@@ -99,20 +130,25 @@ def project_type_fill(t: Tables) -> DataFrame:
 
 @query("e7_deletes", """
     SELECT l_orderkey AS projectId, l_linenumber AS id, l_returnflag AS type FROM lineitem
-    WHERE CAST(l_orderkey AS VARCHAR) NOT IN (
-      SELECT item FROM (
-        SELECT CAST(event_id % 1000 AS VARCHAR) AS item, event_name,
-          row_number() OVER (PARTITION BY event_id % 1000 ORDER BY ts_ms DESC, event_id DESC) AS rn
+    WHERE (l_orderkey, CAST(l_linenumber AS VARCHAR)) NOT IN (
+      SELECT (project_id, item) FROM (
+        SELECT project_id, CAST(event_id % 7 AS VARCHAR) AS item, event_name,
+          row_number() OVER (PARTITION BY project_id, event_id % 7
+            ORDER BY ts_ms DESC, event_id DESC) AS rn
         FROM {webhook} WHERE entity = 'CollectionItem')
       WHERE rn = 1 AND event_name = 'Deleted')""")
 def deletes(t: Tables) -> DataFrame:
-    items = t["meds"].select("projectId", "id", "type",
-                             F.col("projectId").cast("string").alias("item_id"))
-    events = normalised(t).where("entity = 'CollectionItem'").select(
-        "item_id", "event_name", "event_timestamp", "arrival"
+    """Items keyed whole: the same item id of another project or tenant stays."""
+    keys = ["org_id", "project_id", "section", "item_id"]
+    items = t["meds"].select(
+        F.lit(ORG).cast("bigint").alias("org_id"), F.col("projectId").alias("project_id"),
+        F.lit("meds").alias("section"), F.col("id").cast("string").alias("item_id"), "id", "type",
+    )
+    events = normalised(t).where("entity = 'CollectionItem'").withColumn(
+        "item_id", (F.col("arrival") % 7).cast("string")
     )
-    kept = without_deleted(items, events, "item_id", ["event_timestamp", "arrival"])
-    return kept.select("projectId", "id", "type")
+    kept = without_deleted(items, events, keys, ["event_timestamp", "arrival"])
+    return kept.select(F.col("project_id").alias("projectId"), "id", "type")
 
 
 query("e8_subscribed_events", """
@@ -144,10 +180,15 @@ CURRENT_SQL = """
 query("e10_current_phase", CURRENT_SQL)(lambda t: phases.current_phase(phase_log_of(t)))
 
 
-def landed_events(t: Tables) -> DataFrame:
+def landed_events(t: Tables, untyped: bool = False) -> DataFrame:
     """A stream over landed JSON events, several files a batch."""
     landing = t.scratch("landing")
-    t.webhook().drop("arrival").repartition(4).write.json(landing)
+    events = t.webhook()
+    if untyped:
+        bare = F.col("ObjectId").withField("ProjectTypeId", F.lit(None).cast("bigint"))
+        third = F.col("arrival") % 3 == 0
+        events = events.withColumn("ObjectId", F.when(third, bare).otherwise(F.col("ObjectId")))
+    events.drop("arrival").repartition("ProjectId").write.json(landing)
     return ev.read_events(t.spark, landing)
 
 
@@ -168,21 +209,27 @@ def phase_stream(t: Tables) -> DataFrame:
 
 
 @query("e4_feed_stream", """
-    SELECT project_id, type, valueTotal FROM (
+    SELECT project_id, project_id % 3 + 40 AS project_type_id, type, valueTotal FROM (
       SELECT projectId AS project_id, type, valueTotal FROM {meds}) m
     WHERE project_id IN (SELECT project_id FROM {webhook} WHERE entity = 'CollectionItem')""")
 def feed_stream(t: Tables) -> DataFrame:
-    """The whole feed: events to refreshed collections in the store."""
+    """The whole feed: events to refreshed collections in the store.
+
+    The records' project types are not the events', and a third of the events has none.
+    The loader reads no more of the landed items than the batch's projects.
+    """
     root, mark = t.scratch("store"), t.scratch("checkpoint")
 
-    def meds(spark: object) -> DataFrame:
-        return t["meds"].select(
+    def meds(spark: object, keys: DataFrame) -> DataFrame:
+        asked = keys.select(F.col("project_id").alias("projectId")).distinct()
+        return t["meds"].join(asked, "projectId", "left_semi").select(
             F.lit(ORG).cast("bigint").alias("org_id"),
             F.col("projectId").alias("project_id"), F.lit("meds").alias("section"),
-            "id", "type", "valueTotal", (F.col("projectId") % 5 + 1).alias("project_type_id"),
+            "id", "type", "valueTotal", (F.col("projectId") % 3 + 40).alias("project_type_id"),
         )
 
-    run_to_end(feed.CaseFeed(root, {"collections": meds}, buckets=8).start(landed_events(t), mark))
+    runner = feed.CaseFeed(root, {"collections": meds}, buckets=8)
+    run_to_end(runner.start(landed_events(t, untyped=True), mark))
     return read_current(t.spark, f"{root}/collections/current").select(
-        "project_id", "type", "valueTotal"
+        "project_id", "project_type_id", "type", "valueTotal"
     )

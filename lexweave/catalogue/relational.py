@@ -209,7 +209,7 @@ def phase_append(t: Tables) -> DataFrame:
     sinks.append_batch(log.where(even), path, 0)
     sinks.append_batch(log.where(~even), path, 1)
     sinks.append_batch(log.where(~even), path, 1)
-    return t.spark.read.parquet(path).drop("batch_id")
+    return t.spark.read.parquet(path).drop("run", "batch_id")
 
 
 @query("k5_table_overwrite", """
@@ -224,6 +224,6 @@ def table_overwrite(t: Tables) -> DataFrame:
 @query("k6_single_file", "SELECT r_regionkey, r_name, 1 AS n_files FROM region")
 def single_file(t: Tables) -> DataFrame:
     path = t.scratch("export")
-    sinks.export_small(t["region"], path)
+    sinks.export(t["region"], path, files=1)
     written = t.spark.read.parquet(path)
     return written.withColumn("n_files", F.lit(len(written.inputFiles())))

@@ -44,12 +44,16 @@ def replace_groups(
 
 
 def without_deleted(
-    items: DataFrame, events: DataFrame, key: str, order: Sequence[Column | str]
+    items: DataFrame, events: DataFrame, keys: Sequence[str], order: Sequence[Column | str]
 ) -> DataFrame:
-    """Items whose last event is not a delete. ``events`` has the key and ``event_name``."""
-    last = latest_per_key(events, [key], order)
-    gone = last.where(F.col("event_name") == "Deleted").select(key)
-    return spread_join(items, gone, [key], "left_anti")
+    """Items whose last event is not a delete. ``events`` has the keys and ``event_name``.
+
+    ``keys`` must name an item whole (tenant, project, section, item): item ids are
+    unique only within a section.
+    """
+    last = latest_per_key(events, keys, order)
+    gone = last.where(F.col("event_name") == "Deleted").select(*keys)
+    return spread_join(items, gone, keys, "left_anti")
 
 
 def chunked_ids(numbered: DataFrame, number: str, size: int, out: str = "chunk") -> DataFrame:

@@ -1,8 +1,10 @@
 """Writers for the raw store, the standard model and the warehouse.
 
 A feed's store keeps per entity ``log``, every load as it came, and ``current``,
-the latest state partitioned by tenant, project type and key bucket. The log is
-complete, so ``rebuild`` and ``rebuild_sections`` can make the state again.
+the latest state partitioned by tenant and key bucket. A record's project type is a
+column like others, so a record that changes its type, or an event without one, stays
+in its partition. The log is complete, so ``rebuild`` and ``rebuild_sections`` can
+make the state again. A store's bucket count is kept beside it and must not change.
 """
 
 from __future__ import annotations
@@ -21,8 +23,6 @@ from lexweave.operators.skew import spread_join
 from lexweave.sources.files import read_if_present, read_merged
 
 BUCKET = "key_bucket"
-PRUNE_LIMIT = 5_000
-EXPORT_LIMIT = 1_000_000
 GONE = T.StructField("_gone", T.BooleanType())
 
 
@@ -43,15 +43,39 @@ def write_partitioned(df: DataFrame, path: str, columns: Sequence[str]) -> None:
     _write_partitions(df, path, columns)
 
 
-def append_batch(df: DataFrame, path: str, batch_id: int) -> None:
-    """Append one batch. The same batch written again replaces itself."""
-    df.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+def batch_path(path: str, batch_id: int, run: str) -> str:
+    return f"{path}/run={run}/batch_id={batch_id}"
 
 
-def export_small(df: DataFrame, path: str) -> None:
-    """A single file if the frame is small, else as many as its size asks for."""
-    small = df.limit(EXPORT_LIMIT + 1).count() <= EXPORT_LIMIT
-    (df.coalesce(1) if small else df).write.mode("overwrite").parquet(path)
+def append_batch(df: DataFrame, path: str, batch_id: int, run: str = "0") -> str:
+    """Append one batch of a run. The same batch written again replaces itself.
+
+    Batch numbers start anew with a new checkpoint, so each run has its own folder.
+    """
+    out = batch_path(path, batch_id, run)
+    df.write.mode("overwrite").parquet(out)
+    return out
+
+
+def export(df: DataFrame, path: str, files: int | None = None) -> None:
+    """Files for use elsewhere: as many as the caller asks for, by default one a task.
+
+    The rows are dealt out anew for that, so the work before it keeps its tasks; only
+    the writing of ``files=1`` is a single task.
+    """
+    (df if files is None else df.repartition(files)).write.mode("overwrite").parquet(path)
+
+
+def _keep_layout(spark: SparkSession, path: str, buckets: int) -> None:
+    """Record a store's bucket count beside it; another count than the recorded is an error."""
+    kept = f"{path.rstrip('/')}-layout"
+    found = read_if_present(spark, kept, T.StructType.fromDDL("buckets int"))
+    if found is None:
+        spark.range(1).select(F.lit(buckets).alias("buckets")).write.parquet(kept)
+        return
+    known = found.first()["buckets"]
+    if known != buckets:
+        raise ValueError(f"the store at {path} has {known} buckets, not {buckets}")
 
 
 def _bucketed(df: DataFrame, keys: Sequence[str], buckets: int) -> DataFrame:
@@ -92,20 +116,18 @@ def _current(
 def _touched(df: DataFrame, incoming: DataFrame, columns: Sequence[str]) -> DataFrame:
     """The rows of ``df`` in the partitions ``incoming`` touches.
 
-    Partition values are literals in the filter, so untouched partitions are
-    not listed or read. Beyond the limit the same cut is made by a join alone.
+    Partition values are literals in the filter, so untouched partitions are not
+    listed or read. There is one value for each partition that the job then
+    replaces, which the driver lists in any case to commit them.
     """
     values = incoming.select(*[quoted(c).alias(f"_t_{c}") for c in columns]).distinct()
-    same = [quoted(c).eqNullSafe(F.col(f"_t_{c}")) for c in columns]
-    rows = values.limit(PRUNE_LIMIT + 1).collect()
-    if len(rows) > PRUNE_LIMIT:
-        return df.join(values, same, "left_semi")
+    rows = values.collect()
     for name in columns:
         seen = {r[f"_t_{name}"] for r in rows}
         known = quoted(name).isin(sorted(v for v in seen if v is not None))
         df = df.where(known | quoted(name).isNull() if None in seen else known)
-    listed = df.sparkSession.createDataFrame(rows, values.schema)
-    return df.join(F.broadcast(listed), same, "left_semi")
+    same = [quoted(c).eqNullSafe(F.col(f"_t_{c}")) for c in columns]
+    return df.join(df.sparkSession.createDataFrame(rows, values.schema), same, "left_semi")
 
 
 def _write_partitions(df: DataFrame, path: str, columns: Sequence[str]) -> None:
@@ -139,6 +161,7 @@ def upsert(
     if outside:
         raise ValueError(f"partition columns {outside} must be part of the key")
     columns = [*partition_by, BUCKET]
+    _keep_layout(incoming.sparkSession, path, buckets)
     incoming = _bucketed(incoming, keys, buckets)
     current = _current(incoming, path, columns, _stored(schema))
     if current is not None:
@@ -161,19 +184,23 @@ def replace_sections(
     Partitions are bucketed by group, so a batch rewrites only the buckets of
     its groups; a huge group is still written by many tasks. ``refreshed`` has
     the partition columns and the group columns, none of them null; groups of
-    different partitions are different groups.
+    different partitions are different groups. A group that ``incoming`` holds is
+    refreshed too, so every partition that is written has been read.
     """
     columns = [*partition_by, BUCKET]
+    _keep_layout(incoming.sparkSession, path, buckets)
     incoming = _bucketed(incoming, group, buckets)
-    refreshed = _bucketed(refreshed, group, buckets)
+    keys = [*partition_by, *group]
+    groups = refreshed.select(*keys).unionByName(incoming.select(*keys)).distinct()
+    groups = _bucketed(groups, group, buckets)
     current = _current(incoming, path, columns, _stored(schema, GONE))
     if current is None:
         return _write_partitions(incoming.withColumn("_gone", F.lit(False)), path, columns)
-    old = _touched(current, refreshed, columns).where(~F.col("_gone")).drop("_gone")
-    merged = replace_groups(old, incoming, [*partition_by, *group], refreshed)
+    old = _touched(current, groups, columns).where(~F.col("_gone")).drop("_gone")
+    merged = replace_groups(old, incoming, keys, groups)
     # A partition left without rows would have no new file to take its place, so
     # every touched one gets a marker row that readers drop.
-    touched = refreshed.select(*columns).distinct().withColumn("_gone", F.lit(True))
+    touched = groups.select(*columns).distinct().withColumn("_gone", F.lit(True))
     marked = merged.withColumn("_gone", F.lit(False)).unionByName(
         touched, allowMissingColumns=True
     )
@@ -204,8 +231,9 @@ def rebuild(
     buckets: int = 64,
 ) -> None:
     """Make the current state again from the whole log."""
+    _keep_layout(spark, path, buckets)
     log = _bucketed(read_merged(spark, log_path), keys, buckets)
-    last = latest_per_key(log, [*keys, BUCKET], order).drop("batch_id")
+    last = latest_per_key(log, [*keys, BUCKET], order).drop("run", "batch_id")
     _write_partitions(last, path, [*partition_by, BUCKET])
 
 
@@ -218,14 +246,17 @@ def rebuild_sections(
     partition_by: Sequence[str],
     buckets: int = 64,
 ) -> None:
-    """Make a section store again: each group's rows are those of its last refresh."""
+    """Make a section store again: each group's rows are those of its last refresh.
+
+    Both logs carry ``load_id``, which grows over all runs.
+    """
+    _keep_layout(spark, path, buckets)
     keys = [*partition_by, *group]
-    last = read_merged(spark, refreshed_path).groupBy(*keys).agg(
-        F.max("batch_id").alias("batch_id")
-    )
-    rows = spread_join(read_merged(spark, log_path), last, [*keys, "batch_id"], "inner")
-    rows = _bucketed(rows.drop("batch_id"), group, buckets).withColumn("_gone", F.lit(False))
-    marks = _bucketed(last.drop("batch_id"), group, buckets)
+    last = read_merged(spark, refreshed_path).groupBy(*keys).agg(F.max("load_id").alias("load_id"))
+    log = read_merged(spark, log_path).drop("run", "batch_id")
+    rows = spread_join(log, last, [*keys, "load_id"], "inner")
+    rows = _bucketed(rows, group, buckets).withColumn("_gone", F.lit(False))
+    marks = _bucketed(last, group, buckets)
     columns = [*partition_by, BUCKET]
     marks = marks.select(*columns).distinct().withColumn("_gone", F.lit(True))
     _write_partitions(rows.unionByName(marks, allowMissingColumns=True), path, columns)

@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lexweave.functions.flatten import flat_id
-from lexweave.operators.skew import spread_join
 
 
 def _with_id(df: DataFrame, source: str, target: str) -> Column:
@@ -105,7 +104,7 @@ def section_list(pages: DataFrame) -> DataFrame:
 
 def with_ids(records: DataFrame, ids: DataFrame, key: str) -> DataFrame:
     """The records an id list names, however often it names them."""
-    return spread_join(records, ids.select(key).distinct(), [key], "left_semi")
+    return records.join(ids.select(key).distinct(), key, "left_semi")
 
 
 def lead_ids(lead_rows: DataFrame) -> DataFrame:

@@ -1,11 +1,14 @@
 """The change feed: micro-batches of events into the raw store.
 
-Each batch is written under its own id, and a batch that runs again replaces
-what it wrote, so a restart neither loses nor repeats rows.
+Each batch is written under its run and id, and a batch that runs again replaces
+what it wrote, so a restart neither loses nor repeats rows. A new checkpoint starts
+a new run beside the former ones; loads are ordered by the time they were made.
 """
 
 from __future__ import annotations
 
+import inspect
+import time
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
@@ -17,12 +20,24 @@ from pyspark.sql.streaming.query import StreamingQuery
 from lexweave.operators.phases import PROJECT, current_phase
 from lexweave.operators.skew import spread_join
 from lexweave.sinks.tables import append_batch, replace_sections, upsert
-from lexweave.streaming.events import normalise, phase_log, route_leads, routed, subscribed
+from lexweave.streaming.events import (
+    normalise,
+    phase_log,
+    route_leads,
+    routed,
+    subscribed,
+    with_project_type,
+)
+
+Loader = Callable[..., DataFrame]
+
+PARTITIONS = ["org_id"]
+ALL_NOW = {"availableNow": True}
 
-Loader = Callable[[SparkSession], DataFrame]
 
-PARTITIONS = ["org_id", "project_type_id"]
-ALL_NOW = {"availableNow": True}
+def run_of(batch: DataFrame) -> str:
+    """The run a batch belongs to: its query, which a checkpoint keeps over restarts."""
+    return batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or "0"
 
 
 @dataclass
@@ -30,58 +45,65 @@ class CaseFeed:
     """Applies case-system events under ``root``.
 
     ``loaders`` give the landed, flattened records of a route (``project``,
-    ``form`` or ``collections``) with ``org_id``, ``project_type_id``,
-    ``project_id`` and ``section``; collections also have ``id``. ``schemas``
-    may declare a route's stored columns, ``event_timestamp`` and ``load_id``
-    included. ``log`` and ``refreshed`` keep every load, to rebuild ``current``.
+    ``form`` or ``collections``) with ``org_id``, ``project_id`` and ``section``,
+    and their own ``project_type_id``: the type that is stored is the record's,
+    whatever the event says or leaves out. Collections also have ``id``. A loader
+    that takes a second argument gets the batch's keys (``org_id``, ``project_id``,
+    ``section``), to read no more than it must. ``schemas`` may declare a route's
+    stored columns, ``event_timestamp`` and ``load_id`` included. ``log`` and
+    ``refreshed`` keep every load, to rebuild ``current``. ``projects`` gives the
+    type of projects whose phase events come without one.
     """
 
     root: str
     loaders: dict[str, Loader] = field(default_factory=dict)
     schemas: dict[str, T.StructType] = field(default_factory=dict)
     buckets: int = 64
+    projects: Callable[[SparkSession], DataFrame] | None = None
 
     def apply(self, batch: DataFrame, batch_id: int) -> None:
+        normal = normalise(subscribed(batch))
+        if self.projects is not None:
+            normal = with_project_type(normal, self.projects(batch.sparkSession))
         # Several writes read the batch; the event's whole text is not kept for them.
-        events = routed(normalise(subscribed(batch))).drop("webhook_body").persist()
+        events = routed(normal).drop("webhook_body").persist()
+        run = run_of(batch)
         try:
             phases = phase_log(events)
-            append_batch(phases, f"{self.root}/phases", batch_id)
+            append_batch(phases, f"{self.root}/phases", batch_id, run)
             for name, loader in self.loaders.items():
-                self._refresh(name, loader(batch.sparkSession), events, batch_id)
+                self._refresh(name, loader, events, batch_id, run)
         finally:
             events.unpersist()
 
-    def _refresh(self, name: str, records: DataFrame, events: DataFrame, batch_id: int) -> None:
+    def _refresh(
+        self, name: str, loader: Loader, events: DataFrame, batch_id: int, run: str
+    ) -> None:
         """Load the records again that this batch's events name."""
+        spark = events.sparkSession
         named = events.where(F.col("route") == name)
         keys = ["org_id", "project_id", "section"]
         asked = named.groupBy(*keys).agg(F.max("event_timestamp").alias("event_timestamp"))
+        takes_keys = len(inspect.signature(loader).parameters) > 1
+        records = loader(spark, asked.select(*keys)) if takes_keys else loader(spark)
         # A refresh reads the record as it is now: the later load is the newer
         # state, also when a late event asked for it.
-        fresh = spread_join(records, asked, keys, "inner").withColumn(
-            "load_id", F.lit(batch_id).cast("bigint")
-        )
+        load = F.lit(time.time_ns() // 1000).cast("bigint").alias("load_id")
+        fresh = spread_join(records, asked, keys, "inner").withColumn("load_id", load)
         # Written first and read back: the merge below then reads the batch's
         # rows as files instead of running the join again.
-        log = f"{self.root}/{name}/log"
-        append_batch(fresh, log, batch_id)
-        spark = records.sparkSession
-        landed = spark.read.parquet(f"{log}/batch_id={batch_id}")
+        written = append_batch(fresh, f"{self.root}/{name}/log", batch_id, run)
+        landed = spark.read.parquet(written)
         current = f"{self.root}/{name}/current"
         if name == "collections":
-            refreshed = named.select(*PARTITIONS, "project_id", "section").distinct()
-            append_batch(refreshed, f"{self.root}/{name}/refreshed", batch_id)
+            refreshed = asked.select(*keys, load)
+            append_batch(refreshed, f"{self.root}/{name}/refreshed", batch_id, run)
             replace_sections(
                 landed, current, ["project_id", "section"], refreshed, PARTITIONS, self.buckets,
                 self.schemas.get(name),
             )
         else:
-            record = [*PARTITIONS, "project_id", "section"]
-            upsert(
-                landed, current, record, ["load_id"], PARTITIONS, self.buckets,
-                self.schemas.get(name),
-            )
+            upsert(landed, current, keys, ["load_id"], PARTITIONS, self.buckets, self.schemas.get(name))
 
     def start(self, events: DataFrame, checkpoint: str, **trigger: object) -> StreamingQuery:
         writer = events.writeStream.option("checkpointLocation", checkpoint)
@@ -90,22 +112,42 @@ class CaseFeed:
 
 @dataclass
 class LeadFeed:
-    """Applies lead-system events: routed record ids per batch, unknown types apart."""
+    """Applies lead-system events under ``root``; unknown types are kept apart.
+
+    ``loaders`` give the landed, flattened records of ``leaddetail``, ``contact`` or
+    ``opportunities`` with their ``Id``; what an event names is loaded again and
+    upserted by id, the later load winning. As in ``CaseFeed`` a loader may take the
+    batch's ids as a second argument.
+    """
 
     root: str
+    loaders: dict[str, Loader] = field(default_factory=dict)
+    buckets: int = 64
 
     def apply(self, batch: DataFrame, batch_id: int) -> None:
         events = route_leads(batch).persist()
+        run = run_of(batch)
         try:
             known = events.where(F.col("entity") != "quarantine")
-            append_batch(
-                known.select("entity", "record_id").distinct(), f"{self.root}/refresh", batch_id
-            )
+            ids = known.select("entity", "record_id").distinct()
+            append_batch(ids, f"{self.root}/refresh", batch_id, run)
             unknown = events.where(F.col("entity") == "quarantine").select(*batch.columns)
-            append_batch(unknown, f"{self.root}/quarantine", batch_id)
+            append_batch(unknown, f"{self.root}/quarantine", batch_id, run)
+            for name, loader in self.loaders.items():
+                self._refresh(name, loader, ids.where(F.col("entity") == name), batch_id, run)
         finally:
             events.unpersist()
 
+    def _refresh(self, name: str, loader: Loader, ids: DataFrame, batch_id: int, run: str) -> None:
+        spark = ids.sparkSession
+        asked = ids.select(F.col("record_id").alias("Id")).dropna()
+        takes_keys = len(inspect.signature(loader).parameters) > 1
+        records = loader(spark, asked) if takes_keys else loader(spark)
+        load = F.lit(time.time_ns() // 1000).cast("bigint")
+        fresh = records.join(asked, "Id", "left_semi").withColumn("load_id", load)
+        landed = spark.read.parquet(append_batch(fresh, f"{self.root}/{name}/log", batch_id, run))
+        upsert(landed, f"{self.root}/{name}/current", ["Id"], ["load_id"], [], self.buckets)
+
     def start(self, events: DataFrame, checkpoint: str, **trigger: object) -> StreamingQuery:
         writer = events.writeStream.option("checkpointLocation", checkpoint)
         return writer.foreachBatch(self.apply).trigger(**(trigger or ALL_NOW)).start()

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows
+from lexweave.operators.latest import without_deleted
 from lexweave.sinks.tables import read_current, read_phase_log, rebuild_sections
 from lexweave.streaming import events as ev
 from lexweave.streaming import feed
@@ -235,7 +236,7 @@ def test_lead_feed(spark, scratch):
     root, mark, landing = scratch("root"), scratch("mark"), scratch("landing")
     land(landing, "b0", {"EventType": "Lead Edited", "LeadId": 1}, {"EventType": "Odd", "LeadId": 2})
     finish(feed.LeadFeed(root).start(ev.read_events(spark, landing, ev.LEAD_EVENT_SCHEMA), mark))
-    assert rows(spark.read.parquet(f"{root}/refresh").drop("batch_id")) == [("leaddetail", 1)]
+    assert rows(spark.read.parquet(f"{root}/refresh").drop("run", "batch_id")) == [("leaddetail", 1)]
     assert spark.read.parquet(f"{root}/quarantine").first().EventType == "Odd"
 
 
@@ -247,3 +248,96 @@ def test_current_phase_stream_with_late_files(spark, scratch):
         finish(feed.stream_current_phase(ev.read_events(spark, landing), out, mark))
     state = read_current(spark, out).select("project_id", "current_phase", "since_ts")
     assert rows(state) == [(10, "Demand", PHASE["Timestamp"])]
+
+
+@pytest.mark.parametrize("event_type", [None, 7, 18])
+def test_events_without_the_records_type_lose_nothing(spark, scratch, event_type):
+    """The stored type is the record's; other projects of the bucket stay."""
+    root, mark, landing, landed = (scratch(n) for n in ("root", "mark", "landing", "landed"))
+    items = [item(p, n, "a") for p in range(20) for n in (1, 2)]
+    land(landed, "meds", *items)
+    runner = feed.CaseFeed(root, {"collections": collection(spark, landed)}, buckets=1)
+    land(landing, "b0", *[{**ITEM, "ProjectId": p} for p in range(20)])
+    finish(runner.start(ev.read_events(spark, landing), mark))
+    land(landed, "meds", *items[1:])
+    odd = {**ITEM, "ObjectId": {**ITEM["ObjectId"], "ProjectTypeId": event_type}, "ProjectId": 0}
+    land(landing, "b1", odd)
+    finish(runner.start(ev.read_events(spark, landing), mark))
+    out = read_current(spark, f"{root}/collections/current").select("project_id", "id", "project_type_id")
+    assert rows(out) == sorted(((p, n, 18) for p in range(20) for n in (1, 2) if (p, n) != (0, 1)), key=repr)
+
+
+def test_a_project_that_changes_its_type_is_there_once(spark, scratch):
+    root, mark, landing, landed = (scratch(n) for n in ("root", "mark", "landing", "landed"))
+    schema = "org_id bigint, project_type_id bigint, project_id bigint, section string, fee string"
+    runner = feed.CaseFeed(root, {
+        "form": lambda _: spark.read.json(landed, schema=schema),
+        "collections": collection(spark, f"{landed}-items"),
+    })
+    for number, kind in enumerate((18, 19)):
+        land(landed, "f", {"org_id": 6, "project_type_id": kind, "project_id": 11, "section": "intake", "fee": "1"})
+        land(f"{landed}-items", "i", {**item(11, 1, "a"), "project_type_id": kind})
+        land(landing, f"b{number}", {**FORM, "Timestamp": number}, {**ITEM, "ProjectId": 11, "Timestamp": number})
+        finish(runner.start(ev.read_events(spark, landing), mark))
+    for name in ("form", "collections"):
+        out = read_current(spark, f"{root}/{name}/current").select("project_id", "project_type_id")
+        assert rows(out) == [(11, 19)], name
+
+
+def test_a_new_checkpoint_keeps_the_newest_state_and_all_logs(spark, scratch):
+    root, landing, landed = scratch("root"), scratch("landing"), scratch("landed")
+    schema = "org_id bigint, project_type_id bigint, project_id bigint, section string, fee string"
+    runner = feed.CaseFeed(root, {"form": lambda _: spark.read.json(landed, schema=schema)})
+    for number, fee in enumerate(("first", "second")):
+        land(landed, "f", {"org_id": 6, "project_type_id": 18, "project_id": 11, "section": "intake", "fee": fee})
+        land(landing, f"b{number}", {**FORM, "Timestamp": number}, {**PHASE, "Timestamp": number})
+        finish(runner.start(ev.read_events(spark, landing), scratch("mark")))
+    assert [r.fee for r in read_current(spark, f"{root}/form/current").collect()] == ["second"]
+    assert sorted(r.fee for r in spark.read.parquet(f"{root}/form/log").collect()) == ["first", "second"]
+
+
+def test_phase_events_without_a_type_take_the_projects(spark, scratch):
+    root, mark, landing = scratch("root"), scratch("mark"), scratch("landing")
+    land(landing, "b0", {**PHASE, "ObjectId": {"PhaseId": 17}})
+    projects = spark.createDataFrame([(10, 5, 6)], "projectId long, projectTypeId long, orgId long")
+    runner = feed.CaseFeed(root, projects=lambda _: projects)
+    finish(runner.start(ev.read_events(spark, landing), mark))
+    assert rows(read_phase_log(spark, f"{root}/phases").select("project_id", "project_type_id")) == [(10, 5)]
+
+
+def test_a_loader_may_read_only_the_keys_of_the_batch(spark, scratch):
+    root, mark, landing, landed = (scratch(n) for n in ("root", "mark", "landing", "landed"))
+    land(landed, "meds", item(13, 1, "a"), item(14, 1, "b"))
+    asked = []
+
+    def load(_, keys):
+        asked.append(rows(keys))
+        return collection(spark, landed)(_).join(keys, ["org_id", "project_id", "section"], "left_semi")
+
+    land(landing, "b0", ITEM)
+    finish(feed.CaseFeed(root, {"collections": load}).start(ev.read_events(spark, landing), mark))
+    assert asked == [[(6, 13, "meds")]]
+    assert rows(read_current(spark, f"{root}/collections/current").select("project_id", "v")) == [(13, "a")]
+
+
+def test_deletes_stay_within_their_project(spark):
+    items = spark.createDataFrame([(6, 1, "meds", "a"), (6, 2, "meds", "a")],
+                                  "org_id long, project_id long, section string, item_id string")
+    events = items.where("project_id = 1").withColumns({"event_name": F.lit("Deleted"), "t": F.lit(1)})
+    assert rows(without_deleted(items, events, items.columns, ["t"])) == [(6, 2, "meds", "a")]
+
+
+def test_lead_feed_refreshes_records(spark, scratch):
+    root, mark, landing = scratch("root"), scratch("mark"), scratch("landing")
+    state = {"v": "old"}
+
+    def contacts(_, keys):
+        return spark.createDataFrame([(1, state["v"]), (2, state["v"])], "Id long, name string")
+
+    runner = feed.LeadFeed(root, {"contact": contacts}, buckets=2)
+    land(landing, "b0", {"EventType": "Contact Added", "ContactId": 1}, {"EventType": "Contact Edited", "ContactId": 2})
+    finish(runner.start(ev.read_events(spark, landing, ev.LEAD_EVENT_SCHEMA), mark))
+    state["v"] = "new"
+    land(landing, "b1", {"EventType": "Contact Edited", "ContactId": 2})
+    finish(runner.start(ev.read_events(spark, landing, ev.LEAD_EVENT_SCHEMA), mark))
+    assert rows(read_current(spark, f"{root}/contact/current").select("Id", "name")) == [(1, "old"), (2, "new")]

@@ -97,12 +97,6 @@ def test_contradicting_metadata_is_an_error(spark):
         flatten.field_types(meta, "s", "t", Section("all"))
 
 
-def test_metadata_that_is_no_metadata(spark):
-    meta = spark.range(flatten.METADATA_LIMIT + 1).selectExpr("string(id) s", "'Text' t")
-    with pytest.raises(ConfigError, match="not a section"):
-        flatten.field_types(meta, "s", "t", Section("all"))
-
-
 def test_whitelist_alone(spark):
     section = Section("project", ("projectId", "name"))
     assert flatten.whitelist_types(section, "projectId") == {"projectId": "int", "name": "string"}

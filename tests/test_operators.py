@@ -81,7 +81,7 @@ def test_deleted_then_created_again_survives(spark):
          ("c", "Created", 1, 5), ("c", "Deleted", 1, 6)],
         "item_id string, event_name string, ts int, arrival int",
     )
-    assert rows(latest.without_deleted(items, events, "item_id", ["ts", "arrival"])) == [("b",)]
+    assert rows(latest.without_deleted(items, events, ["item_id"], ["ts", "arrival"])) == [("b",)]
 
 
 def test_bounds_are_off_by_default(spark):

@@ -44,8 +44,7 @@ def test_upsert_with_a_null_partition_value(spark, scratch):
     assert state(spark, path) == [(None, 1, 2, "x"), (None, 2, 1, "b")]
 
 
-def test_upsert_beyond_the_prune_limit(spark, scratch, monkeypatch):
-    monkeypatch.setattr(sinks, "PRUNE_LIMIT", 2)
+def test_upsert_of_many_partitions(spark, scratch):
     path = scratch()
     many = frame(spark, *[(1, i, 1, "a") for i in range(40)])
     sinks.upsert(many, path, KEY, ["ts"], ["org"], 8)
@@ -162,6 +161,30 @@ def test_a_batch_written_twice_is_there_once(spark, scratch):
     for _ in range(2):
         sinks.append_batch(spark.range(3), path, 7)
     assert spark.read.parquet(path).count() == 3
+    # A new run numbers its batches anew and leaves the former run's.
+    sinks.append_batch(spark.range(2), path, 7, "other")
+    assert spark.read.parquet(path).count() == 5
+
+
+def test_another_bucket_count_is_refused(spark, scratch):
+    path = scratch()
+    sinks.upsert(frame(spark, (1, 1, 1, "a")), path, KEY, ["ts"], ["org"], 4)
+    with pytest.raises(ValueError, match="4 buckets, not 8"):
+        sinks.upsert(frame(spark, (1, 1, 2, "b")), path, KEY, ["ts"], ["org"], 8)
+    assert state(spark, path) == [(1, 1, 1, "a")]
+
+
+def test_a_group_in_a_partition_that_was_not_asked_for(spark, scratch):
+    """Rows of a group that comes along unasked replace it and leave its neighbours."""
+    path = scratch()
+    items = spark.createDataFrame([(1, 1, "a"), (1, 2, "b"), (2, 1, "c"), (2, 2, "d")],
+                                  "org int, project int, v string")
+    groups = items.select("org", "project")
+    sinks.replace_sections(items, path, ["project"], groups, ["org"], 1)
+    new = spark.createDataFrame([(2, 1, "x")], items.schema)
+    sinks.replace_sections(new, path, ["project"], groups.where("org = 1 AND project = 1"), ["org"], 1)
+    out = sinks.read_current(spark, path).select("org", "project", "v")
+    assert rows(out) == [(1, 2, "b"), (2, 1, "x"), (2, 2, "d")]
 
 
 def test_rebuild_from_the_log(spark, scratch):
@@ -172,12 +195,11 @@ def test_rebuild_from_the_log(spark, scratch):
     assert state(spark, path) == [(1, 1, 2, "x"), (1, 2, 1, "b")]
 
 
-def test_export(spark, scratch, monkeypatch):
+def test_export(spark, scratch):
     path, df = scratch(), spark.range(0, 100, 1, 4)
-    sinks.export_small(df, path)
+    sinks.export(df, path, files=1)
     assert len(spark.read.parquet(path).inputFiles()) == 1
-    monkeypatch.setattr(sinks, "EXPORT_LIMIT", 10)
-    sinks.export_small(df, path)
+    sinks.export(df, path)
     assert len(spark.read.parquet(path).inputFiles()) == 4
     assert spark.read.parquet(path).count() == 100
 
