@@ -32,6 +32,32 @@ query("a7_posts_by_hour", """
     SELECT CAST(hour(PostDate) AS INT) AS Hour, CAST(PostDate AS DATE) AS Hours_Date,
       count(*) AS Posts FROM {posts} GROUP BY 1, 2""")(lambda t: marts.posts_by_hour(t.posts()))
 
+@query("a8_case_value_cluster_order", """
+    SELECT k, (SELECT count(DISTINCT o_totalprice) FROM orders) AS n_values, k AS n_labels, true AS ascending,
+      true AS within_bounds
+    FROM (SELECT unnest([2, 3, 4, 5, 6, 7]) AS k)""")
+def cluster_order(t: Tables) -> DataFrame:
+    """What holds for the clusters of any fit: every value once, labels that ascend with it, bounds around it."""
+    out = marts.case_value_clusters(t["orders"], "o_totalprice")
+    value = F.col("final_value")
+    inside = value.between(F.col("clusters_lower_bound"), F.col("clusters_upper_bound"))
+    rows = []
+    for k in range(2, 8):
+        label = f"clusters_{k}"
+        ends = out.groupBy(label).agg(
+            F.min("final_value").alias("low"), F.max("final_value").alias("high"),
+            F.count(F.lit(1)).alias("n"), F.min(inside).alias("inside"))
+        # At most seven rows from here on.
+        ordered = F.sort_array(F.collect_list(F.struct(label, "low", "high")))
+        apart = F.forall(
+            F.sequence(F.lit(1), F.size("o") - 1),
+            lambda i: F.get("o", i)["low"] > F.get("o", i - 1)["high"])
+        rows.append(ends.agg(ordered.alias("o"), F.sum("n").alias("n"), F.min("inside").alias("inside")).select(
+            F.lit(k).alias("k"), F.col("n").alias("n_values"), F.size("o").cast("bigint").alias("n_labels"),
+            apart.alias("ascending"), F.col("inside").alias("within_bounds")))
+    return union_all(rows)
+
+
 query("a8_case_value_clusters")(
     lambda t: marts.case_value_clusters(t["orders"], "o_totalprice"))
 
@@ -82,6 +108,8 @@ def row_counts(t: Tables, paths: dict[str, str]) -> DataFrame:
 
 @query("t14_lead_load", """
     SELECT 'statuses' AS table_name, count(*) AS n_rows FROM region
+    UNION ALL SELECT 'leadsource', count(*) FROM nation
+    UNION ALL SELECT 'casetype', count(*) FROM part
     UNION ALL SELECT 'leadrow', count(*) FROM orders
     UNION ALL SELECT 'leaddetail', count(*) FROM orders
     UNION ALL SELECT 'contact', count(*) FROM customer
@@ -89,16 +117,17 @@ def row_counts(t: Tables, paths: dict[str, str]) -> DataFrame:
     UNION ALL SELECT 'referrals', count(*) FROM nation
     UNION ALL SELECT 'users', count(*) FROM supplier""")
 def lead_load(t: Tables) -> DataFrame:
-    landed = {
-        "statuses": t["statuses"],
-        "leadrow": t["leadrow"],
-        "leaddetail": t.raw_lead_details(),
-        "contact": t.raw_lead_contacts(),
-        "opportunities": t.raw_opportunities(),
-        "referrals": t.raw_referrals(),
-        "users": t.raw_users(),
-    }
-    return row_counts(t, jobs.load_leads(landed, lead_whitelist("acme"), t.scratch("lead")))
+    paths = jobs.load_leads(t.landed_leads(), lead_whitelist("acme"), t.scratch("lead"))
+    return row_counts(t, paths)
+
+
+@query("t14_lead_load_details", """
+    SELECT o_orderkey AS Id, o_orderstatus AS Status, o_custkey AS Contact FROM orders""")
+def lead_load_details(t: Tables) -> DataFrame:
+    """What the load stored of the lead details, not only how many."""
+    landed = {"leaddetail": t.raw_lead_details()}
+    paths = jobs.load_leads(landed, lead_whitelist("acme"), t.scratch("lead"))
+    return t.spark.read.parquet(paths["leaddetail"]).select("Id", "Status", "Contact")
 
 
 @query("t15_case_load", """

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -12,7 +14,7 @@ from lexweave.catalogue.scans import (
     project_types,
     section_metadata,
 )
-from lexweave.config.model import Section, TargetField, TargetTable, load_mapping
+from lexweave.config.model import ConfigError, Section, TargetField, TargetTable, load_mapping
 from lexweave.config.standard_model import standard_mapping
 from lexweave.config.whitelists import case_whitelist, lead_whitelist
 from lexweave.fixtures import ORG, Tables
@@ -126,38 +128,69 @@ def mapped_builder(t: Tables) -> DataFrame:
 # Schema selection ---------------------------------------------------------
 
 
-def names_and_types(t: Tables, types: dict[str, str]) -> DataFrame:
-    """The selected schema as rows, each with the records it was applied to."""
-    pairs = F.array(*[
-        F.struct(F.lit(n).alias("field"), F.lit(k).alias("field_type")) for n, k in types.items()
-    ])
-    return t["contact"].agg(F.count(F.lit(1)).alias("n_records")).select(
-        F.inline(pairs), "n_records"
-    )
-
-
-@query("p1_contact_schema", """
-    SELECT unnest(['firstName', 'lastName', 'personId', 'personTypes']) AS field,
-      unnest(['Text', 'Text', 'Id', 'StringList']) AS field_type, count(*) AS n_records
-    FROM customer""")
+@query("p1_contact_schema", "SELECT personId, firstName, lastName, personTypes FROM {contact}")
 def contact_schema(t: Tables) -> DataFrame:
     selectors = F.array(*map(F.lit, ["firstName", "custom.lastName", "custom.shoeSize"]))
     meta = t["contact"].select(F.explode(selectors).alias("selector"), F.lit("Text").alias("value"))
     section = case_whitelist().section("contact")
     declared = flatten.field_types(meta, "selector", "value", section)
-    return names_and_types(t, flatten.contact_types(declared))
+    return flatten.flatten(t.raw_contacts(), flatten.contact_types(declared))
 
 
 @query("p2_section_schema", f"""
-    SELECT field, field_type, (SELECT count(*) FROM customer) AS n_records FROM (
-      SELECT concat('f', CAST(p_partkey AS VARCHAR)) AS field, {PART_TYPE} AS field_type
-      FROM part WHERE p_partkey IN (1, 2, 3, 4, 14)
-      UNION ALL SELECT 'projectId', 'int')""")
+    SELECT concat('f', CAST(p_partkey AS VARCHAR)) AS field, {PART_TYPE} AS field_type
+    FROM part WHERE p_partkey IN (1, 2, 3, 4, 14)""")
 def section_schema(t: Tables) -> DataFrame:
+    """The declared fields that the whitelist names, as the metadata types them."""
     section = Section("intake", ("f1", "f2", "f3", "f4", "f14", "f999999999"))
     meta = records.section_fields(section_metadata(t))
     declared = flatten.field_types(meta, "fieldSelector", "customFieldType", section)
-    return names_and_types(t, flatten.selected_types(declared, "projectId"))
+    chosen = flatten.selected_types(declared, "projectId")
+    name, kind = bare_selector(F.col("fieldSelector")), F.col("customFieldType")
+    named = meta.select(name.alias("field"), kind.alias("field_type"))
+    return named.where(F.col("field").isin(*chosen))
+
+
+@query("x2_registered_rule", """
+    SELECT l_orderkey AS projectId, concat('<', l_returnflag, '>') AS note FROM lineitem""")
+def registered_rule(t: Tables) -> DataFrame:
+    """A field type of a practice's own, flattened by its own rule."""
+    flatten.register_rule("Bracketed", lambda c, _: F.concat(F.lit("<"), c, F.lit(">")))
+    return flatten.flatten(t.raw_people_fields(), {"projectId": "ProjectId", "note": "Bracketed"})
+
+
+@query("x5_tenant_override", """
+    SELECT phaseName AS Stage, projectId AS Case_ID FROM {project}""")
+def tenant_override(t: Tables) -> DataFrame:
+    """One customer's own table in place of the common one."""
+    common = model().mapping
+    own = table(data("Stage", "phaseName"), data("Case_ID", "projectId"))
+    mapping = common.with_overrides({"Cases": own})
+    assert common.table("Cases") != own
+    return build(t["project"], mapping.table("Cases"), mapping.org_id)
+
+
+@query("p25_missing_source", """
+    SELECT projectId AS Case_ID, CAST(NULL AS VARCHAR) AS Nickname FROM {project}""")
+def missing_source(t: Tables) -> DataFrame:
+    """A source field that the records lack is an error, or a null where that is asked for."""
+    own = table(data("Case_ID", "projectId"), data("Nickname", "nickname"))
+    try:
+        build(t["project"], own, ORG)
+    except ConfigError:
+        return build(t["project"], own, ORG, strict=False)
+    raise AssertionError("a missing source field must be an error")
+
+
+@query("t1_tenant_types", """
+    SELECT org AS tenant, token AS People_Type, dense_rank() OVER (ORDER BY org, token) - 1 AS People_Type_Id
+    FROM (SELECT DISTINCT personId % 3 AS org, unnest(string_split(personTypes, '|')) AS token
+      FROM {contact}) WHERE token <> ''""")
+def tenant_types(t: Tables) -> DataFrame:
+    """Person types of several tenants in one frame."""
+    several = StandardModel(replace(standard_mapping(ORG), org_id=F.col("org")))
+    types = several.people_types(t["contact"].withColumn("org", F.col("personId") % 3))
+    return types.select(F.col(types.columns[1]).alias("tenant"), "People_Type", "People_Type_Id")
 
 
 @query("p3_whitelist_schema", """

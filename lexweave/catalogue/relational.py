@@ -44,10 +44,11 @@ def lead_contact_lookup(t: Tables) -> DataFrame:
 
 
 @query("j4_project_sections", """
-    SELECT p.projectId, p.phaseName, m.type, m.valueTotal FROM {project} p
-    JOIN {meds} m ON p.projectId = m.projectId WHERE p.projectTypeId = 1""")
+    SELECT p.projectTypeId, p.projectId, p.phaseName, m.type, m.valueTotal FROM {project} p
+    JOIN {meds} m ON p.projectId = m.projectId""")
 def project_sections(t: Tables) -> DataFrame:
-    chosen = records.projects_of_type(t["project"], 1).select("projectId", "phaseName")
+    """The sections of every project, whatever its type."""
+    chosen = t["project"].select("projectTypeId", "projectId", "phaseName")
     items = t["meds"].select("projectId", "type", "valueTotal")
     return chosen.join(items, "projectId")
 

@@ -271,13 +271,22 @@ def section_list(t: Tables) -> DataFrame:
 
 
 @query("s15_lead_tables", """
-    SELECT unnest(['statuses', 'leadsource', 'casetype', 'leadrow', 'leaddetail', 'contact',
-      'opportunities', 'referrals', 'users']) AS section_name, count(*) AS n_leads FROM orders""")
+    SELECT 'statuses' AS section_name, count(*) AS n_rows FROM region
+    UNION ALL SELECT 'leadsource', count(*) FROM nation
+    UNION ALL SELECT 'casetype', count(*) FROM part
+    UNION ALL SELECT 'leadrow', count(*) FROM orders
+    UNION ALL SELECT 'leaddetail', count(*) FROM orders
+    UNION ALL SELECT 'contact', count(*) FROM customer
+    UNION ALL SELECT 'opportunities', count(*) FROM orders WHERE o_orderkey % 4 <> 0
+    UNION ALL SELECT 'referrals', count(*) FROM nation
+    UNION ALL SELECT 'users', count(*) FROM supplier""")
 def lead_tables(t: Tables) -> DataFrame:
-    names = F.explode(F.array(*map(F.lit, snapshots.LEAD_TABLES)))
-    return t["leadrow"].agg(F.count(F.lit(1)).alias("n_leads")).select(
-        names.alias("section_name"), "n_leads"
-    )
+    """The lead system's tables, each with its landed rows."""
+    landed = t.landed_leads()
+    return files.union_all([
+        landed[name].agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(name).alias("section_name"), "n_rows")
+        for name in snapshots.LEAD_TABLES
+    ])
 
 
 @query("s16_record_by_id", """

@@ -24,7 +24,7 @@ def conformed_cases(t: Tables) -> DataFrame:
 
 
 CASES_SQL = """
-    SELECT 101 AS Platform_Org_ID, '101' AS Client_Org_ID, CAST(projectId AS INT) AS Case_ID,
+    SELECT 101 AS Platform_Org_ID, '101' AS Client_Org_ID, projectId AS Case_ID,
       projectTypeId AS Practice_Type_ID, isArchived AS Is_Archived,
       incidentDate AS Date_of_Incident FROM {project}"""
 
@@ -73,6 +73,60 @@ query("c4_unique", """
     lambda t: checks.duplicate_keys(
         t["phase_dim"].withColumnRenamed("name", "Phase_Name"), ["Phase_Name"]))
 
+def odd_cases(t: Tables) -> DataFrame:
+    """Cases with ids above 2^31 and dates that are none."""
+    key = F.col("o_orderkey")
+    return t["orders"].select(
+        F.lit(ORG).alias("Platform_Org_ID"), F.lit("101").alias("Client_Org_ID"),
+        (key + F.lit(3_000_000_000)).alias("Case_ID"), (key % 5).alias("Practice_Type_ID"),
+        F.when(key % 3 == 0, "maybe").otherwise("true").alias("Is_Archived"),
+        F.when(key % 7 == 0, "soon").otherwise("2024-01-31").alias("Date_of_Incident"),
+    )
+
+
+query("c1_wide_ids_and_lost_casts", """
+    SELECT o_orderkey + 3000000000 AS Case_ID,
+      CASE WHEN o_orderkey % 3 <> 0 THEN true END AS Is_Archived,
+      CASE WHEN o_orderkey % 7 <> 0 THEN DATE '2024-01-31' END AS Date_of_Incident
+    FROM orders""")(
+    lambda t: checks.conform(odd_cases(t), warehouse_table("CMS_Cases")).select(
+        "Case_ID", "Is_Archived", "Date_of_Incident"))
+
+query("c1_cast_violations", """
+    SELECT 'CMS_Cases' AS table_name, 'cast' AS check, c AS column_name, v AS violations FROM (
+      SELECT unnest(['Platform_Org_ID', 'Case_ID', 'Practice_Type_ID', 'Is_Archived', 'Date_of_Incident']) AS c,
+        unnest([0, 0, 0, count(*) FILTER (o_orderkey % 3 = 0), count(*) FILTER (o_orderkey % 7 = 0)]) AS v
+      FROM orders) WHERE c IN ('Is_Archived', 'Date_of_Incident')""")(
+    lambda t: checks.check_values(odd_cases(t), warehouse_table("CMS_Cases"), ["cast"])
+    .where(F.col("column_name").isin("Is_Archived", "Date_of_Incident")))
+
+query("c1_rejected_rows", """
+    SELECT o_orderkey + 3000000000 AS Case_ID, concat_ws(',',
+      CASE WHEN o_orderkey % 3 = 0 THEN 'Is_Archived' END,
+      CASE WHEN o_orderkey % 7 = 0 THEN 'Date_of_Incident' END) AS bad
+    FROM orders WHERE o_orderkey % 3 = 0 OR o_orderkey % 7 = 0""")(
+    lambda t: checks.rejected(odd_cases(t), warehouse_table("CMS_Cases")).select(
+        "Case_ID", F.concat_ws(",", "bad_columns").alias("bad")))
+
+
+@query("c8_column_drift", """
+    SELECT 'Date_of_Incident' AS column_name, 'string' AS built, 'date' AS declared, count(*) AS n_values
+    FROM orders UNION ALL SELECT 'Is_Archived', 'string', 'boolean', count(*) FROM orders
+    UNION ALL SELECT 'Case_ID', 'bigint', 'int', count(*) FROM orders
+    UNION ALL SELECT 'Practice_Type_ID', 'bigint', 'int', count(*) FROM orders""")
+def column_drift(t: Tables) -> DataFrame:
+    """Columns whose built and declared types differ, with the values that this touches."""
+    built = odd_cases(t)
+    drift = checks.column_drift(built.schema, warehouse_table("CMS_Cases"))
+    wanted = ("Date_of_Incident", "Is_Archived", "Case_ID", "Practice_Type_ID")
+    rows = [
+        F.struct(F.lit(n).alias("column_name"), F.lit(b).alias("built"), F.lit(d).alias("declared"),
+                 F.count(F.col(n)).alias("n_values"))
+        for n, b, d in drift if n in wanted
+    ]
+    return built.agg(F.array(*rows).alias("rows")).select(F.inline("rows"))
+
+
 ORDER_KEY = ForeignKey(("l_orderkey",), "orders", ("o_orderkey",))
 
 query("c5_orphans", """
@@ -135,7 +189,7 @@ def warehouse_load(t: Tables) -> DataFrame:
 TENANT = "101 AS Platform_Org_ID, 'acme' AS Client_Org_ID"
 
 query("t12_crm_users", f"""
-    SELECT {TENANT}, CAST(s_suppkey AS INT) AS UserID, split_part(s_name, '#', 1) AS FirstName,
+    SELECT {TENANT}, s_suppkey AS UserID, split_part(s_name, '#', 1) AS FirstName,
       split_part(s_name, '#', 2) AS LastName, concat(s_name, '@x.org') AS Email,
       CAST(s_nationkey AS VARCHAR) AS Code, 'staff' AS CRM_Roles, 'read' AS CRM_Permissions
     FROM supplier""")(lambda t: crm_table("users", t.raw_users(), ORG, "acme"))
@@ -155,7 +209,7 @@ query("t12_crm_lead_source", f"""
         F.col("n_nationkey").alias("Id"), F.col("n_name").alias("SourceName")), ORG, "acme"))
 
 query("t12_crm_case_type", f"""
-    SELECT {TENANT}, CAST(p_partkey AS INT) AS Id, p_type AS TypeName, p_brand AS TypeNameShort,
+    SELECT {TENANT}, p_partkey AS Id, p_type AS TypeName, p_brand AS TypeNameShort,
       p_name AS Code, p_size % 2 = 0 AS IsMassTort, CAST(NULL AS VARCHAR) AS CustomQuestionOrder
     FROM part""")(
     lambda t: crm_table("casetype", t["part"].select(
@@ -164,7 +218,7 @@ query("t12_crm_case_type", f"""
         (F.col("p_size") % 2 == 0).alias("IsMassTort")), ORG, "acme"))
 
 query("t12_crm_opportunities", f"""
-    SELECT {TENANT}, CAST(o_orderkey * 10 AS INT) AS Id, CAST(o_orderkey AS INT) AS LeadId,
+    SELECT {TENANT}, o_orderkey * 10 AS Id, o_orderkey AS LeadId,
       o_orderstatus AS LeadStatus, o_orderstatus = 'F' AS Processed,
       CAST(o_orderkey % 7 AS VARCHAR) AS CustomFields,
       CASE WHEN o_orderkey % 3 = 0 THEN '' ELSE concat('Ann ', o_orderstatus) END AS AssignedTo,

@@ -47,7 +47,7 @@ class TargetTable:
 
 @dataclass(frozen=True)
 class Mapping:
-    org_id: int | str | None
+    org_id: object  # a value, or a column of frames that hold several tenants
     tables: dict[str, TargetTable]
 
     def table(self, name: str) -> TargetTable:

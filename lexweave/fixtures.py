@@ -222,6 +222,24 @@ class Tables:
             ).alias("CustomFields"),
         )
 
+    def landed_leads(self) -> dict[str, DataFrame]:
+        """Every entity of the lead system as it lands."""
+        return {
+            "statuses": self["statuses"],
+            "leadsource": self["nation"].select(
+                F.col("n_nationkey").alias("Id"), F.col("n_name").alias("SourceName")),
+            "casetype": self["part"].select(
+                F.col("p_partkey").alias("Id"), F.col("p_type").alias("TypeName"),
+                F.col("p_brand").alias("TypeNameShort"), F.col("p_name").alias("Code"),
+                (F.col("p_size") % 2 == 0).alias("IsMassTort")),
+            "leadrow": self["leadrow"],
+            "leaddetail": self.raw_lead_details(),
+            "contact": self.raw_lead_contacts(),
+            "opportunities": self.raw_opportunities(),
+            "referrals": self.raw_referrals(),
+            "users": self.raw_users(),
+        }
+
     def raw_opportunities(self) -> DataFrame:
         key = F.col("o_orderkey")
         clerk = F.struct(

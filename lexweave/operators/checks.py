@@ -25,14 +25,15 @@ def _column_name(df: DataFrame, name: str) -> str | None:
 def conform(
     df: DataFrame, table: WarehouseTable, renames: dict[str, str] | None = None
 ) -> DataFrame:
-    """The declared columns in order and type; absent ones are typed nulls."""
-    for old, new in (renames or {}).items():
-        df = df.withColumnRenamed(old, new)
+    """The declared columns in order and type; absent ones are typed nulls.
+
+    Ids are 64 bits wide whatever width is declared: sources count beyond 2^31. What a
+    cast cannot keep is counted by ``check_values`` and listed by ``rejected``.
+    """
+    df = _renamed(df, renames)
     out = []
     for field in table.schema().fields:
-        kind = "string" if isinstance(field.dataType, (T.VarcharType, T.CharType)) else (
-            field.dataType.simpleString()
-        )
+        kind = _kind(field)
         source = _column_name(df, field.name)
         if source is None:
             out.append(F.lit(None).cast(kind).alias(field.name))
@@ -46,6 +47,50 @@ def conform(
     return df.select(*out)
 
 
+def _renamed(df: DataFrame, renames: dict[str, str] | None) -> DataFrame:
+    for old, new in (renames or {}).items():
+        df = df.withColumnRenamed(old, new)
+    return df
+
+
+def _kind(field: T.StructField) -> str:
+    """The type a declared column is stored as."""
+    if isinstance(field.dataType, (T.VarcharType, T.CharType)):
+        return "string"
+    if isinstance(field.dataType, T.IntegerType) and field.name.lower().endswith("id"):
+        return "bigint"
+    return field.dataType.simpleString()
+
+
+def _cast_tests(df: DataFrame, table: WarehouseTable) -> dict[str, Column]:
+    """For each column that has another type than declared: whether its cast loses a value."""
+    tests = {}
+    for field in table.schema().fields:
+        source = _column_name(df, field.name)
+        kind = _kind(field)
+        if source is None or kind == "string" or isinstance(field.dataType, T.DecimalType):
+            continue
+        if df.schema[source].dataType.simpleString() != kind:
+            column = quoted(source)
+            tests[field.name] = column.isNotNull() & column.try_cast(kind).isNull()
+    return tests
+
+
+def rejected(
+    df: DataFrame, table: WarehouseTable, renames: dict[str, str] | None = None
+) -> DataFrame:
+    """Rows with a value that the declared type cannot hold, with ``bad_columns``."""
+    df = _renamed(df, renames)
+    tests = _cast_tests(df, table)
+    for field in table.schema().fields:
+        source = _column_name(df, field.name)
+        if source is not None and isinstance(field.dataType, T.DecimalType):
+            tests[field.name] = _out_of_range(quoted(source), df.schema[source].dataType, field.dataType)
+    named = [F.when(bad, F.lit(name)) for name, bad in tests.items()]
+    bad = F.array_compact(F.array(*named)) if named else F.array().cast("array<string>")
+    return df.withColumn("bad_columns", bad).where(F.size("bad_columns") > 0)
+
+
 def _violation_rows(df: DataFrame, table: str, tests: list[tuple[str, str, Column]]) -> DataFrame:
     """One pass: each test is a condition that counts offending rows."""
     spark = df.sparkSession
@@ -81,8 +126,8 @@ def _out_of_range(column: Column, have: T.DataType, want: T.DecimalType) -> Colu
 
 
 def check_values(df: DataFrame, table: WarehouseTable, kinds: Sequence[str] = ()) -> DataFrame:
-    """NOT NULL, text length and decimal range of all columns, in one aggregate."""
-    tests = []
+    """NOT NULL, text length, decimal range and lost casts of all columns, in one aggregate."""
+    tests = [("cast", name, bad) for name, bad in _cast_tests(df, table).items()]
     for field in table.schema().fields:
         source = _column_name(df, field.name)
         column = F.lit(None) if source is None else quoted(source)

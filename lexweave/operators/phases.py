@@ -68,10 +68,15 @@ def phase_history(
 
 
 def with_phase_id(changes: DataFrame, phases: DataFrame) -> DataFrame:
-    """Phase id by practice type and phase name; unknown phases keep a null id."""
+    """Phase id by practice type and phase name; unknown phases keep a null id.
+
+    Where ``phases`` names its tenant (``org_id``), changes match within it.
+    """
+    tenant = [c for c in ("org_id",) if c in phases.columns]
     names = phases.select(
+        *tenant,
         F.col("projectTypeId").alias("project_type_id"),
         F.col("name").alias("phase"),
         F.col("phaseId").alias("phase_id"),
     )
-    return changes.join(names, ["project_type_id", "phase"], "left")
+    return changes.join(names, [*tenant, "project_type_id", "phase"], "left")

@@ -19,6 +19,12 @@ def first_of_type(records: DataFrame, project_type: int, key: str = "projectId")
     return records.where(F.col("projectTypeId") == project_type).orderBy(key).limit(1)
 
 
+def first_form(projects: DataFrame, forms: DataFrame, project_type: int) -> DataFrame:
+    """First form of a project type; a form takes its type from its project."""
+    ids = projects.where(F.col("projectTypeId") == project_type).select("projectId")
+    return forms.join(ids, "projectId", "left_semi").orderBy("projectId").limit(1)
+
+
 def first_with_items(
     projects: DataFrame, items: DataFrame, project_type: int, order: list[str]
 ) -> DataFrame:
@@ -62,8 +68,10 @@ def snapshot(
     if system == "case":
         if entity_type == "core" and name != "project":
             return first_row(frames[name], {"contact": "personId"}.get(name, "projectTypeId"))
-        if entity_type in ("core", "form"):
+        if entity_type == "core":
             return first_of_type(frames[name], project_type)
+        if entity_type == "form":
+            return first_form(frames["project"], frames[name], project_type)
         if entity_type == "collections":
             return first_with_items(
                 frames["project"], frames[name], project_type, ["projectId", "id"]

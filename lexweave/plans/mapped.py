@@ -27,14 +27,14 @@ def missing_sources(df: DataFrame, table: TargetTable) -> list[str]:
     return sorted(s for s in sources if _resolve(df, s) is None)
 
 
-def _org(org_id: OrgId) -> Column:
+def tenant_column(org_id: OrgId) -> Column:
     return org_id if isinstance(org_id, Column) else F.lit(org_id)
 
 
 def _column(df: DataFrame, field: TargetField, org_id: OrgId, typed: bool) -> Column:
     kind = target_type(field.name, field.data_type) if typed else "string"
     if field.kind == "org":
-        return _org(org_id).alias(field.name)
+        return tenant_column(org_id).alias(field.name)
     source = _resolve(df, field.source) if field.kind == "data" else None
     if source is None:
         return F.lit(None).cast(kind).alias(field.name)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexweave.config.model import Mapping
@@ -15,7 +15,7 @@ from lexweave.functions.types import quoted
 from lexweave.operators.checks import conform
 from lexweave.operators.numbering import number_in_order
 from lexweave.operators.phases import with_phase_id
-from lexweave.plans.mapped import build
+from lexweave.plans.mapped import build, tenant_column
 
 
 class StandardModel:
@@ -48,18 +48,28 @@ class StandardModel:
         """The distinct person types with a dense id in name order.
 
         Whole texts are made distinct before they are split: contacts share few
-        combinations, so far fewer rows reach the second distinct.
+        combinations, so far fewer rows reach the second distinct. Where the tenant
+        is a column, each tenant has its own types, numbered tenant after tenant.
         """
         table = self.mapping.table("PeopleType")
         source = table.field("People_Type").source
-        texts = contact.select(quoted(source).alias("text")).distinct()
-        types = texts.select(F.explode(tokens(F.col("text"))).alias("People_Type")).distinct()
+        tenants = isinstance(self.mapping.org_id, Column)
+        own = [self.mapping.org_id.alias("_org")] if tenants else []
+        kept = ["_org"] if tenants else []
+        texts = contact.select(*own, quoted(source).alias("text")).distinct()
+        split = F.explode(tokens(F.col("text"))).alias("People_Type")
+        types = texts.select(*kept, split).distinct()
+        key = "People_Type"
+        if tenants:
+            key = "_key"
+            types = types.withColumn(key, F.struct("_org", "People_Type"))
         # A dimension: far fewer rows than ids of records, so fewer ranges do.
-        numbered = number_in_order(types, "People_Type", "People_Type_Id", depth=2)
+        numbered = number_in_order(types, key, "People_Type_Id", depth=2)
+        tenant = F.col("_org") if tenants else F.lit(self.mapping.org_id)
         text_null = F.lit(None).cast("string")
         out = numbered.select(
             "People_Type",
-            *[F.lit(self.mapping.org_id).alias(c) for c in table.org_columns],
+            *[tenant.alias(c) for c in table.org_columns],
             *[text_null.alias(c) for c in ("Custom1", "Custom2", "Custom3", "People_Sub_Type")],
             "People_Type_Id",
         )
@@ -74,15 +84,24 @@ class StandardModel:
         """One row per person and person type, with the type's id.
 
         Pass the type table as written: its size is known then, and Spark
-        broadcasts it exactly when it is small.
+        broadcasts it exactly when it is small. Types are matched within the tenant
+        where that is a column.
         """
         table = self.mapping.table("Peoples")
+        on, own, theirs = ["People_Type"], [], []
+        if isinstance(self.mapping.org_id, Column):
+            on = ["_org", "People_Type"]
+            own = [self.mapping.org_id.alias("_org")]
+            theirs = [F.col(self.mapping.table("PeopleType").org_columns[0]).alias("_org")]
         pairs = contact.select(
+            *own,
             quoted(table.field("People_ID").source).alias("People_ID"),
             F.explode(tokens(quoted(table.field("People_Type_ID").source))).alias("People_Type"),
         )
-        ids = people_types.select("People_Type", F.col("People_Type_Id").alias("People_Type_ID"))
-        return pairs.join(ids, "People_Type", "left").select("People_ID", "People_Type_ID")
+        ids = people_types.select(
+            *theirs, "People_Type", F.col("People_Type_Id").alias("People_Type_ID")
+        )
+        return pairs.join(ids, on, "left").select("People_ID", "People_Type_ID")
 
     def cases(self, project: DataFrame) -> DataFrame:
         return self.mapped("Cases", project)
@@ -107,10 +126,11 @@ class StandardModel:
     def phase_changes(self, log: DataFrame, projecttype: DataFrame) -> DataFrame:
         """The phase log as warehouse rows; ``log`` has org, type, project, phase, event_ts."""
         dim = projecttype.select("projectTypeId", F.explode("phases").alias("p")).select(
-            "projectTypeId", "p.name", "p.phaseId"
+            *[c for c in ("org_id",) if c in projecttype.columns],
+            "projectTypeId", "p.name", "p.phaseId",
         )
         linked = with_phase_id(log, dim).select(
-            *[F.lit(self.mapping.org_id).alias(c) for c in ORG_COLUMNS],
+            *[tenant_column(self.mapping.org_id).alias(c) for c in ORG_COLUMNS],
             F.col("project_id").alias("Parent_Case_ID"),
             F.col("project_id").alias("Case_ID"),
             F.col("phase_id").alias("Phase_ID"),

@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 
 from lexweave.config.warehouse import WarehouseTable
 from lexweave.functions.types import quoted
-from lexweave.operators.checks import conform
+from lexweave.operators.checks import conform, rejected
 from lexweave.operators.latest import latest_per_key, replace_groups
 from lexweave.operators.skew import spread_join
 from lexweave.sources.files import read_if_present, read_merged
@@ -286,7 +286,12 @@ def warehouse_load(
     path: str,
     renames: dict[str, str] | None = None,
 ) -> None:
-    """Stage rows as files in the declared shape, then load the table from them."""
+    """Stage rows as files in the declared shape, then load the table from them.
+
+    Rows with a value that its column cannot hold are loaded with a null there, as
+    the declaration asks, and kept whole beside the table, under ``{path}-rejected``.
+    """
+    rejected(df, table, renames).write.mode("overwrite").parquet(f"{path}-rejected")
     conform(df, table, renames).write.mode("overwrite").parquet(staging)
     warehouse_write(df.sparkSession.read.parquet(staging), table.name.lower(), path)
 

@@ -6,6 +6,7 @@ import pytest
 
 import __spark_entry__ as contract
 from conftest import SF
+from lexweave.catalogue import QUERIES
 
 MAP_ONLY = [
     "t2_people", "t4_cases", "t7_case_figures", "t8_intake_details", "t9_case_details",
@@ -48,7 +49,7 @@ def test_partition_filters_pick_folders(spark):
     assert not re.search(r"\bFilter \(", text)
 
 
-LAZY = [n for n in sorted(contract.queries()) if not n.startswith(("k", "s1_", "s2_", "t14", "t15", "t16"))]
+LAZY = [n for n in sorted(QUERIES) if not n.startswith(("k", "s1_", "s2_", "t14", "t15", "t16"))]
 
 
 @pytest.mark.parametrize("name", [n for n in LAZY if "stream" not in n and n != "a8_case_value_clusters"])
