@@ -25,14 +25,30 @@ def flatten_lead(entity: str, records: DataFrame, section: Section) -> DataFrame
     return by_inferred_type(leads.whitelisted(flat, section))
 
 
-def load_leads(landed: dict[str, DataFrame], whitelist: Whitelist, root: str) -> dict[str, str]:
-    """Historical load of the lead system: every landed entity, whole."""
+def write_load(df: DataFrame, path: str, tenant: dict[str, object] | None) -> None:
+    """A whole-entity load; with ``tenant`` (org, project type) only that part is replaced."""
+    if tenant is None:
+        return write_entity(df, path)
+    keyed = df.withColumns({name: F.lit(value) for name, value in tenant.items()})
+    return write_partitioned(keyed, path, list(tenant))
+
+
+def load_leads(
+    landed: dict[str, DataFrame],
+    whitelist: Whitelist,
+    root: str,
+    tenant: dict[str, object] | None = None,
+) -> dict[str, str]:
+    """Historical load of the lead system: every landed entity, whole.
+
+    Give ``tenant`` (partition columns and their values) where several share ``root``.
+    """
     paths = {}
     for entity in LEAD_LOAD_ORDER:
         if entity in landed:
             paths[entity] = f"{root}/{entity}"
             flat = flatten_lead(entity, landed[entity], whitelist.section(entity))
-            write_entity(flat, paths[entity])
+            write_load(flat, paths[entity], tenant)
     return paths
 
 
@@ -42,21 +58,24 @@ def flatten_case(records: DataFrame, types: dict[str, str]) -> DataFrame:
 
 
 def load_cases(
-    landed: dict[str, DataFrame], types: dict[str, dict[str, str]], root: str
+    landed: dict[str, DataFrame],
+    types: dict[str, dict[str, str]],
+    root: str,
+    tenant: dict[str, object] | None = None,
 ) -> dict[str, str]:
     """Historical load of the case system: contacts, types, projects, forms, collections.
 
     ``types`` holds the selected field types of each entity. Project types keep
-    their nested phases.
+    their nested phases. ``tenant`` is as in ``load_leads``.
     """
     paths = {}
     for entity, records in landed.items():
         paths[entity] = f"{root}/{entity}"
         if entity == "projecttype":
             ids = flatten.unwrap_ids(records, ["projectTypeId"])
-            write_entity(ids.select("projectTypeId", "name", "phases"), paths[entity])
+            write_load(ids.select("projectTypeId", "name", "phases"), paths[entity], tenant)
         else:
-            write_entity(flatten_case(records, types[entity]), paths[entity])
+            write_load(flatten_case(records, types[entity]), paths[entity], tenant)
     return paths
 
 

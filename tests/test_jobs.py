@@ -95,3 +95,11 @@ def test_case_load_keeps_nested_phases(spark, tables, scratch):
     contact = spark.read.parquet(paths["contact"])
     assert contact.columns == ["personId", "firstName", "personTypes"]
     assert contact.schema["personId"].dataType.simpleString() == "string"
+
+
+def test_loads_of_two_tenants_share_a_root(spark, scratch):
+    root = scratch("leads")
+    for org in (6, 7, 6):
+        landed = {"leadrow": spark.createDataFrame([(org, 1, "x", 2)], "Id long, ContactId long, Code string, StatusId long")}
+        paths = jobs.load_leads(landed, lead_whitelist("acme"), root, {"org_id": org})
+    assert rows(spark.read.parquet(paths["leadrow"]).select("org_id", "Id")) == [(6, 6), (7, 7)]
