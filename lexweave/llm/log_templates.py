@@ -169,7 +169,9 @@ def drop_recurring(
     fields = [f for f in docs.schema.fields if f.name != "lines_dropped"]
     at = [f.name for f in fields].index(text)
     source = docs.select(*[quoted(f.name) for f in fields]).withColumn("_key", F.xxhash64(quoted(text).cast("string")))
-    joined = source.join(gone.withColumnRenamed("key", "_key"), "_key", "left").drop("_key")
+    # Dealt by the text's hash at every size: the places grow with the texts.
+    places = gone.withColumnRenamed("key", "_key").hint("merge")
+    joined = source.join(places, "_key", "left").drop("_key")
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
