@@ -1,0 +1,66 @@
+"""Toxicity on held-out labels, and the cases without any."""
+
+import zlib
+
+import pytest
+from conftest import SF
+
+from lexweave.llm import toxicity
+from lexweave.llm.catalogue import QUERIES
+
+BIG = "/root/testdata/sf0.1"
+
+
+def auc(pairs):
+    good = [s for s, y in pairs if y]
+    bad = [s for s, y in pairs if not y]
+    wins = sum((g > b) + (g == b) / 2 for g in good for b in bad)
+    return wins / (len(good) * len(bad))
+
+
+def test_held_out_labels(spark):
+    labels = {r["doc_id"]: r["toxic"] for r in spark.read.parquet(f"{BIG}/labels.parquet").collect()}
+    rows = QUERIES["op3_toxicity"](spark, BIG).collect()
+    assert len(rows) == spark.read.parquet(f"{BIG}/documents.parquet").count()
+    for r in rows:
+        assert r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 5 == 0)
+        assert 0 <= r["score"] <= 1 and r["predicted"] == (r["score"] >= 0.5)
+    held = [(r["score"], labels[r["doc_id"]]) for r in rows if r["held_out"] and r["doc_id"] in labels]
+    assert auc(held) > 0.97
+    assert sum((s >= 0.5) == bool(y) for s, y in held) / len(held) > 0.95
+
+
+def test_an_unseen_misspelling_scores_higher():
+    toxic = [f"you are a worthless clown number {i}" for i in range(40)]
+    clean = [f"we met a friendly farmer number {i}" for i in range(40)]
+    model = toxicity.train(toxic + clean, [1] * 40 + [0] * 40, 0.5)
+    assert model.score("a worthlesss clownn") > 0.5 > model.score("a friendlyy farmerr")
+
+
+def test_scores_do_not_depend_on_the_cache(monkeypatch):
+    model = toxicity.train(["bad words", "good words"] * 5, [1, 0] * 5, 0.3)
+    once = model.score("some good and bad words here")
+    monkeypatch.setattr(toxicity, "CACHED_WORDS", 1)
+    model.words.clear()
+    assert model.score("some good and bad words here") == once
+
+
+@pytest.mark.parametrize("kinds", [[], [0], [1, None]])
+def test_without_labels_of_both_kinds(spark, kinds):
+    docs = spark.createDataFrame([(i, "a b", 5) for i in range(4)], "doc_id long, text string, toxicity int")
+    labels = spark.createDataFrame([(i, k) for i, k in enumerate(kinds)], "doc_id long, toxic int")
+    model = toxicity.fit(docs, labels)
+    assert model is None
+    assert [r["toxicity"] for r in toxicity.score_texts(docs, model).collect()] == [0.0] * 4
+    assert toxicity.drop_toxic(docs, model).columns == docs.columns
+
+
+def test_nulls_empties_and_repeats(spark):
+    model = toxicity.train(["bad", "good"] * 5, [1, 0] * 5, 0.3)
+    rows = [(1, None), (None, ""), (2, " \n"), (3, "good"), (3, "good"), (4, "x" * 300_000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {}
+    for r in toxicity.score_texts(df, model).collect():
+        found.setdefault(r["doc_id"], []).append(r["toxicity"])
+    assert found[1] == found[None] == found[2] and found[3][0] == found[3][1]
+    assert toxicity.score_texts(df.limit(0), model).count() == 0
