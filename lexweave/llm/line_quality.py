@@ -116,8 +116,11 @@ def document_lines(docs: DataFrame, doc_id: str, text: str, host: str) -> DataFr
     )
     words = lambda x: F.length(x) - F.length(without(x, " ")) + 1
     each = F.transform("_lines", lambda x: F.struct(F.xxhash64(x).alias("line"), words(x).alias("words")))
-    return source.select("_key", "_host", F.explode(each).alias("_l")).select(
-        "_key", "_host", F.col("_l.line").alias("line"), F.col("_l.words").alias("words")
+    # Explode without "outer" would split and normalise every text twice, for a filter.
+    return (
+        source.select("_key", "_host", F.explode_outer(each).alias("_l"))
+        .where("_l is not null")
+        .select("_key", "_host", F.col("_l.line").alias("line"), F.col("_l.words").alias("words"))
     )
 
 
@@ -151,7 +154,8 @@ def line_quality(
         ).alias("_lines"),
     )
     counted = (
-        own.select(host_key.alias("_at"), F.explode("_lines").alias("line"))
+        own.select(host_key.alias("_at"), F.explode_outer("_lines").alias("line"))
+        .where("line is not null")
         .groupBy("_at", "line")
         .agg(F.count(F.lit(1)).alias("_in"))
         .where(F.col("_in") > most_documents)
