@@ -91,14 +91,17 @@ def mix(
     """The documents repeated to the target weights and shuffled, with ``mix_copy`` from 1."""
     rates = stored(source_rates(docs, source, weights, power, size), "rates")
     kept = [c for c in docs.columns if not c.startswith("_mix") and c not in ("mix_copy", "mix_place")]
-    chance = uniform(F.lit(seed), F.lit("copies"), row_key(doc_id, text))
+    chance = uniform(F.lit(seed), F.lit("copies"), F.col("_mix_id"))
     copies = poisson_count(chance, F.col("_mix_steps"))
     repeated = (
-        docs.withColumn("_mix_key", source_key(source))
+        docs.withColumns({"_mix_key": source_key(source), "_mix_id": row_key(doc_id, text)})
         .join(rates, "_mix_key")
-        .withColumn("mix_copy", F.explode(F.sequence(F.lit(1), F.when(copies > 0, copies))))
+        .withColumn("_mix_copies", copies)
+        # Explode without "outer" would hash every text twice, for a filter.
+        .withColumn("mix_copy", F.explode_outer(F.sequence(F.lit(1), F.when(F.col("_mix_copies") > 0, F.col("_mix_copies")))))
+        .where("mix_copy is not null")
     )
-    place = uniform(F.lit(seed), F.lit("place"), row_key(doc_id, text), F.col("mix_copy"))
+    place = uniform(F.lit(seed), F.lit("place"), F.col("_mix_id"), F.col("mix_copy"))
     placed = repeated.withColumn("mix_place", place)
     return (
         placed.repartition("mix_place")
