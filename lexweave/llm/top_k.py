@@ -126,12 +126,15 @@ def top_k(
     asked = rows.where("_query").groupBy("vec_id").agg(F.min("v").alias("v"))
     queries = stored(packed(asked, QUERY_BLOCK, False), "queries")
     named = queries.select(*[F.col(c).alias("q_" + c) for c in ("dims", "ids", "data")])
-    # A stated query set against all rows, block by block.
-    met = named.crossJoin(candidates).where("q_dims = dims")
+    # A stated query set against all rows, block by block. Lengths are compared in the
+    # task: as a join condition they would send all blocks of the one usual length to one.
+    met = candidates.crossJoin(named)
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in (r for i in range(batch.num_rows) for r in batch.slice(i, 1).to_pylist()):
+                if row["dims"] != row["q_dims"]:
+                    continue
                 dims, ids = row["dims"], np.frombuffer(row["ids"], np.int64)
                 data = np.frombuffer(row["data"]).reshape(len(ids), dims)
                 lists = np.frombuffer(row["lists"], np.int16).reshape(dims, len(ids))
@@ -146,9 +149,7 @@ def top_k(
                 columns = [pa.array(c, pa.int64()) for c in out]
                 yield pa.RecordBatch.from_arrays(columns, ["query_id", "vec_id", "score"])
 
-    best = met.select("q_ids", "q_data", "dims", "ids", "data", "lists").mapInArrow(
-        search, "query_id long, vec_id long, score long"
-    )
+    best = met.mapInArrow(search, "query_id long, vec_id long, score long")
     ranked = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
     merged = best.withColumn("rank", F.row_number().over(ranked)).where(F.col("rank") <= k)
     return merged.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
