@@ -17,7 +17,8 @@ def planted(spark, tmp_path_factory):
     """The small tables with copies, a passage that recurs, and labels."""
     folder = str(tmp_path_factory.mktemp("planted"))
     docs = spark.read.parquet(f"{SF}/documents.parquet")
-    body = lambda n, salt: " ".join(f"word{salt}x{i}" for i in range(n))
+    letters = str.maketrans("0123456789", "abcdefghij")
+    body = lambda n, salt: " ".join(f"word{salt}x{i}".translate(letters) for i in range(n))
     passage = "The passage " + body(55, "p")
     rows = [(900_000 + i, body(80, "copy"), "en", "src1") for i in range(5)]
     rows += [(900_100 + i, body(80, "near") + f" edit{i}", "en", "src2") for i in range(5)]
