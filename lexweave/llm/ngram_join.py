@@ -11,11 +11,15 @@ The order and the estimates come from counts of all n-grams in ``BUCKETS`` hash
 buckets, which is all that is collected and broadcast. Equal sets form one class and
 are joined once. Postings of n-grams that only one class has are dropped early.
 
-A group of k near copies has k * k / 2 similar pairs, which are not needed to know the
-group. So every n-gram first names one class as its hub, and every class is verified
-against the hub it shares most with. Pairs that are in one component by then need no
-verification. Rounds with other hubs go on while many pairs are open; a last step then
-verifies every pair that is still open, so no link between components is missed.
+N-grams of at most ``RARE`` classes give their pairs at once. A class with fewer common
+n-grams in its prefix than it must share has a rare one with every partner, so it needs
+no others. Only classes made mostly of common n-grams are left: large groups of near
+copies, documents that are little but a passage. A group of k near copies has k * k / 2
+similar pairs, which are not needed to know the group. So every common n-gram names one
+class as its hub, and every class is verified against the hub it shares most with. Pairs
+that are in one component by then need no verification. Rounds with other hubs go on
+while many pairs are open; a last step then verifies every pair that is still open, so
+no link between components is missed.
 
 Documents without a word have an empty set and are linked with nothing; shorter ones
 than an n-gram have one n-gram, their whole sequence. Null texts count as empty. A null
@@ -38,10 +42,12 @@ from lexweave.llm.common import bitmap_of, bitmap_place, in_bitmap, stored
 from lexweave.llm.components import components
 
 BUCKETS = 1 << 17  # of the n-gram counts that order the prefixes
-LONGEST = 8  # most n-grams that prefixes must share
+LONGEST = 12  # most n-grams that prefixes must share
+RARE = 16  # most classes of an n-gram whose pairs are all met at once
 VERIFY_COST = 4.0  # of a candidate pair against one posting
 OPEN_PAIRS = 2.0  # pairs still open for each posting, above which another round of hubs is made
 ROUNDS = 6
+PROGRESS = 0.8  # of the open pairs, above which a round of hubs has not helped and is the last
 MIX = (0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0x9E3779B97F4A7C15)
 
 
@@ -98,7 +104,8 @@ def prefix(grams: np.ndarray, counts: np.ndarray, percent: int) -> tuple[np.ndar
     expected = np.maximum(held[order] - counts.mean(), 1.0)
     postings = np.cumsum(expected[: first + most - 1])[first - 1 :]
     need = np.arange(1, most + 1)
-    best = int(np.argmin(postings + VERIFY_COST * postings / need))
+    cost = postings + VERIFY_COST * postings / need
+    best = most // 2 + int(np.argmin(cost[most // 2 :]))  # at least half of the most
     return grams[order[: first + best]], best + 1
 
 
@@ -148,23 +155,30 @@ def sets_of(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
 
     rows = docs.select("doc_id", "key", "text", bitmap_place("doc_id", "key").alias("at"))
     found = rows.mapInArrow(each, "doc_id long, key long, grams array<long>")
-    same = wanted.withColumnsRenamed({"doc_id": "_id", "key": "_key"})
-    on = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("key") == F.col("_key"))
-    return found.join(same, on).select("node", "grams")
+    both = F.xxhash64("doc_id", "key")
+    found = found.withColumn("_both", both)
+    same = wanted.withColumn("_both", both).withColumnsRenamed({"doc_id": "_id", "key": "_key"})
+    equal = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("key") == F.col("_key"))
+    joined = found.join(same.hint("merge"), "_both").where(equal).select("_both", "node", "grams")
+    # Repeated rows meet where the join has dealt them.
+    return joined.dropDuplicates(["_both", "node"]).select("node", "grams")
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Pairs ``a``, ``b`` whose whole sets are similar enough."""
-    left = sets.select(F.col("node").alias("a"), F.col("grams").alias("_x"))
-    right = sets.select(F.col("node").alias("b"), F.col("grams").alias("_y"))
+    # Whole sets are dealt by class at every size: pairs grow with the documents.
+    left = sets.select(F.col("node").alias("a"), F.col("grams").alias("_x")).hint("merge")
+    right = sets.select(F.col("node").alias("b"), F.col("grams").alias("_y")).hint("merge")
     joined = pairs.select("a", "b").join(left, "a").join(right, "b")
     both = joined.select("a", "b", F.size("_x").alias("x"), F.size("_y").alias("y"),
                          F.size(F.array_intersect("_x", "_y")).alias("i"))
     return both.where(100 * F.col("i") >= percent * (F.col("x") + F.col("y") - F.col("i"))).select("a", "b")
 
 
-def near_sizes(percent: int, a: str, b: str) -> Column:
-    return 100 * F.least(a, b) >= percent * F.greatest(a, b)
+def could_link(percent: int, a: str, b: str, most_a: str, most_b: str) -> Column:
+    """Whether the sizes and what can be shared at most allow the similarity."""
+    shared = F.least(most_a, most_b)
+    return 100 * shared >= percent * (F.col(a) + F.col(b) - shared)
 
 
 def documents_of(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
@@ -222,73 +236,135 @@ def near_duplicates(
 
 def class_components(source: DataFrame, classes: DataFrame, width: int, percent: int) -> DataFrame:
     """``node`` and ``root`` of the classes that are linked with another."""
-    packed = (F.col("n") * (2 * LONGEST) + F.col("need")).alias("size")
-    postings = classes.select(F.explode_outer("prefix").alias("token"), "node", packed)
-    tokens = postings.groupBy("token").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
-    held = stored(postings.join(stored(tokens.select("token"), "tokens"), "token"), "postings")
-    size, need = lambda c: F.floor(F.col(c) / (2 * LONGEST)), lambda c: F.col(c) % (2 * LONGEST)
-    sized = held.select("token", "node", size("size").alias("n"), need("size").alias("need"))
-    wanted = classes.join(held.select("node").distinct(), "node", "left_semi")
+    held = shared_postings(classes, percent)
+    rare = rare_pairs(held.where(F.col("df") <= RARE), percent)
+    pairs = stored(rare, "pairs")
+    # N-grams of many classes are needed only among classes made mostly of such.
+    common = held.where((F.col("df") > RARE) & F.col("heavy")).select("token", "node", "n", "need", "most", "low")
+    common = stored(common, "common-postings")
+    several = common.groupBy("token").agg(F.count(F.lit(1)).alias("df")).where("df > 1").select("token")
+    common = common.join(stored(several, "common-tokens"), "token")
+    own = common.groupBy("node").agg(F.count(F.lit(1)).alias("c"), F.first(F.least("need", "low")).alias("l"))
+    able = stored(own.where("c >= l").select("node"), "heavy")
+    common = stored(common.join(able, "node", "left_semi").drop("low"), "common-postings")
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).unionByName(able).distinct()
+    wanted = classes.join(ends, "node", "left_semi")
     few = wanted.select("node", F.col("first.doc_id").alias("doc_id"), F.col("first.key").alias("key"))
-    sets = stored(sets_of(source, few, width).dropDuplicates(["node"]), "whole-sets")
-    links: DataFrame | None = None
-    roots: DataFrame | None = None
-    tried: DataFrame | None = None
+    sets = stored(sets_of(source, few, width), "whole-sets")
+    links = stored(verified(pairs, sets, percent), "verified")
+    roots = stored(components(links), "components")
+    sets = stored(sets.join(able, "node", "left_semi"), "heavy-sets")
+    tried, before = pairs, float("inf")
     for turn in range(ROUNDS + 1):
-        current = sized.withColumn("root", F.col("node"))
-        if roots is not None:
-            current = sized.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        current = common.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
         # Of each n-gram whose classes are in several components: its classes.
-        mixed_tokens = (
-            current.groupBy("token")
-            .agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count(F.lit(1)).alias("df"))
-            .where("low <> high")
-        )
-        still = stored(mixed_tokens.select("token", "df"), "open-tokens")
+        several = current.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high"))
+        still = stored(several.where("low <> high").select("token"), "open-tokens")
         current = stored(current.join(still, "token"), "open-postings")
-        last = turn == ROUNDS or (turn > 0 and few_open(current))
+        still_open, size = pairs_open(current)
+        last = turn == ROUNDS or still_open <= OPEN_PAIRS * size or still_open > PROGRESS * before
+        before = still_open
         pairs = open_pairs(current, percent) if last else hub_pairs(current, turn, percent)
-        if tried is not None:
-            pairs = pairs.join(tried, ["a", "b"], "left_anti")
-        pairs = stored(pairs, "pairs")
-        found = stored(verified(pairs, sets, percent), "verified")
-        links = found if links is None else links.unionByName(found)
-        tried = pairs if tried is None else tried.unionByName(pairs)
+        pairs = stored(pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
+        links = links.unionByName(stored(verified(pairs, sets, percent), "verified"))
         roots = stored(components(links), "components")
         if last:
             return roots
+        tried = tried.unionByName(pairs)
     raise AssertionError("the last turn returns")
 
 
-def few_open(current: DataFrame) -> bool:
-    """Whether the pairs in different components are few against the postings."""
+def shared_postings(classes: DataFrame, percent: int) -> DataFrame:
+    """Postings of n-grams that several classes have in their prefixes, by class.
+
+    ``df`` is the n-gram's number of classes, ``common`` the class's n-grams above
+    ``RARE``, ``most`` the n-grams it could share at most, ``low`` the least that any
+    partner of the class asks for. A class is
+    ``heavy`` if all that it must share could be common n-grams; any other shares a
+    rare one with each of its partners.
+    """
+    packed = (F.col("n") * (2 * LONGEST) + F.col("need")).alias("size")
+    postings = classes.select(F.explode_outer("prefix").alias("token"), "node", packed)
+    tokens = postings.groupBy("token").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
+    held = stored(postings.join(stored(tokens, "tokens"), "token"), "postings")
+    counts = held.groupBy("node").agg(
+        F.count_if(F.col("df") > RARE).alias("common"), F.count(F.lit(1)).alias("held")
+    )
+    n, need = F.floor(F.col("size") / (2 * LONGEST)), F.col("size") % (2 * LONGEST)
+    sized = held.join(stored(counts, "held-counts"), "node").select(
+        "token", "node", "df", "common", "held", n.alias("n"), need.alias("need")
+    )
+    # The prefix's n-grams that no other class has are in no overlap.
+    alone = F.col("n") - F.ceil(F.col("n") * percent / 100) + F.col("need") - F.col("held")
+    sized = sized.withColumn("most", F.col("n") - alone).drop("held")
+    smallest = F.ceil(F.lit(percent * percent) * F.col("n") / 10_000)  # least overlap a partner has
+    low = F.ceil(F.least(F.lit(LONGEST), smallest) / 2)
+    lowest = sized.withColumn("low", F.greatest(low, F.lit(1)))
+    return stored(lowest.withColumn("heavy", F.col("common") >= F.least("need", "low")), "sized-postings")
+
+
+def rare_pairs(rare: DataFrame, percent: int) -> DataFrame:
+    """Pairs that share enough rare n-grams, for what common ones they may share besides.
+
+    At most ``RARE`` classes have an n-gram here, so the pairs grow with the postings.
+    """
+    side = lambda node, tail: rare.select("token", F.col("node").alias(node), *[F.col(c).alias(c + tail) for c in ("n", "need", "common", "most")])
+    met = side("a", "_a").join(side("b", "_b"), "token")
+    near = met.where((F.col("a") < F.col("b")) & could_link(percent, "n_a", "n_b", "most_a", "most_b"))
+    least = F.least("need_a", "need_b") - F.least("common_a", "common_b")
+    counted = near.groupBy("a", "b").agg(F.count(F.lit(1)).alias("c"), F.first(least).alias("least"))
+    return counted.where(F.col("c") >= F.col("least")).select("a", "b")
+
+
+def pairs_open(current: DataFrame) -> tuple[float, float]:
+    """Pairs of postings in different components, and postings."""
     by_root = current.groupBy("token", "root").agg(F.count(F.lit(1)).alias("k"))
     squares = by_root.groupBy("token").agg(F.sum("k").alias("k"), F.sum(F.col("k") * F.col("k")).alias("own"))
     both = squares.agg(F.sum((F.col("k") * F.col("k") - F.col("own")) / 2), F.sum("k")).first()
-    return not both[1] or both[0] <= OPEN_PAIRS * both[1]
+    return float(both[0] or 0), float(both[1] or 0)
 
 
 def hub_pairs(current: DataFrame, turn: int, percent: int) -> DataFrame:
-    """For each class the hub of another component with which it shares most n-grams."""
-    rank = F.xxhash64("node", F.lit(turn))
-    hubs = current.groupBy("token").agg(F.min(F.struct(rank.alias("r"), "node", "n", "root")).alias("hub"))
+    """For each class the hub of another component with which it shares most n-grams.
+
+    Only hubs that share as many as a partner must are taken; other pairs can wait.
+    """
+    # The first hubs are the classes with the smallest part of n-grams of their own, which
+    # lie in the middle of their groups; later ones are chosen by chance.
+    middle = (1 - F.col("most") / F.col("n")) if turn == 0 else F.lit(0.0)
+    rank = F.struct(middle.alias("m"), F.xxhash64("node", F.lit(turn)).alias("h"))
+    hubs = current.groupBy("token").agg(F.min(F.struct(rank.alias("r"), "node", "n", "root", "need", "most")).alias("hub"))
     named = current.join(stored(hubs, "hubs"), "token").where("hub.root <> root")
-    near = named.where(near_sizes(percent, "n", "hub.n"))
-    shared = near.groupBy("node", F.col("hub.node").alias("other")).agg(F.count(F.lit(1)).alias("c"))
-    best = shared.groupBy("node").agg(F.max(F.struct("c", "other")).alias("best"))
+    near = named.where(could_link(percent, "n", "hub.n", "most", "hub.most"))
+    shared = near.groupBy("node", F.col("hub.node").alias("other")).agg(
+        F.count(F.lit(1)).alias("c"), F.first(F.least("need", "hub.need")).alias("need")
+    )
+    best = shared.where("c >= need").groupBy("node").agg(F.max(F.struct("c", "other")).alias("best"))
     pair = best.select("node", F.col("best.other").alias("other"))
     return pair.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
 
 
 def open_pairs(current: DataFrame, percent: int) -> DataFrame:
-    """Every pair of different components that shares as many n-grams as its prefixes ask."""
-    own = current.select("token", F.col("node").alias("a"), F.col("n").alias("x"), F.col("need").alias("l"), F.col("root").alias("p"))
-    other = current.select("token", F.col("node").alias("b"), F.col("n").alias("y"), F.col("need").alias("m"), F.col("root").alias("q"))
-    met = own.join(other, "token").where(
-        (F.col("a") < F.col("b")) & (F.col("p") != F.col("q")) & near_sizes(percent, "x", "y")
+    """Every pair of different components that shares as many n-grams as its prefixes ask.
+
+    A pair meets at each n-gram it shares and is made at the smallest alone, so that no
+    row is made for pairs that share too few.
+    """
+    lists = current.groupBy("node").agg(F.sort_array(F.collect_list("token")).alias("tokens"))
+    held = stored(current.join(stored(lists, "open-lists"), "node"), "open-lists")
+    names = ("n", "need", "root", "most", "tokens")
+    side = lambda node, tail: held.select("token", F.col("node").alias(node), *[F.col(c).alias(c + tail) for c in names])
+    shared = F.array_intersect("tokens_a", "tokens_b")
+    met = side("a", "_a").hint("merge").join(
+        side("b", "_b").withColumnRenamed("token", "same"),
+        (F.col("token") == F.col("same"))
+        & (F.col("a") < F.col("b"))
+        & (F.col("root_a") != F.col("root_b"))
+        & could_link(percent, "n_a", "n_b", "most_a", "most_b")
+        & (F.array_min(shared) == F.col("token"))
+        & (F.size(shared) >= F.least("need_a", "need_b")),
     )
-    counted = met.groupBy("a", "b").agg(F.count(F.lit(1)).alias("c"), F.first("l").alias("l"), F.first("m").alias("m"))
-    return counted.where(F.col("c") >= F.least("l", "m")).select("a", "b")
+    return met.select("a", "b")
 
 
 def one_of_each(
