@@ -32,6 +32,7 @@ from pyspark.sql import types as T
 from lexweave.llm.common import WORD, crc_part, with_text_columns
 
 SAMPLE = 4_000  # labelled rows that training may take
+MOST_REPEATS = 4  # of a toxic row in training
 LONGEST_SAMPLED = 40_000  # characters of a training text; longer labelled rows are left out
 CACHED_WORDS = 400_000
 WORDS = re.compile(WORD)
@@ -84,7 +85,7 @@ def train(
     buckets: int = 1 << 17,
     dims: int = 8,
     epochs: int = 8,
-    rate: float = 0.2,
+    rate: float = 0.35,
     seed: int = 7,
 ) -> ToxicityModel:
     """Train the table and the softmax together by Adagrad, one text at a step."""
@@ -159,6 +160,10 @@ def fit(
         rows.append((row["_text"], row["_toxic"]))
     if len({kind for _, kind in rows}) < 2:
         return None
+    # Where toxic rows are few, each counts several times; the bias is set back afterwards.
+    toxic = sum(kind for _, kind in rows)
+    again = max(1, min(MOST_REPEATS, round((len(rows) - toxic) / toxic)))
+    rows += [row for row in rows if row[1]] * (again - 1)
     return train([t for t, _ in rows], [k for _, k in rows], sizes[1] / (sizes[0] + sizes[1]))
 
 
