@@ -21,6 +21,7 @@ from __future__ import annotations
 import math
 import re
 import zlib
+from array import array
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
@@ -35,6 +36,7 @@ SAMPLE = 4_000  # labelled rows that training may take
 MOST_REPEATS = 4  # of a toxic row in training
 LONGEST_SAMPLED = 40_000  # characters of a training text; longer labelled rows are left out
 CACHED_WORDS = 400_000
+CACHED_TRAINING = 50_000
 WORDS = re.compile(WORD)
 
 
@@ -87,8 +89,12 @@ def train(
     epochs: int = 8,
     rate: float = 0.35,
     seed: int = 7,
+    again: int = 1,
 ) -> ToxicityModel:
-    """Train the table and the softmax together by Adagrad, one text at a step."""
+    """Train the table and the softmax together by Adagrad, one text at a step.
+
+    A toxic text is taken ``again`` times in each round.
+    """
     rng = np.random.default_rng(seed)
     table = rng.uniform(-1 / dims, 1 / dims, (buckets, dims)).astype(np.float32)
     out = rng.normal(0, 0.1, (dims, 2)).astype(np.float32)
@@ -96,18 +102,22 @@ def train(
     past_table = np.full(buckets, 1e-4, np.float32)
     past_out, past_bias = np.full_like(out, 1e-4), np.full_like(bias, 1e-4)
     bags = []
-    known: dict[str, list[int]] = {}
+    known: dict[str, array] = {}  # compact: the driver holds all of the sample's bags
     for text in texts:
-        ids: list[int] = []
+        ids = array("i")
         for word in WORDS.findall((text or "").lower()):
             if word not in known:
-                known[word] = subwords(word, buckets)
-            ids += known[word]
-        rows, counts = np.unique(np.array(ids, np.int64), return_counts=True)
+                if len(known) >= CACHED_TRAINING:
+                    known.clear()
+                known[word] = array("i", subwords(word, buckets))
+            ids.extend(known[word])
+        rows, counts = np.unique(np.frombuffer(ids, np.int32), return_counts=True)
         bags.append((rows, (counts / max(1, counts.sum())).astype(np.float32)))
+    known.clear()
     labels = np.asarray(toxic)
+    order = np.repeat(np.arange(len(bags)), np.where(labels == 1, again, 1))
     for _ in range(epochs):
-        for i in rng.permutation(len(bags)):
+        for i in rng.permutation(order):
             rows, part = bags[i]
             mean = part @ table[rows]
             odds = mean @ out + bias
@@ -124,7 +134,7 @@ def train(
             # The rows' gradients are part[r] * back; one scale for each row keeps the state small.
             past_table[rows] += part**2 * float(back @ back)
             table[rows] -= (rate * part / np.sqrt(past_table[rows]))[:, None] * back
-    mean_share = min(max(float(labels.mean()), 1e-6), 1 - 1e-6)
+    mean_share = min(max(float(labels[order].mean()), 1e-6), 1 - 1e-6)
     prior = math.log(share / (1 - share)) - math.log(mean_share / (1 - mean_share))
     odds_rows = (table @ (out[:, 1] - out[:, 0])).astype(np.float32)
     return ToxicityModel(odds_rows, float(bias[1] - bias[0]) + prior)
@@ -163,8 +173,8 @@ def fit(
     # Where toxic rows are few, each counts several times; the bias is set back afterwards.
     toxic = sum(kind for _, kind in rows)
     again = max(1, min(MOST_REPEATS, round((len(rows) - toxic) / toxic)))
-    rows += [row for row in rows if row[1]] * (again - 1)
-    return train([t for t, _ in rows], [k for _, k in rows], sizes[1] / (sizes[0] + sizes[1]))
+    share = sizes[1] / (sizes[0] + sizes[1])
+    return train([t for t, _ in rows], [k for _, k in rows], share, again=again)
 
 
 def score_texts(df: DataFrame, model: ToxicityModel | None, text: str = "text") -> DataFrame:
