@@ -5,7 +5,8 @@ ones first. Of two sets that are similar enough, the prefixes that end ``l`` pla
 after the shortest possible one share at least ``l`` n-grams. Each document takes the
 ``l`` that makes its estimated candidate cost least: a longer prefix reads more
 postings, but a partner must share more of it. Two documents are verified when they
-share at least the smaller of their two ``l`` within their prefixes.
+share at least the smaller of their two ``l`` within their prefixes, and as many as the
+overlap needs besides what lies behind the prefix that ends first.
 
 The order and the estimates come from counts of all n-grams in ``BUCKETS`` hash
 buckets, which is all that is collected and broadcast. Equal sets form one class and
@@ -93,7 +94,7 @@ def bucket_counts(docs: DataFrame, width: int) -> np.ndarray:
 
 
 def prefix(grams: np.ndarray, counts: np.ndarray, percent: int) -> tuple[np.ndarray, int]:
-    """The prefix of a set and the number of its n-grams a partner must share."""
+    """The prefix of a set, in global order, and the number of its n-grams a partner must share."""
     size = len(grams)
     held = counts[(grams % np.uint64(len(counts))).astype(np.int64)]
     order = np.lexsort((grams, held))
@@ -109,6 +110,15 @@ def prefix(grams: np.ndarray, counts: np.ndarray, percent: int) -> tuple[np.ndar
     return grams[order[: first + best]], best + 1
 
 
+def end_of(tokens: np.ndarray, counts: np.ndarray) -> int:
+    """The place in the global order at which a prefix ends, cut to 63 bits.
+
+    A smaller number is an earlier place; equal ones may be either way round.
+    """
+    held = int(counts[int(tokens[-1] % np.uint64(len(counts)))])
+    return min(held, (1 << 40) - 1) << 23 | int(tokens[-1]) >> 41
+
+
 def with_sets(docs: DataFrame, width: int, percent: int, counts: np.ndarray) -> DataFrame:
     """Each document's size, fingerprint of its whole set, and prefix."""
     shared = docs.sparkSession.sparkContext.broadcast(counts)
@@ -117,21 +127,22 @@ def with_sets(docs: DataFrame, width: int, percent: int, counts: np.ndarray) ->
         for batch in batches:
             for start in range(0, batch.num_rows, 1024):
                 part = batch.slice(start, 1024)
-                sizes, prints, needs, prefixes = [], [], [], []
+                sizes, prints, needs, stops, prefixes = [], [], [], [], []
                 for text in part.column(2):
                     grams = shingles(text.as_py(), width)
                     sizes.append(len(grams))
                     prints.append(xxhash.xxh3_128_digest(grams.tobytes()))
                     tokens, need = prefix(grams, shared.value, percent) if len(grams) else (grams, 0)
                     needs.append(need)
+                    stops.append(end_of(tokens, shared.value) if need else 0)
                     prefixes.append(tokens.view(np.int64))
                 ends = np.cumsum([0] + [len(p) for p in prefixes]).astype(np.int32)
                 lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(prefixes)))
                 columns = [part.column(0), part.column(1), pa.array(sizes, pa.int64())]
-                columns += [pa.array(prints, pa.binary()), pa.array(needs, pa.int32()), lists]
-                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "key", "n", "print", "need", "prefix"])
+                columns += [pa.array(prints, pa.binary()), pa.array(needs, pa.int32()), pa.array(stops, pa.int64()), lists]
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "key", "n", "print", "need", "end", "prefix"])
 
-    schema = "doc_id long, key long, n long, print binary, need int, prefix array<long>"
+    schema = "doc_id long, key long, n long, print binary, need int, end long, prefix array<long>"
     return docs.mapInArrow(each, schema)
 
 
@@ -175,12 +186,35 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.where(100 * F.col("i") >= percent * (F.col("x") + F.col("y") - F.col("i"))).select("a", "b")
 
 
-def could_link(percent: int, a: str, b: str, most_a: str, most_b: str) -> Column:
-    """Whether the sizes and what can be shared at most allow the similarity."""
-    shared = F.least(most_a, most_b)
+def of_earlier(a: Column, b: Column, end_a: str, end_b: str) -> Column:
+    """Of two bounds the one of the class whose prefix ends first; the greater if that is not known."""
+    known = F.when(F.col(end_a) < F.col(end_b), a).when(F.col(end_b) < F.col(end_a), b)
+    return known.otherwise(F.greatest(a, b))
+
+
+def could_link(percent: int, a: str, b: str, most_a: str, most_b: str, end_a: str, end_b: str) -> Column:
+    """Whether the sizes and what can be shared at most allow the similarity.
+
+    What the earlier prefix has alone is nowhere in the other set. The later one's may
+    stand behind the end of the earlier.
+    """
+    most = of_earlier(F.col(most_a), F.col(most_b), end_a, end_b)
+    shared = F.least(F.col(a), F.col(b), most)
     return 100 * shared >= percent * (F.col(a) + F.col(b) - shared)
 
 
+def least_shared(percent: int) -> Column:
+    """How many n-grams a similar pair shares within its prefixes at least.
+
+    The earlier prefix's shared n-grams all lie in the other one, and of the overlap only
+    what is behind its end can be missing.
+    """
+    overlap = F.ceil(percent * (F.col("n_a") + F.col("n_b")) / (100 + percent))
+    behind = lambda tail: F.ceil(F.col("n" + tail) * percent / 100) - F.col("need" + tail)
+    rest = of_earlier(behind("_a"), behind("_b"), "end_a", "end_b")
+    return F.greatest(F.least("need_a", "need_b"), overlap - rest)
+
+
 def documents_of(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     return docs.select(
         quoted(doc_id).cast("long").alias("doc_id"),
@@ -204,7 +238,7 @@ def near_duplicates(
     classes = stored(
         rows.where("n > 0")
         .groupBy("print")
-        .agg(F.min(order).alias("first"), F.first("n").alias("n"), F.first("need").alias("need"), F.first("prefix").alias("prefix"))
+        .agg(F.min(order).alias("first"), F.first("n").alias("n"), F.first("need").alias("need"), F.first("end").alias("end"), F.first("prefix").alias("prefix"))
         .withColumn("node", F.monotonically_increasing_id()),
         "classes",
     )
@@ -240,7 +274,7 @@ def class_components(source: DataFrame, classes: DataFrame, width: int, percent:
     rare = rare_pairs(held.where(F.col("df") <= RARE), percent)
     pairs = stored(rare, "pairs")
     # N-grams of many classes are needed only among classes made mostly of such.
-    common = held.where((F.col("df") > RARE) & F.col("heavy")).select("token", "node", "n", "need", "most", "low")
+    common = held.where((F.col("df") > RARE) & F.col("heavy")).select("token", "node", "n", "need", "most", "end", "low")
     common = stored(common, "common-postings")
     several = common.groupBy("token").agg(F.count(F.lit(1)).alias("df")).where("df > 1").select("token")
     common = common.join(stored(several, "common-tokens"), "token")
@@ -278,8 +312,9 @@ def shared_postings(classes: DataFrame, percent: int) -> DataFrame:
     """Postings of n-grams that several classes have in their prefixes, by class.
 
     ``df`` is the n-gram's number of classes, ``common`` the class's n-grams above
-    ``RARE``, ``most`` the n-grams it could share at most, ``low`` the least that any
-    partner of the class asks for. A class is
+    ``RARE``, ``most`` the n-grams it could share at most with classes whose prefixes end
+    no earlier than its own, at ``end``; ``low`` is the least that any partner of the class
+    asks for. A class is
     ``heavy`` if all that it must share could be common n-grams; any other shares a
     rare one with each of its partners.
     """
@@ -290,11 +325,12 @@ def shared_postings(classes: DataFrame, percent: int) -> DataFrame:
     counts = held.groupBy("node").agg(
         F.count_if(F.col("df") > RARE).alias("common"), F.count(F.lit(1)).alias("held")
     )
+    counts = counts.join(classes.select("node", "end"), "node")
     n, need = F.floor(F.col("size") / (2 * LONGEST)), F.col("size") % (2 * LONGEST)
     sized = held.join(stored(counts, "held-counts"), "node").select(
-        "token", "node", "df", "common", "held", n.alias("n"), need.alias("need")
+        "token", "node", "df", "common", "held", "end", n.alias("n"), need.alias("need")
     )
-    # The prefix's n-grams that no other class has are in no overlap.
+    # The prefix's n-grams that no other prefix has. Others may have them behind an earlier end.
     alone = F.col("n") - F.ceil(F.col("n") * percent / 100) + F.col("need") - F.col("held")
     sized = sized.withColumn("most", F.col("n") - alone).drop("held")
     smallest = F.ceil(F.lit(percent * percent) * F.col("n") / 10_000)  # least overlap a partner has
@@ -308,10 +344,10 @@ def rare_pairs(rare: DataFrame, percent: int) -> DataFrame:
 
     At most ``RARE`` classes have an n-gram here, so the pairs grow with the postings.
     """
-    side = lambda node, tail: rare.select("token", F.col("node").alias(node), *[F.col(c).alias(c + tail) for c in ("n", "need", "common", "most")])
+    side = lambda node, tail: rare.select("token", F.col("node").alias(node), *[F.col(c).alias(c + tail) for c in ("n", "need", "common", "most", "end")])
     met = side("a", "_a").join(side("b", "_b"), "token")
-    near = met.where((F.col("a") < F.col("b")) & could_link(percent, "n_a", "n_b", "most_a", "most_b"))
-    least = F.least("need_a", "need_b") - F.least("common_a", "common_b")
+    near = met.where((F.col("a") < F.col("b")) & could_link(percent, "n_a", "n_b", "most_a", "most_b", "end_a", "end_b"))
+    least = least_shared(percent) - F.least("common_a", "common_b")
     counted = near.groupBy("a", "b").agg(F.count(F.lit(1)).alias("c"), F.first(least).alias("least"))
     return counted.where(F.col("c") >= F.col("least")).select("a", "b")
 
@@ -333,9 +369,9 @@ def hub_pairs(current: DataFrame, turn: int, percent: int) -> DataFrame:
     # lie in the middle of their groups; later ones are chosen by chance.
     middle = (1 - F.col("most") / F.col("n")) if turn == 0 else F.lit(0.0)
     rank = F.struct(middle.alias("m"), F.xxhash64("node", F.lit(turn)).alias("h"))
-    hubs = current.groupBy("token").agg(F.min(F.struct(rank.alias("r"), "node", "n", "root", "need", "most")).alias("hub"))
+    hubs = current.groupBy("token").agg(F.min(F.struct(rank.alias("r"), "node", "n", "root", "need", "most", "end")).alias("hub"))
     named = current.join(stored(hubs, "hubs"), "token").where("hub.root <> root")
-    near = named.where(could_link(percent, "n", "hub.n", "most", "hub.most"))
+    near = named.where(could_link(percent, "n", "hub.n", "most", "hub.most", "end", "hub.end"))
     shared = near.groupBy("node", F.col("hub.node").alias("other")).agg(
         F.count(F.lit(1)).alias("c"), F.first(F.least("need", "hub.need")).alias("need")
     )
@@ -352,7 +388,7 @@ def open_pairs(current: DataFrame, percent: int) -> DataFrame:
     """
     lists = current.groupBy("node").agg(F.sort_array(F.collect_list("token")).alias("tokens"))
     held = stored(current.join(stored(lists, "open-lists"), "node"), "open-lists")
-    names = ("n", "need", "root", "most", "tokens")
+    names = ("n", "need", "root", "most", "end", "tokens")
     side = lambda node, tail: held.select("token", F.col("node").alias(node), *[F.col(c).alias(c + tail) for c in names])
     shared = F.array_intersect("tokens_a", "tokens_b")
     met = side("a", "_a").hint("merge").join(
@@ -360,9 +396,9 @@ def open_pairs(current: DataFrame, percent: int) -> DataFrame:
         (F.col("token") == F.col("same"))
         & (F.col("a") < F.col("b"))
         & (F.col("root_a") != F.col("root_b"))
-        & could_link(percent, "n_a", "n_b", "most_a", "most_b")
+        & could_link(percent, "n_a", "n_b", "most_a", "most_b", "end_a", "end_b")
         & (F.array_min(shared) == F.col("token"))
-        & (F.size(shared) >= F.least("need_a", "need_b")),
+        & (F.size(shared) >= least_shared(percent)),
     )
     return met.select("a", "b")
 

@@ -140,3 +140,29 @@ def test_sketch_of_counts_is_of_fixed_size(spark):
     df = spark.createDataFrame([("a b c d",), (None,)], "text string")
     assert ngram_join.bucket_counts(df, 3).sum() == 2
     assert len(ngram_join.bucket_counts(df.where(F.lit(False)), 3)) == ngram_join.BUCKETS
+
+
+@pytest.mark.parametrize("width,percent,parts", [(3, 90, (4, 7, 9, 11)), (5, 80, (9, 14, 19, 25))])
+def test_blocks_put_in_and_taken_out(spark, width, percent, parts):
+    """Groups of two in which one text has a block of rare words that the other lacks."""
+    rng = random.Random(percent)
+    word = lambda: f"w{rng.randint(0, 10**6)}"
+    usual = [f"u{i}" for i in range(40)]
+    docs = []
+    for part in parts:
+        for place in (0.0, 0.5, 1.0):
+            for size in (60, 142, 400):
+                # Mostly rare words, and some runs that many texts have.
+                text = [w for _ in range(size // 10) for w in [*[word() for _ in range(6)], *usual[: rng.randint(3, 7)]]][:size]
+                own = max(1, len(text) * part // 100)
+                at = int(place * len(text))
+                docs += [" ".join(text), " ".join(text[:at] + [word() for _ in range(own)] + text[at:])]
+                text = [word() for _ in range(size)]
+                at = int(place * (size - own))
+                docs += [" ".join(text), " ".join(text[:at] + text[at + own :])]
+    # The usual n-grams are also in a large group, so that they are common.
+    docs += [" ".join([*usual, word(), word()]) for _ in range(30)]
+    docs = list(enumerate(docs))
+    truth = plain(docs, width, percent)
+    assert sum(doc != first for doc, _, first in truth) > 40
+    assert found(spark.createDataFrame(docs, "doc_id long, text string"), width, percent) == truth
