@@ -3,7 +3,9 @@
 A source's rate is the mean number of times its documents are to be repeated: its
 share of the mix, times the size of the mix, over its documents. Each document gets
 a uniform number from a seeded hash of its id and its place in the shuffled order, and
-the number of copies whose Poisson distribution function first exceeds it. A copy's
+the number of copies whose Poisson distribution function first exceeds it. A rate above
+``PART_RATE`` is split into equal parts, each with a uniform number of its own: the sum of
+their counts follows the Poisson distribution of the whole rate. A copy's
 place in the mix is another seeded hash: rows are dealt to partitions by it and sorted
 by it within them, which is a global shuffle with one exchange.
 
@@ -23,8 +25,8 @@ from lexweave.functions.types import quoted
 from lexweave.llm.common import row_key, stored
 
 DIGITS = 12  # hexadecimal digits of a uniform number: 48 bits
-MOST_COPIES = 64  # rates up to 16 leave less than 1e-17 beyond it
-MOST_RATE = 16.0
+MOST_COPIES = 64  # of a part: rates up to 16 leave less than 1e-17 beyond it
+PART_RATE = 16.0
 
 
 def uniform(*parts: Column) -> Column:
@@ -52,7 +54,7 @@ def poisson_steps(rate: Column) -> Column:
 
 
 def source_rates(docs: DataFrame, source: str, weights: dict[str, float] | None, power: float, size: float) -> DataFrame:
-    """One row per source: its key, documents, rate and distribution function.
+    """One row per source: its key, rate, parts of the rate and a part's distribution function.
 
     Without ``weights`` a source's weight is its documents to the ``power``. The mix
     has ``size`` times as many documents as the input.
@@ -68,10 +70,11 @@ def source_rates(docs: DataFrame, source: str, weights: dict[str, float] | None,
     weighed = stored(counts.withColumn("_mix_weight", weight), "sources")
     totals = weighed.agg(F.sum("_mix_weight").alias("_w"), F.sum("_mix_docs").alias("_n"))
     rate = F.col("_mix_weight") / F.col("_w") * F.col("_n") * size / F.col("_mix_docs")
-    rated = weighed.crossJoin(F.broadcast(totals)).withColumn(
-        "mix_rate", F.least(F.coalesce(rate, F.lit(0.0)), F.lit(MOST_RATE))
-    )
-    return rated.select("_mix_key", "mix_rate", poisson_steps(F.col("mix_rate")).alias("_mix_steps"))
+    rated = weighed.crossJoin(F.broadcast(totals)).withColumn("mix_rate", F.coalesce(rate, F.lit(0.0)))
+    parts = F.greatest(F.ceil(F.col("mix_rate") / PART_RATE), F.lit(1))
+    rated = rated.withColumn("_mix_parts", parts)
+    steps = poisson_steps(F.col("mix_rate") / F.col("_mix_parts"))
+    return rated.select("_mix_key", "mix_rate", "_mix_parts", steps.alias("_mix_steps"))
 
 
 def source_key(source: str) -> Column:
@@ -91,8 +94,12 @@ def mix(
     """The documents repeated to the target weights and shuffled, with ``mix_copy`` from 1."""
     rates = stored(source_rates(docs, source, weights, power, size), "rates")
     kept = [c for c in docs.columns if not c.startswith("_mix") and c not in ("mix_copy", "mix_place")]
-    chance = uniform(F.lit(seed), F.lit("copies"), F.col("_mix_id"))
-    copies = poisson_count(chance, F.col("_mix_steps"))
+    drawn = lambda *part: poisson_count(
+        uniform(F.lit(seed), F.lit("copies"), F.col("_mix_id"), *part), F.col("_mix_steps")
+    )
+    others = F.sequence(F.lit(2).cast("long"), F.col("_mix_parts"))
+    more = F.aggregate(others, F.lit(0), lambda n, part: n + drawn(part.cast("string")))
+    copies = F.when(F.col("_mix_parts") > 1, drawn() + more).otherwise(drawn())
     repeated = (
         docs.withColumns({"_mix_key": source_key(source), "_mix_id": row_key(doc_id, text)})
         .join(rates, "_mix_key")

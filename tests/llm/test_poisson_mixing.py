@@ -46,3 +46,18 @@ def test_hard_rows(spark):
     twin = [r["mix_copy"] for r in out.where("text = 'x'").collect()]
     assert sorted(twin) == sorted([*set(twin)] * 2)
     assert mixing.mix(df.limit(0)).collect() == []
+
+
+def test_high_rates_are_whole(spark):
+    """A rate of 50, far above one part's, keeps its mean, its spread and the mix its size."""
+    df = spark.range(20_000).select(
+        F.col("id").alias("doc_id"), F.lit("t").alias("text"),
+        F.when(F.col("id") < 200, "small").otherwise("big").alias("source"),
+    )
+    out = mixing.mix(df, weights={"small": 0.5, "big": 0.5}).select("doc_id", "source", "mix_copy")
+    per = [r["n"] for r in out.where("source = 'small'").groupBy("doc_id").agg(F.count("*").alias("n")).collect()]
+    assert len(per) == 200
+    # 10,000 expected of each source; four standard deviations.
+    assert abs(sum(per) - 10_000) < 400 and abs(out.count() - 20_000) < 600
+    spread = sum((n - sum(per) / 200) ** 2 for n in per) / 199
+    assert 30 < spread < 75 and max(per) > 64
