@@ -10,8 +10,13 @@ A template is dropped if at least ``least`` documents have it, its constant toke
 at least ``similar`` of its tokens, and it recurs independently: copies of one document
 repeat a line between the same neighbours, a recurring line stands between different
 ones. So occurrences are counted by different pairs of neighbouring lines; there must be
-``least`` of them, and half as many as documents. Equal texts are one document here.
-Lines of fewer than ``shortest`` tokens stay.
+``least`` of them, and half as many as documents. Lines inside a passage have the same
+neighbours everywhere, and a group of copies may outnumber all other documents of a
+template; so it is also dropped if ``least`` witnesses have it, whatever else does. A
+witness has at least one word in ``OWN`` in lines without a template, and witnesses whose
+least hash of such a line is the same count once. Near copies consist of lines with
+templates and are no witnesses, so a group of them keeps its text. Equal texts are one
+document here. Lines of fewer than ``shortest`` tokens stay.
 
 Only leaves are shuffled for all lines; lines are shuffled for leaves in enough
 documents, which a bitmap of fixed size picks before an exact join. Hot lines are
@@ -37,6 +42,7 @@ from lexweave.functions.types import quoted
 from lexweave.llm.common import BITMAP, bitmap_of, in_bitmap, stored
 
 DEPTH = 3
+OWN = 3
 FIELD = b"<*>"
 DIGIT = re.compile(rb"[0-9]")
 
@@ -79,15 +85,18 @@ def leaves(texts: DataFrame, shortest: int) -> DataFrame:
     return texts.mapInArrow(each, "key long, leaf long")
 
 
-LINE_SCHEMA = "key long, place int, leaf long, line long, context long, tokens array<binary>"
+LINE_SCHEMA = "key long, place int, leaf long, line long, context long, total long, rest long, tokens array<binary>"
 LINE_ARROW = pa.schema([
     ("key", pa.int64()), ("place", pa.int32()), ("leaf", pa.int64()), ("line", pa.int64()),
-    ("context", pa.int64()), ("tokens", pa.list_(pa.binary())),
+    ("context", pa.int64()), ("total", pa.int64()), ("rest", pa.int64()), ("tokens", pa.list_(pa.binary())),
 ])
 
 
 def lines_in(texts: DataFrame, bits: np.ndarray, shortest: int) -> DataFrame:
-    """Lines of the leaves whose bit is set, with their neighbours' hash as context."""
+    """Lines of the leaves whose bit is set, with their neighbours' hash as context.
+
+    ``total`` is the words of the text, ``rest`` the least hash of its other lines.
+    """
     shared = texts.sparkSession.sparkContext.broadcast(bits)
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -101,13 +110,19 @@ def lines_in(texts: DataFrame, bits: np.ndarray, shortest: int) -> DataFrame:
                     if not own:
                         continue
                     seen = in_bitmap(shared.value, np.array([leaf for _, _, leaf in own], np.int64) & (BITMAP - 1))
+                    if not seen.any():
+                        continue
+                    total = sum(len(x.split()) for x in raw)
+                    taken = {place for (place, _, _), held in zip(own, seen.tolist(), strict=True) if held}
+                    others = (b" ".join(x.split()) for n, x in enumerate(raw) if n not in taken)
+                    rest = min((signed(xxhash.xxh3_64_intdigest(x)) for x in others if x), default=None)
                     for (place, tokens, leaf), held in zip(own, seen.tolist(), strict=True):
                         if held:
                             before = raw[place - 1] if place else b""
                             after = raw[place + 1] if place + 1 < len(raw) else b""
                             around = xxhash.xxh3_64_intdigest(before.strip() + b"\n" + after.strip())
                             line = xxhash.xxh3_64_intdigest(b" ".join(tokens))
-                            rows.append((key, place, leaf, signed(line), signed(around), tokens))
+                            rows.append((key, place, leaf, signed(line), signed(around), total, rest, tokens))
                 if rows:
                     columns = [pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), LINE_ARROW, strict=True)]
                     yield pa.RecordBatch.from_arrays(columns, schema=LINE_ARROW)
@@ -120,6 +135,19 @@ def leaf_place() -> Column:
     return F.col("leaf").bitwiseAND(F.lit(BITMAP - 1))
 
 
+def witnesses(found: DataFrame) -> DataFrame:
+    """``key`` and ``witness`` of the texts with enough words in lines without a template."""
+    bare = F.col("template").isNull()
+    texts = found.groupBy("key").agg(
+        F.first("total").alias("total"),
+        F.first("rest").alias("rest"),
+        F.sum(F.when(bare, 0).otherwise(F.col("words"))).alias("templated"),
+        F.min(F.when(bare, F.col("line"))).alias("bare"),
+    )
+    enough = texts.where(OWN * (F.col("total") - F.col("templated")) >= F.col("total"))
+    return enough.select("key", F.coalesce(F.least("rest", "bare"), "key").alias("witness"))
+
+
 def recurring_lines(
     docs: DataFrame, text: str = "text", least: int = 3, similar: float = 0.6, shortest: int = 4
 ) -> DataFrame:
@@ -151,12 +179,18 @@ def recurring_lines(
         .select("leaf", "line", F.xxhash64("leaf", "fixed").alias("template"))
     )
     templates = stored(templates, "templates")
-    placed = lines.select("key", "place", "leaf", "line", "context").join(templates, ["leaf", "line"])
-    placed = stored(placed.select("key", "place", "template", "context"), "placed")
+    found = lines.select("key", "place", "leaf", "line", "context", "total", "rest", F.size("tokens").alias("words"))
+    found = found.join(templates, ["leaf", "line"], "left").drop("leaf")
+    found = stored(found, "found")
+    placed = found.where("template is not null").select("key", "place", "template", "context")
     texts_with = placed.select("template", "key").distinct().groupBy("template").agg(F.count(F.lit(1)).alias("docs"))
     around = placed.select("template", "context").distinct().groupBy("template").agg(F.count(F.lit(1)).alias("contexts"))
     both = texts_with.join(around, "template")
-    dropped = both.where((F.col("docs") >= least) & (F.col("contexts") >= least) & (2 * F.col("contexts") >= F.col("docs")))
+    seen = placed.select("template", "key").distinct().join(stored(witnesses(found), "witnesses"), "key")
+    shown = seen.select("template", "witness").distinct().groupBy("template").agg(F.count(F.lit(1)).alias("shown"))
+    both = both.join(shown, "template", "left")
+    apart = (F.col("contexts") >= least) & (2 * F.col("contexts") >= F.col("docs"))
+    dropped = both.where((F.col("docs") >= least) & (apart | F.coalesce(F.col("shown") >= least, F.lit(False))))
     gone = placed.join(stored(dropped.select("template"), "dropped"), "template")
     return gone.groupBy("key").agg(F.collect_list("place").alias("places"))
 

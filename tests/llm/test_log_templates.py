@@ -86,3 +86,22 @@ def test_a_text_whose_lines_all_go(spark):
     df = spark.createDataFrame(data, "doc_id long, text string")
     assert found(df)[9] == ("", 1)
     assert drop_recurring(df.limit(0)).collect() == []
+
+
+def unlike(i, n):
+    """Lines that no other document has, and whose first words differ."""
+    return [" ".join(f"{chr(97 + i % 26)}{chr(97 + i // 26)}{chr(97 + k)}{c}" for c in "lmnopq") for k in range(n)]
+
+
+def test_passages_go_whole(spark):
+    """Passages of 2, 3 and 6 lines at the start, in the middle and at the end of unlike texts."""
+    words = ["alpha", "beta", "gamma", "delta", "epsilon", "zeta"]
+    data, expected = [], {}
+    for size in (2, 3, 6):
+        for at in (0, 3, 6):
+            passage = [f"{words[k]} of {words[size - 1]} {words[at - 1]} holds in all" for k in range(size)]
+            for _ in range(5):
+                own = unlike(len(data), 6)
+                expected[len(data)] = ("\n".join(own), size)
+                data.append((len(data), "\n".join([*own[:at], *passage, *own[at:]])))
+    assert found(spark.createDataFrame(data, "doc_id long, text string")) == expected
