@@ -105,3 +105,16 @@ def test_passages_go_whole(spark):
                 expected[len(data)] = ("\n".join(own), size)
                 data.append((len(data), "\n".join([*own[:at], *passage, *own[at:]])))
     assert found(spark.createDataFrame(data, "doc_id long, text string")) == expected
+
+
+def test_near_copies_shield_no_line_and_stay(spark):
+    """A line of 10 unlike texts is also in 60 near copies, which lose it and nothing else."""
+    line = "This very line recurs in all of them"
+    body = unlike(600, 12)
+    data = [(i, "\n".join([*unlike(i, 3), line, *unlike(i + 100, 3)])) for i in range(10)]
+    for i in range(10, 70):
+        own = list(body)
+        own[i % 12] = own[i % 12][:-4] + " changed" + chr(97 + i % 26) + chr(97 + i // 26)
+        data.append((i, "\n".join([*own[:6], line, *own[6:]])))
+    result = found(spark.createDataFrame(data, "doc_id long, text string"))
+    assert result == {i: (t.replace(line + "\n", ""), 1) for i, t in data}
