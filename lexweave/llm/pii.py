@@ -2,14 +2,15 @@
 
 Four base kinds are exact patterns with checks. High-recall generators propose
 further, overlapping spans. A span's format (digits, length, case, separators, dots)
-and its context (neighbouring characters, a telling word before it) are binned into
+and its neighbouring characters are binned into
 small integers. Spans of all documents are counted by their bins, so that training
 sees every one of them in at most ``BINS`` rows, the product of the bins. Depth-two
 trees are boosted on these counts; a generator's spans count as positive where a base
-span covers them or a seed pattern holds. Trees become one expression. A generator's
-threshold is the lowest at which its selected spans in held-out documents keep the
-wanted precision; without one nothing is added. Spans that overlap a base span are
-not added.
+span covers them, a seed pattern holds or a telling word stands before them. That word is
+no feature, so that it can confirm what the trees select. Trees become one expression.
+Spans that overlap a base span are not added, so they do not count for a threshold either:
+a generator's is the lowest at which its other spans in held-out documents keep the wanted
+precision; without one nothing is added.
 
 Places are code points. They come from running sums over the lengths of matches and
 of the gaps between them, in blocks, so a text's cost grows with its length. The
@@ -50,9 +51,9 @@ BLOCK = 256
 CONTEXT = 24
 FEATURES = {  # bins of each feature
     "digits": 9, "length": 6, "case": 4, "separators": 3, "dots": 3,
-    "plus": 2, "before": 4, "after": 4, "telling": 2,
+    "plus": 2, "before": 4, "after": 4,
 }
-BINS = len(GENERATORS) * math.prod(FEATURES.values()) * 4  # by label and part
+BINS = len(GENERATORS) * math.prod(FEATURES.values()) * 8  # by label, part and cover
 
 
 def bound(value: Column, use: Callable[[Column], Column]) -> Column:
@@ -162,7 +163,6 @@ def bins(span: Column) -> dict[str, Column]:
         "plus": one(F.right(span["before"], F.lit(1)) == "+"),
         "before": side(F.right(span["before"], F.lit(1))),
         "after": side(span["after"]),
-        "telling": one(span["before"].rlike(TELLING)),
     }
 
 
@@ -186,6 +186,7 @@ def spans_of(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
                 s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end"),
                 overlap.alias("covered"),
                 s["text"].rlike(seed).alias("seeded"),
+                s["before"].rlike(TELLING).alias("telling"),
                 *[c.alias(n) for n, c in bins(s).items()],
             )
 
@@ -281,9 +282,9 @@ def fit(spans: DataFrame, precision: float = 0.98, least: int = 20) -> PiiModel:
     # Explode without "outer" would push a copy of the whole expression below as a filter.
     part = (crc_part("doc_id", 5) == 0).alias("held")
     each = spans.select(part, F.explode_outer("candidates").alias("c")).where("c is not null")
-    label = (F.col("c.covered") | F.col("c.seeded") | (F.col("c.telling") == 1)).cast("int")
+    label = (F.col("c.covered") | F.col("c.seeded") | F.col("c.telling")).cast("int")
     names = [*FEATURES, "kind"]
-    counted = each.groupBy("held", label.alias("label"), *[F.col(f"c.{n}").alias(n) for n in names])
+    counted = each.groupBy("held", "c.covered", label.alias("label"), *[F.col(f"c.{n}").alias(n) for n in names])
     rows = [r.asDict() for r in counted.agg(F.count(F.lit(1)).alias("n")).limit(BINS).collect()]
     rows.sort(key=lambda r: sorted(r.items()))
     seen = [r for r in rows if not r["held"]]
@@ -291,7 +292,8 @@ def fit(spans: DataFrame, precision: float = 0.98, least: int = 20) -> PiiModel:
         return PiiModel([], 0.0, {})
     model = PiiModel(*boost(seen), {})
     for kind in range(len(BASE), len(KINDS)):
-        scored = sorted(((model.odds(r), r) for r in rows if r["held"] and r["kind"] == kind), key=lambda x: -x[0])
+        able = (r for r in rows if r["held"] and r["kind"] == kind and not r["covered"])
+        scored = sorted(((model.odds(r), r) for r in able), key=lambda x: -x[0])
         right = taken = 0
         for place, (odds, row) in enumerate(scored):
             right, taken = right + row["n"] * row["label"], taken + row["n"]

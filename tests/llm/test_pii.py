@@ -98,3 +98,14 @@ def test_boosting_finds_the_telling_feature():
     rows = [blank | {"case": 2, "label": 1, "n": 50}, blank | {"case": 1, "label": 0, "n": 500}]
     model = pii.PiiModel(*pii.boost(rows), {})
     assert model.odds(rows[0]) > 1 > -1 > model.odds(rows[1])
+
+
+def test_thresholds_count_only_what_can_be_added(spark):
+    """Emails confirm no handle that is none: those are covered and never added."""
+    data = [(i, " ".join(f"bob{k}@site{i}.com" for k in range(60)) + f" and x{i}@y there") for i in range(200)]
+    found = pii.with_spans(spark.createDataFrame(data, "doc_id long, text string")).collect()
+    assert all(len(r["base"]) == 60 and r["added"] == [] for r in found)
+
+
+def test_telling_words_are_no_feature():
+    assert "telling" not in pii.FEATURES
