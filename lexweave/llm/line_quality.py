@@ -124,26 +124,13 @@ def document_lines(docs: DataFrame, doc_id: str, text: str, host: str) -> DataFr
     )
 
 
-def line_quality(
-    docs: DataFrame,
-    doc_id: str = "doc_id",
-    text: str = "text",
-    host: str = "source",
-    most_documents: int = 20,
-    most_share: float = 0.002,
-    least_words: int = 50,
-    least_part: float = 0.3,
-) -> DataFrame:
-    """Base counts of each document and the verdict of the line rules.
+def host_key() -> Column:
+    return F.coalesce(F.concat(F.lit("="), "_host"), F.lit(""))
 
-    A line is removed where more than ``most_documents + most_share * documents of
-    the host`` documents of the host have it. ``kept`` is false if ``base_failed``, or
-    if fewer than ``least_words`` words or ``least_part`` of the words stay.
-    """
-    base = base_rules(docs, doc_id, text, host)
-    lines = document_lines(docs, doc_id, text, host)
-    host_key = F.coalesce(F.concat(F.lit("="), "_host"), F.lit(""))
-    hosts = docs.select(quoted(host).cast("string").alias("_host")).groupBy(host_key.alias("_at"))
+
+def common_lines(docs: DataFrame, text: str, host: str, most_documents: int, most_share: float) -> DataFrame:
+    """Hashes of the lines above the limit, by host."""
+    hosts = docs.select(quoted(host).cast("string").alias("_host")).groupBy(host_key().alias("_at"))
     sizes = stored(hosts.agg(F.count(F.lit(1)).alias("_docs")), "hosts")
     own = docs.select(
         quoted(host).cast("string").alias("_host"),
@@ -154,19 +141,69 @@ def line_quality(
         ).alias("_lines"),
     )
     counted = (
-        own.select(host_key.alias("_at"), F.explode_outer("_lines").alias("line"))
+        own.select(host_key().alias("_at"), F.explode_outer("_lines").alias("line"))
         .where("line is not null")
         .groupBy("_at", "line")
         .agg(F.count(F.lit(1)).alias("_in"))
         .where(F.col("_in") > most_documents)
     )
     limit = F.lit(most_documents) + F.lit(most_share) * F.col("_docs")
-    common = stored(
+    return stored(
         counted.join(sizes, "_at").where(F.col("_in") > limit).select("_at", "line"), "common-lines"
     )
+
+
+def removed_lines(lines: DataFrame, common: DataFrame) -> DataFrame:
+    """Of all documents' lines those above the limit."""
+    return lines.withColumn("_at", host_key()).join(common, ["_at", "line"])
+
+
+def without_common_lines(
+    docs: DataFrame,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    host: str = "source",
+    most_documents: int = 20,
+    most_share: float = 0.002,
+) -> DataFrame:
+    """The rows of ``docs`` with the lines above the limit taken out of the text.
+
+    Other lines stay as they are, also those without a word. Null texts stay null; a text
+    whose lines all go becomes the empty text.
+    """
+    common = common_lines(docs, text, host, most_documents, most_share)
+    removed = removed_lines(document_lines(docs, doc_id, text, host), common)
+    gone = removed.groupBy(F.col("_key").alias("_lq_key")).agg(F.collect_set("line").alias("_lq_gone"))
+    marked = docs.withColumn("_lq_key", row_key(doc_id, host, text))
+    joined = marked.join(stored(gone, "removed-lines"), "_lq_key", "left")
+    whole = quoted(text).cast("string")
+    out = lambda x: (blank_free_length(x) > 0) & F.array_contains("_lq_gone", F.xxhash64(normalised(x)))
+    left = F.concat_ws("\n", F.filter(F.split(whole, "\n"), lambda x: ~out(x)))
+    cleaned = F.when(F.col("_lq_gone").isNull(), whole).otherwise(left).alias(text)
+    return joined.select(*[cleaned if c == text else quoted(c) for c in docs.columns])
+
+
+def line_quality(
+    docs: DataFrame,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    host: str = "source",
+    most_documents: int = 20,
+    most_share: float = 0.002,
+    least_words: int = 50,
+    least_part: float = 0.3,
+) -> DataFrame:
+    """Base counts of each document and the verdict of the line rules.
+
+    A line is removed where more than ``most_documents + most_share * documents of
+    the host`` documents of the host have it. ``kept`` is false if ``base_failed``, or
+    if fewer than ``least_words`` words or ``least_part`` of the words stay.
+    """
+    base = base_rules(docs, doc_id, text, host)
+    lines = document_lines(docs, doc_id, text, host)
+    common = common_lines(docs, text, host, most_documents, most_share)
     removed = (
-        lines.withColumn("_at", host_key)
-        .join(common, ["_at", "line"])
+        removed_lines(lines, common)
         .groupBy("_key")
         .agg(F.sum("words").alias("_words_out"), F.count(F.lit(1)).alias("_lines_out"))
     )

@@ -66,3 +66,22 @@ def test_hard_rows(spark):
     limits = {"most_documents": 2, "most_share": 0.1}
     assert found(df, **limits) == plain(rows, **limits)
     assert found(df.limit(0)) == []
+
+
+def test_texts_without_common_lines(spark):
+    """The texts lose the lines, and the words, that the verdict counts; nothing else changes."""
+    from lexweave.llm.line_quality import without_common_lines
+
+    body = " ".join(f"w{i}" for i in range(60))
+    rows = [(i, f"Shared Line 12\n{body} {chr(97 + i)}\n\nshared  line 99\n", "h") for i in range(5)]
+    rows += [(None, None, None), (7, "", None), (8, " \n\t\n", "h"), (9, "SHARED line 00", "h")]
+    rows += [(1, "Shared line 00\n" + body, "g"), (1, "Shared line 00\n" + body, "g")]
+    df = spark.createDataFrame([(*r, "k") for r in rows], "doc_id long, text string, source string, _key string")
+    limits = {"most_documents": 2, "most_share": 0.1}
+    cleaned = without_common_lines(df, **limits)
+    assert cleaned.columns == df.columns
+    expected = [(i, f"{body} {chr(97 + i)}\n\n", "h", "k") for i in range(5)]
+    expected += [(*r, "k") for r in rows[5:8]] + [(9, "", "h", "k")] + [(*r, "k") for r in rows[9:]]
+    assert sorted(map(tuple, cleaned.collect()), key=repr) == sorted(expected, key=repr)
+    counted = sorted((r[0], r[1] - r[-1]) for r in plain(rows, **limits) if r[0] is not None)
+    assert sorted((r["doc_id"], len(words_of(r["text"]))) for r in cleaned.collect() if r["doc_id"] is not None) == counted
