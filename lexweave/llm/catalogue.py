@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from lexweave.llm import (
     language_crf,
+    license_search,
     line_quality,
     log_templates,
     ngram_join,
@@ -263,3 +264,22 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("lines_dropped").alias("n_dropped"),
         F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"),
     )
+
+
+@query("op11_license_search")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = license_search.find_notices(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    spans = F.col("licenses.spans")
+    base = F.filter(spans, lambda s: s["base"])
+    starts = F.transform(base, lambda s: s["first_word"])
+    labels = lambda these: F.concat_ws(",", F.array_sort(F.array_distinct(F.transform(these, lambda s: s["label"]))))
+    return found.select(
+        "doc_id",
+        F.col("licenses.n_words").alias("n_words"),
+        F.size(base).cast("long").alias("n_base"),
+        F.array_min(starts).alias("first_word"),
+        F.array_max(starts).alias("last_word"),
+        labels(base).alias("base_labels"),
+        labels(spans).alias("labels"),
+        F.col("licenses.score").alias("score"),
+    )

@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -92,3 +93,48 @@ def bitmap_of(df: DataFrame, place: Column) -> np.ndarray:
 def in_bitmap(bits: np.ndarray, places: np.ndarray) -> np.ndarray:
     """Which of some places have their bit set."""
     return (bits[places >> 3] >> (places & 7).astype(np.uint8) & 1).astype(bool)
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """The name, with underscores until no column of the frame has it in any case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def text_slices(batch: pa.RecordBatch, texts: pa.Array, size: int) -> Iterator[tuple[pa.RecordBatch, pa.Array]]:
+    """Parts of a batch with about ``size`` bytes of text each, one row at least."""
+    lengths = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    part = np.cumsum(lengths) // size
+    starts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), batch.num_rows]
+    for a, b in zip(starts, starts[1:], strict=False):
+        if a < b:
+            yield batch.slice(a, b - a), texts.slice(a, b - a)
+
+
+def map_text_slices(
+    df: DataFrame,
+    text: str,
+    added: list[T.StructField],
+    values: Callable[[list[bytes | None]], list],
+    size: int = 1 << 20,
+) -> DataFrame:
+    """Add columns that ``values`` computes from texts in UTF-8, some bytes of text at a time.
+
+    The added names must be free (``free_name``); all input columns pass through.
+    """
+    own = free_name(df, TEXT)
+    source = df.select(*[quoted(c) for c in df.columns], F.col(text).cast("string").cast("binary").alias(own))
+    kinds = [to_arrow_type(f.dataType) for f in added]
+    names = [*df.columns, *[f.name for f in added]]
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part, texts in text_slices(batch, batch.column(batch.num_columns - 1), size):
+                columns = [part.column(i) for i in range(part.num_columns - 1)]
+                found = values(texts.to_pylist())
+                columns += [pa.array(f, k) for f, k in zip(found, kinds, strict=True)]
+                yield pa.RecordBatch.from_arrays(columns, names)
+
+    return source.mapInArrow(each, T.StructType([*df.schema.fields, *added]))
