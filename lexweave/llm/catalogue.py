@@ -17,11 +17,12 @@ from lexweave.llm import (
     pii,
     piece_codec,
     poisson_mixing,
+    token_alignment,
     top_k,
     toxicity,
     warc,
 )
-from lexweave.llm.common import crc_part
+from lexweave.llm.common import crc_part, stored
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -51,6 +52,15 @@ def piece_model() -> str:
     return str(public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def byte_vocabulary() -> str:
+    """Path of the public byte-level vocabulary; ``BYTE_VOCABULARY`` names another."""
+    if "BYTE_VOCABULARY" in os.environ:
+        return os.environ["BYTE_VOCABULARY"]
+    import public_tokenizers
+
+    return str(public_tokenizers.path("byte_bpe_50k.json"))
+
+
 LINE_QUALITY_SQL = r"""
 with d as (
   select row_number() over () as r, doc_id, source, coalesce(text, '') as text from documents
@@ -283,3 +293,15 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
         labels(spans).alias("labels"),
         F.col("licenses.score").alias("score"),
     )
+
+
+@query("op12_token_alignment")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    aligned = token_alignment.align_texts(docs, byte_vocabulary(), piece_model())
+    groups = F.col("alignment.groups")
+    digest = F.when(groups == "", "").otherwise(F.sha2(groups, 256)).alias("groups_sha256")
+    narrow = F.col("alignment").dropFields("groups").alias("alignment")
+    found = token_alignment.with_pair_counts(stored(aligned.select("doc_id", digest, narrow), "aligned"))
+    counts = [F.col(f"alignment.{c}").alias(c) for c in ("n_a", "n_b", "n_groups", "n_links")]
+    return found.select("doc_id", *counts, "n_best", "count_sum", "groups_sha256")

@@ -164,11 +164,11 @@ class Searcher:
     def found(self, raw: bytes | None) -> dict[str, object]:
         """Number of words, score and spans of one text in UTF-8."""
         words = (raw or b"").translate(WORD_BYTES).split()
-        padded = f" {b' '.join(words).decode()} "
+        padded = f" {b' '.join(words).decode(errors='replace')} "
         spans = self.spans(padded)
         out, best = [], 0.0
         if spans:
-            places = [m.span() for m in WORD.finditer(raw.decode())]
+            places = [m.span() for m in WORD.finditer(raw.decode(errors='replace'))]
             at, word = 0, -1  # the padded text's first space stands before word 0
             for number, edits, start, end in spans:
                 word += padded.count(" ", at, start)
