@@ -17,6 +17,7 @@ from lexweave.llm import (
     pii,
     piece_codec,
     poisson_mixing,
+    spelling_variants,
     token_alignment,
     top_k,
     toxicity,
@@ -305,3 +306,8 @@ def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = token_alignment.with_pair_counts(stored(aligned.select("doc_id", digest, narrow), "aligned"))
     counts = [F.col(f"alignment.{c}").alias(c) for c in ("n_a", "n_b", "n_groups", "n_links")]
     return found.select("doc_id", *counts, "n_best", "count_sum", "groups_sha256")
+
+
+@query("op13_spelling_variants")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants.spelling_variants(table(spark, sf_dir, "documents"))
