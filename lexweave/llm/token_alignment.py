@@ -2,7 +2,7 @@
 
 Side A is a byte-level BPE vocabulary (a tokenizers file), side B a SentencePiece one with
 byte fallback. A encodes the text behind a space, B puts that space itself, so both write
-the same bytes. A worker takes a few megabytes of documents at a time and lays their
+the same bytes. A worker takes a few documents at a time and lays their
 tokens end to end. ``pandas.merge_asof``, keyed by document, finds for the start of every
 token the token of the other side that covers it; both directions together are all
 overlaps, since of two overlapping tokens one starts inside the other. Offsets where
@@ -26,7 +26,6 @@ from __future__ import annotations
 import json
 from collections.abc import Iterator
 from functools import cache
-from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -39,7 +38,7 @@ from pyspark.sql import types as T
 from lexweave.functions.types import quoted
 from lexweave.llm.common import TEXT, free_name, stored, text_slices
 
-BLOCK = 4 << 20  # bytes of text that a worker aligns at a time
+BLOCK = 2 << 20  # bytes of text that a worker aligns at a time
 SPACE = "▁"
 # How byte-level vocabularies write bytes: printable ones as themselves, the others from U+0100 on.
 PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -82,11 +81,12 @@ class ByteSide:
         }
         if not plain or [vocab.get(a + b) for a, b in merges] != list(range(256, 256 + len(merges))):
             raise ValueError("this is no plain byte-level vocabulary whose ids are the ranks of its merges")
+        self.sizes = np.array([len(x) for x in self.bytes], np.int64)
         ranks = {token: i for i, token in enumerate(self.bytes) if token}
         self.own = tiktoken.Encoding("aligned", pat_str=CUTS, mergeable_ranks=ranks, special_tokens={})
 
-    def encode(self, texts: list[str]) -> list[list[int]]:
-        return [self.own.encode_ordinary(" " + t) for t in texts]
+    def encode(self, text: str) -> list[int]:
+        return self.own.encode_ordinary(" " + text)
 
 
 class PieceSide:
@@ -101,9 +101,10 @@ class PieceSide:
             piece = self.own.id_to_piece(i)
             shown = piece.replace(SPACE, " ").encode()
             self.bytes.append(bytes([int(piece[3:5], 16)]) if self.own.is_byte(i) else shown)
+        self.sizes = np.array([len(x) for x in self.bytes], np.int64)
 
-    def encode(self, texts: list[str]) -> list[list[int]]:
-        return self.own.encode(texts, num_threads=1)
+    def encode(self, text: str) -> list[int]:
+        return self.own.encode(text)
 
 
 @cache
@@ -133,9 +134,9 @@ def written(ids: int) -> Written:
 class Tokens:
     """Tokens of one side of a block, end to end: ids, documents, byte offsets."""
 
-    def __init__(self, ids: list[list[int]], sizes: np.ndarray) -> None:
+    def __init__(self, ids: list[np.ndarray], sizes: np.ndarray) -> None:
         self.counts = np.array([len(i) for i in ids], np.int64)
-        self.ids = np.fromiter(chain.from_iterable(ids), np.int64, int(self.counts.sum()))
+        self.ids = np.concatenate(ids).astype(np.int64)
         self.docs = np.repeat(np.arange(len(ids)), self.counts)
         lengths = sizes[self.ids]
         self.ends = np.cumsum(lengths)
@@ -189,17 +190,17 @@ def group_texts(a: Tokens, b: Tokens, rows: int) -> tuple[list[str], np.ndarray]
 def align_block(texts: list[bytes | None], byte_file: str, piece_file: str, block: int) -> list[dict]:
     """One result (see ``ALIGNED``) per text; the first holds the block's pairs."""
     left, right = byte_side(byte_file), piece_side(piece_file)
-    plain = [(t or b"").decode(errors="replace") for t in texts]
-    a_ids, b_ids = left.encode(plain), right.encode(plain)
-    for i, text in enumerate(texts):
-        whole = b" " + text if text else None
-        same = whole is not None and all(
-            b"".join([side.bytes[t] for t in ids[i]]) == whole for side, ids in ((left, a_ids), (right, b_ids))
+    none = np.empty(0, np.int32)
+    ids: list[tuple[np.ndarray, np.ndarray]] = []
+    for text in texts:
+        plain = (text or b"").decode(errors="replace")
+        both = [side.encode(plain) if plain else [] for side in (left, right)]
+        same = plain and all(
+            b"".join([side.bytes[i] for i in found]) == b" " + text for side, found in zip((left, right), both, strict=True)
         )
-        if not same:
-            a_ids[i], b_ids[i] = [], []
-    sizes = [np.array([len(x) for x in side.bytes], np.int64) for side in (left, right)]
-    a, b = Tokens(a_ids, sizes[0]), Tokens(b_ids, sizes[1])
+        ids.append(tuple(np.array(found, np.int32) for found in both) if same else (none, none))
+    a, b = (Tokens([pair[k] for pair in ids], side.sizes) for k, side in enumerate((left, right)))
+    del ids
     rows = len(texts)
     groups, n_groups = group_texts(a, b, rows)
     at_a, at_b = overlaps(a, b)

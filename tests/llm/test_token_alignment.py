@@ -104,11 +104,11 @@ def test_both_sides_encode_as_the_libraries(sides):
     parts = ["a", "the", " ", "  ", "▁", "\n", "é", "ß", "日", "🙂", "̀", "ing", "'s", "'ll", "12", "\t", " ", "//", "X", "ŉ"]
     texts = HARD + ["".join(rng.choices(parts, k=rng.randint(1, 50))) for _ in range(3000)]
     left, right = ta.byte_side(byte_vocabulary()), ta.piece_side(piece_model())
-    for text, a, b in zip(texts, left.encode(texts), right.encode(texts), strict=True):
+    for text in texts:
         known_a, known_b = sides(text)
         if known_a:
-            assert a == [i for i, _ in known_a], text
-            assert b == [i for i, _ in known_b], text
+            assert left.encode(text) == [i for i, _ in known_a], text
+            assert right.encode(text) == [i for i, _ in known_b], text
 
 
 def aligned(spark, rows, size, sides):
