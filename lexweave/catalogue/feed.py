@@ -180,6 +180,55 @@ CURRENT_SQL = """
 query("e10_current_phase", CURRENT_SQL)(lambda t: phases.current_phase(phase_log_of(t)))
 
 
+@query("e9_late_event_stream", """
+    SELECT entity, project_id, section, event_timestamp, event_name FROM (
+      SELECT entity, project_id, event_name, ts_ms AS event_timestamp,
+        CASE WHEN entity = 'Project' AND event_name <> 'PhaseChanged' THEN 'core'
+          ELSE selector END AS section,
+        row_number() OVER (PARTITION BY entity, project_id, event_id % 1000,
+          CASE WHEN entity = 'Project' AND event_name <> 'PhaseChanged' THEN 'core'
+            ELSE selector END
+          ORDER BY ts_ms DESC, event_name DESC) AS rn
+      FROM {webhook}) WHERE rn = 1""")
+def late_event_stream(t: Tables) -> DataFrame:
+    """The feed over events that arrive in no order, in several batches."""
+    runner = feed.CaseFeed(t.scratch("store"), buckets=4)
+    landing = t.scratch("landing")
+    t.webhook().drop("arrival").repartition(4, F.xxhash64("Timestamp")).write.json(landing)
+    run_to_end(runner.start(ev.read_events(t.spark, landing, max_files=2), t.scratch("checkpoint")))
+    return runner.last_events(t.spark).select("entity", "project_id", "section", "event_timestamp", "event_name")
+
+
+@query("e7_feed_deletes", """
+    SELECT l_orderkey AS project_id, l_linenumber AS id, l_returnflag AS type FROM lineitem
+    WHERE l_orderkey IN (SELECT project_id FROM {webhook} WHERE entity = 'CollectionItem')
+      AND (l_orderkey, CAST(l_linenumber AS VARCHAR)) NOT IN (
+        SELECT (project_id, item) FROM (
+          SELECT project_id, CAST(event_id % 7 AS VARCHAR) AS item, event_name,
+            row_number() OVER (PARTITION BY project_id, event_id % 7
+              ORDER BY ts_ms DESC, event_name DESC) AS rn
+          FROM {webhook} WHERE entity = 'CollectionItem')
+        WHERE rn = 1 AND event_name = 'Deleted')""")
+def feed_deletes(t: Tables) -> DataFrame:
+    """Sections loaded by the feed, without the items whose last event deletes them."""
+
+    def meds(spark: object, keys: DataFrame) -> DataFrame:
+        asked = keys.select(F.col("project_id").alias("projectId")).distinct()
+        return t["meds"].join(asked, "projectId", "left_semi").select(
+            F.lit(ORG).cast("bigint").alias("org_id"), F.col("projectId").alias("project_id"),
+            F.lit("meds").alias("section"), F.lit(1).cast("bigint").alias("project_type_id"), "id", "type",
+        )
+
+    landing = t.scratch("landing")
+    item = F.col("ObjectId").withField("ItemId", (F.col("arrival") % 7).cast("string"))
+    one_section = item.withField("SectionSelector", F.lit("meds"))
+    events = t.webhook().where("Object = 'CollectionItem'").withColumn("ObjectId", one_section)
+    events.drop("arrival").repartition(4, F.xxhash64("Timestamp")).write.json(landing)
+    runner = feed.CaseFeed(t.scratch("store"), {"collections": meds}, buckets=4)
+    run_to_end(runner.start(ev.read_events(t.spark, landing, max_files=2), t.scratch("checkpoint")))
+    return runner.items(t.spark).select("project_id", "id", "type")
+
+
 def landed_events(t: Tables, untyped: bool = False) -> DataFrame:
     """A stream over landed JSON events, several files a batch."""
     landing = t.scratch("landing")

@@ -1,29 +1,36 @@
-"""Writers for the raw store, the standard model and the warehouse.
+"""Writers for logs, whole tables, the standard model and the warehouse.
 
-A feed's store keeps per entity ``log``, every load as it came, and ``current``,
-the latest state partitioned by tenant and key bucket. A record's project type is a
-column like others, so a record that changes its type, or an event without one, stays
-in its partition. The log is complete, so ``rebuild`` and ``rebuild_sections`` can
-make the state again. A store's bucket count is kept beside it and must not change.
+A feed's store keeps per entity ``log``, every load as it came, and ``current``, the latest
+state (``sinks.store``). The log is complete, so ``rebuild`` and ``rebuild_sections`` can make
+the state again. A record's project type is a column like others, so a record that changes
+its type, or an event without one, stays in its partition.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from lexweave.config.warehouse import WarehouseTable
-from lexweave.functions.types import quoted
 from lexweave.operators.checks import conform, rejected
-from lexweave.operators.latest import latest_per_key, replace_groups
-from lexweave.operators.skew import spread_join
-from lexweave.sources.files import read_if_present, read_merged
-
-BUCKET = "key_bucket"
-GONE = T.StructField("_gone", T.BooleanType())
+from lexweave.sinks.store import (
+    compact,
+    read_current,
+    read_versions,
+    rebuild,
+    rebuild_sections,
+    replace_sections,
+    upsert,
+    vacuum,
+)
+
+__all__ = [
+    "append_batch", "batch_path", "compact", "export", "jdbc_load", "read_current", "read_phase_log", "read_versions", "rebuild",
+    "rebuild_sections", "replace_sections", "upsert", "vacuum", "warehouse_load", "warehouse_write",
+    "write_entity", "write_partitioned", "write_table",
+]
 
 
 def write_table(df: DataFrame, root: str, name: str) -> str:
@@ -66,22 +73,6 @@ def export(df: DataFrame, path: str, files: int | None = None) -> None:
     (df if files is None else df.repartition(files)).write.mode("overwrite").parquet(path)
 
 
-def _keep_layout(spark: SparkSession, path: str, buckets: int) -> None:
-    """Record a store's bucket count beside it; another count than the recorded is an error."""
-    kept = f"{path.rstrip('/')}-layout"
-    found = read_if_present(spark, kept, T.StructType.fromDDL("buckets int"))
-    if found is None:
-        spark.range(1).select(F.lit(buckets).alias("buckets")).write.parquet(kept)
-        return
-    known = found.first()["buckets"]
-    if known != buckets:
-        raise ValueError(f"the store at {path} has {known} buckets, not {buckets}")
-
-
-def _bucketed(df: DataFrame, keys: Sequence[str], buckets: int) -> DataFrame:
-    return df.withColumn(BUCKET, F.pmod(F.xxhash64(*map(quoted, keys)), F.lit(buckets)))
-
-
 def read_phase_log(spark: SparkSession, path: str) -> DataFrame:
     """The phase log, each change once however often its event arrived."""
     log = spark.read.parquet(path)
@@ -89,47 +80,6 @@ def read_phase_log(spark: SparkSession, path: str) -> DataFrame:
     return log.groupBy(*keys).agg(F.max("phase").alias("phase"))
 
 
-def _stored(schema: T.StructType | None, *extra: T.StructField) -> T.StructType | None:
-    """The declared schema with the columns the store adds."""
-    if schema is None:
-        return None
-    return T.StructType([*schema.fields, *extra, T.StructField(BUCKET, T.LongType())])
-
-
-def _current(
-    incoming: DataFrame, path: str, columns: Sequence[str], schema: T.StructType | None
-) -> DataFrame | None:
-    """What the store holds, its partition columns typed like the incoming ones.
-
-    Left to itself Spark types them by their values, and tenant ``007`` is 7.
-    """
-    spark = incoming.sparkSession
-    if schema is not None:
-        return read_if_present(spark, path, schema)
-    found = read_if_present(spark, path)
-    if found is None:
-        return None
-    typed = [incoming.schema[f.name] if f.name in columns else f for f in found.schema.fields]
-    return read_merged(spark, path, schema=T.StructType(typed))
-
-
-def _touched(df: DataFrame, incoming: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """The rows of ``df`` in the partitions ``incoming`` touches.
-
-    Partition values are literals in the filter, so untouched partitions are not
-    listed or read. There is one value for each partition that the job then
-    replaces, which the driver lists in any case to commit them.
-    """
-    values = incoming.select(*[quoted(c).alias(f"_t_{c}") for c in columns]).distinct()
-    rows = values.collect()
-    for name in columns:
-        seen = {r[f"_t_{name}"] for r in rows}
-        known = quoted(name).isin(sorted(v for v in seen if v is not None))
-        df = df.where(known | quoted(name).isNull() if None in seen else known)
-    same = [quoted(c).eqNullSafe(F.col(f"_t_{c}")) for c in columns]
-    return df.join(df.sparkSession.createDataFrame(rows, values.schema), same, "left_semi")
-
-
 def _write_partitions(df: DataFrame, path: str, columns: Sequence[str]) -> None:
     """Replace the partitions present in ``df``; all others stay.
 
@@ -142,126 +92,6 @@ def _write_partitions(df: DataFrame, path: str, columns: Sequence[str]) -> None:
     )
 
 
-def upsert(
-    incoming: DataFrame,
-    path: str,
-    keys: Sequence[str],
-    order: Sequence[Column | str],
-    partition_by: Sequence[str],
-    buckets: int = 64,
-    schema: T.StructType | None = None,
-) -> None:
-    """Keyed upsert, last write wins; only touched partitions are read and written.
-
-    ``schema`` is the store's declared schema, partition columns included; it
-    spares reading every file's footer. ``incoming`` is read twice, so give it
-    as files rather than as a long plan.
-    """
-    outside = [c for c in partition_by if c not in keys]
-    if outside:
-        raise ValueError(f"partition columns {outside} must be part of the key")
-    columns = [*partition_by, BUCKET]
-    _keep_layout(incoming.sparkSession, path, buckets)
-    incoming = _bucketed(incoming, keys, buckets)
-    current = _current(incoming, path, columns, _stored(schema))
-    if current is not None:
-        old = _touched(current, incoming, columns)
-        incoming = old.unionByName(incoming, allowMissingColumns=True)
-    _write_partitions(latest_per_key(incoming, [*keys, BUCKET], order), path, columns)
-
-
-def replace_sections(
-    incoming: DataFrame,
-    path: str,
-    group: Sequence[str],
-    refreshed: DataFrame,
-    partition_by: Sequence[str],
-    buckets: int = 64,
-    schema: T.StructType | None = None,
-) -> None:
-    """Replace the items of every refreshed group, also where none is left.
-
-    Partitions are bucketed by group, so a batch rewrites only the buckets of
-    its groups; a huge group is still written by many tasks. ``refreshed`` has
-    the partition columns and the group columns, none of them null; groups of
-    different partitions are different groups. A group that ``incoming`` holds is
-    refreshed too, so every partition that is written has been read.
-    """
-    columns = [*partition_by, BUCKET]
-    _keep_layout(incoming.sparkSession, path, buckets)
-    incoming = _bucketed(incoming, group, buckets)
-    keys = [*partition_by, *group]
-    groups = refreshed.select(*keys).unionByName(incoming.select(*keys)).distinct()
-    groups = _bucketed(groups, group, buckets)
-    current = _current(incoming, path, columns, _stored(schema, GONE))
-    if current is None:
-        return _write_partitions(incoming.withColumn("_gone", F.lit(False)), path, columns)
-    old = _touched(current, groups, columns).where(~F.col("_gone")).drop("_gone")
-    merged = replace_groups(old, incoming, keys, groups)
-    # A partition left without rows would have no new file to take its place, so
-    # every touched one gets a marker row that readers drop.
-    touched = groups.select(*columns).distinct().withColumn("_gone", F.lit(True))
-    marked = merged.withColumn("_gone", F.lit(False)).unionByName(
-        touched, allowMissingColumns=True
-    )
-    _write_partitions(marked, path, columns)
-    return None
-
-
-def read_current(
-    spark: SparkSession, path: str, schema: T.StructType | None = None
-) -> DataFrame:
-    """The current state an ``upsert`` or ``replace_sections`` store holds.
-
-    Without ``schema`` Spark types the partition columns by their values.
-    """
-    df = read_merged(spark, path, schema=_stored(schema, GONE))
-    if "_gone" in df.columns:
-        df = df.where(~F.coalesce("_gone", F.lit(False)))
-    return df.drop(BUCKET, "_gone")
-
-
-def rebuild(
-    spark: SparkSession,
-    log_path: str,
-    path: str,
-    keys: Sequence[str],
-    order: Sequence[Column | str],
-    partition_by: Sequence[str],
-    buckets: int = 64,
-) -> None:
-    """Make the current state again from the whole log."""
-    _keep_layout(spark, path, buckets)
-    log = _bucketed(read_merged(spark, log_path), keys, buckets)
-    last = latest_per_key(log, [*keys, BUCKET], order).drop("run", "batch_id")
-    _write_partitions(last, path, [*partition_by, BUCKET])
-
-
-def rebuild_sections(
-    spark: SparkSession,
-    log_path: str,
-    refreshed_path: str,
-    path: str,
-    group: Sequence[str],
-    partition_by: Sequence[str],
-    buckets: int = 64,
-) -> None:
-    """Make a section store again: each group's rows are those of its last refresh.
-
-    Both logs carry ``load_id``, which grows over all runs.
-    """
-    _keep_layout(spark, path, buckets)
-    keys = [*partition_by, *group]
-    last = read_merged(spark, refreshed_path).groupBy(*keys).agg(F.max("load_id").alias("load_id"))
-    log = read_merged(spark, log_path).drop("run", "batch_id")
-    rows = spread_join(log, last, [*keys, "load_id"], "inner")
-    rows = _bucketed(rows, group, buckets).withColumn("_gone", F.lit(False))
-    marks = _bucketed(last, group, buckets)
-    columns = [*partition_by, BUCKET]
-    marks = marks.select(*columns).distinct().withColumn("_gone", F.lit(True))
-    _write_partitions(rows.unionByName(marks, allowMissingColumns=True), path, columns)
-
-
 def warehouse_write(
     df: DataFrame,
     name: str,

@@ -57,6 +57,19 @@ def read_if_present(
         raise
 
 
+def listed(spark: SparkSession, pattern: str) -> list[str]:
+    """Files and folders that a pattern names, in the session's file systems."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path)
+    return sorted(s.getPath().toString() for s in found or [])
+
+
+def remove(spark: SparkSession, folder: str) -> None:
+    """Delete a folder with all it holds."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
     """Read back a standard-model table that ``write_table`` wrote."""
     return spark.read.parquet(f"{root}/{name.lower()}")

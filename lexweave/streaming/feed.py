@@ -3,11 +3,14 @@
 Each batch is written under its run and id, and a batch that runs again replaces
 what it wrote, so a restart neither loses nor repeats rows. A new checkpoint starts
 a new run beside the former ones; loads are ordered by the time they were made.
+
+The last event of every record is kept too, by event time, so events may arrive in any
+order. A collection item whose last event deletes it is not there, whatever a reload that
+came with an older event still holds of it.
 """
 
 from __future__ import annotations
 
-import inspect
 import time
 from collections.abc import Callable
 from dataclasses import dataclass, field
@@ -19,7 +22,7 @@ from pyspark.sql.streaming.query import StreamingQuery
 
 from lexweave.operators.phases import PROJECT, current_phase
 from lexweave.operators.skew import spread_join
-from lexweave.sinks.tables import append_batch, replace_sections, upsert
+from lexweave.sinks.tables import append_batch, compact, read_current, read_versions, replace_sections, upsert
 from lexweave.streaming.events import (
     normalise,
     phase_log,
@@ -29,10 +32,12 @@ from lexweave.streaming.events import (
     with_project_type,
 )
 
-Loader = Callable[..., DataFrame]
+Loader = Callable[[SparkSession, DataFrame], DataFrame]
 
 PARTITIONS = ["org_id"]
 ALL_NOW = {"availableNow": True}
+RECORD = ["org_id", "entity", "project_id", "section", "item_id"]
+ITEM = ["org_id", "project_id", "section"]
 
 
 def run_of(batch: DataFrame) -> str:
@@ -40,19 +45,25 @@ def run_of(batch: DataFrame) -> str:
     return batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or "0"
 
 
+EVENT_FIELDS = T.StructType.fromDDL(
+    "org_id bigint, entity string, project_id bigint, section string, item_id string, "
+    "event_timestamp bigint, event_name string, project_type_id bigint"
+)
+
+
 @dataclass
 class CaseFeed:
     """Applies case-system events under ``root``.
 
     ``loaders`` give the landed, flattened records of a route (``project``,
-    ``form`` or ``collections``) with ``org_id``, ``project_id`` and ``section``,
-    and their own ``project_type_id``: the type that is stored is the record's,
-    whatever the event says or leaves out. Collections also have ``id``. A loader
-    that takes a second argument gets the batch's keys (``org_id``, ``project_id``,
-    ``section``), to read no more than it must. ``schemas`` may declare a route's
-    stored columns, ``event_timestamp`` and ``load_id`` included. ``log`` and
-    ``refreshed`` keep every load, to rebuild ``current``. ``projects`` gives the
-    type of projects whose phase events come without one.
+    ``form`` or ``collections``) for the batch's keys, which are their second argument
+    (``org_id``, ``project_id``, ``section``), and should read no more than those. Records
+    have these columns and their own ``project_type_id``: the type that is stored is the
+    record's, whatever the event says or leaves out. Collections also have ``id``.
+    ``schemas`` may declare a route's stored columns, ``event_timestamp`` and ``load_id``
+    included. ``log`` and ``refreshed`` keep every load, to rebuild ``current``; ``events``
+    keeps the last event of each record. ``projects`` gives the type of projects whose
+    phase events come without one.
     """
 
     root: str
@@ -71,11 +82,41 @@ class CaseFeed:
         try:
             phases = phase_log(events)
             append_batch(phases, f"{self.root}/phases", batch_id, run)
+            self._remember(events)
             for name, loader in self.loaders.items():
                 self._refresh(name, loader, events, batch_id, run)
         finally:
             events.unpersist()
 
+    def _remember(self, events: DataFrame) -> None:
+        """Keep each record's last event by event time; deletes are tombstones.
+
+        What decides is stored, so it needs no state of the stream and no bound on lateness.
+        """
+        last = events.select(*RECORD, "event_timestamp", "event_name", "project_type_id")
+        gone = F.col("event_name") == "Deleted"
+        order = ["event_timestamp", "event_name"]
+        upsert(last, f"{self.root}/events", RECORD, order, PARTITIONS, self.buckets, EVENT_FIELDS, gone)
+
+    def last_events(self, spark: SparkSession) -> DataFrame:
+        """The last event of every record, with ``is_gone`` for deletes."""
+        return read_versions(spark, f"{self.root}/events", EVENT_FIELDS)
+
+    def items(self, spark: SparkSession) -> DataFrame:
+        """Current collection items without those that were deleted."""
+        schema = self.schemas.get("collections")
+        current = read_current(spark, f"{self.root}/collections/current", schema)
+        gone = self.last_events(spark).where(F.col("is_gone") & (F.col("entity") == "CollectionItem"))
+        keyed = current.withColumn("item_id", F.col("id").cast("string"))
+        return spread_join(keyed, gone.select(*ITEM, "item_id"), [*ITEM, "item_id"], "left_anti").drop("item_id")
+
+    def compact(self, spark: SparkSession, keep_gone: int | None = None) -> int:
+        """Compact all stores of the feed, beside the stream; tombstones stay for ``keep_gone`` microseconds."""
+        done = compact(spark, f"{self.root}/events", EVENT_FIELDS, keep_gone=keep_gone)
+        for name in self.loaders:
+            done += compact(spark, f"{self.root}/{name}/current", self.schemas.get(name))
+        return done
+
     def _refresh(
         self, name: str, loader: Loader, events: DataFrame, batch_id: int, run: str
     ) -> None:
@@ -84,14 +125,13 @@ class CaseFeed:
         named = events.where(F.col("route") == name)
         keys = ["org_id", "project_id", "section"]
         asked = named.groupBy(*keys).agg(F.max("event_timestamp").alias("event_timestamp"))
-        takes_keys = len(inspect.signature(loader).parameters) > 1
-        records = loader(spark, asked.select(*keys)) if takes_keys else loader(spark)
+        records = loader(spark, asked.select(*keys))
         # A refresh reads the record as it is now: the later load is the newer
         # state, also when a late event asked for it.
         load = F.lit(time.time_ns() // 1000).cast("bigint").alias("load_id")
         fresh = spread_join(records, asked, keys, "inner").withColumn("load_id", load)
-        # Written first and read back: the merge below then reads the batch's
-        # rows as files instead of running the join again.
+        # Written first and read back: the store then reads the batch's rows as
+        # files instead of running the join again.
         written = append_batch(fresh, f"{self.root}/{name}/log", batch_id, run)
         landed = spark.read.parquet(written)
         current = f"{self.root}/{name}/current"
@@ -115,9 +155,8 @@ class LeadFeed:
     """Applies lead-system events under ``root``; unknown types are kept apart.
 
     ``loaders`` give the landed, flattened records of ``leaddetail``, ``contact`` or
-    ``opportunities`` with their ``Id``; what an event names is loaded again and
-    upserted by id, the later load winning. As in ``CaseFeed`` a loader may take the
-    batch's ids as a second argument.
+    ``opportunities`` with their ``Id`` for the batch's ids, their second argument; what an
+    event names is loaded again and upserted by id, the later load winning.
     """
 
     root: str
@@ -141,8 +180,7 @@ class LeadFeed:
     def _refresh(self, name: str, loader: Loader, ids: DataFrame, batch_id: int, run: str) -> None:
         spark = ids.sparkSession
         asked = ids.select(F.col("record_id").alias("Id")).dropna()
-        takes_keys = len(inspect.signature(loader).parameters) > 1
-        records = loader(spark, asked) if takes_keys else loader(spark)
+        records = loader(spark, asked)
         load = F.lit(time.time_ns() // 1000).cast("bigint")
         fresh = records.join(asked, "Id", "left_semi").withColumn("load_id", load)
         landed = spark.read.parquet(append_batch(fresh, f"{self.root}/{name}/log", batch_id, run))
@@ -165,7 +203,7 @@ def stream_phases(
 def stream_current_phase(
     events: DataFrame, path: str, checkpoint: str, **trigger: object
 ) -> StreamingQuery:
-    """Current phase of each project; a batch rewrites only the buckets it changes."""
+    """Current phase of each project; a batch writes the projects it changes."""
     changes = normalise(subscribed(events)).where(F.col("event_name") == "PhaseChanged")
     state = current_phase(changes.withColumnRenamed("event_timestamp", "event_ts"))
 

@@ -128,7 +128,7 @@ def test_bounded_lateness_drops_repeats_in_the_stream(spark, scratch):
 
 def collection(spark, source):
     """Landed items of both projects, read again for every batch."""
-    return lambda _: spark.read.json(source, schema=(
+    return lambda _, keys: spark.read.json(source, schema=(
         "org_id bigint, project_type_id bigint, project_id bigint, section string, id bigint, v string"
     ))
 
@@ -210,7 +210,7 @@ def test_a_batch_that_died_half_way_runs_again(spark, scratch, monkeypatch):
 def test_feed_refreshes_forms_by_key(spark, scratch):
     root, mark, landing, landed = (scratch(n) for n in ("root", "mark", "landing", "landed"))
     schema = ("org_id bigint, project_type_id bigint, project_id bigint, section string, fee string")
-    runner = feed.CaseFeed(root, {"form": lambda _: spark.read.json(landed, schema=schema)})
+    runner = feed.CaseFeed(root, {"form": lambda _, keys: spark.read.json(landed, schema=schema)})
 
     def form(project, fee):
         return {"org_id": 6, "project_type_id": 18, "project_id": project, "section": "intake",
@@ -271,7 +271,7 @@ def test_a_project_that_changes_its_type_is_there_once(spark, scratch):
     root, mark, landing, landed = (scratch(n) for n in ("root", "mark", "landing", "landed"))
     schema = "org_id bigint, project_type_id bigint, project_id bigint, section string, fee string"
     runner = feed.CaseFeed(root, {
-        "form": lambda _: spark.read.json(landed, schema=schema),
+        "form": lambda _, keys: spark.read.json(landed, schema=schema),
         "collections": collection(spark, f"{landed}-items"),
     })
     for number, kind in enumerate((18, 19)):
@@ -287,7 +287,7 @@ def test_a_project_that_changes_its_type_is_there_once(spark, scratch):
 def test_a_new_checkpoint_keeps_the_newest_state_and_all_logs(spark, scratch):
     root, landing, landed = scratch("root"), scratch("landing"), scratch("landed")
     schema = "org_id bigint, project_type_id bigint, project_id bigint, section string, fee string"
-    runner = feed.CaseFeed(root, {"form": lambda _: spark.read.json(landed, schema=schema)})
+    runner = feed.CaseFeed(root, {"form": lambda _, keys: spark.read.json(landed, schema=schema)})
     for number, fee in enumerate(("first", "second")):
         land(landed, "f", {"org_id": 6, "project_type_id": 18, "project_id": 11, "section": "intake", "fee": fee})
         land(landing, f"b{number}", {**FORM, "Timestamp": number}, {**PHASE, "Timestamp": number})
@@ -312,7 +312,7 @@ def test_a_loader_may_read_only_the_keys_of_the_batch(spark, scratch):
 
     def load(_, keys):
         asked.append(rows(keys))
-        return collection(spark, landed)(_).join(keys, ["org_id", "project_id", "section"], "left_semi")
+        return collection(spark, landed)(_, keys).join(keys, ["org_id", "project_id", "section"], "left_semi")
 
     land(landing, "b0", ITEM)
     finish(feed.CaseFeed(root, {"collections": load}).start(ev.read_events(spark, landing), mark))
@@ -327,6 +327,45 @@ def test_deletes_stay_within_their_project(spark):
     assert rows(without_deleted(items, events, items.columns, ["t"])) == [(6, 2, "meds", "a")]
 
 
+@pytest.mark.parametrize("together", [False, True])
+def test_a_delete_hides_its_item_whatever_comes_later(spark, scratch, together):
+    """Deleted arrives before the older Created; the landed section still holds the item."""
+    root, mark, landing, landed = (scratch(n) for n in ("root", "mark", "landing", "landed"))
+    land(landed, "meds", item(13, 1, "a"), item(13, 2, "b"), item(14, 1, "c"))
+    runner = feed.CaseFeed(root, {"collections": collection(spark, landed)}, buckets=2)
+
+    def event(name, at, project=13, number="1"):
+        return {**ITEM, "Event": name, "Timestamp": at, "ProjectId": project,
+                "ObjectId": {**ITEM["ObjectId"], "ItemId": number}}
+
+    steps = [[event("Deleted", 20)], [event("Created", 10), event("Updated", 15, 14)]]
+    for number, payloads in enumerate([sum(steps, [])] if together else steps):
+        land(landing, f"b{number}", *payloads)
+        finish(runner.start(ev.read_events(spark, landing), mark))
+    seen = lambda: rows(runner.items(spark).select("project_id", "id"))
+    assert seen() == [(13, 2), (14, 1)]
+    runner.compact(spark)
+    assert seen() == [(13, 2), (14, 1)]
+    # Created anew, later than the delete: the item is back. The same item of another project never went.
+    land(landing, "b9", event("Created", 30), event("Deleted", 30, 14, "2"))
+    finish(runner.start(ev.read_events(spark, landing), mark))
+    assert seen() == [(13, 1), (13, 2), (14, 1)]
+    last = runner.last_events(spark).select("project_id", "item_id", "event_name", "event_timestamp", "is_gone")
+    assert rows(last) == [(13, "1", "Created", 30, False), (14, "1", "Updated", 15, False), (14, "2", "Deleted", 30, True)]
+
+
+def test_deletes_are_forgotten_after_their_time(spark, scratch):
+    root, mark, landing = scratch("root"), scratch("mark"), scratch("landing")
+    runner = feed.CaseFeed(root, buckets=1)
+    for number in range(2):
+        land(landing, f"b{number}", {**ITEM, "Event": "Deleted", "ProjectId": number, "Timestamp": number})
+        finish(runner.start(ev.read_events(spark, landing), mark))
+        runner.compact(spark, keep_gone=0)
+    # The first was compacted with the load before the last: only loads since then count.
+    runner.compact(spark, keep_gone=0)
+    assert [r.project_id for r in runner.last_events(spark).collect()] == [1]
+
+
 def test_lead_feed_refreshes_records(spark, scratch):
     root, mark, landing = scratch("root"), scratch("mark"), scratch("landing")
     state = {"v": "old"}

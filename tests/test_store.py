@@ -1,9 +1,13 @@
 """Writers of the raw store, and what restarts and late rows do to it."""
 
+import random
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows
+from lexweave.sinks import store
 from lexweave.sinks import tables as sinks
 from lexweave.sources import files
 
@@ -29,12 +33,154 @@ def test_upsert_is_idempotent_and_ignores_late_rows(spark, scratch):
         assert state(spark, path) == expected
 
 
-def test_upsert_leaves_untouched_partitions_alone(spark, scratch):
+def files_of(path, part=""):
+    """Parquet files of a store with their sizes."""
+    found = Path(path).rglob("*.parquet")
+    return {str(f): f.stat().st_size for f in found if part in str(f)}
+
+
+def test_upsert_and_compaction_leave_untouched_partitions_alone(spark, scratch):
     path = scratch()
     sinks.upsert(frame(spark, (1, 1, 1, "a"), (2, 1, 1, "b")), path, KEY, ["ts"], ["org"], 2)
-    before = {f for f in spark.read.parquet(path).inputFiles() if "org=2" in f}
+    assert sinks.compact(spark, path) == 2
+    before = files_of(path)
+    assert any("org=2" in f for f in before)
     sinks.upsert(frame(spark, (1, 1, 2, "x")), path, KEY, ["ts"], ["org"], 2)
-    assert {f for f in spark.read.parquet(path).inputFiles() if "org=2" in f} == before
+    assert sinks.compact(spark, path) == 1
+    after = files_of(path)
+    assert before.items() <= after.items()
+    assert {f for f in after if "org=2" in f} == {f for f in before if "org=2" in f}
+    assert state(spark, path) == [(1, 1, 2, "x"), (2, 1, 1, "b")]
+
+
+def test_a_batch_writes_in_proportion_to_itself(spark, scratch):
+    path = scratch()
+    wide = spark.range(200_000).selectExpr("cast(id % 5 AS int) org", "cast(id AS int) id", "1 ts", "uuid() v")
+    sinks.upsert(wide, path, KEY, ["ts"], ["org"], 8)
+    sinks.compact(spark, path)
+    before = files_of(path)
+    sinks.upsert(wide.limit(1000).withColumn("ts", F.lit(2)), path, KEY, ["ts"], ["org"], 8)
+    written = sum(n for f, n in files_of(path).items() if f not in before)
+    assert written < sum(before.values()) / 50
+    # So few rows outgrow no bucket; nothing is written for them.
+    assert sinks.compact(spark, path) == 0
+    assert sinks.read_current(spark, path).where("ts = 2").count() == 1000
+    assert sinks.read_current(spark, path).count() == 200_000
+
+    path = scratch()
+    groups = wide.select("org", F.col("id").alias("project"), "v")
+    sinks.replace_sections(groups, path, ["project"], groups, ["org"], 8)
+    sinks.compact(spark, path)
+    before = files_of(path)
+    some = groups.where("project < 1000")
+    sinks.replace_sections(some.where("project >= 10"), path, ["project"], some, ["org"], 8)
+    assert sum(n for f, n in files_of(path).items() if f not in before) < sum(before.values()) / 50
+    assert sinks.read_current(spark, path).count() == 200_000 - 10
+
+
+@pytest.mark.parametrize("declared", [False, True])
+def test_upserts_compactions_and_tombstones_against_a_dictionary(spark, scratch, declared):
+    rng = random.Random(7 + declared)
+    path, known = scratch(), {}
+    schema = frame(spark).schema if declared else None
+    for step in range(7):
+        data = {
+            (rng.choice([1, 2, None]), rng.randint(1, 12)): (rng.randint(1, 9) * 100 + step, rng.choice(["a", "b", "gone"]))
+            for _ in range(rng.randint(0, 8))
+        }
+        rows_ = [(*key, *value) for key, value in data.items()]
+        sinks.upsert(frame(spark, *rows_), path, KEY, ["ts"], ["org"], 2, schema, gone=F.col("v") == "gone")
+        for key, value in data.items():
+            if value[0] >= known.get(key, (0,))[0]:
+                known[key] = value
+        if rng.random() < 0.5:
+            sinks.compact(spark, path, schema, outgrown=rng.choice([0.0, 0.5, 5.0]), buckets=rng.choice([None, None, 3, 5]))
+            if rng.random() < 0.5:
+                sinks.vacuum(spark, path, schema)
+        buckets = store.read_layout(spark, path).buckets
+        if buckets != 2:
+            sinks.compact(spark, path, schema, buckets=2)
+        expected = [(*k, *v) for k, v in known.items() if v[1] != "gone"]
+        out = sinks.read_current(spark, path, schema).select("org", "id", "ts", "v")
+        assert rows(out) == sorted(expected, key=repr), step
+
+
+def test_sections_and_compactions_against_a_dictionary(spark, scratch):
+    rng = random.Random(9)
+    path, known = scratch(), {}
+    schema = "org int, project int, v string"
+    for step in range(8):
+        groups = {(rng.choice([1, 2]), rng.randint(1, 6)) for _ in range(rng.randint(1, 4))}
+        items = [(*g, f"{step}-{i}") for g in groups for i in range(rng.choice([0, 0, 1, 3]))]
+        sinks.replace_sections(
+            spark.createDataFrame(items, schema), path, ["project"],
+            spark.createDataFrame(list(groups), "org int, project int"), ["org"], 2)
+        for g in groups:
+            known[g] = [i for i in items if i[:2] == g]
+        if step % 3 == 1:
+            sinks.compact(spark, path, outgrown=rng.choice([0.0, 0.7]))
+        if step % 4 == 3:
+            sinks.vacuum(spark, path)
+        expected = sorted((i for items in known.values() for i in items), key=repr)
+        assert rows(sinks.read_current(spark, path).select("org", "project", "v")) == expected, step
+
+
+def test_half_a_write_is_not_read(spark, scratch):
+    path = scratch()
+    sinks.upsert(frame(spark, (1, 1, 1, "a"), (1, 2, 1, "b")), path, KEY, ["ts"], ["org"], 2)
+    sinks.compact(spark, path)
+    sinks.upsert(frame(spark, (1, 1, 2, "x")), path, KEY, ["ts"], ["org"], 2)
+    whole = state(spark, path)
+    sinks.upsert(frame(spark, (1, 2, 2, "y"), (1, 3, 2, "z")), path, KEY, ["ts"], ["org"], 2)
+    sinks.compact(spark, path)
+    # What a writer that died before its commit leaves behind.
+    for folder in (store.loads(spark, path)[-1], store.runs(spark, path)[0].path):
+        Path(folder.removeprefix("file:"), "_SUCCESS").unlink()
+    assert state(spark, path) == whole
+    sinks.upsert(frame(spark, (1, 2, 2, "y")), path, KEY, ["ts"], ["org"], 2)
+    sinks.compact(spark, path)
+    assert state(spark, path) == [(1, 1, 2, "x"), (1, 2, 2, "y")]
+
+
+def test_tombstones_outlive_late_rows_and_end(spark, scratch):
+    path = scratch()
+
+    def load(number, *data):
+        df = frame(spark, *data)
+        sinks.upsert(df, path, KEY, ["ts"], ["org"], 1, gone=F.col("v") == "gone", load=number)
+
+    load(1, (1, 1, 5, "gone"), (1, 2, 5, "b"))
+    sinks.compact(spark, path, keep_gone=100)
+    load(50, (1, 1, 4, "late"))
+    sinks.compact(spark, path, outgrown=0.0, keep_gone=100)
+    assert state(spark, path) == [(1, 2, 5, "b")]
+    load(200, (1, 3, 1, "c"))
+    sinks.compact(spark, path, outgrown=0.0, keep_gone=100)
+    assert store.view(spark, path).base.where("_state = 'gone'").isEmpty()
+    load(201, (1, 1, 6, "again"))
+    assert state(spark, path) == [(1, 1, 6, "again"), (1, 2, 5, "b"), (1, 3, 1, "c")]
+
+
+def test_vacuum_keeps_what_is_read(spark, scratch):
+    path = scratch()
+    for number in range(1, 5):
+        sinks.upsert(frame(spark, (1, number, 1, "a"), (2, 1, number, "b")), path, KEY, ["ts"], ["org"], 1, load=number)
+    assert sinks.vacuum(spark, path) == 0
+    sinks.compact(spark, path)
+    sinks.upsert(frame(spark, (1, 9, 1, "z")), path, KEY, ["ts"], ["org"], 1, load=5)
+    expected = state(spark, path)
+    assert sinks.vacuum(spark, path) == 4
+    assert [store.load_number(p) for p in store.loads(spark, path)] == [5]
+    assert state(spark, path) == expected
+
+
+def test_other_keys_are_refused(spark, scratch):
+    path = scratch()
+    sinks.upsert(frame(spark, (1, 1, 1, "a")), path, KEY, ["ts"], ["org"], 4)
+    with pytest.raises(ValueError, match="other keys"):
+        sinks.upsert(frame(spark, (1, 1, 1, "a")), path, KEY, ["v"], ["org"], 4)
+    with pytest.raises(TypeError, match="name columns"):
+        sinks.upsert(frame(spark, (1, 1, 1, "a")), scratch(), KEY, [F.col("ts")], ["org"], 4)
 
 
 def test_upsert_with_a_null_partition_value(spark, scratch):
@@ -106,16 +252,31 @@ def test_text_tenants_that_look_like_numbers(spark, scratch, declared):
     assert rows(out) == [("7", 1, "b")]
 
 
-def test_only_touched_partitions_are_scanned(spark, scratch):
+def test_compaction_scans_only_outgrown_partitions(spark, scratch):
     path = scratch()
     many = frame(spark, *[(o, i, 1, "a") for o in range(5) for i in range(5)])
     sinks.upsert(many, path, KEY, ["ts"], ["org"], 2)
-    stored = spark.read.parquet(path)
-    asked = sinks._bucketed(frame(spark, (3, 1, 2, "x")), KEY, 2)
-    plan = sinks._touched(stored, asked, ["org", sinks.BUCKET])._jdf.queryExecution().toString()
+    sinks.compact(spark, path)
+    sinks.upsert(frame(spark, (3, 1, 2, "x")), path, KEY, ["ts"], ["org"], 2)
+    now = store.view(spark, path)
+    (touched,) = store._outgrown(now, store.OUTGROWN)
+    assert touched["org"] == 3
+    plan = now.only([touched]).merged()._jdf.queryExecution().toString()
     assert "PartitionFilters: [isnotnull(org" in plan and "(org#" in plan
 
 
+def test_reading_does_not_shuffle_stored_rows(spark, scratch):
+    """Few deltas are sent to the stored rows, which stay where they are."""
+    path = scratch()
+    sinks.upsert(spark.range(1000).selectExpr("1 org", "cast(id AS int) id", "1 ts", "'a' v"), path, KEY, ["ts"], ["org"], 4)
+    sinks.compact(spark, path)
+    sinks.upsert(frame(spark, (1, 1, 2, "x")), path, KEY, ["ts"], ["org"], 4)
+    df = sinks.read_current(spark, path)
+    assert df.count() == 1000
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan
+
+
 def test_bucketed_tables_join_without_a_shuffle(spark, scratch):
     for name in ("left_cases", "right_cases"):
         sinks.warehouse_write(spark.range(100).withColumnRenamed("id", "k"), name, scratch(), "k", ["k"], 4)
