@@ -45,10 +45,16 @@ def run_of(batch: DataFrame) -> str:
     return batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or "0"
 
 
-EVENT_FIELDS = T.StructType.fromDDL(
-    "org_id bigint, entity string, project_id bigint, section string, item_id string, "
-    "event_timestamp bigint, event_name string, project_type_id bigint"
-)
+EVENT_FIELDS = T.StructType([
+    T.StructField("org_id", T.LongType()),
+    T.StructField("entity", T.StringType()),
+    T.StructField("project_id", T.LongType()),
+    T.StructField("section", T.StringType()),
+    T.StructField("item_id", T.StringType()),
+    T.StructField("event_timestamp", T.LongType()),
+    T.StructField("event_name", T.StringType()),
+    T.StructField("project_type_id", T.LongType()),
+])
 
 
 @dataclass
