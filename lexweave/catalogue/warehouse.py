@@ -13,6 +13,7 @@ from lexweave.config.warehouse import RENAMES, ForeignKey, warehouse_table
 from lexweave.fixtures import ORG, Tables
 from lexweave.functions import leads
 from lexweave.operators import checks
+from lexweave.operators.references import References
 from lexweave.plans.standard_model import crm_table
 from lexweave.sinks import tables as sinks
 
@@ -134,6 +135,19 @@ query("c5_orphans", """
       SELECT o_orderkey FROM orders WHERE o_orderstatus <> 'P') GROUP BY l_orderkey""")(
     lambda t: checks.orphans(t["lineitem"], ORDER_KEY, t["orders"].where("o_orderstatus <> 'P'")))
 
+@query("c5_incremental_orphans", """
+    SELECT l_orderkey, count(*) AS n_rows FROM lineitem WHERE l_orderkey NOT IN (
+      SELECT o_orderkey FROM orders WHERE o_orderstatus <> 'P') GROUP BY l_orderkey""")
+def incremental_orphans(t: Tables) -> DataFrame:
+    """Both tables in two loads: items of either come before and after the orders they refer to."""
+    state = References(t.scratch("references"), ORDER_KEY)
+    orders = t["orders"].where("o_orderstatus <> 'P'")
+    for half in (0, 1):
+        items = t["lineitem"].where(F.col("l_linenumber") % 2 == half)
+        state.load(items, orders.where(F.col("o_orderkey") % 2 == half))
+    return state.orphans(t.spark)
+
+
 @query("j6_composite_orphans", """
     SELECT Parent_Case_ID, Case_ID, count(*) AS n_rows FROM (
       SELECT l_orderkey AS Parent_Case_ID,
@@ -152,6 +166,51 @@ def composite_orphans(t: Tables) -> DataFrame:
     return checks.orphans(child, key, model().case_details(t["casesummary"]))
 
 
+def warehouse_frames(t: Tables) -> dict[str, DataFrame]:
+    """Case details with all ten references, and the tables that they name with gaps."""
+    key = F.col("o_orderkey")
+    people = ("Attorney_ID", "Prelitigation_Paralegal_ID", "Litigation_Paralegal_ID", "CaseManager_ID", "Cocounsel_ID")
+    details = t["orders"].select(
+        F.lit(ORG).alias("Platform_Org_ID"), F.lit("101").alias("Client_Org_ID"), key.alias("Parent_Case_ID"),
+        key.alias("Case_ID"), (key % 11).alias("Case_Type_ID"),
+        *[(F.col("o_custkey") + i).alias(c) for i, c in enumerate(people)], (key % 13).alias("Case_Team_ID"),
+        (key % 17).alias("Case_Status_ID"), F.when(key % 2 == 0, key % 19).alias("Insurance_ID"),
+        (key % 23).alias("Case_Phase_ID"), F.repeat("o_orderpriority", 40).alias("Case_Name"),
+        F.col("o_totalprice").alias("Actual_Settlement_Amount"),
+    )
+    numbers = {"CMS_CaseTypes": "Case_Type_ID", "CMS_Teams": "Team_ID", "CMS_StatusMaster": "Status_ID",
+               "CMS_InsuranceMaster": "Insurance_ID", "CMS_Phases": "Phase_ID"}
+    parents = {name: t["nation"].where("n_nationkey < 10").select(F.col("n_nationkey").alias(c)) for name, c in numbers.items()}
+    parents["CMS_People"] = t["customer"].select(F.col("c_custkey").alias("People_ID"))
+    return {"CMS_CaseDetails": details, **parents}
+
+
+@query("check_case_details_report", """
+    WITH d AS (SELECT *, (SELECT max(c_custkey) FROM customer) AS top FROM orders)
+    SELECT 'CMS_CaseDetails' AS table_name, unnest(['primary_key', 'length', 'decimal', 'foreign_key',
+        'foreign_key', 'foreign_key', 'foreign_key', 'foreign_key', 'foreign_key', 'foreign_key', 'foreign_key',
+        'foreign_key', 'foreign_key']) AS check,
+      unnest(['Parent_Case_ID,Case_ID', 'Case_Name', 'Actual_Settlement_Amount', 'Case_Type_ID', 'Attorney_ID',
+        'Prelitigation_Paralegal_ID', 'Litigation_Paralegal_ID', 'CaseManager_ID', 'Cocounsel_ID', 'Case_Team_ID',
+        'Case_Status_ID', 'Insurance_ID', 'Case_Phase_ID']) AS column_name,
+      unnest([0, count(*) FILTER (length(o_orderpriority) * 40 > 255),
+        count(*) FILTER (round(o_totalprice, 2) >= 1000000), count(*) FILTER (o_orderkey % 11 >= 10),
+        count(*) FILTER (o_custkey NOT IN (SELECT c_custkey FROM customer)),
+        count(*) FILTER (o_custkey + 1 NOT IN (SELECT c_custkey FROM customer)),
+        count(*) FILTER (o_custkey + 2 NOT IN (SELECT c_custkey FROM customer)),
+        count(*) FILTER (o_custkey + 3 NOT IN (SELECT c_custkey FROM customer)),
+        count(*) FILTER (o_custkey + 4 NOT IN (SELECT c_custkey FROM customer)),
+        count(*) FILTER (o_orderkey % 13 >= 10), count(*) FILTER (o_orderkey % 17 >= 10),
+        count(*) FILTER (o_orderkey % 2 = 0 AND o_orderkey % 19 >= 10),
+        count(*) FILTER (o_orderkey % 23 >= 10)]) AS violations FROM d""")
+def case_details_report(t: Tables) -> DataFrame:
+    """Every key and reference of the table with the most of them, in one shuffle."""
+    frames = warehouse_frames(t)
+    report = checks.check_table(frames["CMS_CaseDetails"], warehouse_table("CMS_CaseDetails"), frames)
+    named = F.col("column_name").isin("Case_Name", "Actual_Settlement_Amount")
+    return report.where(F.col("check").isin("primary_key", "foreign_key") | (named & (F.col("check") != "cast")))
+
+
 @query("check_table_report", """
     SELECT 'CMS_Cases' AS table_name, unnest(['not_null', 'not_null', 'not_null', 'not_null',
         'length', 'primary_key', 'foreign_key']) AS check,

@@ -8,7 +8,9 @@ so a value that fills much of a table is shuffled as one row per task.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 from decimal import Decimal
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -125,8 +127,8 @@ def _out_of_range(column: Column, have: T.DataType, want: T.DecimalType) -> Colu
     return F.abs(column) >= (F.lit(limit) if exact else F.lit(float(limit)))
 
 
-def check_values(df: DataFrame, table: WarehouseTable, kinds: Sequence[str] = ()) -> DataFrame:
-    """NOT NULL, text length, decimal range and lost casts of all columns, in one aggregate."""
+def _value_tests(df: DataFrame, table: WarehouseTable) -> list[tuple[str, str, Column]]:
+    """(check, column, condition) of NOT NULL, text length, decimal range and lost casts."""
     tests = [("cast", name, bad) for name, bad in _cast_tests(df, table).items()]
     for field in table.schema().fields:
         source = _column_name(df, field.name)
@@ -141,7 +143,12 @@ def check_values(df: DataFrame, table: WarehouseTable, kinds: Sequence[str] = ()
         elif isinstance(field.dataType, T.DecimalType):
             lost = _out_of_range(column, df.schema[source].dataType, field.dataType)
             tests.append(("decimal", field.name, lost))
-    wanted = [t for t in tests if not kinds or t[0] in kinds]
+    return tests
+
+
+def check_values(df: DataFrame, table: WarehouseTable, kinds: Sequence[str] = ()) -> DataFrame:
+    """NOT NULL, text length, decimal range and lost casts of all columns, in one aggregate."""
+    wanted = [t for t in _value_tests(df, table) if not kinds or t[0] in kinds]
     return _violation_rows(df, table.name, wanted)
 
 
@@ -165,39 +172,109 @@ def orphans(child: DataFrame, key: ForeignKey, parent: DataFrame) -> DataFrame:
     return used.join(renamed, list(key.columns), "left_anti")
 
 
+@dataclass(frozen=True)
+class Rule:
+    """One line of a report: a condition on rows, a key that must be unique, or a reference."""
+
+    table: str
+    check: str
+    column_name: str
+
+
 def check_table(
     df: DataFrame, table: WarehouseTable, parents: dict[str, DataFrame] | None = None
 ) -> DataFrame:
-    """All declared constraints of one table as violation counts."""
-
-    def counted(check: str, columns: Sequence[str], bad: DataFrame) -> DataFrame:
-        return bad.agg(
-            F.lit(table.name).alias("table_name"),
-            F.lit(check).alias("check"),
-            F.lit(",".join(columns)).alias("column_name"),
-            F.coalesce(F.sum("n_rows"), F.lit(0)).alias("violations"),
-        )
+    """All declared constraints of one table as violation counts.
 
-    report = check_values(df, table)
-    if table.primary_key:
-        report = report.unionByName(
-            counted("primary_key", table.primary_key, duplicate_keys(df, table.primary_key))
-        )
-    for column in table.unique:
-        report = report.unionByName(counted("unique", [column], duplicate_keys(df, [column])))
-    for key in table.references:
-        if key.parent in (parents or {}):
-            bad = orphans(df, key, parents[key.parent])
-            report = report.unionByName(counted("foreign_key", key.columns, bad))
-    return report
+    References are checked where ``parents`` has the table they name.
+    """
+    return _report({table.name: df}, [table], parents or {})
 
 
 def check_warehouse(frames: dict[str, DataFrame]) -> DataFrame:
     """Every declared constraint of the given tables, references among them included."""
-    first, *rest = [check_table(df, warehouse_table(name), frames) for name, df in frames.items()]
-    for report in rest:
-        first = first.unionByName(report)
-    return first
+    return _report(frames, [warehouse_table(name) for name in frames], frames)
+
+
+def _report(frames: dict[str, DataFrame], tables: list[WarehouseTable], parents: dict[str, DataFrame]) -> DataFrame:
+    """One pass over every table and one shuffle for all constraints.
+
+    Each row becomes an entry (rule, key) for every condition it violates, key it has, and
+    reference it makes or answers. Entries are counted in their tasks before they are
+    shuffled, so neither a hot key nor a condition that all rows violate reaches one task whole.
+    """
+    rules: list[Rule] = []
+    entries: dict[str, list[Column]] = {}
+    sources = {**parents, **frames}
+
+    def add(rule: Rule) -> int:
+        rules.append(rule)
+        return len(rules) - 1
+
+    def entry(number: int, when: Column, key: list[Column], known: bool = False) -> Column:
+        parts = F.array(*key) if key else F.array().cast("array<string>")
+        made = F.struct(F.lit(number).alias("rule"), parts.alias("key"), F.lit(known).alias("known"))
+        return F.when(when, made)
+
+    def whole(columns: list[Column]) -> Column:
+        return reduce(lambda a, b: a & b, [c.isNotNull() for c in columns])
+
+    for table in tables:
+        df, own = frames[table.name], entries.setdefault(table.name, [])
+        for check, name, bad in _value_tests(df, table):
+            own.append(entry(add(Rule(table.name, check, name)), bad, []))
+        uniques = [("primary_key", table.primary_key)] if table.primary_key else []
+        for check, columns in [*uniques, *[("unique", (c,)) for c in table.unique]]:
+            key = [_key_text(df, c, df.schema[_column_name(df, c)].dataType) for c in columns]
+            own.append(entry(add(Rule(table.name, check, ",".join(columns))), whole(key), key))
+        for ref in table.references:
+            if ref.parent not in parents:
+                continue
+            other = sources[ref.parent]
+            pairs = [
+                (c, p, other.schema[_column_name(other, p)].dataType, df.schema[_column_name(df, c)].dataType)
+                for c, p in zip(ref.columns, ref.parent_columns, strict=True)
+            ]
+            number = add(Rule(table.name, "foreign_key", ",".join(ref.columns)))
+            refers = [_key_text(df, c, have, want) for c, _, want, have in pairs]
+            own.append(entry(number, whole(refers), refers))
+            answers = [_key_text(other, p, want, have) for _, p, want, have in pairs]
+            entries.setdefault(ref.parent, []).append(entry(number, whole(answers), answers, True))
+
+    spark = next(iter(frames.values())).sparkSession
+    if not rules:
+        return spark.createDataFrame([], "table_name string, check string, column_name string, violations bigint")
+    # Not explode: Spark would compute the entries once more, as a filter below it.
+    fanned = [
+        sources[name].select(F.inline_outer(F.array_compact(F.array(*own)))).where("rule IS NOT NULL")
+        for name, own in entries.items() if own
+    ]
+    counted = reduce(DataFrame.unionByName, fanned).groupBy("rule", "key").agg(
+        F.count_if(~F.col("known")).alias("n"), F.max("known").alias("known")
+    )
+    check = F.element_at(F.array(*[F.lit(r.check) for r in rules]), F.col("rule") + 1)
+    fine = F.when(check.isin("primary_key", "unique"), F.col("n") < 2).when(check == "foreign_key", F.col("known"))
+    sums = counted.groupBy("rule").agg(F.sum(F.when(F.coalesce(fine, F.lit(False)), 0).otherwise(F.col("n"))).alias("bad"))
+    lines = F.array(*[
+        F.struct(F.lit(i).alias("line"), *[F.lit(v).alias(n) for n, v in zip(("table_name", "check", "column_name"),
+                 (r.table, r.check, r.column_name), strict=True)])
+        for i, r in enumerate(rules)
+    ])
+    every = spark.range(1).select(F.inline(lines))
+    joined = every.join(sums, F.col("line") == F.col("rule"), "left")
+    return joined.select("table_name", "check", "column_name", F.coalesce("bad", F.lit(0)).cast("bigint").alias("violations"))
+
+
+def _key_text(df: DataFrame, name: str, *kinds: T.DataType) -> Column:
+    """A key part as text, the same for equal values of all the types it is compared among."""
+    column = quoted(_column_name(df, name))
+    if all(isinstance(k, T.IntegralType) for k in kinds):
+        return column.cast("bigint").cast("string")
+    if all(isinstance(k, T.NumericType) for k in kinds) and len({k.simpleString() for k in kinds}) > 1:
+        return (column.cast("double") + F.lit(0.0)).cast("string")
+    if all(isinstance(k, (T.DoubleType, T.FloatType)) for k in kinds):
+        return (column + F.lit(0.0)).cast("string")  # -0.0 and 0.0 are equal
+    return column.cast("string")
 
 
 def column_drift(

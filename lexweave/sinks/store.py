@@ -31,7 +31,7 @@ from pyspark.sql import types as T
 from lexweave.functions.types import quoted
 from lexweave.operators.latest import latest_per_key
 from lexweave.operators.skew import spread_join
-from lexweave.sources.files import listed, read_if_present, read_merged, remove
+from lexweave.sources.files import complete, listed, read_if_present, read_merged, remove
 
 BUCKET, LOAD, STATE = "key_bucket", "_load", "_state"
 ROW, GONE, MARK = "row", "gone", "mark"
@@ -79,11 +79,6 @@ class Run:
         return Run(values[0], values[1], values[2], bool(values[3]), path)
 
 
-def complete(spark: SparkSession, pattern: str) -> list[str]:
-    """Folders whose job has committed."""
-    return [p.removesuffix("/_SUCCESS") for p in listed(spark, f"{pattern}/_SUCCESS")]
-
-
 def loads(spark: SparkSession, path: str) -> list[str]:
     return complete(spark, f"{path}/deltas/load=*")
 

@@ -64,6 +64,11 @@ def listed(spark: SparkSession, pattern: str) -> list[str]:
     return sorted(s.getPath().toString() for s in found or [])
 
 
+def complete(spark: SparkSession, pattern: str) -> list[str]:
+    """Folders whose job has committed, of those that a pattern names."""
+    return [p.removesuffix("/_SUCCESS") for p in listed(spark, f"{pattern}/_SUCCESS")]
+
+
 def remove(spark: SparkSession, folder: str) -> None:
     """Delete a folder with all it holds."""
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
