@@ -58,7 +58,43 @@ def cluster_order(t: Tables) -> DataFrame:
     return union_all(rows)
 
 
-query("a8_case_value_clusters")(
+def clusters_sql(most: int) -> str:
+    """Least-cost clusters by the same recurrence: the best k of the first bins from the best k - 1 of fewer."""
+    steps = [
+        "d0 AS (SELECT CAST(0 AS BIGINT) AS j, CAST(0 AS DOUBLE) AS cost, CAST(0 AS BIGINT) AS i)"
+    ]
+    for k in range(1, most + 1):
+        steps.append(f"""d{k} AS MATERIALIZED (
+            SELECT j, best.cost AS cost, best.i AS i FROM (
+              SELECT b.j, min({{'cost': d.cost + ((b.q - a.q) - (b.s - a.s) * (b.s - a.s) / (b.n - a.n)), 'i': a.j}}) AS best
+              FROM d{k - 1} d JOIN sums a ON a.j = d.j JOIN sums b ON b.j > a.j GROUP BY b.j))""")
+    chains, labels = [], []
+    for k in range(2, most + 1):
+        at = "(SELECT max(j) FROM sums)"
+        starts = []
+        for step in range(k, 1, -1):
+            chains.append(f"c{k}_{step} AS (SELECT i FROM d{step} WHERE j = {at})")
+            at = f"(SELECT i FROM c{k}_{step})"
+            starts.append(f"CAST(bin >= (SELECT bin FROM sums WHERE j = {at} + 1) AS INT)")
+        labels.append(f"{' + '.join(starts)} AS clusters_{k}")
+    return f"""
+    WITH v AS (SELECT o_totalprice AS final_value, count(*) AS w FROM orders GROUP BY 1),
+      e AS (SELECT min(final_value) AS low, max(final_value) - min(final_value) AS wide FROM v),
+      p AS (SELECT final_value, w, CAST(floor((final_value - low) / wide * 1048575.0::DOUBLE) AS BIGINT) AS place FROM v, e),
+      h AS (SELECT place // 1024 AS bin FROM p GROUP BY 1 HAVING sum(w) * 64 > (SELECT sum(w) FROM p)),
+      x AS (SELECT *, CASE WHEN place // 1024 IN (SELECT bin FROM h) THEN place // 16 ELSE place // 1024 * 64 END AS bin FROM p),
+      g AS (SELECT bin, sum(w) AS n, sum(w * place) AS s, sum(w * place * place) AS q FROM x GROUP BY 1),
+      sums AS MATERIALIZED (
+        SELECT bin, row_number() OVER (ORDER BY bin) AS j, CAST(sum(n) OVER (ORDER BY bin) AS DOUBLE) AS n,
+          CAST(sum(s) OVER (ORDER BY bin) AS DOUBLE) AS s, CAST(sum(q) OVER (ORDER BY bin) AS DOUBLE) AS q FROM g
+        UNION ALL SELECT NULL, 0, 0, 0, 0),
+      {", ".join(steps)}, {", ".join(chains)},
+      l AS (SELECT final_value, {", ".join(labels)} FROM x)
+    SELECT *, CAST(floor(min(final_value) OVER (PARTITION BY clusters_{most})) AS INT) AS clusters_lower_bound,
+      CAST(ceil(max(final_value) OVER (PARTITION BY clusters_{most})) AS INT) AS clusters_upper_bound FROM l"""
+
+
+query("a8_case_value_clusters", clusters_sql(7))(
     lambda t: marts.case_value_clusters(t["orders"], "o_totalprice"))
 
 

@@ -127,6 +127,18 @@ query("w1_surrogate_key", """
 
 
 
+@query("w1_stable_keys", """
+    WITH a AS (SELECT DISTINCT o_custkey FROM orders WHERE o_orderkey % 2 = 0),
+      b AS (SELECT DISTINCT o_custkey FROM orders WHERE o_custkey NOT IN (SELECT o_custkey FROM a))
+    SELECT o_custkey, row_number() OVER (ORDER BY o_custkey) - 1 AS client_number FROM a
+    UNION ALL SELECT o_custkey, (SELECT count(*) FROM a) + row_number() OVER (ORDER BY o_custkey) - 1 FROM b""")
+def stable_keys(t: Tables) -> DataFrame:
+    """Two loads: the second numbers its new clients after those of the first."""
+    keys = numbering.KeyMap(t.scratch("clients"), "o_custkey", "client_number")
+    keys.load(t["orders"].where("o_orderkey % 2 = 0"))
+    return keys.load(t["orders"])
+
+
 @query("w1_hashed_key", """
     SELECT count(DISTINCT c_name) AS n_values, count(DISTINCT c_name) AS n_keys,
       CAST(0 AS BIGINT) AS n_collisions FROM customer""")

@@ -63,8 +63,8 @@ class StandardModel:
         if tenants:
             key = "_key"
             types = types.withColumn(key, F.struct("_org", "People_Type"))
-        # A dimension: far fewer rows than ids of records, so fewer ranges do.
-        numbered = number_in_order(types, key, "People_Type_Id", depth=2)
+        # A dimension of few values: eight ranges do, and builders count nothing.
+        numbered = number_in_order(types, key, "People_Type_Id", depth=1)
         tenant = F.col("_org") if tenants else F.lit(self.mapping.org_id)
         text_null = F.lit(None).cast("string")
         out = numbered.select(

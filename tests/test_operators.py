@@ -22,6 +22,33 @@ def test_numbers_are_dense_and_ordered(spark, fan, depth, n, monkeypatch):
     assert sorted(got) == [(k, i) for i, k in enumerate(sorted(keys))]
 
 
+def test_ranges_follow_the_rows(spark, monkeypatch):
+    assert [numbering.depth_for(n) for n in (0, 10**6, 10**6 + 1, 10**9, 10**10)] == [0, 0, 1, 4, 5]
+    keys = random.Random(2).sample(range(10_000), 300)
+    df = spark.createDataFrame([(k,) for k in keys], "k long").repartition(3)
+    for most in (1_000, 50, 5):
+        monkeypatch.setattr(numbering, "RANGE_ROWS", most)
+        got = rows(numbering.number_in_order(df, "k", "n"))
+        assert sorted(got) == [(k, i) for i, k in enumerate(sorted(keys))]
+
+
+def test_key_map_keeps_numbers_and_stays_dense(spark, scratch, monkeypatch):
+    monkeypatch.setattr(numbering, "RANGE_ROWS", 7)
+    rng = random.Random(4)
+    keys, known = numbering.KeyMap(scratch(), "w", "n"), {}
+    for number in range(4):
+        words = [rng.choice("abcdefgh") * rng.randint(1, 8) for _ in range(rng.choice([0, 15, 40]))] + [None]
+        df = spark.createDataFrame([(w, 1) for w in words], "w string, other int")
+        got = dict(rows(keys.load(df)))
+        new = sorted({w for w in words if w is not None and w not in known})
+        known |= {w: len(known) + i for i, w in enumerate(new)}
+        assert got == known
+    assert dict(rows(keys.load(df, number=3))) == known
+    # A load that died after its first write is done again.
+    spark.sql("SELECT 'zz' w").write.parquet(f"{keys.path}/new/load=4")
+    assert dict(rows(keys.load(spark.sql("SELECT 'yy' w")))) == known | {"yy": len(known)}
+
+
 @settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.sets(st.text(min_size=1, max_size=4), min_size=1, max_size=40))
 def test_numbers_of_any_text(spark, words):
