@@ -53,6 +53,22 @@ def wildcard_scan(t: Tables) -> DataFrame:
     return merged.select("projectId", "isArchived", "incidentDate")
 
 
+@query("s1_mixed_types", """
+    SELECT projectId, CAST(projectTypeId AS VARCHAR) AS kind, CASE WHEN projectTypeId > 1 THEN incidentDate END
+      AS incidentDate, CAST(clientId AS DOUBLE) AS clientId FROM {project}""")
+def mixed_types_scan(t: Tables) -> DataFrame:
+    """A raw folder whose files name one column's type in four ways: all rows, in the type that holds them."""
+    root, p = t.scratch("raw"), t["project"]
+    kinds = {1: ("int", "int"), 2: ("bigint", "double"), 3: ("string", "bigint"), 4: ("smallint", "bigint")}
+    for number, (kind, client) in kinds.items():
+        part = F.col("projectTypeId") == number if number < 4 else F.col("projectTypeId") >= 4
+        late = ["incidentDate"] if number > 1 else []
+        p.where(part).select(
+            "projectId", F.col("projectTypeId").cast(kind).alias("kind"), F.col("clientId").cast(client).alias("clientId"), *late
+        ).write.parquet(f"{root}/{ORG}/18/{number}/project.parquet")
+    return files.read_raw(t.spark, root, str(ORG), 18)["project"].select("projectId", "kind", "incidentDate", "clientId")
+
+
 @query("s1_declared_scan", """
     SELECT projectId, CASE WHEN projectTypeId <= 2 THEN isArchived END AS isArchived
     FROM {project}""")

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -18,14 +19,107 @@ def read_merged(
     """Scan a folder or glob whose files carry different columns.
 
     Without a schema Spark reads every file's footer to merge them; with very
-    many files pass the declared schema, and absent columns are null.
+    many files pass the declared schema, and absent columns are null. Where the
+    types of a column differ between files, it gets the narrowest type that holds
+    them all (``read_mixed``).
     """
     reader = spark.read.format(kind)
     if schema is not None:
         return reader.schema(schema).load(path)
     if kind == "csv":
         return reader.option("header", "true").load(path)
-    return reader.option("mergeSchema", "true").load(path)
+    try:
+        return reader.option("mergeSchema", "true").load(path)
+    except (PySparkException, Py4JJavaError) as exc:
+        if kind != "parquet" or not _types_differ(exc):
+            raise
+        return read_mixed(spark, path)
+
+
+def _types_differ(exc: Exception) -> bool:
+    """Whether merging footers failed for their types: on the driver or, as a plain Java error, in a task."""
+    return "CANNOT_MERGE" in str(exc)
+
+
+def read_mixed(spark: SparkSession, path: str) -> DataFrame:
+    """Scan Parquet files whose types differ: each group of files with its own schema, then widened.
+
+    Whole numbers of any width widen to the widest, with fractions to double, and anything
+    else that differs to string, nested values as JSON. No row is lost and no value is nulled.
+    """
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+    paths = found.option("pathGlobFilter", "*.parquet").load(path).select("path").collect()
+    # Folder names that are columns stay so where the path is one folder.
+    root = {} if any(c in path for c in "*?[{") else {"basePath": path}
+    groups = schema_groups(spark, sorted(r["path"] for r in paths), root)
+    frames = [spark.read.options(**root).schema(schema).parquet(*files) for schema, files in groups]
+    names: dict[str, str] = {}
+    kinds: dict[str, list[T.DataType]] = {}
+    for frame in frames:
+        for field in frame.schema.fields:
+            names.setdefault(field.name.lower(), field.name)
+            kinds.setdefault(field.name.lower(), []).append(field.dataType)
+    wide = {key: widest(found_kinds) for key, found_kinds in kinds.items()}
+    aligned = [
+        frame.select(*[_widened(f, wide[f.name.lower()]).alias(names[f.name.lower()]) for f in frame.schema.fields])
+        for frame in frames
+    ]
+    return union_all(aligned).select(*[quoted(n) for n in names.values()])
+
+
+def schema_groups(
+    spark: SparkSession, files: list[str], options: dict[str, str] | None = None
+) -> list[tuple[T.StructType, list[str]]]:
+    """Files in few groups whose footers agree on every type, with their merged schemas.
+
+    Halves whose footers Spark can merge are read in one job, so files cost one by one only
+    around those that differ from their neighbours.
+    """
+    try:
+        merged = spark.read.options(**(options or {})).option("mergeSchema", "true").parquet(*files).schema
+        return [(merged, files)]
+    except (PySparkException, Py4JJavaError) as exc:
+        if len(files) == 1 or not _types_differ(exc):
+            raise
+    half = len(files) // 2
+    groups: list[tuple[T.StructType, list[str]]] = []
+    for schema, members in schema_groups(spark, files[:half], options) + schema_groups(spark, files[half:], options):
+        for i, (known, others) in enumerate(groups):
+            types = {f.name.lower(): f.dataType for f in known.fields}
+            if all(types.get(f.name.lower(), f.dataType) == f.dataType for f in schema.fields):
+                new = [f for f in schema.fields if f.name.lower() not in types]
+                groups[i] = (T.StructType([*known.fields, *new]), others + members)
+                break
+        else:
+            groups.append((schema, members))
+    return groups
+
+
+# From narrow to wide: each holds the values of those before it.
+WHOLE = (T.ByteType(), T.ShortType(), T.IntegerType(), T.LongType())
+
+
+def widest(kinds: Sequence[T.DataType]) -> T.DataType:
+    """The narrowest type of the lattice that holds values of all the types."""
+    distinct = list(dict.fromkeys(kinds))
+    if len(distinct) == 1:
+        return distinct[0]
+    if all(k in WHOLE for k in distinct):
+        return max(distinct, key=WHOLE.index)
+    if all(isinstance(k, T.NumericType) for k in distinct):
+        return T.DoubleType()
+    if all(isinstance(k, (T.DateType, T.TimestampType)) for k in distinct):
+        return T.TimestampType()
+    return T.StringType()
+
+
+def _widened(field: T.StructField, kind: T.DataType) -> Column:
+    column = quoted(field.name)
+    if field.dataType == kind:
+        return column
+    if isinstance(field.dataType, (T.StructType, T.ArrayType, T.MapType)):
+        return F.to_json(column)
+    return column.cast(kind)
 
 
 def read_folder(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:

@@ -1,5 +1,6 @@
 """Writers of the raw store, and what restarts and late rows do to it."""
 
+import datetime
 import random
 from pathlib import Path
 
@@ -377,6 +378,38 @@ def test_conflicting_types_need_a_declared_schema(spark, scratch):
     assert rows(files.union_as(frames, {"a": "bigint", "b": "date"})) == [(1, None), (None, None)]
 
 
+def test_files_of_many_types_lose_no_row(spark, scratch):
+    """Forty files, types in no order: few groups, every value in the widest type."""
+    rng = random.Random(6)
+    root = scratch()
+    kinds = {"a": ["int", "bigint", "smallint"], "b": ["int", "double", "float"], "c": ["string", "bigint", "date"],
+             "d": ["struct<x:int>", "string"], "e": ["date", "timestamp"], "f": ["boolean"]}
+    expected = []
+    for number in range(40):
+        chosen = {c: rng.choice(k) for c, k in kinds.items() if rng.random() < 0.8}
+        values = {"a": number, "b": number * 2, "c": "2024-01-31" if chosen.get("c") == "date" else number,
+                  "e": "2024-01-31", "f": "true"}
+        columns = [f"named_struct('x', {number}) d" if (c, k) == ("d", "struct<x:int>") else
+                   f"CAST('{values.get(c, 'text')}' AS {k}) {c}" for c, k in chosen.items()]
+        spark.sql(f"SELECT {', '.join([f'{number} n', *columns])}").coalesce(1).write.parquet(f"{root}/{number}/x.parquet")
+        expected.append((
+            number, number if "a" in chosen else None, number * 2.0 if "b" in chosen else None,
+            str(values["c"]) if "c" in chosen else None,
+            None if "d" not in chosen else '{"x":%d}' % number if chosen["d"] != "string" else "text",
+            datetime.datetime(2024, 1, 31) if "e" in chosen else None, True if "f" in chosen else None))
+    df = files.read_merged(spark, f"{root}/*/x.parquet").select("n", *kinds)
+    assert [f.dataType.simpleString() for f in df.schema.fields] == [
+        "int", "bigint", "double", "string", "string", "timestamp", "boolean"]
+    assert rows(df) == sorted(expected, key=repr)
+
+
+def test_mixed_files_keep_folder_columns(spark, scratch):
+    root = scratch()
+    spark.sql("SELECT 1L a").write.parquet(f"{root}/org=7")
+    spark.sql("SELECT 'n/a' a").write.parquet(f"{root}/org=8")
+    assert rows(files.read_merged(spark, root).select("org", "a")) == [(7, "1"), (8, "n/a")]
+
+
 def test_path_keys_of_written_files(spark, scratch):
     root = f"{scratch()}/cms"
     spark.range(2).write.parquet(f"{root}/6/18/77/form/intake.parquet")
