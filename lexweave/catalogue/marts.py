@@ -110,6 +110,8 @@ def targets_and_actuals(t: Tables) -> tuple[DataFrame, DataFrame]:
     return goals, rows
 
 
+GRAIN_SQL: list[str] = []
+
 for grain, keys in marts.GRAINS.items():
     PERIODS = {
         "Year": "year(o_orderdate)", "Quarter": "quarter(o_orderdate)",
@@ -128,6 +130,48 @@ for grain, keys in marts.GRAINS.items():
         FROM g LEFT JOIN d USING (Team_member_id, {names})""")(
         lambda t, grain=grain: marts.target_attainment(*targets_and_actuals(t), grain)
         .withColumns({n: F.col(n).cast("double") for n in ("target", "actual")}))
+    GRAIN_SQL.append(f"""
+        SELECT '{grain}' AS grain, Team_member_id, {", ".join(k if k in keys else f"CAST(NULL AS INT) AS {k}" for k in PERIODS)},
+          CAST(sum(amount * 2) FILTER (o_orderkey % 2 = 0) AS DOUBLE) AS target, CAST(sum(amount) AS DOUBLE) AS actual,
+          sum(amount) >= sum(amount * 2) FILTER (o_orderkey % 2 = 0) AS attained
+        FROM r GROUP BY Team_member_id, {names} HAVING count(*) FILTER (o_orderkey % 2 = 0) > 0""")
+
+
+@query("a9_targets_in_one_pass", f"""
+    WITH r AS (SELECT o_custkey % 10 AS Team_member_id, o_orderkey, CAST(o_totalprice AS DECIMAL(12,2)) AS amount,
+      {", ".join(f"CAST({v} AS INT) AS {k}" for k, v in PERIODS.items())} FROM orders)
+    {" UNION ALL ".join(GRAIN_SQL)}""")
+def targets_in_one_pass(t: Tables) -> DataFrame:
+    facts = targets_and_actuals(t)[1].withColumn(
+        "Target", F.when(F.col("o_orderkey") % 2 == 0, (F.col("amount") * 2).cast("decimal(12,2)")))
+    return marts.attainment_by_grain(facts).withColumns({n: F.col(n).cast("double") for n in ("target", "actual")})
+
+
+ROLLUPS_SQL = """
+    WITH p AS (SELECT CAST(PostDate AS DATE) AS day, * FROM {{posts}} {where})
+    SELECT 'date' AS rollup, CAST(NULL AS VARCHAR) AS key, day, count(*) AS Posts,
+      CAST(sum(Comments) AS BIGINT) AS Comments, CAST(sum(Likes) AS BIGINT) AS Likes FROM p GROUP BY day
+    UNION ALL SELECT 'media_type', Media_Type, day, count(*), CAST(sum(Comments) AS BIGINT),
+      CAST(sum(Likes) AS BIGINT) FROM p GROUP BY Media_Type, day
+    UNION ALL SELECT 'hour', CAST(hour(PostDate) AS VARCHAR), day, count(*), CAST(sum(Comments) AS BIGINT),
+      CAST(sum(Likes) AS BIGINT) FROM p GROUP BY hour(PostDate), day
+    UNION ALL SELECT 'hashtag', tag, day, count(*), CAST(sum(Comments) AS BIGINT), CAST(sum(Likes) AS BIGINT)
+      FROM (SELECT unnest(list_distinct(regexp_extract_all(Caption, '#(\\w+)', 1))) AS tag, * FROM p) GROUP BY tag, day"""
+
+query("a5_rollups_in_one_pass", ROLLUPS_SQL.format(where=""))(lambda t: marts.post_rollups(t.posts()))
+
+
+@query("a5_rollups_after_updates", ROLLUPS_SQL.format(where=""))
+def rollups_after_updates(t: Tables) -> DataFrame:
+    """A third of the posts was rolled up under another day, type and caption, and is corrected by its changes."""
+    posts = t.posts()
+    third = F.col("Likes") % 3 == 0
+    old = posts.where(third).withColumns({
+        "PostDate": F.col("PostDate") - F.expr("INTERVAL 30 HOURS"), "Media_Type": F.lit("draft"),
+        "Caption": F.concat("Caption", F.lit(" #draft")), "Comments": F.col("Comments") + 1,
+    })
+    stored = marts.post_rollups(posts.where(~third).unionByName(old))
+    return marts.merge_rollups(stored, marts.post_changes(old, posts.where(third)))
 
 
 # Jobs ---------------------------------------------------------------------

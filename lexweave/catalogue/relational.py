@@ -13,6 +13,7 @@ from lexweave.fixtures import ORG, Tables
 from lexweave.functions import leads
 from lexweave.functions.text import tokens
 from lexweave.operators import checks, latest, numbering, phases
+from lexweave.plans.history import PhaseHistory
 from lexweave.sinks import tables as sinks
 from lexweave.sources import records
 
@@ -166,13 +167,23 @@ def events_slim(t: Tables) -> DataFrame:
 query("w2_latest_per_key", LATEST_SQL)(
     lambda t: latest.latest_per_key(events_slim(t), ["user_id"], ["ts", "event_id"]).drop("ts"))
 
-query("w3_phase_history", """
+HISTORY_SQL = """
     SELECT org_id, project_id, event_ts, phase, lag(phase) OVER w AS previous_phase,
       lead(event_ts) OVER w AS next_ts,
       (lead(event_ts) OVER w - event_ts) // 86400000 AS days_in_phase,
       lead(event_ts) OVER w IS NULL AS is_current
-    FROM {phase_log} WINDOW w AS (PARTITION BY project_id ORDER BY event_ts, phase)""")(
-    lambda t: phases.phase_history(phase_log_of(t)))
+    FROM {phase_log} WINDOW w AS (PARTITION BY project_id ORDER BY event_ts, phase)"""
+
+query("w3_phase_history", HISTORY_SQL)(lambda t: phases.phase_history(phase_log_of(t)))
+
+
+@query("w3_incremental_history", HISTORY_SQL)
+def incremental_history(t: Tables) -> DataFrame:
+    """Two loads, each with changes before and between those of the other."""
+    history, log = PhaseHistory(t.scratch("history"), buckets=4), phase_log_of(t)
+    for half in (0, 1):
+        history.load(log.where(F.pmod(F.xxhash64("event_ts"), F.lit(2)) == half))
+    return history.read(t.spark)
 
 
 # Sinks --------------------------------------------------------------------

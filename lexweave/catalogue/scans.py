@@ -158,6 +158,17 @@ def status_pages(t: Tables) -> DataFrame:
     return records.status_pages(files.union_all([found, missing]))
 
 
+@query("s5_pages_of_statuses", "SELECT Id, ContactId, StatusId, 'status ' || CAST(StatusId AS VARCHAR) AS status FROM {leadrow}")
+def pages_of_statuses(t: Tables) -> DataFrame:
+    """Pages of every status in one landing, several records each; records keep the status asked for."""
+    rows = t["leadrow"].select("Id", "ContactId", "StatusId", F.concat(F.lit("status "), "StatusId").alias("status"))
+    record = F.struct("Id", "ContactId", "StatusId")
+    pages = rows.groupBy("status", F.floor(F.col("Id") / 1000).alias("page")).agg(
+        F.sort_array(F.collect_list(record)).alias("Records"), F.lit(99).alias("TotalPages"))
+    path = write_json(pages, t.scratch("pages"))
+    return records.status_pages(files.read_json(t.spark, path, pages.schema)).select("Id", "ContactId", "StatusId", "status")
+
+
 def lookup_responses(t: Tables) -> DataFrame:
     """Lookup responses: one entry a row, kept with the type they answer."""
     def entry(df: DataFrame, kind: str, key: str, name: str) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 from itertools import accumulate
 
 import numpy as np
@@ -74,6 +75,67 @@ def target_attainment(targets: DataFrame, actuals: DataFrame, grain: str) -> Dat
     )
 
 
+def attainment_by_grain(facts: DataFrame) -> DataFrame:
+    """``target_attainment`` for all grains in one pass and one shuffle.
+
+    ``facts`` has ``Team_member_id``, the period columns, ``Target`` (null on rows that set
+    none) and ``amount`` (null on rows that are no actual). The result names its ``grain``;
+    periods finer than that are null.
+    """
+    periods = GRAINS["week"]
+    columns = ["Team_member_id", *periods]
+    sets = [["Team_member_id", *keys] for keys in GRAINS.values()]
+    grouped = facts.groupingSets([[F.col(c) for c in s] for s in sets], *[F.col(c) for c in columns]).agg(
+        F.sum("Target").alias("target"), F.sum("amount").alias("actual"),
+        F.count("Target").alias("goals"), F.grouping_id().alias("_id"),
+    )
+    # The bits of the columns that a set leaves out tell which one a row belongs to.
+    ids = {grain: sum(1 << i for i, c in enumerate(reversed(periods)) if c not in keys) for grain, keys in GRAINS.items()}
+    grain = F.coalesce(*[F.when(F.col("_id") == i, F.lit(g)) for g, i in ids.items()])
+    actual = F.coalesce("actual", F.lit(0))
+    return grouped.where("goals > 0").select(
+        grain.alias("grain"), *columns, "target", actual.alias("actual"),
+        F.when(F.col("target") != 0, actual >= F.col("target")).alias("attained"),
+    )
+
+
+def post_rollups(posts: DataFrame, sign: Column | None = None) -> DataFrame:
+    """All post rollups in one pass: (rollup, key, day) with posts, comments and likes.
+
+    ``date`` has no key, ``hashtag``, ``media_type`` and ``hour`` have theirs as text. ``sign``
+    is 1 for posts that come and -1 for versions that go, so what changed since the last
+    rollup is the rollup of the changes, and ``merge_rollups`` adds it.
+    """
+    day, one = F.to_date("PostDate"), F.lit(1) if sign is None else sign
+
+    def entry(name: str, key: Column) -> Column:
+        return F.struct(F.lit(name).alias("rollup"), key.cast("string").alias("key"))
+
+    tags = F.array_distinct(F.regexp_extract_all("Caption", F.lit(r"#(\w+)"), F.lit(1)))
+    entries = F.concat(
+        F.array(entry("date", F.lit(None)), entry("media_type", F.col("Media_Type")), entry("hour", F.hour("PostDate"))),
+        F.coalesce(F.transform(tags, lambda tag: entry("hashtag", tag)), F.array().cast("array<struct<rollup:string,key:string>>")),
+    )
+    counts = [(F.lit(1) * one).alias("p"), (F.col("Comments") * one).alias("c"), (F.col("Likes") * one).alias("l")]
+    # Not explode: Spark would compute the entries once more, as a filter below it.
+    fanned = posts.select(day.alias("day"), *counts, F.inline_outer(entries))
+    return fanned.groupBy("rollup", "key", "day").agg(
+        F.sum("p").cast("bigint").alias("Posts"), F.sum("c").cast("bigint").alias("Comments"), F.sum("l").cast("bigint").alias("Likes")
+    )
+
+
+def merge_rollups(*rollups: DataFrame) -> DataFrame:
+    """Rollups added up; entries of which no post is left are gone."""
+    whole = reduce(DataFrame.unionByName, rollups).groupBy("rollup", "key", "day")
+    return whole.agg(*[F.sum(c).alias(c) for c in ("Posts", "Comments", "Likes")]).where("Posts <> 0")
+
+
+def post_changes(before: DataFrame, after: DataFrame) -> DataFrame:
+    """Rollups of what updates change: the old versions of posts go, the new ones come."""
+    both = before.withColumn("_sign", F.lit(-1)).unionByName(after.withColumn("_sign", F.lit(1)))
+    return post_rollups(both, F.col("_sign"))
+
+
 # Case values are placed on a grid over their range; a cluster begins where a bin of the grid does.
 GRID = 1 << 20
 BIN, FINE = 1024, 16  # places per bin, and per bin where more than one case in HEAVY falls into one

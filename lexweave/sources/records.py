@@ -24,8 +24,12 @@ def offset_pages(pages: DataFrame) -> DataFrame:
 
 
 def status_pages(pages: DataFrame) -> DataFrame:
-    """Records of ``{Records, TotalPages}`` pages; a missing page is empty."""
-    return pages.select(F.explode("Records").alias("record")).select("record.*")
+    """Records of ``{Records, TotalPages}`` pages over all statuses; a missing page is empty.
+
+    Where pages are kept with the ``status`` they answer, their records have it too.
+    """
+    asked = [c for c in ("status",) if c in pages.columns]
+    return pages.select(*asked, F.explode("Records").alias("record")).select(*asked, "record.*")
 
 
 def lookup(responses: DataFrame, lookup_type: str) -> DataFrame:

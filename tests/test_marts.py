@@ -6,6 +6,7 @@ from itertools import combinations
 import pytest
 
 from lexweave import session
+from lexweave.plans import marts
 from lexweave.plans.marts import case_value_clusters, cluster_starts, posts_by_hashtag
 
 
@@ -88,3 +89,21 @@ def test_no_machine_local_scratch_on_a_cluster():
 
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         session.scratch_path(Cluster(), "x")
+
+
+def test_all_grains_and_rollups_read_their_rows_once(spark):
+    from conftest import SF
+
+    from lexweave.catalogue import QUERIES
+
+    for name in ("a9_targets_in_one_pass", "a5_rollups_in_one_pass"):
+        plan = QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("FileScan parquet") == 1 and plan.count("Exchange hashpartitioning") == 1, name
+
+
+def test_a_removed_post_leaves_no_entry(spark):
+    posts = spark.sql("SELECT '#a x' Caption, timestamp'2024-01-01 05:00:00' PostDate, 't' Media_Type, 2 Comments, 3 Likes")
+    whole = marts.post_rollups(posts)
+    assert sorted((r.rollup, r.key, r.Posts, r.Likes) for r in whole.collect()) == [
+        ("date", None, 1, 3), ("hashtag", "a", 1, 3), ("hour", "5", 1, 3), ("media_type", "t", 1, 3)]
+    assert marts.merge_rollups(whole, marts.post_changes(posts, posts.limit(0))).count() == 0

@@ -10,6 +10,8 @@ from hypothesis import strategies as st
 from conftest import rows
 from lexweave.config.model import ConfigError
 from lexweave.operators import latest, numbering, phases, snapshots
+from lexweave.plans.history import PhaseHistory
+from lexweave.sinks import store
 from pyspark.sql import functions as F
 
 
@@ -174,3 +176,26 @@ def test_snapshot_dispatch(spark, tables):
     assert snapshots.snapshot(frames, "case", "collections", "meds", 1).count() == 1
     with pytest.raises(ConfigError):
         snapshots.snapshot(frames, "lead", "core", "unheard")
+
+
+def test_history_by_loads_equals_the_whole_and_writes_neighbours_only(spark, scratch):
+    rng = random.Random(8)
+    history = PhaseHistory(scratch(), buckets=2)
+    changes, schema = [], "org_id long, project_id long, event_ts long, phase string"
+    pool = [(o, p, rng.randint(0, 10**10), rng.choice("abc")) for o in (1, 2) for p in range(6) for _ in range(30)]
+    rng.shuffle(pool)
+    for number, start in enumerate(range(0, 360, 120)):
+        # Every load repeats some changes of the one before.
+        part = pool[max(0, start - 10) : start + 120]
+        history.load(spark.createDataFrame(part, schema))
+        changes += part
+        whole = phases.phase_history(spark.createDataFrame(sorted(set(changes)), schema))
+        assert rows(history.read(spark).select(*whole.columns)) == rows(whole)
+        if number == 1:
+            assert history.compact(spark) > 0
+            assert rows(history.read(spark).select(*whole.columns)) == rows(whole)
+    (late,) = [(1, 0, 5, "late")]
+    history.load(spark.createDataFrame([late], schema))
+    last = store.loads(spark, history.path)[-1]
+    assert spark.read.parquet(last).count() <= 3
+    assert history.read(spark).where("phase = 'late'").first()["previous_phase"] is None
