@@ -12,6 +12,7 @@ from lexweave.operators import snapshots
 from lexweave.plans.standard_model import StandardModel
 from lexweave.sinks.tables import write_entity, write_partitioned, write_table
 from lexweave.sources import files, records
+from lexweave.streaming import pages as paged
 from lexweave.streaming.events import normalise, read_events
 
 
@@ -169,6 +170,46 @@ def pages_of_statuses(t: Tables) -> DataFrame:
     return records.status_pages(files.read_json(t.spark, path, pages.schema)).select("Id", "ContactId", "StatusId", "status")
 
 
+def landed_pulls(t: Tables, pages: DataFrame, schema: str) -> DataFrame:
+    """Pages as a stream over two files at a time, dealt to files without order."""
+    landing = t.scratch("landing")
+    pages.repartition(4, F.xxhash64("page")).write.json(landing)
+    return t.spark.readStream.schema(schema).option("maxFilesPerTrigger", 2).json(landing)
+
+
+@query("s5_page_stream", "SELECT Id, ContactId, StatusId, CAST(StatusId AS VARCHAR) AS status FROM {leadrow} WHERE StatusId <> 2")
+def page_stream(t: Tables) -> DataFrame:
+    """Pulls of every status; the last page of one has not landed yet, so none of its records is read."""
+    rows = t["leadrow"].select("Id", "ContactId", "StatusId", F.col("StatusId").cast("string").alias("status"))
+    numbered = rows.withColumn("page", F.floor(F.col("Id") / 1000) + 1)
+    pages = numbered.groupBy("status", "page").agg(
+        F.sort_array(F.collect_list(F.struct("Id", "ContactId", "StatusId"))).alias("Records"))
+    total = pages.groupBy("status").agg(F.count(F.lit(1)).alias("TotalPages"))
+    total = total.withColumn("TotalPages", F.col("TotalPages") + F.when(F.col("status") == "2", 1).otherwise(0))
+    landed = pages.join(total, "status").withColumn("pull", F.lit(7))
+    stream = landed_pulls(t, landed, (
+        "status string, pull long, page long, TotalPages int, Records array<struct<Id:bigint,ContactId:bigint,StatusId:bigint>>"))
+    feed = paged.PageFeed(t.scratch("pages"), ["status"], buckets=4)
+    run_to_end(feed.start(paged.numbered_pages(stream, ["status"]), t.scratch("checkpoint")))
+    return feed.records(t.spark).select("Id", "ContactId", "StatusId", "status")
+
+
+@query("s4_page_stream", "SELECT projectId, phaseName, 'projects' AS entity FROM {project}")
+def offset_page_stream(t: Tables) -> DataFrame:
+    """The same for pages by offset, whose last one has no more."""
+    rows = t["project"].select("projectId", "phaseName", F.floor(F.col("projectId") / 500).alias("at"))
+    pages = rows.groupBy("at").agg(F.sort_array(F.collect_list(F.struct("projectId", "phaseName"))).alias("items"))
+    last = pages.agg(F.max("at")).scalar()
+    landed = pages.select(
+        F.lit("projects").alias("entity"), F.lit(1).alias("pull"), "items", (F.col("at") < last).alias("hasMore"),
+        (F.col("at") * 500).alias("offset"), F.lit(500).alias("limit"), F.col("at").alias("page"))
+    stream = landed_pulls(t, landed, (
+        "entity string, pull long, items array<struct<projectId:bigint,phaseName:string>>, hasMore boolean, offset long, limit long"))
+    feed = paged.PageFeed(t.scratch("pages"), ["entity"], buckets=4)
+    run_to_end(feed.start(paged.offset_pages(stream, ["entity"]), t.scratch("checkpoint")))
+    return feed.records(t.spark).select("projectId", "phaseName", "entity")
+
+
 def lookup_responses(t: Tables) -> DataFrame:
     """Lookup responses: one entry a row, kept with the type they answer."""
     def entry(df: DataFrame, kind: str, key: str, name: str) -> DataFrame:
