@@ -29,6 +29,23 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+SHUFFLES_GO = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def settled(df: DataFrame, label: str) -> DataFrame:
+    """``stored``, with the shuffle files behind the table dropped at once; ``df`` must not be used again.
+
+    The table is on shared storage, so what made it is not needed to survive a lost executor.
+    """
+    spark = df.sparkSession
+    before = spark.conf.get(SHUFFLES_GO, "false")
+    spark.conf.set(SHUFFLES_GO, "true")
+    try:
+        return stored(df, label)
+    finally:
+        spark.conf.set(SHUFFLES_GO, before)
+
+
 def row_key(doc_id: str, *rest: str) -> Column:
     """A key that equal rows share; never null, so that it joins."""
     values = [F.coalesce(F.col(name).cast("string"), F.lit("\x00")) for name in (doc_id, *rest)]
@@ -55,7 +72,7 @@ def with_text_columns(
     """
     names = [f.name for f in added]
     kept = [f for f in df.schema.fields if f.name not in names]
-    source = df.select(*[quoted(f.name) for f in kept], F.col(text).cast("string").alias(TEXT))
+    source = df.select(*[quoted(f.name) for f in kept], quoted(text).cast("string").alias(free_name(df, TEXT)))
     kinds = [to_arrow_type(f.dataType) for f in added]
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -39,7 +39,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexweave.functions.types import quoted
-from lexweave.llm.common import bitmap_of, bitmap_place, in_bitmap, stored
+from lexweave.llm.common import bitmap_of, bitmap_place, free_name, in_bitmap
+from lexweave.llm.common import settled as stored
 from lexweave.llm.components import components
 
 BUCKETS = 1 << 17  # of the n-gram counts that order the prefixes
@@ -412,12 +413,13 @@ def one_of_each(
     """
     found = near_duplicates(docs, doc_id, text, width, percent).where("n_shingles > 0")
     first = found.where(F.col("doc_id").eqNullSafe(F.col("first_id")) & (F.col("key") == F.col("first_key")))
-    named = lambda c: F.coalesce(c.cast("string"), F.lit("")).alias("_id")
-    keepers = first.select(named(F.col("doc_id")), F.col("key").alias("_key")).distinct()
+    named = lambda c: F.coalesce(c.cast("string"), F.lit(""))
+    own, hashed = free_name(docs, "_id"), free_name(docs, "_key")
+    keepers = first.select(named(F.col("doc_id")).alias(own), F.col("key").alias(hashed)).distinct()
     whole = quoted(text).cast("string")
     wordy = F.coalesce(F.length(F.translate(whole, "\x20\x09\x0a\x0b\x0c\x0d", "")) > 0, F.lit(False))
-    marked = docs.withColumns({"_id": named(quoted(doc_id).cast("long")), "_key": F.xxhash64(whole)})
-    kept = marked.where(wordy).join(stored(keepers, "keepers"), ["_id", "_key"], "left_semi")
+    marked = docs.withColumns({own: named(quoted(doc_id).cast("long")), hashed: F.xxhash64(whole)})
+    kept = marked.where(wordy).join(stored(keepers, "keepers"), [own, hashed], "left_semi")
     columns = [quoted(c) for c in docs.columns]
-    single = kept.dropDuplicates(["_id", "_key"]).select(*columns)
+    single = kept.dropDuplicates([own, hashed]).select(*columns)
     return single.unionByName(docs.where(~wordy).select(*columns))
