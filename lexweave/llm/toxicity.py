@@ -10,10 +10,13 @@ scoring sums cached amounts of words and never builds a text's vector.
 
 Training takes at most ``sample`` labelled rows, the lowest by a hash of the row
 key, toxic and other rows in equal parts as far as there are; the bias is set back
-to the share of toxic rows among all labelled ones. Scoring takes whole texts.
+to the share of toxic rows among all labelled ones. Of a training text it takes the first
+``longest`` characters, and of rows that share an id the least text. Scoring takes whole texts.
 
 Nulls, empty texts and texts without a word get the score of the bias alone.
-Repeated rows get equal scores. Without labels of both kinds every score is 0.
+Repeated rows get equal scores. Without labels of both kinds every score is 0. Very long
+texts are scored word by word; empty tables stay empty. An input column named ``toxicity``
+is replaced by ``score_texts``; ``drop_toxic`` returns all columns as they came.
 """
 
 from __future__ import annotations
@@ -30,11 +33,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lexweave.llm.common import WORD, crc_part, with_text_columns
+from lexweave.llm.common import WORD, crc_part, free_name, with_text_columns
 
 SAMPLE = 4_000  # labelled rows that training may take
 MOST_REPEATS = 4  # of a toxic row in training
-LONGEST_SAMPLED = 40_000  # characters of a training text; longer labelled rows are left out
+LONGEST_SAMPLED = 40_000  # characters of a text that training takes
 CACHED_WORDS = 400_000
 CACHED_TRAINING = 50_000
 WORDS = re.compile(WORD)
@@ -148,8 +151,12 @@ def fit(
     label: str = "toxic",
     held_out_parts: int = 5,
     sample: int = SAMPLE,
+    longest: int = LONGEST_SAMPLED,
 ) -> ToxicityModel | None:
-    """Train on labelled rows outside the held-out part; None if one kind has no row."""
+    """Train on labelled rows outside the held-out part; None if one kind has no row.
+
+    ``sample`` bounds the rows of both kinds together and ``longest`` the characters of each.
+    """
     usable = (
         labels.where(F.col(label).isin(0, 1) & (crc_part(doc_id, held_out_parts) != 0))
         .groupBy(doc_id)
@@ -159,14 +166,15 @@ def fit(
     if len(sizes) < 2:
         return None
     rows: list[tuple[str, int]] = []
-    short = docs.select(doc_id, F.col(text).cast("string").alias("_text")).where(
-        F.length("_text") <= LONGEST_SAMPLED
-    )
+    begin = F.substring(F.col(text).cast("string"), 1, longest)
+    short = docs.select(doc_id, begin.alias("_text")).where("_text IS NOT NULL")
     order = F.xxhash64(F.lit("toxicity"), F.col(doc_id)), F.col(doc_id)
     # The ids are taken first, so that only the texts of the sample are moved.
     few = [usable.where(F.col("_toxic") == k).orderBy(*order).limit(sample // 2) for k in (0, 1)]
     taken = few[0].unionByName(few[1])
-    for row in short.join(F.broadcast(taken), doc_id).orderBy(*order, "_text").collect():
+    # One row per id, made in the tasks first: the driver gets no more than the sample.
+    once = short.join(F.broadcast(taken), doc_id).groupBy(doc_id, "_toxic").agg(F.min("_text").alias("_text"))
+    for row in once.orderBy(*order).collect():
         rows.append((row["_text"], row["_toxic"]))
     if len({kind for _, kind in rows}) < 2:
         return None
@@ -177,19 +185,20 @@ def fit(
     return train([t for t, _ in rows], [k for _, k in rows], share, again=again)
 
 
-def score_texts(df: DataFrame, model: ToxicityModel | None, text: str = "text") -> DataFrame:
+def score_texts(df: DataFrame, model: ToxicityModel | None, text: str = "text", into: str = "toxicity") -> DataFrame:
     """Add ``toxicity``, the chance (0 to 1) that a text is toxic."""
-    added = [T.StructField("toxicity", T.DoubleType())]
+    added = [T.StructField(into, T.DoubleType())]
     shared = df.sparkSession.sparkContext.broadcast(model)
 
     def values(texts: list[str | None]) -> dict[str, object]:
         own = shared.value
-        return {"toxicity": [own.score(t) if own else 0.0 for t in texts]}
+        return {into: [own.score(t) if own else 0.0 for t in texts]}
 
     return with_text_columns(df, text, added, values)
 
 
 def drop_toxic(df: DataFrame, model: ToxicityModel | None, limit: float = 0.5) -> DataFrame:
     """Rows whose text scores below ``limit``, with their columns."""
-    scored = score_texts(df, model).where(F.col("toxicity") < limit)
+    score = free_name(df, "toxicity")
+    scored = score_texts(df, model, into=score).where(F.col(score) < limit)
     return scored.select(*[F.col(f"`{c}`") for c in df.columns])

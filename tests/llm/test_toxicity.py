@@ -1,5 +1,7 @@
 """Toxicity on held-out labels, and the cases without any."""
 
+import math
+import re
 import zlib
 
 import pytest
@@ -65,3 +67,28 @@ def test_nulls_empties_and_repeats(spark):
         found.setdefault(r["doc_id"], []).append(r["toxicity"])
     assert found[1] == found[None] == found[2] and found[3][0] == found[3][1]
     assert toxicity.score_texts(df.limit(0), model).count() == 0
+
+
+def test_labels_on_long_texts_only_are_learned(spark):
+    """All toxic rows are longer than what training takes of a text; ids repeat."""
+    rows = [(i, "vile nasty words " * 4000) for i in range(10)] * 2 + [(100 + i, "kind and calm words here") for i in range(20)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i < 10)) for i, _ in rows], "doc_id long, toxic int")
+    model = toxicity.fit(docs, labels)
+    assert model.score("vile nasty") > 0.5 > model.score("kind and calm")
+
+
+def test_scores_against_the_sum_of_all_rows(spark):
+    """Cached words against a plain sum over every subword of every word."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    model = toxicity.fit(docs, spark.read.parquet(f"{SF}/labels.parquet"))
+    data = docs.select("text").collect() + [(None,), ("",), ("é!? A a A",)]
+    for (text,) in data:
+        amounts = [
+            float(model.rows[zlib.crc32(gram.encode()) % len(model.rows)])
+            for word in re.findall(r"[^\x20\x09-\x0D]+", text or "")
+            for marked in [f"<{word.lower()}>"]
+            for gram in [marked, *[marked[i : i + n] for n in (3, 4, 5) for i in range(len(marked) - n + 1)]]
+        ]
+        odds = model.bias + (sum(amounts) / len(amounts) if amounts else 0.0)
+        assert model.score(text) == pytest.approx(1 / (1 + math.exp(-odds)), abs=1e-5)
