@@ -7,7 +7,10 @@ language to language are learned with them. Chains are the lines of a text.
 Forward-backward gives every word its chance of each language; a text's language has
 the greatest mean chance over its words with a letter, ties to the first by name.
 
-Training takes at most ``sample`` labelled rows of each language and makes chains of
+Training takes at most ``sample`` labelled rows of each language, the first ``longest``
+characters of each. With more than ``MOST_ROWS`` such rows every language gives its first
+before any gives its second, and so on, so no language is left out before there are that
+many. Of rows that share id and language the least text counts. Training makes chains of
 switched languages from runs of their words, so that transitions see switches. The
 weights follow the gradient of the chain's log likelihood, all in numpy.
 
@@ -32,8 +35,9 @@ from pyspark.sql import types as T
 from lexweave.llm.common import crc_part, with_text_columns
 
 SAMPLE = 400  # labelled rows of each language that training may take
-LANGUAGES = 200  # most languages that training may know
-LONGEST_SAMPLED = 20_000  # characters of a training text; longer labelled rows are left out
+MOST_ROWS = 80_000  # labelled rows of all languages that training may take
+PARTS = 64  # of a language's rows by hash, ranked apart before they are ranked together
+LONGEST_SAMPLED = 20_000  # characters of a text that training takes
 LEXICON = 5_000  # words of each language that have a weight of their own
 BUCKETS = 1 << 16
 CACHED_WORDS = 300_000
@@ -262,20 +266,24 @@ def train(
 
 def fit(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang",
-    held_out_parts: int = 4, held_out: int = 2, sample: int = SAMPLE,
+    held_out_parts: int = 4, held_out: int = 2, sample: int = SAMPLE, longest: int = LONGEST_SAMPLED,
 ) -> LanguageModel:
     """Train on labelled rows outside the held-out part, at most ``sample`` of each language."""
-    usable = docs.select(doc_id, F.col(text).cast("string").alias("_text"), F.col(lang).alias("_lang")).where(
-        F.col("_lang").isNotNull()
-        & (crc_part(doc_id, held_out_parts) != held_out)
-        & F.length("_text").between(1, LONGEST_SAMPLED)
+    begin = F.substring(F.col(text).cast("string"), 1, longest)
+    usable = docs.select(doc_id, begin.alias("_text"), F.col(lang).alias("_lang")).where(
+        F.col("_lang").isNotNull() & (crc_part(doc_id, held_out_parts) != held_out) & (F.length("_text") > 0)
     )
-    order = F.xxhash64(F.lit("language"), F.col(doc_id)), F.col(doc_id)
-    # The lowest hashes of each language, by a rank that Spark limits within each task first.
+    hashed = F.xxhash64(F.lit("language"), F.col(doc_id))
+    order = hashed, F.col(doc_id)
+    # The lowest hashes of each language: of its parts first, so that a language that most rows
+    # have is ranked in many tasks, then of what they leave, at most ``PARTS`` times ``sample`` rows.
+    parted = usable.select(doc_id, "_lang", F.pmod(hashed, F.lit(PARTS)).alias("_part")).dropDuplicates([doc_id, "_lang"])
+    of_part = F.row_number().over(Window.partitionBy("_lang", "_part").orderBy(*order))
+    few = parted.withColumn("_rank", of_part).where(F.col("_rank") <= sample)
     rank = F.row_number().over(Window.partitionBy("_lang").orderBy(*order))
-    keys = usable.select(doc_id, "_lang").withColumn("_rank", rank).where(F.col("_rank") <= sample)
-    bounded = keys.select(doc_id, "_lang").orderBy("_lang", *order).limit(sample * LANGUAGES)
-    taken = usable.join(F.broadcast(bounded.dropDuplicates()), [doc_id, "_lang"])
+    keys = few.withColumn("_rank", rank).where(F.col("_rank") <= sample)
+    bounded = keys.select(doc_id, "_lang", "_rank").orderBy("_rank", "_lang").limit(MOST_ROWS).drop("_rank")
+    taken = usable.join(F.broadcast(bounded), [doc_id, "_lang"]).groupBy(doc_id, "_lang").agg(F.min("_text").alias("_text"))
     rows = sorted((r["_lang"], r["_text"]) for r in taken.select("_lang", "_text").collect())
     return train([t for _, t in rows], [n for n, _ in rows])
 

@@ -80,3 +80,13 @@ def test_small_caches_change_nothing(monkeypatch):
 def test_sample_is_bounded(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     assert crf.fit(docs, sample=2).names
+
+
+def test_many_languages_and_long_texts_are_learned(spark):
+    """More than 200 languages, one of which has only texts beyond the bound, in repeated rows."""
+    rows = [(i, f"{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}o " * 8, f"l{i:03d}") for i in range(205)]
+    rows += [(900 + i, "zzyx wuwu " * 5000, "zz") for i in (0, 1, 1, 1)]
+    rows = [r for r in rows if zlib.crc32(str(r[0]).encode()) % 4 != 2]
+    model = crf.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert model.names == sorted({r[2] for r in rows}) and len(model.names) > 150
+    assert model.languages(["zzyx wuwu"])[0][0] == "zz"
