@@ -200,6 +200,11 @@ def next_record(data: memoryview, at: int) -> tuple[dict[str, str], bytes, int]:
     if not text.startswith(b"WARC/1."):
         raise Damage("no version line")
     close = text.find(b"\r\n\r\n")
+    while close < 0 and not packed and at + len(text) < len(data):
+        # Longer headers: look on from where the blank line may have begun.
+        known = max(0, len(text) - 3)
+        text = bytes(data[at : at + 4 * len(text)])
+        close = text.find(b"\r\n\r\n", known)
     if close < 0:
         raise Damage("headers do not end")
     headers = headers_of(text[:close])

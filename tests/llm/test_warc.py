@@ -101,3 +101,14 @@ def test_every_cut_of_an_archive_keeps_the_records_before_it():
         whole = sum(1 for i in range(1, 6) if len(b"".join(parts[:i])) <= end)
         assert [r["page_id"] for r in rows if r["kind"] == "record"] == list(range(whole))
         assert sum(r["length"] for r in rows) == end
+
+
+def test_headers_of_any_length():
+    """A plain record whose headers are far longer than one read is no gap."""
+    for size in (65_536, 70_000, 400_000):
+        url = "http://x/" + "u" * size
+        sha = warc.digest(b"body")
+        data = warc.record(5, url, b"body", sha, False, None) + warc.record(6, "http://y", b"body", sha, False, None)
+        rows = list(warc.salvaged(data))
+        assert [(r["kind"], r["page_id"]) for r in rows] == [("record", 5), ("record", 6)]
+        assert rows[0]["target"] == url
