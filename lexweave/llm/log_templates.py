@@ -14,16 +14,18 @@ ones. So occurrences are counted by different pairs of neighbouring lines; there
 neighbours everywhere, and a group of copies may outnumber all other documents of a
 template; so it is also dropped if ``least`` witnesses have it, whatever else does. A
 witness has at least one word in ``OWN`` in lines without a template, and witnesses whose
-least hash of such a line is the same count once. Near copies consist of lines with
-templates and are no witnesses, so a group of them keeps its text. Equal texts are one
-document here. Lines of fewer than ``shortest`` tokens stay.
+least hash of such a line is the same count once. Texts whose five-word n-grams are similar
+at 0.8 have at most one word in nine apart from each other, so near copies of that kind are
+no witnesses, and a group of them keeps its text. Equal texts are one document here. Lines
+of fewer than ``shortest`` tokens stay.
 
 Only leaves are shuffled for all lines; lines are shuffled for leaves in enough
 documents, which a bitmap of fixed size picks before an exact join. Hot lines are
 aggregated in each task first.
 
 Null texts stay null, empty ones empty. Very long texts are one row. Repeated rows get
-equal results. A text whose lines all go becomes the empty text.
+equal results. A text whose lines all go becomes the empty text. Empty tables stay empty. Input
+columns pass through; ``lines_dropped`` gets underscores where one has its name.
 """
 
 from __future__ import annotations
@@ -39,10 +41,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lexweave.functions.types import quoted
-from lexweave.llm.common import BITMAP, bitmap_of, in_bitmap, stored
+from lexweave.llm.common import BITMAP, bitmap_of, free_name, in_bitmap, stored
 
 DEPTH = 3
-OWN = 3
+OWN = 8
 FIELD = b"<*>"
 DIGIT = re.compile(rb"[0-9]")
 
@@ -196,16 +198,19 @@ def recurring_lines(
 
 
 def drop_recurring(
-    docs: DataFrame, text: str = "text", least: int = 3, similar: float = 0.6, shortest: int = 4
-) -> DataFrame:
-    """The rows with recurring lines taken out of the text; ``lines_dropped`` counts them."""
+    docs: DataFrame, text: str = "text", least: int = 3, similar: float = 0.6, shortest: int = 4,
+    into: str = "lines_dropped",
+) -> DataFrame:
+    """The rows with recurring lines taken out of the text; ``into`` counts them (see the module for clashes)."""
     gone = stored(recurring_lines(docs, text, least, similar, shortest), "places")
-    fields = [f for f in docs.schema.fields if f.name != "lines_dropped"]
+    into, own, held = (free_name(docs, n) for n in (into, "_key", "places"))
+    fields = [T.StructField(text, T.StringType()) if f.name == text else f for f in docs.schema.fields]
     at = [f.name for f in fields].index(text)
-    source = docs.select(*[quoted(f.name) for f in fields]).withColumn("_key", F.xxhash64(quoted(text).cast("string")))
+    whole = quoted(text).cast("string")
+    source = docs.select(*[whole.alias(text) if c == text else quoted(c) for c in docs.columns], F.xxhash64(whole).alias(own))
     # Dealt by the text's hash at every size: the places grow with the texts.
-    places = gone.withColumnRenamed("key", "_key").hint("merge")
-    joined = source.join(places, "_key", "left").drop("_key")
+    places = gone.select(F.col("key").alias(own), F.col("places").alias(held)).hint("merge")
+    joined = source.join(places, own, "left").select(*[quoted(f.name) for f in fields], held)
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -221,6 +226,6 @@ def drop_recurring(
                 columns = [part.column(i) for i in range(part.num_columns - 1)]
                 columns[at] = pa.array(texts, part.column(at).type)
                 columns.append(pa.array([len(p or ()) for p in places], pa.int64()))
-                yield pa.RecordBatch.from_arrays(columns, part.schema.names[:-1] + ["lines_dropped"])
+                yield pa.RecordBatch.from_arrays(columns, part.schema.names[:-1] + [into])
 
-    return joined.mapInArrow(each, T.StructType([*fields, T.StructField("lines_dropped", T.LongType())]))
+    return joined.mapInArrow(each, T.StructType([*fields, T.StructField(into, T.LongType())]))

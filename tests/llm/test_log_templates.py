@@ -34,6 +34,7 @@ def plain(texts, least=3, similar=0.6, shortest=4):
         for at, token in enumerate(tokens):
             support[leaf(tokens), at, token] += len(having[tokens])
     texts_with, around, placed = defaultdict(set), defaultdict(set), defaultdict(set)
+    templated = defaultdict(set)
     for text, i, tokens, context in lines:
         fixed = tuple((at, t) for at, t in enumerate(tokens) if t != "<*>" and support[leaf(tokens), at, t] >= least)
         if fixed and len(fixed) >= similar * len(tokens):
@@ -41,9 +42,18 @@ def plain(texts, least=3, similar=0.6, shortest=4):
             texts_with[key].add(text)
             around[key].add(context)
             placed[key].add((text, i))
+            templated[text].add(i)
+    # A witness has an eighth of its words in other lines; equal ones among these count once.
+    witness = {}
+    for text in templated:
+        raw = [line.split() for line in text.split("\n")]
+        other = [tuple(tokens_of(" ".join(x))) for i, x in enumerate(raw) if x and i not in templated[text]]
+        if 8 * sum(map(len, other)) >= sum(map(len, raw)):
+            witness[text] = frozenset(other)
     gone = defaultdict(set)
     for key, own in placed.items():
-        if min(len(texts_with[key]), len(around[key])) >= least and 2 * len(around[key]) >= len(texts_with[key]):
+        apart = min(len(texts_with[key]), len(around[key])) >= least and 2 * len(around[key]) >= len(texts_with[key])
+        if apart or len(texts_with[key]) >= least and len({witness[t] for t in texts_with[key] if t in witness}) >= least:
             for text, i in own:
                 gone[text].add(i)
     out = []
@@ -54,7 +64,7 @@ def plain(texts, least=3, similar=0.6, shortest=4):
 
 
 def found(df):
-    return {r["doc_id"]: (r["text"], r["lines_dropped"]) for r in drop_recurring(df).collect()}
+    return {r["doc_id"]: (r["text"], r["dropped"]) for r in drop_recurring(df, into="dropped").collect()}
 
 
 def test_documents(spark):
@@ -107,6 +117,14 @@ def test_passages_go_whole(spark):
     assert found(spark.createDataFrame(data, "doc_id long, text string")) == expected
 
 
+def test_a_footer_that_is_most_of_its_document(spark):
+    """Three lines recur in 200 documents of four and of five lines: all three go everywhere."""
+    footer = ["Contact our office for more information", "All rights are kept by the owners", "This page was last changed today"]
+    data = [(i, "\n".join([*unlike(i, 1 + i % 2), *footer])) for i in range(200)]
+    result = found(spark.createDataFrame(data, "doc_id long, text string"))
+    assert result == {i: ("\n".join(unlike(i, 1 + i % 2)), 3) for i, _ in data}
+
+
 def test_near_copies_shield_no_line_and_stay(spark):
     """A line of 10 unlike texts is also in 60 near copies, which lose it and nothing else."""
     line = "This very line recurs in all of them"
