@@ -277,7 +277,7 @@ def boost(rows: Sequence[dict], rounds: int = 25, rate: float = 0.3, ridge: floa
     return trees, start
 
 
-def fit(spans: DataFrame, precision: float = 0.98, least: int = 20) -> PiiModel:
+def fit(spans: DataFrame, precision: float = 0.98) -> PiiModel:
     """Boost on the counts of all candidates; thresholds from documents held out by id."""
     # Explode without "outer" would push a copy of the whole expression below as a filter.
     part = (crc_part("doc_id", 5) == 0).alias("held")
@@ -298,7 +298,7 @@ def fit(spans: DataFrame, precision: float = 0.98, least: int = 20) -> PiiModel:
         for place, (odds, row) in enumerate(scored):
             right, taken = right + row["n"] * row["label"], taken + row["n"]
             last = place + 1 == len(scored) or scored[place + 1][0] < odds
-            if last and taken >= least and right >= precision * taken:
+            if last and right >= precision * taken:
                 model.thresholds[kind] = odds
     return model
 
