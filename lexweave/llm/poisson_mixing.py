@@ -13,7 +13,7 @@ Nothing but built-in functions is used. The rates are one stored row per source;
 Spark broadcasts them by their size or splits a hot source's join. Rows of a null
 source form a source of their own. Rows that share an id and a text get the same
 number of copies. Null texts are rows like any other. Of an empty table nothing is
-left. Columns pass through; those that start with ``_mix`` are replaced.
+left. Columns pass through as they are.
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexweave.functions.types import quoted
-from lexweave.llm.common import row_key, stored
+from lexweave.llm.common import free_name, row_key, stored
 
 DIGITS = 12  # hexadecimal digits of a uniform number: 48 bits
 MOST_COPIES = 64  # of a part: rates up to 16 leave less than 1e-17 beyond it
@@ -91,27 +91,32 @@ def mix(
     size: float = 1.0,
     seed: str = "mix-1",
 ) -> DataFrame:
-    """The documents repeated to the target weights and shuffled, with ``mix_copy`` from 1."""
+    """The documents repeated to the target weights and shuffled, with ``mix_copy`` from 1 and ``mix_place``.
+
+    Input columns stay as they are; where one has a result's name, underscores are added to the result's.
+    """
     rates = stored(source_rates(docs, source, weights, power, size), "rates")
-    kept = [c for c in docs.columns if not c.startswith("_mix") and c not in ("mix_copy", "mix_place")]
+    own = {n: free_name(docs, n) for n in ("_mix_key", "_mix_id", "_mix_copies", "_mix_steps", "_mix_parts", "mix_rate", "mix_copy", "mix_place")}
+    rates = rates.withColumnsRenamed({c: own[c] for c in rates.columns})
     drawn = lambda *part: poisson_count(
-        uniform(F.lit(seed), F.lit("copies"), F.col("_mix_id"), *part), F.col("_mix_steps")
+        uniform(F.lit(seed), F.lit("copies"), F.col(own["_mix_id"]), *part), F.col(own["_mix_steps"])
     )
-    others = F.sequence(F.lit(2).cast("long"), F.col("_mix_parts"))
+    parts, number = F.col(own["_mix_parts"]), F.col(own["_mix_copies"])
+    others = F.sequence(F.lit(2).cast("long"), parts)
     more = F.aggregate(others, F.lit(0), lambda n, part: n + drawn(part.cast("string")))
-    copies = F.when(F.col("_mix_parts") > 1, drawn() + more).otherwise(drawn())
+    copies = F.when(parts > 1, drawn() + more).otherwise(drawn())
     repeated = (
-        docs.withColumns({"_mix_key": source_key(source), "_mix_id": row_key(doc_id, text)})
-        .join(rates, "_mix_key")
-        .withColumn("_mix_copies", copies)
+        docs.withColumns({own["_mix_key"]: source_key(source), own["_mix_id"]: row_key(doc_id, text)})
+        .join(rates, own["_mix_key"])
+        .withColumn(own["_mix_copies"], copies)
         # Explode without "outer" would hash every text twice, for a filter.
-        .withColumn("mix_copy", F.explode_outer(F.sequence(F.lit(1), F.when(F.col("_mix_copies") > 0, F.col("_mix_copies")))))
-        .where("mix_copy is not null")
+        .withColumn(own["mix_copy"], F.explode_outer(F.sequence(F.lit(1), F.when(number > 0, number))))
+        .where(F.col(own["mix_copy"]).isNotNull())
     )
-    place = uniform(F.lit(seed), F.lit("place"), F.col("_mix_id"), F.col("mix_copy"))
-    placed = repeated.withColumn("mix_place", place)
+    place = uniform(F.lit(seed), F.lit("place"), F.col(own["_mix_id"]), F.col(own["mix_copy"]))
+    placed = repeated.withColumn(own["mix_place"], place)
     return (
-        placed.repartition("mix_place")
-        .sortWithinPartitions("mix_place")
-        .select(*[quoted(c) for c in kept], "mix_copy", "mix_place")
+        placed.repartition(own["mix_place"])
+        .sortWithinPartitions(own["mix_place"])
+        .select(*[quoted(c) for c in docs.columns], own["mix_copy"], own["mix_place"])
     )

@@ -42,7 +42,7 @@ def test_hard_rows(spark):
     data = [(None, None, None, 1), (1, None, "a", 2), (1, "x", "a", 3), (1, "x", "a", 3), (2, "", None, 4)]
     df = spark.createDataFrame(data, "doc_id long, text string, source string, _mix_id int")
     out = mixing.mix(df, size=3.0)
-    assert out.columns == ["doc_id", "text", "source", "mix_copy", "mix_place"]
+    assert out.columns == ["doc_id", "text", "source", "_mix_id", "mix_copy", "mix_place"]
     twin = [r["mix_copy"] for r in out.where("text = 'x'").collect()]
     assert sorted(twin) == sorted([*set(twin)] * 2)
     assert mixing.mix(df.limit(0)).collect() == []
