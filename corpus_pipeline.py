@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from lexweave.llm import log_templates, ngram_join, piece_codec, poisson_mixing, toxicity
 from lexweave.llm.catalogue import piece_model, table
-from lexweave.llm.common import BLANKS, stored
+from lexweave.llm.common import BLANKS, free_name, stored
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -28,10 +28,11 @@ def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def without_recurring_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the lines that recur; one of which no word is left goes."""
-    cleaned = log_templates.drop_recurring(docs)
+    into = free_name(docs, "lines_dropped")
+    cleaned = log_templates.drop_recurring(docs, into=into)
     wordless = F.length(F.translate("text", BLANKS, "")) == 0
-    left = cleaned.where(~F.coalesce((F.col("lines_dropped") > 0) & wordless, F.lit(False)))
-    number = F.when(F.col("lines_dropped") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
+    left = cleaned.where(~F.coalesce((F.col(into) > 0) & wordless, F.lit(False)))
+    number = F.when(F.col(into) > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
     return left.withColumn("n_chars", number).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
