@@ -14,6 +14,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 
 from lexweave.functions.types import quoted
 from lexweave.session import scratch_path
+from lexweave.sources.files import remove
 
 TEXT = "_text_"
 
@@ -41,9 +42,18 @@ def settled(df: DataFrame, label: str) -> DataFrame:
     before = spark.conf.get(SHUFFLES_GO, "false")
     spark.conf.set(SHUFFLES_GO, "true")
     try:
-        return stored(df, label)
+        out = stored(df, label)
     finally:
         spark.conf.set(SHUFFLES_GO, before)
+    out.scratch_files = out.inputFiles()
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Remove ``settled`` tables that nothing reads any more; what came from them must be stored."""
+    for table in tables:
+        for folder in {f.rpartition("/")[0] for f in table.scratch_files}:
+            remove(table.sparkSession, folder)
 
 
 def row_key(doc_id: str, *rest: str) -> Column:

@@ -39,7 +39,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexweave.functions.types import quoted
-from lexweave.llm.common import bitmap_of, bitmap_place, free_name, in_bitmap
+from lexweave.llm.common import bitmap_of, bitmap_place, discard, free_name, in_bitmap
 from lexweave.llm.common import settled as stored
 from lexweave.llm.components import components
 
@@ -236,14 +236,18 @@ def near_duplicates(
     rows = stored(with_sets(source, width, percent, counts), "sets")
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key")
     # One class for each set; the prefix depends on the set alone.
-    classes = stored(
+    wide = stored(
         rows.where("n > 0")
         .groupBy("print")
         .agg(F.min(order).alias("first"), F.first("n").alias("n"), F.first("need").alias("need"), F.first("end").alias("end"), F.first("prefix").alias("prefix"))
         .withColumn("node", F.monotonically_increasing_id()),
-        "classes",
+        "prefixes",
     )
-    roots = class_components(source, classes, width, percent)
+    # Prefixes are the bulk of both tables, and read once more only.
+    narrow = stored(rows.select("doc_id", "key", "n", "print"), "documents")
+    classes = stored(wide.drop("prefix"), "classes")
+    discard(rows)
+    roots = class_components(source, classes, wide, width, percent)
     named = classes.select("print", "node", "first").join(roots, "node", "left")
     named = named.withColumn("root", F.coalesce("root", "node"))
     # The first of a component; nearly all components are one class, so few rows are moved.
@@ -256,7 +260,6 @@ def near_duplicates(
     known = stored(
         named.join(firsts, "root", "left").select("print", F.coalesce("least", "first").alias("least")), "known"
     )
-    narrow = rows.select("doc_id", "key", "n", "print")
     joined = narrow.join(known, "print", "left")
     alone = F.col("n") == 0
     return joined.select(
@@ -269,26 +272,31 @@ def near_duplicates(
     )
 
 
-def class_components(source: DataFrame, classes: DataFrame, width: int, percent: int) -> DataFrame:
-    """``node`` and ``root`` of the classes that are linked with another."""
-    held = shared_postings(classes, percent)
+def class_components(
+    source: DataFrame, classes: DataFrame, wide: DataFrame, width: int, percent: int
+) -> DataFrame:
+    """``node`` and ``root`` of the classes that are linked with another; ``wide`` has their prefixes and goes."""
+    held = shared_postings(classes, wide, percent)
     rare = rare_pairs(held.where(F.col("df") <= RARE), percent)
     pairs = stored(rare, "pairs")
     # N-grams of many classes are needed only among classes made mostly of such.
     common = held.where((F.col("df") > RARE) & F.col("heavy")).select("token", "node", "n", "need", "most", "end", "low")
-    common = stored(common, "common-postings")
+    first = common = stored(common, "common-postings")
+    discard(held)
     several = common.groupBy("token").agg(F.count(F.lit(1)).alias("df")).where("df > 1").select("token")
     common = common.join(stored(several, "common-tokens"), "token")
     own = common.groupBy("node").agg(F.count(F.lit(1)).alias("c"), F.first(F.least("need", "low")).alias("l"))
     able = stored(own.where("c >= l").select("node"), "heavy")
     common = stored(common.join(able, "node", "left_semi").drop("low"), "common-postings")
+    discard(first)
     ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).unionByName(able).distinct()
     wanted = classes.join(ends, "node", "left_semi")
     few = wanted.select("node", F.col("first.doc_id").alias("doc_id"), F.col("first.key").alias("key"))
     sets = stored(sets_of(source, few, width), "whole-sets")
     links = stored(verified(pairs, sets, percent), "verified")
     roots = stored(components(links), "components")
-    sets = stored(sets.join(able, "node", "left_semi"), "heavy-sets")
+    every, sets = sets, stored(sets.join(able, "node", "left_semi"), "heavy-sets")
+    discard(every)
     tried, before = pairs, float("inf")
     for turn in range(ROUNDS + 1):
         current = common.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
@@ -301,6 +309,7 @@ def class_components(source: DataFrame, classes: DataFrame, width: int, percent:
         before = still_open
         pairs = open_pairs(current, percent) if last else hub_pairs(current, turn, percent)
         pairs = stored(pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
+        discard(still, current)
         links = links.unionByName(stored(verified(pairs, sets, percent), "verified"))
         roots = stored(components(links), "components")
         if last:
@@ -309,7 +318,7 @@ def class_components(source: DataFrame, classes: DataFrame, width: int, percent:
     raise AssertionError("the last turn returns")
 
 
-def shared_postings(classes: DataFrame, percent: int) -> DataFrame:
+def shared_postings(classes: DataFrame, wide: DataFrame, percent: int) -> DataFrame:
     """Postings of n-grams that several classes have in their prefixes, by class.
 
     ``df`` is the n-gram's number of classes, ``common`` the class's n-grams above
@@ -320,9 +329,11 @@ def shared_postings(classes: DataFrame, percent: int) -> DataFrame:
     rare one with each of its partners.
     """
     packed = (F.col("n") * (2 * LONGEST) + F.col("need")).alias("size")
-    postings = classes.select(F.explode_outer("prefix").alias("token"), "node", packed)
+    postings = wide.select(F.explode_outer("prefix").alias("token"), "node", packed)
     tokens = postings.groupBy("token").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
-    held = stored(postings.join(stored(tokens, "tokens"), "token"), "postings")
+    tokens = stored(tokens, "tokens")
+    held = stored(postings.join(tokens, "token"), "postings")
+    discard(wide, tokens)
     counts = held.groupBy("node").agg(
         F.count_if(F.col("df") > RARE).alias("common"), F.count(F.lit(1)).alias("held")
     )
@@ -337,7 +348,9 @@ def shared_postings(classes: DataFrame, percent: int) -> DataFrame:
     smallest = F.ceil(F.lit(percent * percent) * F.col("n") / 10_000)  # least overlap a partner has
     low = F.ceil(F.least(F.lit(LONGEST), smallest) / 2)
     lowest = sized.withColumn("low", F.greatest(low, F.lit(1)))
-    return stored(lowest.withColumn("heavy", F.col("common") >= F.least("need", "low")), "sized-postings")
+    out = stored(lowest.withColumn("heavy", F.col("common") >= F.least("need", "low")), "sized-postings")
+    discard(held)
+    return out
 
 
 def rare_pairs(rare: DataFrame, percent: int) -> DataFrame:
