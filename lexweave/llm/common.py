@@ -23,10 +23,10 @@ WORD = r"[^\x20\x09-\x0D]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
+def stored(df: DataFrame, label: str, codec: str | None = None) -> DataFrame:
     """The frame written below the shared checkpoint folder and read back: lineage ends here."""
     path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
+    (df.write if codec is None else df.write.option("compression", codec)).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -42,7 +42,7 @@ def settled(df: DataFrame, label: str) -> DataFrame:
     before = spark.conf.get(SHUFFLES_GO, "false")
     spark.conf.set(SHUFFLES_GO, "true")
     try:
-        out = stored(df, label)
+        out = stored(df, label, "zstd")
     finally:
         spark.conf.set(SHUFFLES_GO, before)
     out.scratch_files = out.inputFiles()
@@ -73,8 +73,9 @@ def with_text_columns(
     added: list[T.StructField],
     values: Callable[[list[str | None]], dict[str, object]],
     rows: int = 512,
+    done: Callable[[], None] | None = None,
 ) -> DataFrame:
-    """Add columns that ``values`` computes from lists of texts, in Arrow batches.
+    """Add columns that ``values`` computes from lists of texts, in Arrow batches; ``done`` ends a task.
 
     ``values`` gets up to ``rows`` texts and returns a sequence of each added
     column. All other columns pass through as they are; one that has an added
@@ -94,6 +95,8 @@ def with_text_columns(
                 columns += [pa.array(found[n], k) for n, k in zip(names, kinds, strict=True)]
                 schema = part.schema.names[:-1] + names
                 yield pa.RecordBatch.from_arrays(columns, schema)
+        if done is not None:
+            done()
 
     return source.mapInArrow(each, T.StructType(kept + added))
 

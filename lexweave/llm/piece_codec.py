@@ -28,7 +28,7 @@ from lexweave.llm.common import with_text_columns
 SPACE = "▁"
 EACH_BYTE = "lexweave.each_byte"  # decoding puts one mark for each byte that is no character
 CACHED_CUTS = 500_000  # entries a worker keeps; it starts anew when they are full
-CACHED_PAIRS = 1_000_000
+CACHED_PAIRS = 400_000
 LONGEST_CACHED = 64
 CONTROL = b"\xff\xff"  # stands for a control piece: shown as nothing, but parts bytes
 

@@ -194,7 +194,12 @@ def score_texts(df: DataFrame, model: ToxicityModel | None, text: str = "text",
         own = shared.value
         return {into: [own.score(t) if own else 0.0 for t in texts]}
 
-    return with_text_columns(df, text, added, values)
+    def done() -> None:
+        # Workers live on for other stages, which need the memory.
+        if shared.value:
+            shared.value.words.clear()
+
+    return with_text_columns(df, text, added, values, done=done)
 
 
 def drop_toxic(df: DataFrame, model: ToxicityModel | None, limit: float = 0.5) -> DataFrame:
