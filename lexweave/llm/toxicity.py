@@ -38,7 +38,7 @@ from lexweave.llm.common import WORD, crc_part, free_name, with_text_columns
 SAMPLE = 4_000  # labelled rows that training may take
 MOST_REPEATS = 4  # of a toxic row in training
 LONGEST_SAMPLED = 40_000  # characters of a text that training takes
-CACHED_WORDS = 400_000
+CACHED_WORDS = 200_000
 CACHED_TRAINING = 50_000
 WORDS = re.compile(WORD)
 
