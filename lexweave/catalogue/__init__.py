@@ -1,6 +1,7 @@
 """Every operator as a query over the test tables."""
 
 from lexweave.catalogue import (  # noqa: F401  (registration)
+    contents,
     feed,
     marts,
     projections,

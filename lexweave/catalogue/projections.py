@@ -24,7 +24,8 @@ from lexweave.functions.types import DISPLAY_TYPES, lake_schema, to_lake
 from lexweave.operators.latest import bounded
 from lexweave.plans.mapped import build
 from lexweave.plans.standard_model import StandardModel
-from lexweave.sources import records
+from lexweave.sinks.tables import write_entity
+from lexweave.sources import files, records
 
 
 def model(typed: bool = False) -> StandardModel:
@@ -130,10 +131,17 @@ def mapped_builder(t: Tables) -> DataFrame:
 
 @query("p1_contact_schema", "SELECT personId, firstName, lastName, personTypes FROM {contact}")
 def contact_schema(t: Tables) -> DataFrame:
-    selectors = F.array(*map(F.lit, ["firstName", "custom.lastName", "custom.shoeSize"]))
-    meta = t["contact"].select(F.explode(selectors).alias("selector"), F.lit("Text").alias("value"))
+    """Every part declares a field of contacts; two of them are on the whitelist."""
+    number = F.col("p_partkey")
+    known = F.get(F.array(F.lit("firstName"), F.lit("custom.lastName")), number.cast("int"))
+    field = F.struct(
+        F.coalesce(known, F.concat(F.lit("custom.f"), number)).alias("fieldSelector"),
+        F.lit("Text").alias("customFieldType"),
+    )
+    pages = t["part"].groupBy(F.floor(number / 100)).agg(F.collect_list(field).alias("customFields"))
+    meta = records.section_fields(pages)
     section = case_whitelist().section("contact")
-    declared = flatten.field_types(meta, "selector", "value", section)
+    declared = flatten.field_types(meta, "fieldSelector", "customFieldType", section)
     return flatten.flatten(t.raw_contacts(), flatten.contact_types(declared))
 
 
@@ -328,11 +336,13 @@ query("p18_skip_empty_section", """
         F.when(F.col("projectId") % 2 == 0, F.struct("dateofintake")).alias("section"))))
 
 query("p19_non_null_ids", """
-    SELECT projectId, cocounsel FROM {casesummary} WHERE cocounsel IS NOT NULL""")(
-    lambda t: t["casesummary"].select("projectId", "cocounsel").dropna(subset=["cocounsel"]))
+    SELECT DISTINCT o_orderkey * 10 AS Id FROM orders WHERE o_orderkey % 4 <> 0""")(
+    lambda t: records.linked_ids(t.raw_lead_details(), "Opportunity"))
 
-query("p20_drop_column", "SELECT projectId, dateofintake FROM {intake}")(
-    lambda t: t["intake"].select("projectId", "dateofintake", "referralfee").drop("REFERRALFEE"))
+query("p20_drop_column", f"""
+    SELECT {TENANT}, projectId AS Case_ID, projectTypeId AS Practice_Type_ID, incidentDate AS Incident_Date
+    FROM {{project}}""")(
+    lambda t: build(t["project"], standard_mapping(ORG).table("Cases").without("IS_ARCHIVED"), ORG))
 
 
 @query("p21_duplicate_target", """
@@ -346,6 +356,14 @@ query("p22_pruned_scan", "SELECT projectId, isArchived FROM {project}")(
     lambda t: t["project"].select("projectId", "isArchived"))
 
 
+@query("p22_requested_fields", "SELECT projectId, isArchived FROM {project}")
+def requested_fields(t: Tables) -> DataFrame:
+    """The requested fields are the declared schema; nothing else is read of a stored entity."""
+    path = t.scratch("project")
+    write_entity(t["project"], path)
+    return files.read_folder(t.spark, path, t["project"].select("projectId", "isArchived").schema)
+
+
 @query("k7_typed_write", """
     SELECT CAST(projectId AS VARCHAR) AS projectId, TRY_CAST(attorneysFeesAmount AS DOUBLE)
       AS attorneysFeesAmount, dateOfIncident, vIPCase FROM {casesummary}""")

@@ -49,9 +49,9 @@ def lead_contact_lookup(t: Tables) -> DataFrame:
     JOIN {meds} m ON p.projectId = m.projectId""")
 def project_sections(t: Tables) -> DataFrame:
     """The sections of every project, whatever its type."""
-    chosen = t["project"].select("projectTypeId", "projectId", "phaseName")
     items = t["meds"].select("projectId", "type", "valueTotal")
-    return chosen.join(items, "projectId")
+    chosen = records.projects(t.raw_projects())
+    return records.sections_of(chosen, items, ["projectTypeId", "phaseName"])
 
 
 def named_phases(t: Tables) -> DataFrame:

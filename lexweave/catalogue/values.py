@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from lexweave.catalogue.base import query
 from lexweave.catalogue.scans import PART_TYPE, project_types, section_metadata
-from lexweave.fixtures import Tables, epoch_millis
+from lexweave.config.model import TargetField, TargetTable
+from lexweave.fixtures import ORG, Tables, epoch_millis
 from lexweave.functions import flatten, leads, text
 from lexweave.functions.types import (
     LAKE_TYPES,
@@ -18,7 +19,10 @@ from lexweave.functions.types import (
 )
 from lexweave.operators.latest import chunked_ids
 from lexweave.operators.numbering import number_in_order
+from lexweave.plans.mapped import build
+from lexweave.sinks.tables import write_table
 from lexweave.sources import records
+from lexweave.sources.files import file_path, read_table
 
 
 def flat(t: Tables, **types: str) -> DataFrame:
@@ -138,7 +142,7 @@ query("v18_split", """
     SELECT personId, CAST(len(string_split(personTypes, '|')) AS INT) AS n_parts FROM {contact}""")(
     lambda t: t["contact"].select(
         "personId",
-        F.when(F.col("personTypes").isNotNull(), F.size(F.split("personTypes", "[|]")))
+        F.when(F.col("personTypes").isNotNull(), F.size(text.parts(F.col("personTypes"))))
         .alias("n_parts")))
 
 query("v19_explode", """
@@ -202,9 +206,14 @@ query("v25_event_time", """
     lambda t: t["events"].select("event_id", epoch_millis("ts").alias("ms"))
     .withColumn("back_ms", F.unix_millis(text.event_time(F.col("ms")))))
 
-query("v26_lower_names", """
-    SELECT r_regionkey, lower(r_name) AS name FROM region""")(
-    lambda t: t["region"].select("r_regionkey", F.lower("r_name").alias("name")))
+@query("v26_lower_names", """
+    SELECT o_orderkey AS projectId, o_orderstatus AS phaseName, 'practicecases' AS table_name FROM orders""")
+def lower_names(t: Tables) -> DataFrame:
+    """A table is stored under its lower-cased name and found under any spelling."""
+    root = t.scratch("model")
+    write_table(t["project"].select("projectId", "phaseName"), root, "PracticeCases")
+    folder = F.element_at(F.split(file_path(), "/"), -2)
+    return read_table(t.spark, root, "PRACTICECases").withColumn("table_name", folder)
 
 query("v27_id_chunks", """
     SELECT projectId, (row_number() OVER (ORDER BY projectId) - 1) // 10 AS chunk
@@ -216,6 +225,6 @@ query("v27_id_chunks", """
 query("v28_constants", """
     SELECT o_orderkey, 101 AS org, CAST(NULL AS VARCHAR) AS custom, CAST(NULL AS DATE) AS closed
     FROM orders""")(
-    lambda t: t["orders"].select(
-        "o_orderkey", F.lit(101).alias("org"), F.lit(None).cast("string").alias("custom"),
-        F.lit(None).cast("date").alias("closed")))
+    lambda t: build(t["orders"], TargetTable("T", "orders", (
+        TargetField("o_orderkey", "int", "o_orderkey", "data"), TargetField("org", "int", kind="org"),
+        TargetField("custom", "string"), TargetField("closed", "date"))), ORG, typed=True))

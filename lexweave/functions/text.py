@@ -11,9 +11,14 @@ def bare_selector(selector: Column) -> Column:
     return F.replace(selector, F.lit("custom."), F.lit(""))
 
 
+def parts(text: Column, delimiter: str = "\\|") -> Column:
+    """Parts of a delimited text as an array, blank ones too; null of null."""
+    return F.split(text, delimiter)
+
+
 def tokens(text: Column, delimiter: str = "\\|") -> Column:
     """Parts of a delimited text as an array; blank parts carry no meaning and go."""
-    return F.array_remove(F.split(text, delimiter), "")
+    return F.array_remove(parts(text, delimiter), "")
 
 
 def tenant_of_url(url: Column) -> Column:

@@ -6,11 +6,15 @@ batch scan, a stream and a test.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lexweave.functions.flatten import flat_id
+from lexweave.functions.types import quoted
+from lexweave.operators.skew import spread_join
 
 
 def _with_id(df: DataFrame, source: str, target: str) -> Column:
@@ -67,6 +71,21 @@ def projects_of_type(project_df: DataFrame, project_type: int) -> DataFrame:
     return project_df.where(F.col("projectTypeId") == project_type)
 
 
+def sections_of(project_df: DataFrame, sections: DataFrame, fields: Sequence[str] = ()) -> DataFrame:
+    """Section records (forms or collection items) of the listed projects, with ``fields`` of their project.
+
+    One row per record, however often the list names its project; of rows that differ the
+    least fields count. A project with very many records is dealt to several tasks. Records
+    whose own columns are named like a field keep them. Records without a project go.
+    """
+    own = {c.lower() for c in sections.columns}
+    kept = [f for f in dict.fromkeys(fields) if f.lower() not in own]
+    listed = project_df.groupBy("projectId").agg(F.min(F.struct(F.lit(0), *map(quoted, kept))).alias("_p"))
+    named = listed.select("projectId", *[F.col("_p").getField(f).alias(f) for f in kept])
+    joined = spread_join(sections, named, ["projectId"], "inner")
+    return joined.select(*map(quoted, [*kept, *sections.columns]))
+
+
 def project_types(types: DataFrame, phases: DataFrame) -> DataFrame:
     """Project types with their phases nested.
 

@@ -12,6 +12,7 @@ from lexweave.config.model import ConfigError
 from lexweave.operators import latest, numbering, phases, snapshots
 from lexweave.plans.history import PhaseHistory
 from lexweave.sinks import store
+from lexweave.sources import records
 from pyspark.sql import functions as F
 
 
@@ -199,3 +200,26 @@ def test_history_by_loads_equals_the_whole_and_writes_neighbours_only(spark, scr
     last = store.loads(spark, history.path)[-1]
     assert spark.read.parquet(last).count() <= 3
     assert history.read(spark).where("phase = 'late'").first()["previous_phase"] is None
+
+
+@pytest.mark.parametrize("fields", [[], ["kind"], ["kind", "Note", "projectId", "kind"]])
+def test_sections_of_projects(spark, fields):
+    rng = random.Random(7)
+    listed = [(rng.choice([1, 2, 3, 9, None]), rng.choice(["a", "b", None]), "p") for _ in range(12)]
+    items = [(1 if rng.random() < 0.4 else rng.choice([2, 4, 9, None]), rng.randrange(5), "s") for _ in range(60)]
+    projects = spark.createDataFrame(listed, "projectId long, kind string, note string")
+    sections = spark.createDataFrame(items, "projectId long, item long, note string")
+    found = records.sections_of(projects, sections, fields)
+    kinds = defaultdict(list)
+    for key, kind, _ in listed:
+        kinds[key].append(kind)
+    # A null kind comes first, as in Spark's order; the records' own note stays.
+    least = {k: min(v, key=lambda x: (x is not None, x or "")) for k, v in kinds.items()}
+    extra = (lambda k: (least[k],)) if fields else (lambda k: ())
+    assert rows(found) == sorted(((*extra(r[0]), *r) for r in items if r[0] is not None and r[0] in least), key=repr)
+    assert found.columns == [*(["kind"] if fields else []), "projectId", "item", "note"]
+
+
+def test_sections_of_no_project(spark):
+    none = spark.createDataFrame([], "projectId long, kind string")
+    assert records.sections_of(none, spark.createDataFrame([(1, 2)], "projectId long, item long"), ["kind"]).collect() == []

@@ -33,6 +33,7 @@ def test_one_shuffle_after_a_partial_aggregate(spark, name):
 
 def test_scans_read_only_what_is_used(spark):
     assert "ReadSchema: struct<o_orderkey:bigint,o_orderstatus:string>" in plan(spark, "p22_pruned_scan")
+    assert "ReadSchema: struct<projectId:bigint,isArchived:boolean>" in plan(spark, "p22_requested_fields")
     figures = plan(spark, "t7_case_figures")
     assert "l_returnflag" in figures and "l_tax" not in figures and "l_discount" not in figures
 

@@ -19,6 +19,11 @@ def test_tokens(spark, value, parts):
     assert one(spark, text.tokens, value) == parts
 
 
+@pytest.mark.parametrize("value, parts", [(None, None), ("", [""]), ("a||b", ["a", "", "b"]), ("a.b|", ["a.b", ""])])
+def test_parts_keep_blanks(spark, value, parts):
+    assert one(spark, text.parts, value) == parts
+
+
 @pytest.mark.parametrize("uri, bucket, key", [
     ("s3://b/k/x.parquet", "b", "k/x.parquet"), ("b/k", "b", "k"), ("s3://b", "b", ""),
 ])
