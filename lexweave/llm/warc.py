@@ -13,10 +13,14 @@ members inflate with the right checksum, its version line, headers and length ho
 its block digest agrees. After a failed check the reader looks for the next place where
 a member inflates to a version line (in plain archives: the next version line), goes on
 there, and reports the bytes between as a gap with the reason. Nothing is skipped
-silently. An archive must fit a worker's memory; the writer's files hold at most
-``FILE_RECORDS`` records.
-
-Null payloads are empty. Rows without an id revisit the smallest id of equal payloads like others, and are the response only where no copy has an id. Of rows that
+silently. Where only the content of a record is bad, and another record or the end of the
+archive stands where its length says, the gap is that record: a record quoted in its
+payload is none of the archive's. Where the length is wrong too, such a quotation is found
+as a record. An archive must fit a worker's memory: the writer begins another file after
+``file_bytes`` packed bytes or ``FILE_RECORDS`` records, so a file is longer by at most one record.
+
+Null payloads are empty. An empty table gives no archive and no record. Columns besides
+the three named ones do not matter. Rows without an id revisit the smallest id of equal payloads like others, and are the response only where no copy has an id. Of rows that
 share the smallest id, one is the response. Null urls give an empty target.
 """
 
@@ -39,6 +43,7 @@ from lexweave.session import scratch_path
 VERSION = b"WARC/1.1"
 MEMBER = 8 << 20  # most bytes of a record in one member
 FILE_RECORDS = 2_000
+FILE_BYTES = 64 << 20  # packed
 MAGIC = b"\x1f\x8b\x08"
 ROW_NAMES = ["page_id", "url", "html", "sha", "first", "revisit"]
 RECORD_SCHEMA = (
@@ -112,7 +117,12 @@ def with_records(pages: DataFrame, page_id: str, url: str, html: str) -> DataFra
 
 
 def write_pages(
-    pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html", path: str | None = None
+    pages: DataFrame,
+    page_id: str = "page_id",
+    url: str = "url",
+    html: str = "html",
+    path: str | None = None,
+    file_bytes: int = FILE_BYTES,
 ) -> str:
     """Write the archives, below the shared checkpoint folder by default; returns their folder."""
     path = path or scratch_path(pages.sparkSession, "warc")
@@ -121,25 +131,36 @@ def write_pages(
     rows = with_records(pages, page_id, url, html).select("page_id", "url", "html", "sha", "first", revisit.alias("revisit"))
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part = held = 0
         for batch in batches:
             for start in range(0, batch.num_rows, 64):
-                out = []
+                out, parts = [], []
                 rows = batch.slice(start, 64).rename_columns(ROW_NAMES).to_pylist()
                 for row in rows:
                     sha = base64.b32encode(bytes.fromhex(row["sha"])).decode()
                     data = record(
                         row["page_id"], row["url"], row["html"].encode(), sha, row["revisit"], row["first"]
                     )
+                    if held >= file_bytes:
+                        part, held = part + 1, 0
                     out.append(members(data)[:-1])
-                yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], ["value"])
-
-    packed = rows.mapInArrow(pack, "value binary").select(F.col("value").cast("string"))
-    packed.write.option("lineSep", "\x00").option("maxRecordsPerFile", FILE_RECORDS).text(path)
+                    parts.append(part)
+                    held += len(out[-1]) + 1
+                yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary()), pa.array(parts, pa.int32())], ["value", "part"])
+
+    packed = rows.mapInArrow(pack, "value binary, part int").select(F.col("value").cast("string"), "part")
+    # A task's parts are files of their own, one after the other.
+    writer = packed.write.partitionBy("part").option("lineSep", "\x00")
+    writer.option("maxRecordsPerFile", FILE_RECORDS).text(path)
     return path
 
 
 class Damage(ValueError):
-    """A failed check; the text is the gap's reason."""
+    """A failed check; the text is the gap's reason, ``end`` where the record says that it ends."""
+
+    def __init__(self, reason: str, end: int | None = None):
+        super().__init__(reason)
+        self.end = end
 
 
 def inflated(data: memoryview, at: int) -> tuple[bytes, int]:
@@ -225,11 +246,11 @@ def next_record(data: memoryview, at: int) -> tuple[dict[str, str], bytes, int]:
     block = text[close + 4 : size - 4]
     told = headers.get("warc-block-digest", "").removeprefix("sha1:")
     if told and told != digest(block):
-        raise Damage("block digest differs")
+        raise Damage("block digest differs", end)
     return headers, block, end
 
 
-def parsed(headers: dict[str, str], block: bytes) -> dict[str, object]:
+def parsed(headers: dict[str, str], block: bytes, end: int) -> dict[str, object]:
     """The columns of a record; raises where the payload's digest differs."""
     number = lambda urn: int(m[1]) if (m := re.fullmatch("<urn:page:(-?[0-9]+)>", urn)) else None
     head, _, payload = block.partition(b"\r\n\r\n")
@@ -240,7 +261,7 @@ def parsed(headers: dict[str, str], block: bytes) -> dict[str, object]:
         length = re.search(rb"(?im)^content-length:\s*([0-9]{1,18})", head)
         size = int(length[1]) if length else None
     elif told and told != digest(payload):
-        raise Damage("payload digest differs")
+        raise Damage("payload digest differs", end)
     return {
         "warc_type": kind,
         "page_id": number(headers.get("warc-record-id", "")),
@@ -252,16 +273,27 @@ def parsed(headers: dict[str, str], block: bytes) -> dict[str, object]:
     }
 
 
-def salvaged(content: bytes) -> Iterator[dict[str, object]]:
+def framed(data: memoryview, at: int) -> bool:
+    """Whether a record that ends where its length says stands at an offset, or nothing any more."""
+    if at == len(data):
+        return True
+    try:
+        next_record(data, at)
+    except Damage as damage:
+        return damage.end is not None
+    return True
+
+
+def salvaged(content: bytes | pa.Buffer) -> Iterator[dict[str, object]]:
     """Records and gaps of one archive, in order; together they cover every byte."""
-    data = memoryview(content)
+    data = memoryview(content).cast("B")
     at = 0
     while at < len(data):
         try:
             headers, block, end = next_record(data, at)
-            row = {"kind": "record", "offset": at, "length": end - at} | parsed(headers, block)
+            row = {"kind": "record", "offset": at, "length": end - at} | parsed(headers, block, end)
         except Damage as damage:
-            end = next_start(data, at + 1)
+            end = damage.end if damage.end and framed(data, damage.end) else next_start(data, at + 1)
             row = {"kind": "gap", "offset": at, "length": end - at, "reason": str(damage)}
         yield row
         at = end
@@ -276,7 +308,7 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
             for name, content in zip(batch.column(0), batch.column(1), strict=True):
                 rows: list[dict[str, object]] = []
                 held = 0
-                for row in salvaged(content.as_buffer().to_pybytes()):
+                for row in salvaged(content.as_buffer()):
                     rows.append(row | {"file": name.as_py()})
                     held += len(row.get("payload") or b"") + 200
                     if held > 4 << 20:

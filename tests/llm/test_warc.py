@@ -3,6 +3,7 @@
 import base64
 import gzip
 import hashlib
+import random
 from collections import defaultdict
 
 import pytest
@@ -112,3 +113,42 @@ def test_headers_of_any_length():
         rows = list(warc.salvaged(data))
         assert [(r["kind"], r["page_id"]) for r in rows] == [("record", 5), ("record", 6)]
         assert rows[0]["target"] == url
+
+
+@pytest.mark.parametrize("most", [1, 200_000, 10**9])
+def test_files_are_bounded_by_packed_bytes(spark, tmp_path, most):
+    rng = random.Random(1)
+    pages = [(i, "u", "".join(map(chr, rng.choices(range(0x20, 0x2000), k=rng.randrange(40_000))))) for i in range(40)]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string").coalesce(1)
+    path = warc.write_pages(df, path=str(tmp_path / "w"), file_bytes=most)
+    sizes = [p.stat().st_size for p in (tmp_path / "w").rglob("part-*")]
+    longest = max(len(warc.members(warc.record(i, u, h.encode(), sha(h.encode()), False, None))) for i, u, h in pages)
+    assert max(sizes) < most + longest and len(sizes) <= 2 * sum(sizes) / most + 1
+    found = warc.read_records(spark, path).collect()
+    assert {r["kind"] for r in found} == {"record"}
+    assert sorted((r["page_id"], r["payload"].decode()) for r in found) == [(i, h) for i, _, h in pages]
+
+
+def quoting(i, harm):
+    """A plain record whose payload quotes another, one byte of it wrong or a piece of it missing."""
+    quoted = warc.record(77, "q", b"quoted", sha(b"quoted"), False, None)
+    body = f"page {i} ".encode() * 20 + quoted + b"end" * 20
+    data = warc.record(i, "u", body, sha(body), False, None)
+    at = data.index(b"end" * 3)
+    return data[:at] + {"flip": b"x", "none": b"e"}[harm] + data[at + 1 :] if harm != "cut" else data[:at] + data[at + 9 :]
+
+
+@pytest.mark.parametrize("harms", ["none flip none", "flip none", "none flip", "flip flip none", "flip", "none cut none"])
+def test_a_quoted_record_is_none_of_the_archive(harms):
+    """Unless a record's length is wrong, what it quotes stays in its gap."""
+    harms = harms.split()
+    data = b"".join(quoting(i, harm) for i, harm in enumerate(harms))
+    rows = list(warc.salvaged(data))
+    pages = [r["page_id"] for r in rows if r["kind"] == "record"]
+    good = [i for i, harm in enumerate(harms) if harm == "none"]
+    if "cut" in harms:
+        assert [p for p in pages if p != 77] == good  # the quotation may be found, no page is lost
+    else:
+        assert pages == good
+        assert [r["reason"] for r in rows if r["kind"] == "gap"] == ["block digest differs"] * harms.count("flip")
+    assert sum(r["length"] for r in rows) == len(data)
