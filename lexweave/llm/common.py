@@ -17,6 +17,7 @@ from lexweave.session import scratch_path
 from lexweave.sources.files import remove
 
 TEXT = "_text_"
+SLICE = 1 << 20  # bytes of text that a worker's function gets at a time
 
 BLANKS = "\x20\x09\x0a\x0b\x0c\x0d"
 WORD = r"[^\x20\x09-\x0D]+"
@@ -77,8 +78,8 @@ def with_text_columns(
 ) -> DataFrame:
     """Add columns that ``values`` computes from lists of texts, in Arrow batches; ``done`` ends a task.
 
-    ``values`` gets up to ``rows`` texts and returns a sequence of each added
-    column. All other columns pass through as they are; one that has an added
+    ``values`` gets up to ``rows`` texts of about ``SLICE`` bytes together, one text at least,
+    and returns a sequence of each added column. All other columns pass through as they are; one that has an added
     column's name is replaced.
     """
     names = [f.name for f in added]
@@ -89,14 +90,17 @@ def with_text_columns(
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for start in range(0, batch.num_rows, rows):
-                part = batch.slice(start, rows)
-                found = values(part.column(part.num_columns - 1).to_pylist())
-                columns = [part.column(i) for i in range(part.num_columns - 1)]
-                columns += [pa.array(found[n], k) for n, k in zip(names, kinds, strict=True)]
-                schema = part.schema.names[:-1] + names
-                yield pa.RecordBatch.from_arrays(columns, schema)
+                some = batch.slice(start, rows)
+                for part, texts in text_slices(some, some.column(some.num_columns - 1), SLICE):
+                    found = values(texts.to_pylist())
+                    columns = [part.column(i) for i in range(part.num_columns - 1)]
+                    columns += [pa.array(found[n], k) for n, k in zip(names, kinds, strict=True)]
+                    schema = part.schema.names[:-1] + names
+                    yield pa.RecordBatch.from_arrays(columns, schema)
         if done is not None:
             done()
+        # Workers live on for other stages, which need the memory.
+        pa.default_memory_pool().release_unused()
 
     return source.mapInArrow(each, T.StructType(kept + added))
 

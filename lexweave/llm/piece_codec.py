@@ -1,7 +1,7 @@
 """Exact merge-type encoding with a SentencePiece vocabulary, and decoding.
 
 A text is cut before its space marks, which no piece of such a vocabulary reaches
-across (this is checked), and a worker keeps the ids of cuts it has seen. Inside a cut the
+across (this is checked), and a task keeps the ids of cuts it has seen. Inside a cut the
 encoder goes from left to right over the longest pieces that Aho-Corasick finds,
 takes a piece if it stands beside its left neighbour under the merge rules, tries
 shorter pieces otherwise, and steps back when none fits. A bitfield remembers the
@@ -27,7 +27,7 @@ from lexweave.llm.common import with_text_columns
 
 SPACE = "▁"
 EACH_BYTE = "lexweave.each_byte"  # decoding puts one mark for each byte that is no character
-CACHED_CUTS = 500_000  # entries a worker keeps; it starts anew when they are full
+CACHED_CUTS = 500_000  # entries a task keeps; it starts anew when they are full
 CACHED_PAIRS = 400_000
 LONGEST_CACHED = 64
 CONTROL = b"\xff\xff"  # stands for a control piece: shown as nothing, but parts bytes
@@ -216,4 +216,10 @@ def encode_texts(df: DataFrame, model_file: str, text: str = "text") -> DataFram
         ids = [own.encode(t) for t in texts]
         return {"ids": ids, "decoded": [own.decode(i) for i in ids]}
 
-    return with_text_columns(df, text, added, values)
+    def done() -> None:
+        # The vocabulary stays with the worker, what its texts have filled goes.
+        own = codec(model_file)
+        own.cuts.clear()
+        own.pairs.clear()
+
+    return with_text_columns(df, text, added, values, done=done)
