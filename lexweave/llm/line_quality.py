@@ -6,10 +6,11 @@ a document that keeps too few words, or too small a part of them, is rejected. E
 row is a document, so a repeated row counts again. The limit is a count that holds
 for all hosts plus a share of the host's documents, whatever the host's size.
 
-Everything is built-in functions. Only line hashes and word counts are shuffled. The
-lines of a document are made distinct before they are counted, counts are summed in
-each task first, and lines above the limit are joined back as a stored table, whose
-join Spark can split where one line or host has very many rows.
+Everything is built-in functions. A text is split and normalised once: its counts and the
+hashes and words of its lines are stored, and all that follows reads that table. Only line
+hashes and word counts are shuffled. The lines of a document are made distinct before they
+are counted, counts are summed in each task first, and lines above the limit are joined
+back as a stored table, whose join Spark can split where one line or host has very many rows.
 
 Null texts have no word and no line. A null host is a host of its own. Lines without a
 word are no lines. Columns are picked by name; other columns do not matter.
@@ -21,28 +22,24 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexweave.functions.types import quoted
-from lexweave.llm.common import BLANKS, LOWER, UPPER, row_key, stored
+from lexweave.llm.common import LOWER, UPPER, WORD, row_key, stored
 
-SYMBOLS = "#*$%&|<>"
+SYMBOLS = "[#*$%&|<>]+"
 BLANK_RUN = r"[\x20\x09-\x0D]+"
 
 
 def words_of(text: Column) -> Column:
     """Words as an array, without the empty ends that splitting leaves."""
-    return F.filter(F.split(text, BLANK_RUN), lambda w: w != "")
+    return F.array_remove(F.split(text, BLANK_RUN), "")
 
 
-def without(text: Column, characters: str) -> Column:
-    return F.translate(text, characters, "")
-
-
-def blank_free_length(text: Column) -> Column:
-    return F.length(without(text, BLANKS))
+def has_word(line: Column) -> Column:
+    return line.rlike(WORD)
 
 
 def lines_of(text: Column) -> Column:
     """Lines that hold a word."""
-    return F.filter(F.split(text, "\n"), lambda x: blank_free_length(x) > 0)
+    return F.filter(F.split(text, "\n"), has_word)
 
 
 def normalised(line: Column) -> Column:
@@ -50,6 +47,15 @@ def normalised(line: Column) -> Column:
     return F.trim(F.regexp_replace(plain, BLANK_RUN, " "))
 
 
+def line_keys(lines: str) -> Column:
+    """Hash and number of words of each line as it is normalised."""
+    words = lambda x: F.length(x) - F.length(F.replace(x, F.lit(" "))) + 1
+    return F.transform(
+        F.transform(lines, normalised),
+        lambda x: F.struct(F.xxhash64(x).alias("line"), words(x).cast("int").alias("words")),
+    )
+
+
 def windows(words: str) -> Column:
     """Hashes of the three-word windows, by start."""
     last = F.size(words) - 3
@@ -61,8 +67,9 @@ def windows(words: str) -> Column:
 
 def in_order(keys: str) -> Column:
     """Windows with their starts, sorted; null where none repeats, which a set tells."""
-    keyed = F.transform(keys, lambda k, i: F.struct(k.alias("k"), i.alias("i")))
-    return F.when(F.size(F.array_distinct(keys)) < F.size(keys), F.array_sort(keyed))
+    starts = F.sequence(F.lit(0), F.size(keys) - 1)
+    keyed = F.arrays_zip(F.col(keys).alias("k"), starts.alias("i"))
+    return F.when(F.size(F.array_distinct(keys)) < F.size(keys), F.sort_array(keyed))
 
 
 def repeat_starts(ordered: str) -> Column:
@@ -81,7 +88,7 @@ def covered(starts: str) -> Column:
 
 
 def base_rules(docs: DataFrame, doc_id: str, text: str, host: str) -> DataFrame:
-    """One row per document: its key, counts and distinct lines (hash and words)."""
+    """One row per document: its key, host, counts and the hash and words of each line."""
     source = docs.select(
         row_key(doc_id, host, text).alias("_key"),
         quoted(doc_id).alias("doc_id"),
@@ -100,25 +107,18 @@ def base_rules(docs: DataFrame, doc_id: str, text: str, host: str) -> DataFrame:
         "doc_id",
         "_host",
         F.size("_words").cast("long").alias("n_words"),
-        blank_free_length(F.col("_text")).cast("long").alias("word_chars"),
-        (F.length("_text") - F.length(without(F.col("_text"), SYMBOLS))).cast("long").alias("n_symbols"),
+        F.length(F.array_join("_words", "")).cast("long").alias("word_chars"),
+        (F.length("_text") - F.length(F.regexp_replace("_text", SYMBOLS, ""))).cast("long").alias("n_symbols"),
         (F.size("_all") - F.size(F.array_distinct("_all"))).cast("long").alias("n_dup_lines"),
         covered("_starts").cast("long").alias("n_repeat_words"),
+        line_keys("_all").alias("_lines"),
     )
 
 
-def document_lines(docs: DataFrame, doc_id: str, text: str, host: str) -> DataFrame:
-    """One row per document and distinct normalised line: hash, times and words of one."""
-    source = docs.select(
-        row_key(doc_id, host, text).alias("_key"),
-        quoted(host).cast("string").alias("_host"),
-        F.transform(lines_of(quoted(text).cast("string")), normalised).alias("_lines"),
-    )
-    words = lambda x: F.length(x) - F.length(without(x, " ")) + 1
-    each = F.transform("_lines", lambda x: F.struct(F.xxhash64(x).alias("line"), words(x).alias("words")))
-    # Explode without "outer" would split and normalise every text twice, for a filter.
+def document_lines(read: DataFrame) -> DataFrame:
+    """One row per document and line: its hash and its words."""
     return (
-        source.select("_key", "_host", F.explode_outer(each).alias("_l"))
+        read.select("_key", "_host", F.explode_outer("_lines").alias("_l"))
         .where("_l is not null")
         .select("_key", "_host", F.col("_l.line").alias("line"), F.col("_l.words").alias("words"))
     )
@@ -128,18 +128,11 @@ def host_key() -> Column:
     return F.coalesce(F.concat(F.lit("="), "_host"), F.lit(""))
 
 
-def common_lines(docs: DataFrame, text: str, host: str, most_documents: int, most_share: float) -> DataFrame:
+def common_lines(read: DataFrame, most_documents: int, most_share: float) -> DataFrame:
     """Hashes of the lines above the limit, by host."""
-    hosts = docs.select(quoted(host).cast("string").alias("_host")).groupBy(host_key().alias("_at"))
+    hosts = read.groupBy(host_key().alias("_at"))
     sizes = stored(hosts.agg(F.count(F.lit(1)).alias("_docs")), "hosts")
-    own = docs.select(
-        quoted(host).cast("string").alias("_host"),
-        F.array_distinct(
-            F.transform(
-                lines_of(quoted(text).cast("string")), lambda x: F.xxhash64(normalised(x))
-            )
-        ).alias("_lines"),
-    )
+    own = read.select("_host", F.array_distinct("_lines.line").alias("_lines"))
     counted = (
         own.select(host_key().alias("_at"), F.explode_outer("_lines").alias("line"))
         .where("line is not null")
@@ -171,13 +164,13 @@ def without_common_lines(
     Other lines stay as they are, also those without a word. Null texts stay null; a text
     whose lines all go becomes the empty text.
     """
-    common = common_lines(docs, text, host, most_documents, most_share)
-    removed = removed_lines(document_lines(docs, doc_id, text, host), common)
+    read = stored(base_rules(docs, doc_id, text, host).select("_key", "_host", "_lines"), "documents")
+    removed = removed_lines(document_lines(read), common_lines(read, most_documents, most_share))
     gone = removed.groupBy(F.col("_key").alias("_lq_key")).agg(F.collect_set("line").alias("_lq_gone"))
     marked = docs.withColumn("_lq_key", row_key(doc_id, host, text))
     joined = marked.join(stored(gone, "removed-lines"), "_lq_key", "left")
     whole = quoted(text).cast("string")
-    out = lambda x: (blank_free_length(x) > 0) & F.array_contains("_lq_gone", F.xxhash64(normalised(x)))
+    out = lambda x: has_word(x) & F.array_contains("_lq_gone", F.xxhash64(normalised(x)))
     left = F.concat_ws("\n", F.filter(F.split(whole, "\n"), lambda x: ~out(x)))
     cleaned = F.when(F.col("_lq_gone").isNull(), whole).otherwise(left).alias(text)
     return joined.select(*[cleaned if c == text else quoted(c) for c in docs.columns])
@@ -199,17 +192,15 @@ def line_quality(
     the host`` documents of the host have it. ``kept`` is false if ``base_failed``, or
     if fewer than ``least_words`` words or ``least_part`` of the words stay.
     """
-    base = base_rules(docs, doc_id, text, host)
-    lines = document_lines(docs, doc_id, text, host)
-    common = common_lines(docs, text, host, most_documents, most_share)
+    read = stored(base_rules(docs, doc_id, text, host), "documents")
     removed = (
-        removed_lines(lines, common)
+        removed_lines(document_lines(read), common_lines(read, most_documents, most_share))
         .groupBy("_key")
         .agg(F.sum("words").alias("_words_out"), F.count(F.lit(1)).alias("_lines_out"))
     )
     # A repeated row sends its lines once for each copy: the sums are divided by the copies.
     copies = F.count(F.lit(1)).alias("_copies")
-    return finish(base, removed, copies, least_words, least_part)
+    return finish(read, removed, copies, least_words, least_part)
 
 
 def finish(

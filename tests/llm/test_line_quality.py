@@ -85,3 +85,37 @@ def test_texts_without_common_lines(spark):
     assert sorted(map(tuple, cleaned.collect()), key=repr) == sorted(expected, key=repr)
     counted = sorted((r[0], r[1] - r[-1]) for r in plain(rows, **limits) if r[0] is not None)
     assert sorted((r["doc_id"], len(words_of(r["text"]))) for r in cleaned.collect() if r["doc_id"] is not None) == counted
+
+
+def test_texts_are_read_once(spark):
+    """Splitting is the work: base counts, line counts and removed lines come from one reading."""
+    from pyspark.sql import functions as F
+
+    from lexweave.llm.line_quality import without_common_lines
+
+    body = " ".join(f"w{i}" for i in range(60))
+    rows = [(i, f"Shared Line 12\n{body} {i}\nshared  line 99", "h") for i in range(5)]
+    limits = {"most_documents": 2, "most_share": 0.1}
+    for run, reads in ((line_quality, 1), (without_common_lines, 2)):
+        seen = spark.sparkContext.accumulator(0)
+
+        def mark(text, seen=seen):
+            seen.add(1)
+            return text
+
+        marked = F.udf(mark, "string").asNondeterministic()("text").alias("text")
+        df = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(1)
+        run(df.select("doc_id", marked, "source"), **limits).collect()
+        assert seen.value == reads * len(rows)
+
+
+def test_characters_of_every_kind(spark):
+    """Blanks are six characters only; letters A-Z and digits 0-9 alone are made equal."""
+    texts = [" \n \n\x1c\n\x85  x\n\x00", "\x0b\x0c\r\n \t\nA\rB\x0bC\x0cD\n\n a b c d\nÉ É\né é",
+             "İI ıi KK\nii ii kk\nΣΑΣ σας\n٣ 3\n٣ 4", "#*$%&|<>" * 3 + " ##€\n&&||", "x\n" * 40 + " x\n" * 2,
+             " ".join(["a b c", "d"] * 30), "🙂 🙂 🙂 🙂\n🙂 🙂 🙂 🙂\n", "a\n \nb \nb\n b", "\n", "A" * 5000 + "1 \t 9" + "\n0 0\n5 7"]
+    rows = [(i * 2 + k, t, "h" if i % 3 else None) for i, t in enumerate(texts) for k in range(2)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    for most in (0, 1, 2):
+        limits = {"most_documents": most, "most_share": 0.0, "least_words": 2}
+        assert found(df, **limits) == plain(rows, **limits)
